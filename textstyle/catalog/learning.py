@@ -1 +1,306 @@
-"""."""
+"""Metrics over rule-based scores, and models trained on the conversations."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from textstyle.catalog.registry import query, table, tokens_sql
+from textstyle.functions import stylometry as S
+from textstyle.functions import text as T
+from textstyle.operators import metrics as M
+from textstyle.operators.ordering import assign_split, best, leaderboard, ranked
+from textstyle.plans import learning as L
+from textstyle.plans.learning import TrainingRun
+from textstyle.session import shared_folder
+from textstyle.sources.models import load_model, save_models
+
+# --- metrics: two rules scored on every labelled document, checked by SQL ----------
+
+SCORES_SQL = f"""
+    WITH d AS (SELECT d.doc_id, l.quality AS label, d.n_chars, {tokens_sql('d.text')} AS w,
+                      ('0x' || substr(md5(d.doc_id::VARCHAR), 1, 8))::BIGINT % 100 AS slot
+               FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+    r AS (SELECT *, len(list_distinct(w)) / len(w) AS diversity,
+                 1000 / (1000 + n_chars) AS brevity,
+                 CASE WHEN slot < 70 THEN 'train' WHEN slot < 85 THEN 'validation'
+                      ELSE 'test' END AS split FROM d),
+    s AS (SELECT 'diversity' AS model, split, label, diversity AS score,
+                 CASE WHEN diversity > 0.6 THEN 1 ELSE 0 END AS prediction FROM r
+          UNION ALL
+          SELECT 'brevity', split, label, brevity,
+                 CASE WHEN brevity > 0.4 THEN 1 ELSE 0 END FROM r)
+"""
+
+
+def metrics_sql(by: str) -> str:
+    """Common tables ``m`` (counted metrics) and ``a`` (area) per ``by`` group."""
+    return f"""{SCORES_SQL},
+    k AS (SELECT {by}, c.label AS class, count(*) AS n,
+                 count(*) FILTER (WHERE s.label = c.label) AS n_true,
+                 count(*) FILTER (WHERE s.prediction = c.label) AS n_predicted,
+                 count(*) FILTER (WHERE s.label = c.label AND s.prediction = c.label) AS n_hit
+          FROM s, (VALUES (0), (1)) c(label) GROUP BY {by}, c.label),
+    p AS (SELECT *, CASE WHEN n_predicted > 0 THEN n_hit / n_predicted ELSE 0 END AS pr,
+                 CASE WHEN n_true > 0 THEN n_hit / n_true ELSE 0 END AS re FROM k),
+    m AS (SELECT {by}, sum(n_true)::BIGINT AS n, sum(n_hit) / sum(n_true) AS accuracy,
+                 sum(n_true * CASE WHEN pr + re > 0 THEN 2 * pr * re / (pr + re) ELSE 0 END)
+                     / sum(n_true) AS f1,
+                 sum(n_true * pr) / sum(n_true) AS precision,
+                 sum(n_true * re) / sum(n_true) AS recall
+          FROM p GROUP BY {by}),
+    t AS (SELECT {by}, score, sum(label) AS pos, sum(1 - label) AS neg
+          FROM s GROUP BY {by}, score),
+    b AS (SELECT *, sum(neg) OVER (PARTITION BY {by} ORDER BY score) - neg AS below FROM t),
+    a AS (SELECT {by}, sum(pos * (below + neg / 2)) / (sum(pos) * sum(neg)) AS roc_auc
+          FROM b GROUP BY {by})
+    """
+
+
+def rule_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(model, split, label, prediction, score)`` of the two rules."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    docs = table(spark, sf_dir, "documents").join(labels, "doc_id")
+    docs = docs.withColumn("w", T.tokenize("text"))
+    docs = assign_split(docs, "doc_id").select(
+        "split",
+        "label",
+        S.lexical_diversity(F.col("w")).alias("diversity"),
+        (F.lit(1000) / (F.col("n_chars") + 1000)).alias("brevity"),
+    )
+    scores = docs.unpivot(["split", "label"], ["diversity", "brevity"], "model", "score")
+    limit = F.when(F.col("model") == "diversity", 0.6).otherwise(0.4)
+    return scores.withColumn("prediction", (F.col("score") > limit).cast("double"))
+
+
+def _one_rule(spark, sf_dir) -> DataFrame:
+    return rule_scores(spark, sf_dir).filter(F.col("model") == "diversity")
+
+
+def _single_metric(name: str, metric: str):
+    @query(
+        name,
+        f"{metrics_sql('model')} SELECT round({metric}, 6) AS {metric} "
+        "FROM m WHERE model = 'diversity'",
+    )
+    def run(spark, sf_dir):
+        measured = M.classification_metrics(_one_rule(spark, sf_dir))
+        return measured.select(F.round(metric, 6).alias(metric))
+
+
+_single_metric("ml8_accuracy", "accuracy")
+_single_metric("ml9_weighted_f1", "f1")
+_single_metric("ml10_weighted_precision", "precision")
+_single_metric("ml11_weighted_recall", "recall")
+
+
+@query(
+    "ml12_roc_auc",
+    f"{metrics_sql('model')} SELECT model, round(roc_auc, 6) AS roc_auc FROM a",
+)
+def roc_auc(spark, sf_dir):
+    area = M.roc_auc(rule_scores(spark, sf_dir), by=["model"])
+    return area.select("model", F.round("roc_auc", 6).alias("roc_auc"))
+
+
+METRICS = ("accuracy", "f1", "precision", "recall", "roc_auc")
+_ROUNDED_SQL = ", ".join(f"round({m}, 6) AS {m}" for m in METRICS)
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.withColumns({m: F.round(m, 6) for m in METRICS})
+
+
+@query(
+    "ml13_all_metrics",
+    f"{metrics_sql('model')} SELECT n, {_ROUNDED_SQL} FROM m JOIN a USING (model) "
+    "WHERE model = 'diversity'",
+)
+def all_metrics(spark, sf_dir):
+    return _rounded(M.calculate_metrics(_one_rule(spark, sf_dir)))
+
+
+@query(
+    "ml14_confusion_matrix",
+    f"""{SCORES_SQL}
+    SELECT model, label, count(*) FILTER (WHERE prediction = 0) AS predicted_0,
+           count(*) FILTER (WHERE prediction = 1) AS predicted_1
+    FROM s GROUP BY model, label
+    """,
+)
+def confusion_matrix(spark, sf_dir):
+    return M.confusion_matrix(rule_scores(spark, sf_dir), by=["model"])
+
+
+@query(
+    "ml14_confusion_counts",
+    f"""{SCORES_SQL}
+    SELECT model, label, prediction, count(*) AS count FROM s
+    GROUP BY model, label, prediction
+    """,
+)
+def confusion_counts(spark, sf_dir):
+    return M.confusion_counts(rule_scores(spark, sf_dir), by=["model"])
+
+
+@query(
+    "ml15_evaluate_rules",
+    f"{metrics_sql('model, split')} SELECT model, split, n, {_ROUNDED_SQL} "
+    "FROM m JOIN a USING (model, split)",
+)
+def evaluate_rules(spark, sf_dir):
+    by = ["model", "split"]
+    return _rounded(M.calculate_metrics(rule_scores(spark, sf_dir), by=by))
+
+
+def _rule_metrics(spark, sf_dir) -> DataFrame:
+    counted = M.classification_metrics(rule_scores(spark, sf_dir), by=["model"])
+    return counted.select("model", F.round("f1", 6).alias("f1"))
+
+
+@query(
+    "so3_best_model",
+    f"{metrics_sql('model')} SELECT model, round(f1, 6) AS f1 FROM m "
+    "ORDER BY f1 DESC, model LIMIT 1",
+)
+def best_rule(spark, sf_dir):
+    return best(_rule_metrics(spark, sf_dir), "f1", "model")
+
+
+@query(
+    "so3_leaderboard",
+    f"{metrics_sql('model')} SELECT model, round(f1, 6) AS f1 FROM m ORDER BY f1 DESC, model",
+)
+def rule_leaderboard(spark, sf_dir):
+    return leaderboard(_rule_metrics(spark, sf_dir), "f1", "model")
+
+
+@query(
+    "so4_ranked_models",
+    f"{metrics_sql('model')} SELECT model, round(f1, 6) AS f1, "
+    "row_number() OVER (ORDER BY f1 DESC, model)::INTEGER AS rank FROM m",
+)
+def ranked_rules(spark, sf_dir):
+    return ranked(_rule_metrics(spark, sf_dir), "f1", "model")
+
+
+# --- trained models -----------------------------------------------------------------
+
+
+def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User turns (0) and assistant turns (1) of every conversation."""
+    rows = table(spark, sf_dir, "conversations").filter(
+        F.col("role").isin("user", "assistant")
+    )
+    return rows.select(
+        "conv_id",
+        "turn",
+        "text",
+        T.join_tokens(T.tokenize("text")).alias("abstract_clean"),
+        F.when(F.col("role") == "assistant", 1).otherwise(0).alias("label"),
+    )
+
+
+TURNS_SQL = f"""
+    SELECT conv_id, turn, {tokens_sql('text')} AS w,
+           CASE WHEN role = 'assistant' THEN 1 ELSE 0 END AS label
+    FROM conversations WHERE role IN ('user', 'assistant')
+"""
+
+_RUNS: dict[tuple, TrainingRun] = {}
+
+
+def trained(spark: SparkSession, sf_dir: str) -> TrainingRun:
+    """All three models with the full search grid, fitted once per input."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _RUNS:
+        _RUNS[key] = L.train_all(turns(spark, sf_dir), "conv_id")
+    return _RUNS[key]
+
+
+@query(
+    "ml1_hashing_tf",
+    f"SELECT conv_id, turn, len(w)::DOUBLE AS n_tokens FROM ({TURNS_SQL})",
+)
+def hashing_tf(spark, sf_dir):
+    """Hashing may merge terms but never loses a token."""
+    rows = turns(spark, sf_dir)
+    hashed = L.fit_hashing_tfidf(rows).transform(rows)
+    counts = vector_to_array("raw_features")
+    total = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
+    return hashed.select("conv_id", "turn", total.alias("n_tokens"))
+
+
+@query(
+    "ml3_tfidf_vectors",
+    f"""
+    WITH t AS ({TURNS_SQL}),
+         e AS (SELECT conv_id, turn, unnest(w) AS term FROM t),
+         tf AS (SELECT conv_id, turn, term, count(*) AS tf FROM e GROUP BY ALL),
+         v AS (SELECT term, count(*) AS df FROM tf GROUP BY term HAVING count(*) >= 2
+               ORDER BY sum(tf) DESC, term LIMIT 10000),
+         n AS (SELECT count(*) AS m FROM t)
+    SELECT conv_id, turn, round(sum(tf * ln((m + 1) / (df + 1))), 4) AS total
+    FROM tf JOIN v USING (term), n GROUP BY conv_id, turn
+    """,
+)
+def tfidf_vectors(spark, sf_dir):
+    """MLlib's vectors carry the same weights as the relational form."""
+    rows = turns(spark, sf_dir)
+    weighted = L.fit_tfidf(rows).transform(rows)
+    weights = vector_to_array(L.TFIDF)
+    total = F.aggregate(weights, F.lit(0.0), lambda a, x: a + x)
+    return weighted.select("conv_id", "turn", F.round(total, 4).alias("total"))
+
+
+def _model_query(name: str, model: str):
+    @query(name)
+    def run(spark, sf_dir):
+        fitted = trained(spark, sf_dir).models[model]
+        scored = L.score(turns(spark, sf_dir), fitted)
+        return scored.select("conv_id", "turn", "label", "prediction", "score")
+
+
+_model_query("ml5_logistic_regression", L.LOGISTIC)
+_model_query("ml6_random_forest", L.FOREST)
+_model_query("ml7_linear_svm", L.SVM)
+
+
+@query("ml15_evaluate_models")
+def evaluate_models(spark, sf_dir):
+    return trained(spark, sf_dir).metrics
+
+
+@query("ml16_batch_scoring")
+def batch_scoring(spark, sf_dir):
+    scored = L.score(turns(spark, sf_dir), trained(spark, sf_dir).best_model)
+    return scored.select("conv_id", "turn", "prediction", "score")
+
+
+@query("ml17_sample_predictions")
+def sample_predictions(spark, sf_dir):
+    run = trained(spark, sf_dir)
+    return L.sample_predictions(L.score(run.splits["test"], run.best_model))
+
+
+@query("ml18_train_all")
+def train_all(spark, sf_dir):
+    return L.model_leaderboard(trained(spark, sf_dir).metrics)
+
+
+@query("ml19_scoring_throughput")
+def scoring_throughput(spark, sf_dir):
+    return L.scoring_throughput(turns(spark, sf_dir), trained(spark, sf_dir).best_model)
+
+
+@query("io11_saved_model_scoring")
+def saved_model_scoring(spark, sf_dir):
+    """Save every model, load the best one back, and score with it."""
+    run = trained(spark, sf_dir)
+    root = shared_folder(spark, "models")
+    save_models(run.models, root)
+    scored = L.score(turns(spark, sf_dir), load_model(root, run.best_name))
+    return scored.select("conv_id", "turn", "prediction", "score")
+
+

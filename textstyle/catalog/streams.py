@@ -1 +1,124 @@
-"""."""
+"""Streams over the conversations, drained and read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from textstyle.catalog.learning import trained, turns
+from textstyle.catalog.registry import digest, digest_sql, query, table, tokens_sql
+from textstyle.catalog.text import (
+    BRUNET_SQL,
+    DIVERSITY_SQL,
+    WORD_LENGTH_SQL,
+    words_sql,
+)
+from textstyle.functions import text as T
+from textstyle.operators.features import stylometric_features
+from textstyle.session import shared_folder
+from textstyle.streaming import (
+    read_json_stream,
+    run_for,
+    score_stream,
+    write_json_stream,
+    write_micro_batches,
+)
+
+#: Rises along (conv_id, turn) and stays below the next conv_id.
+SPREAD_EXPRESSION = "conv_id + turn / (turn + 1)"
+
+
+def _feed(df: DataFrame) -> str:
+    """Write ``df`` as numbered 50-row JSON batches; the folder they are in."""
+    path = shared_folder(df.sparkSession, "stream-input")
+    write_micro_batches(df, path, ["conv_id", "turn"], F.expr(SPREAD_EXPRESSION))
+    return path
+
+
+def _drain(stream: DataFrame, schema: StructType | str, partition_by=()) -> DataFrame:
+    """Run a stream over what is there and read its sink back."""
+    spark = stream.sparkSession
+    out, marks = shared_folder(spark, "stream-output"), shared_folder(spark, "stream-log")
+    query_ = write_json_stream(stream, out, marks, every=None, partition_by=partition_by)
+    run_for(query_)
+    return spark.read.schema(schema).json(out)
+
+
+def _stream(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """``rows`` by way of micro-batch files; as many files per trigger as cores."""
+    width = spark.sparkContext.defaultParallelism
+    return read_json_stream(spark, _feed(rows), rows.schema, files_per_trigger=width)
+
+
+@query(
+    "ss8_micro_batches",
+    f"""
+    WITH n AS (SELECT *, row_number() OVER (ORDER BY conv_id, turn) AS n FROM conversations)
+    SELECT (n - 1) // 50 + 1 AS batch_id, conv_id, turn, role, {digest_sql('text')} FROM n
+    """,
+)
+def micro_batches(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    schema = "conv_id bigint, turn bigint, role string, text string, batch_id bigint"
+    batches = spark.read.schema(schema).json(_feed(rows))
+    return batches.select("batch_id", "conv_id", "turn", "role", *digest(F.col("text")))
+
+
+@query(
+    "ss1_json_stream",
+    f"SELECT conv_id, turn, role, {digest_sql('text')} FROM conversations",
+)
+def json_stream(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    back = _drain(_stream(spark, rows), rows.schema)
+    return back.select("conv_id", "turn", "role", *digest(F.col("text")))
+
+
+@query(
+    "ss2_stream_tokens",
+    f"""
+    SELECT conv_id, turn, len({tokens_sql('text')})::INTEGER AS n_tokens,
+           md5(array_to_string({tokens_sql('text')}, ' ')) AS clean_md5
+    FROM conversations
+    """,
+)
+def stream_tokens(spark, sf_dir):
+    stream = _stream(spark, table(spark, sf_dir, "conversations"))
+    stream = stream.withColumn("words", T.tokenize("text")).select(
+        "conv_id",
+        "turn",
+        F.size("words").alias("n_tokens"),
+        F.md5(T.join_tokens("words")).alias("clean_md5"),
+    )
+    return _drain(stream, "conv_id bigint, turn bigint, n_tokens int, clean_md5 string")
+
+
+@query(
+    "ss5_stream_stylometry",
+    f"""
+    WITH c AS (SELECT conv_id, turn, array_to_string({tokens_sql('text')}, ' ') AS c
+               FROM conversations),
+         w AS (SELECT conv_id, turn, {words_sql('c')} AS w FROM c)
+    SELECT conv_id, turn, round({BRUNET_SQL}, 6) AS f_brunets_w,
+           round({DIVERSITY_SQL}, 6) AS f_lexical_diversity,
+           round({WORD_LENGTH_SQL}, 6) AS f_avg_word_length
+    FROM w
+    """,
+)
+def stream_stylometry(spark, sf_dir):
+    stream = _stream(spark, table(spark, sf_dir, "conversations"))
+    clean = stream.withColumn("abstract_clean", T.join_tokens(T.tokenize("text")))
+    measures = ["f_brunets_w", "f_lexical_diversity", "f_avg_word_length"]
+    features = stylometric_features(clean).select("conv_id", "turn", *measures)
+    schema = "conv_id bigint, turn bigint, " + ", ".join(f"{m} double" for m in measures)
+    back = _drain(features, schema)
+    return back.withColumns({m: F.round(m, 6) for m in measures})
+
+
+@query("ss3_stream_scoring")
+def stream_scoring(spark, sf_dir):
+    model = trained(spark, sf_dir).best_model
+    scored = score_stream(_stream(spark, turns(spark, sf_dir)), model)
+    schema = "text string, label int, prediction double, score double, status string"
+    return _drain(scored, schema, ["status"]).select("label", "prediction", "score", "status")

@@ -17,7 +17,9 @@ from textstyle.catalog.registry import (
 from textstyle.functions import text as T
 from textstyle.operators import terms as V
 
-TOKENS = T.tokenize("text")
+def _tokens():
+    return T.tokenize("text")
+
 
 FREQUENCY_SQL = f"""
     WITH tok AS (SELECT doc_id, unnest({tokens_sql('text')}) AS term FROM documents),
@@ -40,7 +42,7 @@ FREQUENCY_SQL = f"""
     """,
 )
 def top_bigrams(spark, sf_dir):
-    return V.top_ngrams(table(spark, sf_dir, "documents"), TOKENS)
+    return V.top_ngrams(table(spark, sf_dir, "documents"), _tokens())
 
 
 @query(
@@ -55,7 +57,7 @@ def top_bigrams(spark, sf_dir):
     """,
 )
 def top_words_per_class(spark, sf_dir):
-    return V.top_words_per_class(labelled_documents(spark, sf_dir), TOKENS)
+    return V.top_words_per_class(labelled_documents(spark, sf_dir), _tokens())
 
 
 @query(
@@ -66,7 +68,7 @@ def top_words_per_class(spark, sf_dir):
     """,
 )
 def vocabulary(spark, sf_dir):
-    return V.vocabulary(table(spark, sf_dir, "documents"), TOKENS)
+    return V.vocabulary(table(spark, sf_dir, "documents"), _tokens())
 
 
 @query(
@@ -78,7 +80,7 @@ def vocabulary(spark, sf_dir):
     """,
 )
 def tfidf_long(spark, sf_dir):
-    weights = V.tfidf_long(table(spark, sf_dir, "documents"), "doc_id", TOKENS)
+    weights = V.tfidf_long(table(spark, sf_dir, "documents"), "doc_id", _tokens())
     rounded = {c: F.round(c, 6) for c in ("idf", "tfidf")}
     return weights.withColumns(rounded)
 
@@ -92,7 +94,7 @@ def tfidf_long(spark, sf_dir):
     """,
 )
 def vocabulary_sample(spark, sf_dir):
-    vocab = V.vocabulary(table(spark, sf_dir, "documents"), TOKENS)
+    vocab = V.vocabulary(table(spark, sf_dir, "documents"), _tokens())
     return V.vocabulary_sample(vocab)
 
 
@@ -109,7 +111,7 @@ DICTIONARY_SQL = f"""
 
 def _dictionary_query(limit: int):
     def run(spark, sf_dir):
-        docs = arabic_documents(spark, sf_dir).withColumn("w", TOKENS)
+        docs = arabic_documents(spark, sf_dir).withColumn("w", _tokens())
         known = V.distinct_tokens(docs, F.col("w")).filter(
             F.col("token").startswith("أ") & (F.length("token") > 1)
         )

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textstyle.operators.ordering import range_slot
+from textstyle.operators.ordering import range_cuts, range_slot
 
 
 def confusion_counts(
@@ -131,12 +131,10 @@ def roc_auc(
     across ranges. The approximate quantiles behind the ranges balance the
     work and cannot change the result.
     """
-    steps = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-    cuts = scored.agg(
-        F.percentile_approx(F.col(score).cast("double"), steps, F.lit(4 * ranges))
-    ).scalar()
+    scored = scored.withColumn("score", F.col(score).cast("double"))
+    cuts = range_cuts(scored, "score", ranges)
     is_positive = F.col(label) == 1
-    points = scored.groupBy(*by, F.col(score).cast("double").alias("score")).agg(
+    points = scored.groupBy(*by, "score").agg(
         F.count_if(is_positive).cast("double").alias("pos"),
         F.count_if(~is_positive).cast("double").alias("neg"),
     )

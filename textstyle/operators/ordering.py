@@ -176,9 +176,8 @@ def number_rows(
     cut points give the same numbers.
     """
     keyed = df.withColumn("_spread", spread.cast("double"))
-    steps = [i / ranges for i in range(1, ranges)]
-    cuts = sorted(set(keyed.approxQuantile("_spread", steps, 1 / (4 * ranges))))
-    slot = range_slot(F.col("_spread"), F.array(*[F.lit(c) for c in cuts]))
+    cuts = range_cuts(keyed, "_spread", ranges)
+    slot = range_slot(F.col("_spread"), cuts)
     sliced = keyed.withColumn("_range", slot).drop("_spread")
     before = Window.partitionBy(F.lit(0)).orderBy("_range")
     shift = (
@@ -195,6 +194,25 @@ def number_rows(
     )
 
 
-def range_slot(value: Column, cuts: Column) -> Column:
-    """How many of the ascending ``cuts`` are below or equal to ``value``."""
-    return F.size(F.filter(cuts, lambda cut: cut <= value))
+def range_cuts(df: DataFrame, col: str, ranges: int) -> list[float]:
+    """Ascending approximate quantiles: at most ``ranges`` numbers."""
+    steps = [i / ranges for i in range(1, ranges)]
+    return sorted(set(df.approxQuantile(col, steps, 1 / (4 * ranges))))
+
+
+def range_slot(value: Column, cuts: Sequence[float]) -> Column:
+    """How many of the ascending ``cuts`` are below or equal to ``value``.
+
+    A search tree of comparisons, so it takes few steps and stays in
+    generated code.
+    """
+
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(value < cuts[middle], search(low, middle)).otherwise(
+            search(middle + 1, high)
+        )
+
+    return search(0, len(cuts))

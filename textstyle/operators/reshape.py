@@ -48,4 +48,11 @@ def of_class(df: DataFrame, label: int, label_col: str = "label") -> DataFrame:
 def explode_tokens(
     df: DataFrame, tokens: Column, alias: str, *keep: str
 ) -> DataFrame:
-    return df.select(*keep, F.explode(tokens).alias(alias))
+    """One row per token; rows without tokens give none.
+
+    An inner explode would add a filter on the array's size and so compute
+    ``tokens`` twice. The outer one computes them once; its NULL row for an
+    empty array is dropped instead.
+    """
+    rows = df.select(*keep, F.explode_outer(tokens).alias(alias))
+    return rows.filter(F.col(alias).isNotNull())

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textstyle.functions import text as T
 from textstyle.operators.ordering import top_per_group
+from textstyle.operators.reshape import explode_tokens
 from textstyle.session import write_through
 
 #: Largest table, in bytes, that is sent to every executor.
@@ -31,6 +34,10 @@ def term_counts(df: DataFrame, tokens: Column, *keep: str) -> DataFrame:
 
     Counting happens inside the row: tokens are sorted, and each run of equal
     tokens gives one term. No shuffle is needed to count per document.
+
+    The outer explode is on purpose. A plain one makes the optimiser filter on
+    the array's size and move that filter below the sort, which would then run
+    again for every element; rows without tokens are dropped afterwards.
     """
     runs = df.select(*keep, F.sort_array(tokens).alias("_sorted"))
     here = "_sorted"
@@ -41,7 +48,8 @@ def term_counts(df: DataFrame, tokens: Column, *keep: str) -> DataFrame:
         positions, lambda i: ~F.get(here, i).eqNullSafe(F.get(here, i - 1))
     )
     runs = runs.withColumn("_starts", starts)
-    runs = runs.select(*keep, here, "_starts", F.posexplode("_starts").alias("_k", "_i"))
+    runs = runs.select(*keep, here, "_starts", F.posexplode_outer("_starts").alias("_k", "_i"))
+    runs = runs.filter(F.col("_i").isNotNull())
     after = F.coalesce(F.get("_starts", F.col("_k") + 1), F.size(here))
     return runs.select(
         *keep,
@@ -53,7 +61,7 @@ def term_counts(df: DataFrame, tokens: Column, *keep: str) -> DataFrame:
 def term_frequency(df: DataFrame, tokens: Column, alias: str, *by: str) -> DataFrame:
     """Occurrences of each token (or n-gram), per group when ``by`` is given."""
     return (
-        df.select(*by, F.explode(tokens).alias(alias))
+        explode_tokens(df, tokens, alias, *by)
         .groupBy(*by, alias)
         .agg(F.count(F.lit(1)).alias("count"))
     )
@@ -186,8 +194,6 @@ def stem_with_dictionary(
 
 def _dictionary_lookup(df: DataFrame, dictionary: DataFrame):
     """An Arrow function mapping token arrays through a broadcast dictionary."""
-    import pyarrow as pa
-
     table = dictionary.toArrow()
     context = df.sparkSession.sparkContext
     shared = context.broadcast(
@@ -196,9 +202,6 @@ def _dictionary_lookup(df: DataFrame, dictionary: DataFrame):
 
     @F.arrow_udf("array<string>")
     def lookup(lists: pa.Array) -> pa.Array:
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
         known, stems = shared.value
         flat = lists.flatten()
         found = stems.take(pc.index_in(flat, value_set=known.cast(flat.type)))
@@ -212,7 +215,7 @@ def _dictionary_lookup(df: DataFrame, dictionary: DataFrame):
 
 def distinct_tokens(df: DataFrame, tokens: Column) -> DataFrame:
     """Every token once: the left side of a stem dictionary."""
-    return df.select(F.explode(F.array_distinct(tokens)).alias("token")).distinct()
+    return explode_tokens(df, F.array_distinct(tokens), "token").distinct()
 
 
 def vocabulary_sample(vocab: DataFrame, n: int = 20) -> DataFrame:
