@@ -9,11 +9,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 # --- Fixed values: character classes -------------------------------------
-# Spelled out so that the JVM, RE2 and Unicode-aware tools agree on them.
-UNICODE_SPACE = (
-    r"\t-\r\x1c-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-)
+# Whitespace in the Unicode sense plus the four separators that Python also
+# counts; to be used inside brackets of a regex that starts with UNICODE.
+UNICODE = "(?U)"
+SPACE = r"\s\x1c-\x1f"
 ASCII_SPACE = r"\t-\r\x20"
 WORD_CHARS = r"\p{L}\p{N}_"
 DIGITS = r"\p{Nd}"
@@ -46,9 +45,9 @@ WEB_LETTERS = {
 }
 
 # --- Fixed values: entity patterns and gazetteers --------------------------
-LATIN_NAMES = rf"[A-Z][a-z]+(?:[{UNICODE_SPACE}]+[A-Z][a-z]+)*"
-DOCTOR_TITLES = rf"د\.[{UNICODE_SPACE}]*[{WORD_CHARS}]+"
-PROFESSOR_TITLES = rf"أ\.[{UNICODE_SPACE}]*د\.[{UNICODE_SPACE}]*[{WORD_CHARS}]+"
+LATIN_NAMES = rf"{UNICODE}[A-Z][a-z]+(?:[{SPACE}]+[A-Z][a-z]+)*"
+DOCTOR_TITLES = rf"{UNICODE}د\.[{SPACE}]*[{WORD_CHARS}]+"
+PROFESSOR_TITLES = rf"{UNICODE}أ\.[{SPACE}]*د\.[{SPACE}]*[{WORD_CHARS}]+"
 ENTITY_PATTERNS = (LATIN_NAMES, DOCTOR_TITLES, PROFESSOR_TITLES)
 
 SMALL_GAZETTEER = {

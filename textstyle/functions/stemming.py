@@ -1,4 +1,4 @@
-"""Arabic root extraction as a handful of regular expressions over the text.
+"""Arabic root extraction, word by word, in native expressions.
 
 After Taghva, Elkhoury and Coombs, "Arabic stemming without a root dictionary"
 (2005): strip long affixes, then match the word against morphological patterns
@@ -6,14 +6,15 @@ of its own length, shortening it by one short affix where no pattern fits.
 
 Patterns are written in the usual grammarian's notation, where the letters
 fa, ain and lam stand for root letters. Each word length becomes one regular
-expression whose alternatives are tried in the written order, so a whole text
-is stemmed in a fixed number of passes without splitting it into tokens.
+expression whose alternatives are tried in the written order. The steps run
+inside the row as a chain of array transforms; a step looks at the length
+first, so a word meets only the few expressions made for it.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -49,24 +50,10 @@ WHOLE_WORDS = [
     "والذي", "وهذا", "لهذا", "فكان", "ستكون", "اليه", "يمكن", "بهذا", "الذى",
 ]
 
-_SHORT_VOWELS = r"[\x{064B}-\x{0652}]+"
+_SHORT_VOWELS = "".join(chr(c) for c in range(0x064B, 0x0653))
 _ROOT_LETTERS = "فعل"
-# A Unicode non-character shields whole words while the others are rewritten.
-_SHIELD = "\uFDD0"
-_LETTER = f"[^ {_SHIELD}]"
 
-
-def _word(body: str) -> str:
-    """A regex for a complete space-delimited word."""
-    return f"(?<![^ ])(?:{body})(?![^ ])"
-
-
-def _rewrite(text: Column, alternatives: Sequence[str]) -> Column:
-    """Replace each word that fits an alternative by its captured letters."""
-    body = "|".join(alternatives)
-    groups = re.compile(r"\((?!\?)|\(\?<ain>").findall(body)
-    kept = "".join(f"${i}" for i in range(1, len(groups) + 1))
-    return F.regexp_replace(text, _word(body), kept)
+Step = Callable[[Column], Column]
 
 
 def _pattern_regexes(patterns: Sequence[str]) -> list[str]:
@@ -82,9 +69,9 @@ def _pattern_regexes(patterns: Sequence[str]) -> list[str]:
             if letter == "ع" and ain:
                 body += r"\k<ain>"
             elif letter == "ع" and pattern.count("ع") > 1:
-                body, ain = body + f"(?<ain>{_LETTER})", True
+                body, ain = body + "(?<ain>.)", True
             elif letter in _ROOT_LETTERS:
-                body += f"({_LETTER})"
+                body += "(.)"
             else:
                 body += letter
         regexes.append(body)
@@ -92,41 +79,97 @@ def _pattern_regexes(patterns: Sequence[str]) -> list[str]:
 
 
 def _short_affixes(length: int) -> list[str]:
-    rest = f"({_LETTER}{{{length - 1}}})"
+    rest = f"(.{{{length - 1}}})"
     return [f"{rest}[{SHORT_SUFFIXES}]", f"[{SHORT_PREFIXES}]{rest}"]
 
 
-def light_stem_text(text: Column, whole_words: Iterable[str] = WHOLE_WORDS) -> Column:
-    """Long affixes off; whole words stay behind their shield."""
-    text = F.regexp_replace(text, _SHORT_VOWELS, "")
-    listed = "|".join(whole_words)
-    if listed:
-        text = F.regexp_replace(text, _word(f"({listed})"), f"$1{_SHIELD}")
-    text = _rewrite(text, [f"(?:{'|'.join(LONG_PREFIXES)})({_LETTER}{{3,}}+)"])
-    text = _rewrite(text, [f"({_LETTER}{{3,}}?)(?:{'|'.join(LONG_SUFFIXES)})"])
-    text = _rewrite(text, [f"و(و{_LETTER}{{2,}}+)"])
-    return F.regexp_replace(text, f"(?<![^ ])[آأإ](?={_LETTER}*+(?![^ ]))", "ا")
+def _fits(length: int, alternatives: Sequence[str]) -> Step:
+    """Reduce words of one length to the letters an alternative captures."""
+    body = "|".join(alternatives)
+    groups = re.findall(r"\((?!\?)|\(\?<ain>", body)
+    kept = "".join(f"${i}" for i in range(1, len(groups) + 1))
+    return lambda word: F.when(
+        F.length(word) == length, F.regexp_replace(word, f"(?s)^(?:{body})\\z", kept)
+    ).otherwise(word)
+
+
+def _sized(affixes: Sequence[str], size: int) -> list[str]:
+    return [affix for affix in affixes if len(affix) == size]
+
+
+def _strip_long_prefix(word: Column) -> Column:
+    """Off with a prefix if at least three letters stay."""
+    return (
+        F.when(
+            (F.length(word) >= 6) & F.left(word, F.lit(3)).isin(_sized(LONG_PREFIXES, 3)),
+            F.substr(word, F.lit(4)),
+        )
+        .when(
+            (F.length(word) >= 5) & F.left(word, F.lit(2)).isin(_sized(LONG_PREFIXES, 2)),
+            F.substr(word, F.lit(3)),
+        )
+        .otherwise(word)
+    )
+
+
+def _strip_long_suffix(word: Column) -> Column:
+    n = F.length(word)
+    return (
+        F.when(
+            (n >= 6) & F.right(word, F.lit(3)).isin(_sized(LONG_SUFFIXES, 3)),
+            F.left(word, n - 3),
+        )
+        .when(
+            (n >= 5) & F.right(word, F.lit(2)).isin(_sized(LONG_SUFFIXES, 2)),
+            F.left(word, n - 2),
+        )
+        .otherwise(word)
+    )
 
 
-def root_stem_text(text: Column, whole_words: Iterable[str] = WHOLE_WORDS) -> Column:
-    text = light_stem_text(text, whole_words)
-    text = _rewrite(text, _short_affixes(7))
-    text = _rewrite(text, _pattern_regexes(PATTERNS_6) + _short_affixes(6))
-    text = _rewrite(text, _pattern_regexes(PATTERNS_5) + _short_affixes(5))
-    text = _rewrite(text, _pattern_regexes(PATTERNS_4) + _short_affixes(4))
-    return _rewrite(text, _pattern_regexes(FOUR_LETTER_ROOTS))
+def _plain_start(word: Column) -> Column:
+    """One connective waw instead of two; a bare alif for an initial hamza."""
+    hamza = word.startswith("آ") | word.startswith("أ") | word.startswith("إ")
+    return (
+        F.when(word.startswith("وو") & (F.length(word) >= 4), F.substr(word, F.lit(2)))
+        .when(hamza, F.concat(F.lit("ا"), F.substr(word, F.lit(2))))
+        .otherwise(word)
+    )
 
 
 def stem_tokens(
     tokens: Column,
     *,
     depth: str = "root",
-    whole_words: Iterable[str] = WHOLE_WORDS,
+    whole_words: Sequence[str] = WHOLE_WORDS,
+    has_vowels: bool = True,
 ) -> Column:
-    """Stem an array of space-free tokens in place, keeping order and count."""
-    stem = {"root": root_stem_text, "light": light_stem_text}[depth]
-    joined = stem(F.array_join(tokens, " "), list(whole_words))
-    bare = F.translate(joined, _SHIELD, "")
-    return F.when(F.size(tokens) > 0, F.split(bare, " ")).otherwise(
-        F.array().cast("array<string>")
+    """Stem an array of tokens in place, keeping order and count.
+
+    ``depth`` is ``root`` or ``light`` (long affixes only). Text that went
+    through ``normalize`` has no vowel marks left: say so to save a step.
+    """
+    if depth not in ("root", "light"):
+        raise ValueError(f"unknown stemming depth: {depth}")
+    if has_vowels:
+        tokens = F.transform(tokens, lambda w: F.translate(w, _SHORT_VOWELS, ""))
+    steps: list[Step] = [_strip_long_prefix, _strip_long_suffix, _plain_start]
+    if depth == "root":
+        steps += [
+            _fits(7, _short_affixes(7)),
+            _fits(6, _pattern_regexes(PATTERNS_6) + _short_affixes(6)),
+            _fits(5, _pattern_regexes(PATTERNS_5) + _short_affixes(5)),
+            _fits(4, _pattern_regexes(PATTERNS_4) + _short_affixes(4)),
+            # What still has five or six letters fitted nothing above.
+            _fits(6, _pattern_regexes([p for p in FOUR_LETTER_ROOTS if len(p) == 6])),
+            _fits(5, _pattern_regexes([p for p in FOUR_LETTER_ROOTS if len(p) == 5])),
+        ]
+    stems = tokens
+    for step in steps:
+        stems = F.transform(stems, step)
+    if not whole_words:
+        return stems
+    listed = list(whole_words)
+    return F.zip_with(
+        tokens, stems, lambda token, stem: F.when(token.isin(listed), token).otherwise(stem)
     )

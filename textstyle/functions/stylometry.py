@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -39,11 +40,30 @@ def entity_count(
     total = F.lit(0)
     for pattern in patterns:
         total = total + F.regexp_count(text, F.lit(pattern))
-    for names in gazetteer.values():
-        total = total + F.regexp_count(text, F.lit(whole_words(names)))
-    return total.cast("int")
+    return (total + _listed_words(text, gazetteer)).cast("int")
 
 
-def whole_words(names: Sequence[str]) -> str:
-    listed = "|".join(re.escape(name) for name in names)
-    return f"(?<![{P.WORD_CHARS}])(?:{listed})(?![{P.WORD_CHARS}])"
+def _listed_words(text: Column, gazetteer: Mapping[str, Sequence[str]]) -> Column:
+    """Hits of all lists; a name in two lists counts twice.
+
+    One-word names are looked up in a hash set after a single split at
+    non-word characters, which costs the same for any number of names. Names
+    of several words need a regular expression.
+    """
+    times = Counter(name for names in gazetteer.values() for name in names)
+    one_word = re.compile(r"\w+")
+    total = F.lit(0)
+    for n in sorted(set(times.values())):
+        names = [name for name, count in times.items() if count == n]
+        single = [name for name in names if one_word.fullmatch(name)]
+        several = [name for name in names if not one_word.fullmatch(name)]
+        if single:
+            words = F.split(text, f"[^{P.WORD_CHARS}]+")
+            total = total + n * F.size(F.filter(words, lambda w: w.isin(single)))
+        for name in several:
+            total = total + n * F.regexp_count(text, F.lit(_whole(name)))
+    return total
+
+
+def _whole(name: str) -> str:
+    return f"(?<![{P.WORD_CHARS}]){re.escape(name)}(?![{P.WORD_CHARS}])"

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from textstyle.functions import profiles as P
 from textstyle.functions.profiles import Profile
 
-_SPACE = f"[{P.UNICODE_SPACE}]"
-_NON_SPACE = f"[^{P.UNICODE_SPACE}]"
+_SPACE = f"[{P.SPACE}]"
+_NON_SPACE = f"[^{P.SPACE}]"
 
 
 def _text(col: Column | str) -> Column:
@@ -41,15 +41,20 @@ def remove_diacritics(col: Column | str) -> Column:
 
 
 def normalize(col: Column | str, profile: Profile = P.CORPUS) -> Column:
-    """Letters folded and diacritics removed."""
-    return remove_diacritics(normalize_letters(col, profile))
+    """Letters folded and diacritics removed, together in one pass.
+
+    ``translate`` deletes the characters that have no counterpart.
+    """
+    letters = profile.letters
+    source = "".join(letters) + P.DIACRITICS
+    return F.translate(_text(col), source, "".join(letters.values()))
 
 
 # --- cleaning ------------------------------------------------------------------
 
 
 def remove_urls(col: Column | str) -> Column:
-    return F.regexp_replace(_text(col), f"(?:http|www){_NON_SPACE}+", "")
+    return F.regexp_replace(_text(col), f"{P.UNICODE}(?:http|www){_NON_SPACE}++", "")
 
 
 def remove_emails(col: Column | str) -> Column:
@@ -57,11 +62,15 @@ def remove_emails(col: Column | str) -> Column:
 
     Anchored at the start of the run and possessive up to the first ``@``: the
     plain form retries from every character and is quadratic on long junk runs.
+    Texts without any ``@`` skip the search.
     """
+    text = _text(col)
     pattern = (
-        f"(?<!{_NON_SPACE}){_NON_SPACE}[^@{P.UNICODE_SPACE}]*+@{_NON_SPACE}++"
+        f"{P.UNICODE}(?<!{_NON_SPACE}){_NON_SPACE}[^@{P.SPACE}]*+@{_NON_SPACE}++"
     )
-    return F.regexp_replace(_text(col), pattern, "")
+    return F.when(
+        F.contains(text, F.lit("@")), F.regexp_replace(text, pattern, "")
+    ).otherwise(text)
 
 
 def remove_mentions(col: Column | str) -> Column:
@@ -70,12 +79,12 @@ def remove_mentions(col: Column | str) -> Column:
 
 def keep_script(col: Column | str, script: str = P.ARABIC_SCRIPT) -> Column:
     """Blank out every character outside script, digits and basic punctuation."""
-    kept = f"{script}{P.UNICODE_SPACE}{P.DIGITS}{P.KEPT_PUNCTUATION}"
-    return F.regexp_replace(_text(col), f"[^{kept}]", " ")
+    kept = f"{script}{P.SPACE}{P.DIGITS}{P.KEPT_PUNCTUATION}"
+    return F.regexp_replace(_text(col), f"{P.UNICODE}[^{kept}]", " ")
 
 
 def squeeze_whitespace(col: Column | str) -> Column:
-    return F.trim(F.regexp_replace(_text(col), f"{_SPACE}+", " "))
+    return F.trim(F.regexp_replace(_text(col), f"{P.UNICODE}{_SPACE}+", " "))
 
 
 def clean_text(col: Column | str, script: str = P.ARABIC_SCRIPT) -> Column:
@@ -110,7 +119,7 @@ def tokenize_keep_empty(col: Column | str) -> Column:
 
 def words(col: Column | str) -> Column:
     """Case-preserving words between any Unicode whitespace."""
-    return F.array_remove(F.split(_text(col), f"{_SPACE}+"), "")
+    return F.array_remove(F.split(_text(col), f"{P.UNICODE}{_SPACE}+"), "")
 
 
 def remove_stopwords(

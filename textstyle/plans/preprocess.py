@@ -58,7 +58,7 @@ def preprocess(
             df, "words_no_stopwords", dictionary, "words_stemmed", id_col
         )
     else:
-        stems = stem_tokens(F.col("words_no_stopwords"), depth=stem_depth)
+        stems = stem_tokens(F.col("words_no_stopwords"), depth=stem_depth, has_vowels=False)
         df = df.withColumn("words_stemmed", stems)
     return df.withColumn("abstract_clean", T.join_tokens("words_stemmed"))
 
