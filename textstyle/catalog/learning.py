@@ -240,9 +240,11 @@ def hashing_tf(spark, sf_dir):
          tf AS (SELECT conv_id, turn, term, count(*) AS tf FROM e GROUP BY ALL),
          v AS (SELECT term, count(*) AS df FROM tf GROUP BY term HAVING count(*) >= 2
                ORDER BY sum(tf) DESC, term LIMIT 10000),
-         n AS (SELECT count(*) AS m FROM t)
-    SELECT conv_id, turn, round(sum(tf * ln((m + 1) / (df + 1))), 4) AS total
-    FROM tf JOIN v USING (term), n GROUP BY conv_id, turn
+         n AS (SELECT count(*) AS m FROM t),
+         s AS (SELECT conv_id, turn, sum(tf * ln((m + 1) / (df + 1))) AS total
+               FROM tf JOIN v USING (term), n GROUP BY conv_id, turn)
+    SELECT t.conv_id, t.turn, round(coalesce(s.total, 0.0), 4) AS total
+    FROM t LEFT JOIN s ON t.conv_id = s.conv_id AND t.turn = s.turn
     """,
 )
 def tfidf_vectors(spark, sf_dir):

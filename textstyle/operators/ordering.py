@@ -197,6 +197,8 @@ def number_rows(
 def range_cuts(df: DataFrame, col: str, ranges: int) -> list[float]:
     """Ascending approximate quantiles: at most ``ranges`` numbers."""
     steps = [i / ranges for i in range(1, ranges)]
+    if not steps:
+        return []
     return sorted(set(df.approxQuantile(col, steps, 1 / (4 * ranges))))
 
 

@@ -69,7 +69,13 @@ def write_table(
     _check_format(fmt)
     writer = (df.coalesce(1) if single_file else df).write.mode(mode)
     if fmt == "csv":
-        writer = writer.option("header", True).option("escape", '"')
+        # By default the writer trims values, so texts would not come back whole.
+        writer = (
+            writer.option("header", True)
+            .option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+        )
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.format(fmt).save(path)

@@ -58,8 +58,8 @@ def score_stream(
     """Predictions for good rows; bad rows pass through as ``quarantined``.
 
     ``preprocess`` makes the clean text from raw text; without it the input
-    must bring ``clean_col``. Malformed lines and rows without clean text keep
-    their raw form and get no prediction.
+    must bring ``clean_col``. Malformed lines (kept in ``raw_line``) and rows
+    without clean text get no prediction.
     """
     needed = "text" if preprocess else clean_col
     bad = F.col(needed).isNull()
@@ -69,7 +69,10 @@ def score_stream(
     scored = score(preprocess(stream) if preprocess else stream, model)
     made = [c for c in ("prediction", "score", "probability") if c in scored.columns]
     is_good = F.col("status") == SCORED
-    kept = [c for c in ("text", "label", CORRUPT) if c in stream.columns]
+    kept = [F.col(c) for c in ("text", "label") if c in stream.columns]
+    if CORRUPT in stream.columns:
+        # Under its own name the column would be filled anew by any JSON reader.
+        kept.append(F.col(CORRUPT).alias("raw_line"))
     return scored.select(*kept, *[F.when(is_good, F.col(c)).alias(c) for c in made], "status")
 
 
