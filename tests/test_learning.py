@@ -214,3 +214,14 @@ def test_micro_batches_are_one_full_file_each(spark, tmp_path):
         assert len(files) == 1
         sizes.append(len(files[0].read_text().splitlines()))
     assert sizes == [50, 50, 5]
+
+
+def test_scoring_all_models_at_once_equals_one_by_one(run, chats):
+    keys = ("conv_id", "turn")
+    together = L.score_models(chats, run.models, *keys)
+    for name, model in run.models.items():
+        alone = L.score(chats, model).select(*keys, "prediction", "score")
+        mine = together.filter(F.col("model") == name).drop("model")
+        assert mine.exceptAll(alone).count() == 0 and mine.count() == alone.count()
+    plan = together._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1

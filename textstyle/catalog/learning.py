@@ -13,7 +13,7 @@ from textstyle.operators import metrics as M
 from textstyle.operators.ordering import assign_split, best, leaderboard, ranked
 from textstyle.plans import learning as L
 from textstyle.plans.learning import TrainingRun
-from textstyle.session import shared_folder
+from textstyle.session import shared_folder, write_through
 from textstyle.sources.models import load_model, save_models
 
 # --- metrics: two rules scored on every labelled document, checked by SQL ----------
@@ -118,7 +118,8 @@ def _rounded(df: DataFrame) -> DataFrame:
     "WHERE model = 'diversity'",
 )
 def all_metrics(spark, sf_dir):
-    return _rounded(M.calculate_metrics(_one_rule(spark, sf_dir)))
+    scored = write_through(_one_rule(spark, sf_dir), "scores")
+    return _rounded(M.calculate_metrics(scored))
 
 
 @query(
@@ -151,7 +152,8 @@ def confusion_counts(spark, sf_dir):
 )
 def evaluate_rules(spark, sf_dir):
     by = ["model", "split"]
-    return _rounded(M.calculate_metrics(rule_scores(spark, sf_dir), by=by))
+    scored = write_through(rule_scores(spark, sf_dir), "scores")
+    return _rounded(M.calculate_metrics(scored, by=by))
 
 
 def _rule_metrics(spark, sf_dir) -> DataFrame:

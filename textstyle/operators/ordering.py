@@ -106,8 +106,10 @@ def sample_per_class(
         .withColumn("_hash", F.md5(key))
         .withColumn("_key", key)
     )
+    # Slices go by row position: copies under one key must not share a task.
+    order = [F.col("_hash"), F.col("_key")]
     kept = top_per_group(
-        near, [label_col], [F.col("_hash"), F.col("_key")], n, spread=F.col("_hash")
+        near, [label_col], order, n, spread=F.monotonically_increasing_id()
     )
     return kept.drop("_hash", "_key", "rank")
 
@@ -119,22 +121,26 @@ def top_per_group(
     k: int,
     *,
     spread: Column,
-    ways: int = 64,
+    ways: Sequence[int] = (4096, 64),
 ) -> DataFrame:
     """The first ``k`` rows of each group, ranked from 1 in ``rank``.
 
     A group may hold a third of the table, so it is first cut to ``k`` rows in
-    each of ``ways`` slices (hashed from ``spread``); at most ``ways * k`` rows
-    of a group meet in one task.
+    each of many slices (hashed from ``spread``), then of fewer; at most
+    ``64 * k`` rows of a group meet in one task.
     """
-    slice_of = F.pmod(F.xxhash64(spread), F.lit(ways))
-    sliced = Window.partitionBy(*groups, "_slice").orderBy(*order)
+    df = df.withColumn("_hash_slice", F.xxhash64(spread))
+    for n in ways:
+        sliced = Window.partitionBy(*groups, "_slice").orderBy(*order)
+        df = (
+            df.withColumn("_slice", F.pmod("_hash_slice", F.lit(n)))
+            .withColumn("rank", F.row_number().over(sliced))
+            .filter(F.col("rank") <= k)
+            .drop("_slice", "rank")
+        )
     whole = Window.partitionBy(*groups).orderBy(*order)
     return (
-        df.withColumn("_slice", slice_of)
-        .withColumn("rank", F.row_number().over(sliced))
-        .filter(F.col("rank") <= k)
-        .drop("_slice", "rank")
+        df.drop("_hash_slice")
         .withColumn("rank", F.row_number().over(whole))
         .filter(F.col("rank") <= k)
     )

@@ -118,14 +118,13 @@ def tfidf_long(
 ) -> DataFrame:
     """``(id, term, tf, df, idf, tfidf)`` for the terms of the vocabulary.
 
-    The vocabulary is written once; its measured size decides how it meets the
-    documents (see :func:`join_small`).
+    The vocabulary is fitted first: written once, and its measured size
+    decides how it meets the documents (see :func:`join_small`).
     """
     vocab = vocabulary(df, tokens, vocab_size, min_df).select("term", "df")
-    vocab = write_through(vocab, "vocabulary")
-    n_docs = df.agg(F.count(F.lit(1))).scalar()
+    weights = with_idf(write_through(vocab, "vocabulary"), F.lit(df.count()))
     terms = term_counts(df, tokens, id_col)
-    joined = join_small(terms, with_idf(vocab, n_docs), "term", spread=F.col(id_col))
+    joined = join_small(terms, weights, "term", spread=F.col(id_col))
     return joined.select(
         id_col, "term", "tf", "df", "idf", (F.col("tf") * F.col("idf")).alias("tfidf")
     )

@@ -5,7 +5,6 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import (
@@ -196,33 +195,45 @@ def sample_predictions(scored: DataFrame, n: int = 5) -> DataFrame:
     return scored.select(*[c for c in wanted if c in scored.columns]).limit(n)
 
 
-def score_splits(
-    models: Mapping[str, PipelineModel], splits: Mapping[str, DataFrame]
+def _shared_stages(models: Sequence[PipelineModel]) -> int:
+    """How many leading stages all models have in common."""
+    n = 0
+    for stages in zip(*(m.stages for m in models)):
+        if len({stage.uid for stage in stages}) > 1:
+            break
+        n += 1
+    return n
+
+
+def score_models(
+    df: DataFrame, models: Mapping[str, PipelineModel], *keep: str
 ) -> DataFrame:
-    """Every model on every split: ``(model, split, label, prediction, score)``."""
-    parts = [
-        score(df, model).select(
-            F.lit(name).alias("model"),
-            F.lit(split).alias("split"),
-            "label",
-            "prediction",
-            "score",
-        )
-        for name, model in models.items()
-        for split, df in splits.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    """Every model on every row: ``(keep…, model, prediction, score)``.
+
+    One pass: stages that the models share, such as TF-IDF, run once per row.
+    """
+    shared = _shared_stages(list(models.values()))
+    first = next(iter(models.values()))
+    df = PipelineModel(first.stages[:shared]).transform(df)
+    kept = [c for c in df.columns if c not in ("prediction", "probability")]
+    results = []
+    for i, (name, model) in enumerate(models.items()):
+        scored = score(df, PipelineModel(model.stages[shared:]))
+        result = F.struct(F.lit(name).alias("model"), "prediction", "score")
+        results.append(f"_result_{i}")
+        df = scored.select(*kept, *results[:-1], result.alias(results[-1]))
+    return df.select(*keep, F.inline(F.array(*results)))
 
 
 def evaluate_models(
-    models: Mapping[str, PipelineModel], splits: Mapping[str, DataFrame]
+    models: Mapping[str, PipelineModel], df: DataFrame, split_col: str = "split"
 ) -> DataFrame:
     """The metric table, one row per model and split, from one grouped job.
 
     The scores are written first: the metrics read them more than once.
     """
-    scored = write_through(score_splits(models, splits), "scores")
-    return calculate_metrics(scored, by=["model", "split"])
+    scored = write_through(score_models(df, models, split_col, "label"), "scores")
+    return calculate_metrics(scored, by=["model", split_col])
 
 
 def model_leaderboard(metrics: DataFrame) -> DataFrame:
@@ -272,7 +283,7 @@ def train_all(
     }
     features = fit_tfidf(parts["train"], clean_col, vocab_size, min_df)
     models = train_models(parts["train"], features, names, grid)
-    held_out = {name: parts[name] for name in ("validation", "test")}
+    held_out = tagged.filter(F.col("split") != "train")
     # A report of a few rows: written, so that reading it trains nothing again.
     metrics = write_through(evaluate_models(models, held_out), "metrics")
     top = best(model_leaderboard(metrics), "validation_f1", "model").first()
