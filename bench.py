@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from textstyle.catalog import QUERIES
 from textstyle.catalog.learning import turns
-from textstyle.catalog.registry import arabic_documents, arabic_stopwords, table
+from textstyle.catalog.registry import arabic_script, arabic_stopwords, table
 from textstyle.functions import profiles as P
 from textstyle.functions import text as T
 from textstyle.operators.features import stylometric_features
@@ -43,8 +43,8 @@ def main() -> None:
     # Each test table is one file with one row group, that is one task: spread
     # it. The shuffle is part of every timing. Real inputs have many files.
     width = int(cpus)
-    docs = arabic_documents(spark, sf_dir).repartition(width)
     latin = table(spark, sf_dir, "documents").select("doc_id", "text").repartition(width)
+    docs = latin.select("doc_id", arabic_script().alias("text"))
     chats = turns(spark, sf_dir).repartition(width)
     features = L.fit_tfidf(chats)
     model = L.train_models(chats, features, [L.LOGISTIC])[L.LOGISTIC]

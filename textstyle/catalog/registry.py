@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textstyle.functions import text as T
-
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -140,6 +138,3 @@ def document_text_sql(expression: str) -> str:
              r AS (SELECT doc_id, {expression} AS t FROM d)
         SELECT doc_id, {digest_sql('t')} FROM r
     """
-
-
-joined = T.join_tokens

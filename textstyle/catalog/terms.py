@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from textstyle.catalog import text as _text_queries  # noqa: F401  (registers first)
 from textstyle.catalog.registry import (
+    ORACLES,
     arabic_documents,
     arabic_script_sql,
     digest,
@@ -16,6 +18,7 @@ from textstyle.catalog.registry import (
 )
 from textstyle.functions import text as T
 from textstyle.operators import terms as V
+from textstyle.session import write_through
 
 def _tokens():
     return T.tokenize("text")
@@ -124,3 +127,12 @@ def _dictionary_query(limit: int):
 
 query("tx13_stem_dictionary", DICTIONARY_SQL)(_dictionary_query(V.BROADCAST_BYTES))
 query("tx13_stem_large_dictionary", DICTIONARY_SQL)(_dictionary_query(0))
+
+
+@query("tx13_stem_rule_dictionary", ORACLES["tx13_stem_root"])
+def stem_by_rule_dictionary(spark, sf_dir):
+    """Roots looked up in a table of all distinct tokens, not computed in place."""
+    docs = arabic_documents(spark, sf_dir).withColumn("w", _tokens())
+    stems = write_through(V.rule_dictionary(docs, F.col("w")), "dictionary")
+    done = V.stem_with_dictionary(docs, "w", stems, "stems", "doc_id")
+    return done.select("doc_id", *digest(T.join_tokens("stems")))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textstyle.functions import text as T
+from textstyle.functions.stemming import stem_tokens
 from textstyle.operators.ordering import top_per_group
 from textstyle.operators.reshape import explode_tokens
 from textstyle.session import write_through
@@ -177,7 +178,8 @@ def stem_with_dictionary(
     if fits_broadcast(dictionary, limit):
         lookup = _dictionary_lookup(df, dictionary)
         return df.withColumn(out_col, lookup(F.col(tokens_col)))
-    tokens = df.select(id_col, F.posexplode(tokens_col).alias("_pos", "token"))
+    tokens = df.select(id_col, F.posexplode_outer(tokens_col).alias("_pos", "token"))
+    tokens = tokens.filter(F.col("_pos").isNotNull())
     stems = join_small(
         tokens, dictionary, "token", spread=F.col(id_col), how="left", limit=limit
     )
@@ -217,6 +219,15 @@ def distinct_tokens(df: DataFrame, tokens: Column) -> DataFrame:
     return explode_tokens(df, F.array_distinct(tokens), "token").distinct()
 
 
+def rule_dictionary(df: DataFrame, tokens: Column, depth: str = "root") -> DataFrame:
+    """``(token, stem)`` by rule, each distinct token stemmed once.
+
+    A start for a dictionary that is to be corrected by hand or extended.
+    """
+    stem = F.get(stem_tokens(F.array("token"), depth=depth), F.lit(0))
+    return distinct_tokens(df, tokens).withColumn("stem", stem)
+
+
 def vocabulary_sample(vocab: DataFrame, n: int = 20) -> DataFrame:
     """The size of the vocabulary beside its first ``n`` terms."""
     size = vocab.agg(F.count(F.lit(1))).scalar()
