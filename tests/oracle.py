@@ -26,6 +26,15 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+}
+
+
 def _rows(columns: list[str], rows: list) -> list[tuple]:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     picked = [tuple(row[i] for i in order) for row in rows]
@@ -41,6 +50,10 @@ def compare(spark, con, sf_dir: str, query, sql: str) -> str | None:
     want = _rows(names, cursor.fetchall())
     if sorted(frame.columns) != sorted(names):
         return f"columns {sorted(frame.columns)} != {sorted(names)}"
+    types = {row[0]: row[1] for row in con.execute(f"DESCRIBE {sql}").fetchall()}
+    for name, dtype in frame.dtypes:
+        if TYPES.get(dtype) != types[name]:
+            return f"{name}: {dtype} != {types[name]}"
     if len(got) != len(want):
         return f"{len(got)} rows != {len(want)}"
     for a, b in zip(got, want):

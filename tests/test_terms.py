@@ -89,3 +89,16 @@ def test_empty_dictionary(spark):
 def test_broadcast_limit_counts_bytes(spark):
     small = spark.createDataFrame([("x" * 100,)], "k string")
     assert V.fits_broadcast(small, 200) and not V.fits_broadcast(small, 100)
+
+
+def test_tfidf_long_does_not_shuffle_the_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    frame = V.tfidf_long(docs, "doc_id", T.tokenize("text"))
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_rule_dictionary(spark):
+    docs = spark.createDataFrame([(["مكتوب", "كاتب", "مكتوب"],)], "w array<string>")
+    rows = V.rule_dictionary(docs, F.col("w")).collect()
+    assert {tuple(r) for r in rows} == {("مكتوب", "كتب"), ("كاتب", "كتب")}
