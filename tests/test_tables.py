@@ -116,6 +116,13 @@ def test_sample_per_class_with_a_hot_class(spark):
     assert got.columns == ["label", "id"] or set(got.columns) == {"label", "id"}
 
 
+def test_sample_beyond_the_group_limit(spark):
+    df = spark.range(20_000).withColumn("label", F.lit(1))
+    want = df.orderBy(F.md5(F.col("id").cast("string"))).limit(1500)
+    got = O.sample_per_class(df, 1500, "id", [1]).select("id")
+    assert got.exceptAll(want.select("id")).count() == 0 and got.count() == 1500
+
+
 def test_sample_smaller_class_is_whole(spark):
     df = spark.range(50).withColumn("label", F.lit(1))
     assert O.sample_per_class(df, 300, "id", [0, 1]).count() == 50
@@ -131,9 +138,10 @@ def test_first_rows(spark):
     assert [r["id"] for r in O.first_rows(df, 7, "id").collect()] == list(range(7))
 
 
-def test_top_per_group(spark):
+@pytest.mark.parametrize("ways", [None, (), (4096, 64)])
+def test_top_per_group(spark, ways):
     df = spark.range(10_000).select((F.col("id") % 2).alias("g"), "id")
-    top = O.top_per_group(df, ["g"], [F.desc("id")], 3, spread=F.col("id"))
+    top = O.top_per_group(df, ["g"], [F.desc("id")], 3, spread=F.col("id"), ways=ways)
     rows = sorted((r["g"], r["rank"], r["id"]) for r in top.collect())
     assert rows == [(0, 1, 9998), (0, 2, 9996), (0, 3, 9994), (1, 1, 9999), (1, 2, 9997), (1, 3, 9995)]
 

@@ -121,14 +121,20 @@ def top_per_group(
     k: int,
     *,
     spread: Column,
-    ways: Sequence[int] = (4096, 64),
+    ways: Sequence[int] | None = None,
 ) -> DataFrame:
     """The first ``k`` rows of each group, ranked from 1 in ``rank``.
 
     A group may hold a third of the table, so it is first cut to ``k`` rows in
     each of many slices (hashed from ``spread``), then of fewer; at most
-    ``64 * k`` rows of a group meet in one task.
+    ``64 * k`` rows of a group meet in one task. Up to its own threshold Spark
+    already drops rows beyond ``k`` before a shuffle, and one cut is enough.
     """
+    if ways is None:
+        threshold = df.sparkSession.conf.get(
+            "spark.sql.optimizer.windowGroupLimitThreshold", "1000"
+        )
+        ways = (64,) if k <= int(threshold) else (4096, 64)
     df = df.withColumn("_hash_slice", F.xxhash64(spread))
     for n in ways:
         sliced = Window.partitionBy(*groups, "_slice").orderBy(*order)
