@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from textstyle.llm import chat, decontaminate, packing, token_files
-from textstyle.llm.tables import query, table
+from textstyle.llm import chat, decontaminate, language, packing, quality, token_files
+from textstyle.llm.tables import fold_of, query, table
 
 # --- 1: benchmark decontamination ------------------------------------------------
 
@@ -125,3 +125,34 @@ def op7_chat(spark, sf_dir):
         F.sha2("learned", 256).alias("loss_sha256"),
         "formatted_chars",
     )
+
+
+# --- 3: quality classifier ---------------------------------------------------------
+
+#: Documents below this probability are not of quality 1.
+GOOD = 0.7
+
+
+@query("op3_quality")
+def op3_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(fold_of("doc_id", 4) != 2)
+    rated = quality.rate(docs, quality.train(docs, labels))
+    return rated.select(
+        "doc_id",
+        (fold_of("doc_id", 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= GOOD).cast("int").alias("predicted"),
+    )
+
+
+# --- 9: language identification ----------------------------------------------------
+
+
+@query("op9_language")
+def op9_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.train(docs.where(fold_of("doc_id", 3) != 1), key=["doc_id"])
+    found = language.identify(docs.select("doc_id", "text"), model)
+    held_out = (fold_of("doc_id", 3) == 1).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score")

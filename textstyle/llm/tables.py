@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,3 +45,27 @@ def check_names(df: DataFrame, made: list[str]) -> None:
     clash = sorted(set(df.columns) & set(made))
     if clash:
         raise ValueError(f"input columns would hide results: {clash}; rename them")
+
+
+def take_per_class(df: DataFrame, label: str, key: list[str], n: int) -> DataFrame:
+    """At most ``n`` rows of each class, the first by a hash of ``key``.
+
+    Spark keeps ``n`` rows a class in each partition before it shuffles.
+    """
+    order = [F.xxhash64(*key), *key]
+    rank = F.row_number().over(Window.partitionBy(label).orderBy(*order))
+    return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+
+
+def fit_in_task(sample: DataFrame, fit: Callable[[list[tuple]], bytes]) -> bytes:
+    """``fit`` over all rows of a bounded sample, in one task; its model's bytes."""
+
+    def run(batches):
+        rows = []
+        for batch in batches:
+            rows += zip(*(c.to_pylist() for c in batch.columns))
+        yield pa.RecordBatch.from_arrays([pa.array([fit(rows)], pa.binary())], ["model"])
+
+    # Sorted, so that the order of the rows does not hang on their way there.
+    ready = sample.repartition(1).sortWithinPartitions(*sample.columns)
+    return bytes(ready.mapInArrow(run, "model binary").first()["model"])
