@@ -1,55 +1,44 @@
 """Whole texts to token ids with a public tokenizer file, word by word.
 
-Both supported kinds of file split a text before merging, and a blank between
-two words is always such a split. So a text is cut at blanks (and, where the
-file allows it, at line ends) and every distinct piece is encoded once by the
-tokenizers library; two bounded tables keep the ids of recent pieces as
-little-endian 32-bit bytes. Texts with a run of white space that a blank may
-not cut are encoded whole.
+Two kinds of file are known: byte-level ones that keep white space, and ones
+that lower-case words and drop it. Both split a text before merging, and a
+blank between two words is always such a split. So a text is cut at blanks
+(and, where the file allows it, at line ends) and every distinct piece is
+encoded once by the tokenizers library; two bounded tables keep the ids of
+recent pieces as little-endian 32-bit bytes. Texts with a run of white space
+that a blank may not cut, and all texts under a file of another kind, are
+encoded whole.
 """
 
 from __future__ import annotations
 
+import json
+import struct
 from collections.abc import Iterable
 
-import numpy as np
-
 from tokenizers import Tokenizer
 
 ID_BYTES = 4
 #: Pieces in each of a worker's two tables; only speed depends on it.
 CACHED_PIECES = 400_000
+#: Below it, letters, lower case and composition are the same in every Unicode.
+LATIN_END = "İ"
 
 
-class _Pieces(dict):
-    """Piece -> ids as bytes; None where the text has to be encoded whole.
+def _byte_letters() -> list[str]:
+    """The letter that byte-level files write for each byte."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
 
-    When the table is full it becomes the old one and an empty one starts;
-    pieces met again are moved over, so frequent ones stay.
-    """
 
-    def __init__(self, encode, keeps_blanks: bool):
-        super().__init__()
-        self.encode, self.keeps_blanks = encode, keeps_blanks
-        self.old: dict[str, bytes | None] = {}
+_LETTERS = _byte_letters()
+_BLANK = _LETTERS[32]
 
-    def trim(self) -> None:
-        if len(self) > CACHED_PIECES:
-            self.old = dict(self)
-            self.clear()
 
-    def __missing__(self, piece: str) -> bytes | None:
-        if piece in self.old:
-            ids = self.old[piece]
-        elif self.keeps_blanks:
-            if piece[:1] == "\n":
-                ids = None if not piece[1:] or piece[1].isspace() else self.encode(piece)
-            else:
-                ids = None if not piece or piece[0].isspace() else self.encode(" " + piece)
-        else:
-            ids = self.encode(piece)
-        self[piece] = ids
-        return ids
+def _packed(ids: list[int]) -> bytes:
+    """As little-endian unsigned 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class Encoder:
@@ -58,29 +47,98 @@ class Encoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        # A file that maps all white space to one blank drops it altogether.
-        self.keeps_blanks = self.tokenizer.normalizer is None
-        self.pieces = _Pieces(self._whole, self.keeps_blanks)
+        self.model = self.tokenizer.model
+        self.kind = _kind(json.loads(self.tokenizer.to_str()))
+        self.pieces = _Pieces(self)
 
-    def _whole(self, text: str) -> bytes:
+    def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.asarray(ids, "<u4").tobytes()
+        return _packed(ids)
+
+    def word(self, word: str, before: str = "") -> bytes:
+        """The ids of one word of Latin letters, which no split divides."""
+        letters = word if word.isascii() else "".join([_LETTERS[b] for b in word.encode()])
+        return _packed([t.id for t in self.model.tokenize(before + letters)])
 
     def encode(self, text: str) -> bytes:
         """The ids of ``text`` as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
         pieces = self.pieces
         pieces.trim()
-        if not self.keeps_blanks:
+        if not text:
+            return b""
+        if self.kind == "words":
             return b"".join(map(pieces.__getitem__, text.replace("\n", " ").split(" ")))
-        if " \n" in text:
-            return self._whole(text)
+        if self.kind is None or " \n" in text:
+            return self.whole(text)
         first, *rest = text.replace("\n", " \n").split(" ")
         found = list(map(pieces.__getitem__, rest))
-        if None in found:
-            return self._whole(text)
-        return self._whole(first) + b"".join(found)
+        return self.whole(text) if None in found else self.whole(first) + b"".join(found)
+
+
+def _kind(file: dict) -> str | None:
+    """``blanks`` or ``words``, by how a file splits; None for any other."""
+    model, split = file["model"], file["pre_tokenizer"] or {}
+    if model["type"] != "BPE" or model.get("dropout"):
+        return None
+    steps = split.get("pretokenizers", [split])
+    if [s.get("type") for s in steps] == ["ByteLevel"]:
+        plain = steps[0]["use_regex"] and not steps[0]["add_prefix_space"]
+        return "blanks" if plain and file["normalizer"] is None else None
+    if [s.get("type") for s in steps] == ["Split", "ByteLevel"]:
+        steps_before = [n["type"] for n in (file["normalizer"] or {}).get("normalizers", [])]
+        drops = steps[0]["behavior"] == "Removed" and steps[0]["invert"]
+        return "words" if drops and steps_before == ["NFC", "Replace", "Lowercase"] else None
+    return None
+
+
+class _Pieces(dict):
+    """Piece -> ids as bytes; None where the text has to be encoded whole.
+
+    When the table is full it becomes the old one and an empty one starts;
+    pieces met again are moved over, so frequent ones stay.
+    """
+
+    def __init__(self, encoder: Encoder):
+        super().__init__()
+        self.encoder, self.old, self.marks = encoder, {}, {}
+
+    def trim(self) -> None:
+        if len(self) > CACHED_PIECES:
+            self.old = dict(self)
+            self.clear()
+
+    def __missing__(self, piece: str) -> bytes | None:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self._made(piece)
+        self[piece] = ids
+        return ids
+
+    def _made(self, piece: str) -> bytes | None:
+        encoder = self.encoder
+        if _simple(piece):
+            if encoder.kind == "blanks":
+                return encoder.word(piece, _BLANK)
+            lower = piece.lower()
+            return encoder.word(piece) if lower == piece else self[lower]
+        if piece[-1:] and piece[-1] in ".,!?;:" and _simple(piece[:-1]):
+            return self[piece[:-1]] + self._mark(piece[-1])  # a mark is always cut off
+        if encoder.kind == "words":
+            return encoder.whole(piece)
+        if piece[:1] == "\n":
+            if _simple(piece[1:]):  # a single line end is always a piece of its own
+                return self._mark("\n") + encoder.word(piece[1:])
+            return None if not piece[1:] or piece[1].isspace() else encoder.whole(piece)
+        return None if not piece or piece[0].isspace() else encoder.whole(" " + piece)
+
+    def _mark(self, mark: str) -> bytes:
+        if mark not in self.marks:
+            self.marks[mark] = self.encoder.whole(mark)
+        return self.marks[mark]
+
+
+def _simple(piece: str) -> bool:
+    return piece.isalpha() and max(piece) < LATIN_END
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from textstyle.llm import chat, decontaminate, language, packing, quality, token_files
+from textstyle.llm import (
+    chat, decontaminate, jaccard, language, packing, quality, token_files,
+)
 from textstyle.llm.tables import fold_of, query, table
 
 # --- 1: benchmark decontamination ------------------------------------------------
@@ -156,3 +158,36 @@ def op9_language(spark, sf_dir):
     found = language.identify(docs.select("doc_id", "text"), model)
     held_out = (fold_of("doc_id", 3) == 1).alias("held_out")
     return found.select("doc_id", held_out, "lang_pred", "score")
+
+
+# --- 10: n-gram Jaccard join -------------------------------------------------------
+
+_TOKENS = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
+
+
+@query(
+    "op10_jaccard",
+    f"""
+    WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id,
+                                coalesce({_TOKENS}, []) AS w FROM documents),
+    s AS (SELECT r, doc_id, CASE
+              WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+              ELSE list_distinct(list_transform(range(1, len(w) - 1),
+                       lambda p: array_to_string(w[p:p + 2], ' '))) END AS x FROM d),
+    c AS (SELECT list_sort(x) AS x, min(doc_id) AS least, len(any_value(x)) AS n,
+                 row_number() OVER () AS c FROM s WHERE len(x) > 0 GROUP BY list_sort(x)),
+    t AS (SELECT c, n, unnest(x) AS t FROM c),
+    k AS (SELECT a.c AS a, b.c AS b FROM t a JOIN t b ON a.t = b.t AND a.c < b.c
+              AND 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n
+          GROUP BY a.c, b.c, a.n, b.n HAVING 190 * count(*) >= 90 * (a.n + b.n)),
+    e AS (SELECT a, b FROM k UNION ALL SELECT b, a FROM k UNION ALL SELECT c, c FROM c),
+    reach(a, b) AS (SELECT a, b FROM e
+                    UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
+    root AS (SELECT a, min(least) AS least FROM reach JOIN c ON c.c = reach.b GROUP BY a)
+    SELECT doc_id, len(s.x)::BIGINT AS n_shingles,
+           coalesce(root.least, doc_id) AS component_id
+    FROM s LEFT JOIN c ON list_sort(s.x) = c.x LEFT JOIN root ON root.a = c.c
+    """,
+)
+def op10_jaccard(spark, sf_dir):
+    return jaccard.near_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
