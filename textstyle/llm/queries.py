@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from textstyle.llm import (
-    chat, decontaminate, jaccard, language, packing, quality, token_files,
+    chat, decontaminate, jaccard, language, packing, quality, suffix_tree,
+    token_files,
 )
 from textstyle.llm.tables import fold_of, query, table
 
@@ -191,3 +192,12 @@ _TOKENS = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
 )
 def op10_jaccard(spark, sf_dir):
     return jaccard.near_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+# --- 6: LM scoring -----------------------------------------------------------------
+
+
+@query("op6_suffix_tree")
+def op6_suffix_tree(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_tree.score(docs, held_out=fold_of("doc_id", 10) == 0)
