@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from textstyle.llm import (
-    chat, decontaminate, jaccard, language, packing, quality, suffix_tree,
+    chat, decontaminate, jaccard, language, neighbours, packing, quality, suffix_tree,
     token_files,
 )
 from textstyle.llm.tables import fold_of, query, table
@@ -201,3 +201,12 @@ def op10_jaccard(spark, sf_dir):
 def op6_suffix_tree(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_tree.score(docs, held_out=fold_of("doc_id", 10) == 0)
+
+
+# --- 4: approximate nearest neighbours ---------------------------------------------
+
+
+@query("op4_neighbours")
+def op4_neighbours(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.search(rows, F.col("vec_id") % 20 == 0)
