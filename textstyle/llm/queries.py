@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from textstyle.llm import (
-    chat, decontaminate, jaccard, language, neighbours, packing, quality, suffix_tree,
+    chat, decontaminate, jaccard, language, licences, neighbours, packing, quality, suffix_tree,
     token_files,
 )
 from textstyle.llm.tables import fold_of, query, table
@@ -130,6 +130,15 @@ def op7_chat(spark, sf_dir):
     )
 
 
+# --- 2: licence scans --------------------------------------------------------------
+
+
+@query("op2_licences")
+def op2_licences(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licences.by_document(docs, licences.train(docs, key=["doc_id"]))
+
+
 # --- 3: quality classifier ---------------------------------------------------------
 
 #: Documents below this probability are not of quality 1.
