@@ -60,7 +60,7 @@ def test_scores_exist_without_probability(run, chats):
     assert "probability" not in svm.columns and svm.filter("score is null").count() == 0
     logistic = L.score(chats, run.models[L.LOGISTIC])
     assert dict(logistic.dtypes)["probability"] == "array<double>"
-    assert len(L.sample_predictions(logistic, 3).collect()) == 3
+    assert len(L.sample_predictions(logistic, ["conv_id", "turn"], 3).collect()) == 3
 
 
 def test_save_and_load(run, chats, tmp_path):
@@ -100,7 +100,7 @@ def test_throughput(run, chats):
 def test_preprocess_columns_and_null(spark):
     rows = spark.createDataFrame([("والمدرسة في http://a.b مكتوب",), (None,)], "text string")
     for profile in P.PROFILES.values():
-        done = preprocess(rows, profile=profile)
+        done = preprocess(rows, profile=profile, stopwords=["في"])
         assert done.columns == [
             "text", "text_clean", "words", "words_no_stopwords", "words_stemmed",
             "abstract_clean",
@@ -120,22 +120,22 @@ def test_stopwords_as_listed_cannot_match_normalised_text(spark):
 def test_supplied_dictionary(spark):
     rows = spark.createDataFrame([(1, "مكتوب غريب")], "id int, text string")
     stems = spark.createDataFrame([("مكتوب", "جذر")], "token string, stem string")
-    done = preprocess(rows, dictionary=stems, id_col="id")
+    done = preprocess(rows, stopwords=[], dictionary=stems)
     assert done.first()["abstract_clean"] == "جذر غريب"
-    with pytest.raises(ValueError):
-        preprocess(rows, dictionary=stems)
+    with pytest.raises(TypeError):
+        preprocess(rows)  # the list of stopwords is the caller's
 
 
 def test_load_and_preprocess(spark, tmp_path):
     rows = spark.createDataFrame([("مكتوب", 1)], "text string, label int")
     write_table(rows, str(tmp_path / "in"))
-    done = load_and_preprocess(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    done = load_and_preprocess(spark, str(tmp_path / "in"), str(tmp_path / "out"), stopwords=[])
     assert done.select("text", "abstract_clean", "label").first() == ("مكتوب", "كتب", 1)
 
 
 def test_no_python_and_no_shuffle_in_the_hot_path(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    frame = stylometric_features(preprocess(docs, profile=P.WEB))
+    frame = stylometric_features(preprocess(docs, profile=P.WEB, stopwords=["the"]))
     plan = frame._jdf.queryExecution().executedPlan().toString()
     for word in ("Python", "Exchange", "ScalaUDF"):
         assert word not in plan
@@ -157,22 +157,22 @@ def test_bad_lines_are_quarantined_and_restart_adds_nothing(spark, run, tmp_path
     _write_lines(tmp_path / "in", "1.json", [good, "not json", '{"text": "u"}'])
     out, marks = str(tmp_path / "out"), str(tmp_path / "marks")
 
-    def drain():
+    def run_once():
         stream = X.read_json_stream(spark, str(tmp_path / "in"))
         scored = X.score_stream(stream, run.models[L.LOGISTIC])
         query = X.write_json_stream(scored, out, marks, every=None, partition_by=["status"])
-        X.run_for(query)
+        X.drain(query)
         return spark.read.schema(OUT).json(out)
 
-    rows = drain()
+    rows = run_once()
     kept = {(r["status"], r["text"]): r for r in rows.collect()}
     assert set(kept) == {("scored", "t"), ("quarantined", "u"), ("quarantined", None)}
     assert kept[("quarantined", None)]["raw_line"] == "not json"
     assert kept[("quarantined", "u")]["prediction"] is None
     assert kept[("scored", "t")]["prediction"] is not None
-    assert drain().count() == 3
+    assert run_once().count() == 3
     _write_lines(tmp_path / "in", "2.json", [good])
-    assert drain().count() == 4
+    assert run_once().count() == 4
 
 
 def test_stream_equals_batch(spark, run, chats, tmp_path):
@@ -181,7 +181,7 @@ def test_stream_equals_batch(spark, run, chats, tmp_path):
     stream = X.read_json_stream(spark, path, chats.schema, files_per_trigger=3)
     scored = X.score_stream(stream, run.best_model).select("text", "label", "prediction")
     query = X.write_json_stream(scored, str(tmp_path / "out"), str(tmp_path / "m"), every=None)
-    X.run_for(query)
+    X.drain(query)
     back = spark.read.schema("text string, label int, prediction double").json(str(tmp_path / "out"))
     batch = L.score(chats, run.best_model).select("text", "label", "prediction")
     assert back.exceptAll(batch).count() == 0 and back.count() == batch.count()
@@ -191,9 +191,9 @@ def test_stream_preprocesses_raw_text(spark, run, tmp_path):
     _write_lines(tmp_path / "in", "1.json", ['{"text": "مكتوب", "label": 0}'])
     schema = StructType.fromDDL("text string, label int")
     stream = X.read_json_stream(spark, str(tmp_path / "in"), schema)
-    scored = X.score_stream(stream, run.best_model, preprocess)
+    scored = X.score_stream(stream, run.best_model, lambda df: preprocess(df, stopwords=[]))
     query = X.write_json_stream(scored, str(tmp_path / "out"), str(tmp_path / "m"), every=None)
-    X.run_for(query)
+    X.drain(query)
     assert spark.read.json(str(tmp_path / "out")).first()["status"] == "scored"
 
 
@@ -204,6 +204,40 @@ def test_timed_trigger_stops(spark, tmp_path):
     assert X.run_for(query, 4) is False and not query.isActive
 
 
+def test_a_sink_that_is_not_complete_is_never_read(spark, tmp_path):
+    for k in range(20):
+        _write_lines(tmp_path / "in", f"{k}.json", ['{"text": "t"}'])
+    slow = X.read_json_stream(spark, str(tmp_path / "in"), files_per_trigger=1)
+    query = X.write_json_stream(slow, str(tmp_path / "out"), str(tmp_path / "m"), every=None)
+    with pytest.raises(TimeoutError):
+        X.drain(query, 0.01)
+    assert not query.isActive
+    query = X.write_json_stream(slow, str(tmp_path / "out"), str(tmp_path / "m"), every=None)
+    X.drain(query)
+    assert spark.read.json(str(tmp_path / "out")).count() == 20
+
+
+def test_search_keeps_groups_whole(spark):
+    rows = spark.range(300).withColumn("g", F.col("id") % 20)
+    parts = rows.withColumn("inner", L.inner_split(F.col("g"), L.Grid()))
+    sides = parts.groupBy("g").agg(F.countDistinct("inner").alias("n"))
+    assert sides.filter("n > 1").count() == 0
+    assert parts.select("inner").distinct().count() == 2
+
+
+def test_training_reads_its_source_once(spark, chats, tmp_path):
+    counted = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            counted.add(batch.num_rows)
+            yield batch
+
+    source = chats.mapInArrow(seen, chats.schema)
+    L.train_all(source, "conv_id", names=[L.LOGISTIC], grid=L.Grid(max_iter=2))
+    assert counted.value == chats.count()
+
+
 def test_micro_batches_are_one_full_file_each(spark, tmp_path):
     rows = spark.range(105).withColumnRenamed("id", "n").repartition(4)
     X.write_micro_batches(rows, str(tmp_path / "b"), ["n"], F.col("n"), 50)

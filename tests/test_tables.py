@@ -146,6 +146,24 @@ def test_top_per_group(spark, ways):
     assert rows == [(0, 1, 9998), (0, 2, 9996), (0, 3, 9994), (1, 1, 9999), (1, 2, 9997), (1, 3, 9995)]
 
 
+def test_null_keys_come_first(spark):
+    rows = spark.createDataFrame([(None, "a"), (1, "b"), (2, "c"), (None, "d")], "id int, t string")
+    for n in range(1, 5):
+        got = [r["id"] for r in O.first_rows(rows, n, "id").collect()]
+        assert got == [r["id"] for r in rows.orderBy("id").limit(n).collect()]
+    tagged = rows.withColumn("label", F.lit(0))
+    for n in range(1, 5):
+        assert O.sample_per_class(tagged, n, "id", [0]).count() == n
+    keyed = spark.createDataFrame([(None,), (5,), (1,)], "k int")
+    numbers = {r["k"]: r["row_number"] for r in O.number_rows(keyed, ["k"], F.col("k")).collect()}
+    assert numbers == {None: 1, 1: 2, 5: 3}
+
+
+def test_ranges_follow_the_rows():
+    assert O.range_count(0) == 8 and O.range_count(50_000_000) == 100
+    assert O.range_count(10**12) == 2000
+
+
 def test_number_rows_matches_a_global_window(spark):
     df = spark.range(3000).select((F.col("id") % 7).alias("a"), F.col("id").alias("b")).repartition(6)
     numbered = O.number_rows(df, ["a", "b"], F.expr("a + b / (b + 1)"), ranges=11)

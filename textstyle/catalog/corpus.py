@@ -22,13 +22,12 @@ from textstyle.operators import reshape as R
 from textstyle.session import shared_folder
 from textstyle.sources import tables as IO
 
-LANGUAGES = ["en", "fr", "de", "es"]
-
-
-def _splits(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The documents as four named tables, one per language."""
+def _ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, written with a folder for each language and read back."""
+    root = shared_folder(spark, "splits")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return {x: docs.filter(F.col("lang") == x).drop("lang") for x in LANGUAGES}
+    IO.ingest_table(docs, root, "lang")
+    return IO.read_splits(spark, root, "doc_id bigint, text string, source string")
 
 
 def _round_trip(df: DataFrame, fmt: str, schema=None, **options) -> DataFrame:
@@ -121,15 +120,31 @@ def json_write(spark, sf_dir):
     return back.select("conv_id", "turn", "role", *digest(F.col("text")))
 
 
+@query(
+    "io7_format_dispatch",
+    f"""
+    SELECT fmt, item_id, {digest_sql('text')}
+    FROM benchmark, (VALUES ('parquet'), ('csv'), ('json')) f(fmt)
+    """,
+)
+def format_dispatch(spark, sf_dir):
+    items = table(spark, sf_dir, "benchmark")
+    schema = "item_id bigint, text string"
+    parts = [
+        _round_trip(items, fmt, schema, **({"multiline": True} if fmt == "csv" else {})).select(
+            F.lit(fmt).alias("fmt"), "item_id", *digest(F.col("text"))
+        )
+        for fmt in ("parquet", "csv", "json")
+    ]
+    return R.stack_tables(parts)
+
+
 @query(
     "io8_ingest_splits",
     f"SELECT lang AS source, doc_id, {digest_sql('text')} FROM documents",
 )
 def ingest_splits(spark, sf_dir):
-    root = shared_folder(spark, "splits")
-    IO.ingest_splits(_splits(spark, sf_dir), root)
-    rows = IO.read_splits(spark, root, "doc_id bigint, text string, source string")
-    return rows.select("source", "doc_id", *digest(F.col("text")))
+    return _ingested(spark, sf_dir).select("source", "doc_id", *digest(F.col("text")))
 
 
 @query(
@@ -140,9 +155,7 @@ def ingest_splits(spark, sf_dir):
     """,
 )
 def verify_splits(spark, sf_dir):
-    root = shared_folder(spark, "splits")
-    paths = IO.ingest_splits(_splits(spark, sf_dir), root)
-    return IO.verify_splits({n: IO.read_table(spark, p) for n, p in paths.items()})
+    return IO.verify_table(_ingested(spark, sf_dir))
 
 
 # --- projection, reshaping, set operations ---------------------------------------
@@ -177,17 +190,18 @@ def filter_class(spark, sf_dir):
     "pr4_wide_to_long",
     f"""
     WITH w AS ({WIDE_SQL}),
-         l AS (SELECT conv_id, 'user' AS generator, "user" AS text, 0 AS label FROM w
-               UNION ALL
-               SELECT conv_id, 'assistant', assistant, 1 FROM w)
-    SELECT conv_id, generator, label, text IS NULL AS missing, {digest_sql('text')} FROM l
+         l AS (SELECT conv_id, k, 'user' AS generator, "user" AS text, 0 AS label FROM w
+               UNION ALL SELECT conv_id, k, 'assistant', assistant, 1 FROM w
+               UNION ALL SELECT conv_id, k, 'system', system, 1 FROM w)
+    SELECT conv_id, k, generator, label, text IS NULL AS missing, {digest_sql('text')} FROM l
     """,
 )
 def wide_to_long(spark, sf_dir):
     wide = wide_conversations(spark, sf_dir)
-    long = R.wide_to_long(wide, "user", ["assistant"], ["conv_id"])
+    long = R.wide_to_long(wide, "user", ["assistant", "system"], ["conv_id", "k"])
     return long.select(
         "conv_id",
+        "k",
         "generator",
         "label",
         F.col("text").isNull().alias("missing"),
@@ -197,11 +211,20 @@ def wide_to_long(spark, sf_dir):
 
 @query(
     "st1_union_by_name",
-    f"SELECT lang AS source, doc_id, {digest_sql('text')} FROM documents",
+    f"""
+    WITH u AS (SELECT 'documents' AS source, doc_id AS id, text FROM documents
+               UNION ALL SELECT 'benchmark', item_id, text FROM benchmark
+               UNION ALL SELECT 'pages', page_id, html FROM pages)
+    SELECT source, id, {digest_sql('text')} FROM u
+    """,
 )
 def union_by_name(spark, sf_dir):
-    rows = R.combine_splits(_splits(spark, sf_dir))
-    return rows.select("source", "doc_id", *digest(F.col("text")))
+    names = {"documents": ("doc_id", "text"), "benchmark": ("item_id", "text"), "pages": ("page_id", "html")}
+    splits = {
+        name: table(spark, sf_dir, name).select(F.col(text).alias("text"), F.col(key).alias("id"))
+        for name, (key, text) in names.items()
+    }
+    return R.combine_splits(splits).select("source", "id", *digest(F.col("text")))
 
 
 @query(
@@ -298,6 +321,8 @@ def class_distribution(spark, sf_dir):
     SELECT 'conv_id' AS "column", count(*) - count(conv_id) AS nulls FROM w
     UNION ALL SELECT 'user', count(*) - count("user") FROM w
     UNION ALL SELECT 'assistant', count(*) - count(assistant) FROM w
+    UNION ALL SELECT 'system', count(*) - count(system) FROM w
+    UNION ALL SELECT 'k', 0
     """,
 )
 def null_counts(spark, sf_dir):
@@ -381,8 +406,23 @@ def hash_split(spark, sf_dir):
     return O.assign_split(docs, F.md5("text")).select("doc_id", "split")
 
 
-@query("sa1_random_split")
+@query("sa1_random_split", "SELECT doc_id, lang, 1::BIGINT AS n_parts FROM documents")
 def random_split(spark, sf_dir):
+    """Every document is in one part; which one hangs on Spark's seed."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
     parts = O.random_split(docs)
-    return R.combine_splits(dict(zip(("train", "validation", "test"), parts)))
+    rows = R.combine_splits(dict(zip(("train", "validation", "test"), parts)))
+    return rows.groupBy("doc_id", "lang").agg(F.count("source").alias("n_parts"))
+
+
+# Keys of which every seventh is missing, in the query and in its twin.
+@query(
+    "so2_first_rows_null_keys",
+    """
+    SELECT key FROM (SELECT nullif(doc_id, doc_id // 7 * 7) AS key FROM documents)
+    ORDER BY key NULLS FIRST LIMIT 300
+    """,
+)
+def first_rows_null_keys(spark, sf_dir):
+    key = F.expr("nullif(doc_id, doc_id div 7 * 7)").alias("key")
+    return O.first_rows(table(spark, sf_dir, "documents").select(key, "text"), 300, "key").select("key")

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from pyspark.ml.evaluation import (
+    BinaryClassificationEvaluator,
+    MulticlassClassificationEvaluator,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textstyle.catalog.registry import query, table, tokens_sql
+from textstyle.catalog.registry import digest, digest_sql, query, table, tokens_sql
 from textstyle.functions import stylometry as S
 from textstyle.functions import text as T
 from textstyle.operators import metrics as M
 from textstyle.operators.ordering import assign_split, best, leaderboard, ranked
+from textstyle.operators.terms import term_counts
 from textstyle.plans import learning as L
 from textstyle.plans.learning import TrainingRun
 from textstyle.session import shared_folder, write_through
@@ -126,7 +131,8 @@ def all_metrics(spark, sf_dir):
     "ml14_confusion_matrix",
     f"""{SCORES_SQL}
     SELECT model, label, count(*) FILTER (WHERE prediction = 0) AS predicted_0,
-           count(*) FILTER (WHERE prediction = 1) AS predicted_1
+           count(*) FILTER (WHERE prediction = 1) AS predicted_1,
+           count(*) FILTER (WHERE prediction NOT IN (0, 1)) AS predicted_other
     FROM s GROUP BY model, label
     """,
 )
@@ -191,34 +197,30 @@ def ranked_rules(spark, sf_dir):
 
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User turns (0) and assistant turns (1) of every conversation."""
-    rows = table(spark, sf_dir, "conversations").filter(
-        F.col("role").isin("user", "assistant")
-    )
-    return rows.select(
+    """Every turn: user (0), assistant (1), and others without label."""
+    label = F.when(F.col("role") == "assistant", 1).when(F.col("role") == "user", 0)
+    return table(spark, sf_dir, "conversations").select(
         "conv_id",
         "turn",
         "text",
         T.join_tokens(T.tokenize("text")).alias("abstract_clean"),
-        F.when(F.col("role") == "assistant", 1).otherwise(0).alias("label"),
+        label.alias("label"),
     )
 
 
 TURNS_SQL = f"""
-    SELECT conv_id, turn, {tokens_sql('text')} AS w,
-           CASE WHEN role = 'assistant' THEN 1 ELSE 0 END AS label
-    FROM conversations WHERE role IN ('user', 'assistant')
+    SELECT conv_id, turn, text, {tokens_sql('text')} AS w,
+           CASE role WHEN 'assistant' THEN 1 WHEN 'user' THEN 0 END AS label,
+           CASE WHEN slot < 70 THEN 'train' WHEN slot < 85 THEN 'validation' ELSE 'test' END
+               AS split
+    FROM (SELECT *, ('0x' || substr(md5(conv_id::VARCHAR), 1, 8))::BIGINT % 100 AS slot
+          FROM conversations)
 """
 
-_RUNS: dict[tuple, TrainingRun] = {}
 
-
-def trained(spark: SparkSession, sf_dir: str) -> TrainingRun:
-    """All three models with the full search grid, fitted once per input."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _RUNS:
-        _RUNS[key] = L.train_all(turns(spark, sf_dir), "conv_id")
-    return _RUNS[key]
+def trained(spark: SparkSession, sf_dir: str, *names: str) -> TrainingRun:
+    """The named models with the full search grid, fitted for this query."""
+    return L.train_all(turns(spark, sf_dir), "conv_id", names=names or tuple(L.TRAINERS))
 
 
 @query(
@@ -258,53 +260,140 @@ def tfidf_vectors(spark, sf_dir):
     return weighted.select("conv_id", "turn", F.round(total, 4).alias("total"))
 
 
+# Fitted weights have no SQL twin. What these queries state of every turn has:
+# which rows are scored, and that the results agree with each other.
+
+
 def _model_query(name: str, model: str):
-    @query(name)
+    @query(name, f"SELECT conv_id, turn, label, true AS consistent FROM ({TURNS_SQL})")
     def run(spark, sf_dir):
-        fitted = trained(spark, sf_dir).models[model]
+        fitted = trained(spark, sf_dir, model).models[model]
         scored = L.score(turns(spark, sf_dir), fitted)
-        return scored.select("conv_id", "turn", "label", "prediction", "score")
+        margin = F.col("score")
+        if "probability" in scored.columns:
+            margin = F.get("probability", F.lit(1)) - 0.5
+        agrees = F.when(F.col("prediction") == 1, margin >= 0).when(
+            F.col("prediction") == 0, margin <= 0
+        )
+        consistent = F.coalesce(agrees, F.lit(False)).alias("consistent")
+        return scored.select("conv_id", "turn", "label", consistent)
 
 
 _model_query("ml5_logistic_regression", L.LOGISTIC)
 _model_query("ml6_random_forest", L.FOREST)
 _model_query("ml7_linear_svm", L.SVM)
 
+_MODELS_SQL = "(VALUES ('Logistic Regression'), ('Random Forest'), ('Linear SVM')) m(model)"
+
 
-@query("ml15_evaluate_models")
+@query(
+    "ml15_evaluate_models",
+    f"""
+    SELECT model, split, count(*) AS n, true AS same
+    FROM ({TURNS_SQL}) t, {_MODELS_SQL}
+    WHERE split <> 'train' AND label IS NOT NULL GROUP BY model, split
+    """,
+)
 def evaluate_models(spark, sf_dir):
-    return trained(spark, sf_dir).metrics
+    """Our metrics of each model and split beside those of MLlib's evaluators."""
+    run = trained(spark, sf_dir)
+    theirs = []
+    for name, model in run.models.items():
+        for split in ("validation", "test"):
+            rows = L.score(run.splits[split], model).withColumn("label", F.col("label").cast("double"))
+            rows = rows.select("label", "prediction", F.col("score").alias("rawPrediction"))
+            values = [
+                MulticlassClassificationEvaluator(metricName=m).evaluate(rows)
+                for m in ("accuracy", "f1", "weightedPrecision", "weightedRecall")
+            ]
+            values.append(BinaryClassificationEvaluator(numBins=0).evaluate(rows))
+            theirs.append((name, split, *values))
+    columns = [f"mllib_{m}" for m in METRICS]
+    report = spark.createDataFrame(
+        theirs, "model string, split string, " + ", ".join(f"{c} double" for c in columns)
+    )
+    same = F.lit(True)
+    for m in METRICS:
+        same = same & (F.abs(F.col(m) - F.col(f"mllib_{m}")) < 1e-6)
+    return run.metrics.join(report, ["model", "split"]).select("model", "split", "n", same.alias("same"))
 
 
-@query("ml16_batch_scoring")
+@query("ml16_batch_scoring", f"SELECT conv_id, turn, true AS same FROM ({TURNS_SQL})")
 def batch_scoring(spark, sf_dir):
-    scored = L.score(turns(spark, sf_dir), trained(spark, sf_dir).best_model)
-    return scored.select("conv_id", "turn", "prediction", "score")
+    """A score is the dot product of coefficients and long-form TF-IDF weights."""
+    run = trained(spark, sf_dir, L.LOGISTIC)
+    model, rows = run.best_model, turns(spark, sf_dir)
+    counts, idf, linear = model.stages[1:]
+    weights = spark.createDataFrame(
+        [
+            (term, float(w * c))
+            for term, w, c in zip(counts.vocabulary, idf.idf, linear.coefficients)
+        ],
+        "term string, weight double",
+    )
+    terms = term_counts(rows, T.tokenize("abstract_clean"), "conv_id", "turn")
+    dots = terms.join(F.broadcast(weights), "term").groupBy("conv_id", "turn")
+    dots = dots.agg(F.sum(F.col("tf") * F.col("weight")).alias("dot"))
+    scored = L.score(rows, model).join(dots, ["conv_id", "turn"], "left")
+    expected = F.coalesce("dot", F.lit(0.0)) + float(linear.intercept)
+    return scored.select(
+        "conv_id", "turn", (F.abs(F.col("score") - expected) < 1e-6).alias("same")
+    )
 
 
-@query("ml17_sample_predictions")
+@query(
+    "ml17_sample_predictions",
+    f"""
+    SELECT conv_id, turn, label, {digest_sql('text')}, true AS predicted FROM ({TURNS_SQL})
+    WHERE split = 'test' AND label IS NOT NULL ORDER BY conv_id, turn LIMIT 5
+    """,
+)
 def sample_predictions(spark, sf_dir):
-    run = trained(spark, sf_dir)
-    return L.sample_predictions(L.score(run.splits["test"], run.best_model))
+    run = trained(spark, sf_dir, L.LOGISTIC)
+    scored = L.score(run.splits["test"], run.best_model)
+    sample = L.sample_predictions(scored, ["conv_id", "turn"])
+    predicted = F.col("prediction").isin(0.0, 1.0) & (F.size("probability") == 2)
+    return sample.select("conv_id", "turn", "label", *digest(F.col("text")), predicted.alias("predicted"))
 
 
-@query("ml18_train_all")
+@query("ml18_train_all", f"SELECT model, true AS recall_is_accuracy FROM {_MODELS_SQL}")
 def train_all(spark, sf_dir):
-    return L.model_leaderboard(trained(spark, sf_dir).metrics)
+    """Recall weighted by support is accuracy, whatever a model predicts."""
+    board = L.model_leaderboard(trained(spark, sf_dir).metrics)
+    same = F.abs(F.col("test_recall") - F.col("test_accuracy")) < 1e-9
+    return board.select("model", same.alias("recall_is_accuracy"))
+
+
+def _throughput(spark, sf_dir) -> DataFrame:
+    model = trained(spark, sf_dir, L.LOGISTIC).best_model
+    return L.scoring_throughput(turns(spark, sf_dir), model)
 
 
-@query("ml19_scoring_throughput")
+@query(
+    "ml19_scoring_throughput",
+    "SELECT run::INTEGER AS run, (SELECT count(*) FROM conversations) AS n, true AS timed "
+    "FROM range(1, 4) t(run)",
+)
 def scoring_throughput(spark, sf_dir):
-    return L.scoring_throughput(turns(spark, sf_dir), trained(spark, sf_dir).best_model)
+    runs = _throughput(spark, sf_dir)
+    return runs.select("run", "n", (F.col("rec_per_s") > 0).alias("timed"))
+
+
+@query("ml19_throughput_summary", "SELECT count(*) > 0 AS ordered FROM conversations")
+def throughput_summary(spark, sf_dir):
+    summary = L.throughput_summary(_throughput(spark, sf_dir))
+    ordered = F.col("mean_seconds").between(F.col("min_seconds"), F.col("max_seconds"))
+    return summary.select((ordered & (F.col("rec_per_s") > 0)).alias("ordered"))
 
 
-@query("io11_saved_model_scoring")
+@query("io11_saved_model_scoring", f"SELECT conv_id, turn, true AS same FROM ({TURNS_SQL})")
 def saved_model_scoring(spark, sf_dir):
-    """Save every model, load the best one back, and score with it."""
-    run = trained(spark, sf_dir)
+    """A saved model, loaded back, scores every turn as the one in memory does."""
+    run, rows = trained(spark, sf_dir, L.LOGISTIC), turns(spark, sf_dir)
     root = shared_folder(spark, "models")
     save_models(run.models, root)
-    scored = L.score(turns(spark, sf_dir), load_model(root, run.best_name))
-    return scored.select("conv_id", "turn", "prediction", "score")
-
-
+    loaded = L.score(rows, load_model(root, run.best_name))
+    loaded = loaded.select("conv_id", "turn", F.struct("prediction", "score").alias("loaded"))
+    both = L.score(rows, run.best_model).join(loaded, ["conv_id", "turn"])
+    same = (F.struct("prediction", "score") == F.col("loaded")).alias("same")
+    return both.select("conv_id", "turn", same)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,20 +88,27 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wide_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first text of each side of a conversation: ``conv_id, user, assistant``."""
+    """A conversation's exchanges: ``conv_id, k, user, assistant, system``.
+
+    Beside each other stand the ``k``-th texts of each role.
+    """
     turns = table(spark, sf_dir, "conversations")
+    along = Window.partitionBy("conv_id", "role").orderBy("turn")
     return (
-        turns.groupBy("conv_id")
-        .pivot("role", ["user", "assistant"])
-        .agg(F.min_by("text", "turn"))
+        turns.withColumn("k", F.row_number().over(along))
+        .groupBy("conv_id", "k")
+        .pivot("role", ["user", "assistant", "system"])
+        .agg(F.min("text"))
     )
 
 
 WIDE_SQL = """
-    SELECT conv_id,
-           arg_min(text, turn) FILTER (WHERE role = 'user') AS "user",
-           arg_min(text, turn) FILTER (WHERE role = 'assistant') AS assistant
-    FROM conversations GROUP BY conv_id
+    SELECT conv_id, k, min(text) FILTER (WHERE role = 'user') AS "user",
+           min(text) FILTER (WHERE role = 'assistant') AS assistant,
+           min(text) FILTER (WHERE role = 'system') AS system
+    FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn)::INTEGER AS k
+          FROM conversations)
+    GROUP BY conv_id, k
 """
 
 

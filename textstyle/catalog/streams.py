@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from textstyle.catalog.learning import trained, turns
+from textstyle.catalog.learning import TURNS_SQL, trained, turns
 from textstyle.catalog.registry import digest, digest_sql, query, table, tokens_sql
 from textstyle.catalog.text import (
     BRUNET_SQL,
@@ -16,15 +16,17 @@ from textstyle.catalog.text import (
 )
 from textstyle.functions import text as T
 from textstyle.operators.features import stylometric_features
+from textstyle.plans.learning import LOGISTIC, score
 from textstyle.session import shared_folder
 from textstyle.streaming import (
+    drain,
     read_json_stream,
-    run_for,
     score_stream,
     write_json_stream,
     write_micro_batches,
 )
 
+SCORED_COLUMNS = ("prediction", "score", "probability")
 #: Rises along (conv_id, turn) and stays below the next conv_id.
 SPREAD_EXPRESSION = "conv_id + turn / (turn + 1)"
 
@@ -40,15 +42,15 @@ def _drain(stream: DataFrame, schema: StructType | str, partition_by=()) -> Data
     """Run a stream over what is there and read its sink back."""
     spark = stream.sparkSession
     out, marks = shared_folder(spark, "stream-output"), shared_folder(spark, "stream-log")
-    query_ = write_json_stream(stream, out, marks, every=None, partition_by=partition_by)
-    run_for(query_)
+    drain(write_json_stream(stream, out, marks, every=None, partition_by=partition_by))
     return spark.read.schema(schema).json(out)
 
 
 def _stream(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    """``rows`` by way of micro-batch files; as many files per trigger as cores."""
-    width = spark.sparkContext.defaultParallelism
-    return read_json_stream(spark, _feed(rows), rows.schema, files_per_trigger=width)
+    """``rows`` by way of an ordinary folder of JSON lines."""
+    path = shared_folder(spark, "stream-input")
+    rows.write.json(path)
+    return read_json_stream(spark, path, rows.schema)
 
 
 @query(
@@ -116,9 +118,32 @@ def stream_stylometry(spark, sf_dir):
     return back.withColumns({m: F.round(m, 6) for m in measures})
 
 
-@query("ss3_stream_scoring")
+@query(
+    "ss3_stream_scoring",
+    f"SELECT {digest_sql('text')}, label, 'scored' AS status, true AS same FROM ({TURNS_SQL})",
+)
 def stream_scoring(spark, sf_dir):
-    model = trained(spark, sf_dir).best_model
-    scored = score_stream(_stream(spark, turns(spark, sf_dir)), model)
-    schema = "text string, label int, prediction double, score double, status string"
-    return _drain(scored, schema, ["status"]).select("label", "prediction", "score", "status")
+    """The stream's output, probability included, beside a batch over the same turns."""
+    model, rows = trained(spark, sf_dir, LOGISTIC).best_model, turns(spark, sf_dir)
+    schema = (
+        "text string, label int, prediction double, score double, "
+        "probability array<double>, status string"
+    )
+    live = _drain(score_stream(_stream(spark, rows), model), schema, ["status"])
+    batch = score(rows, model).select("text", *[F.col(c).alias(f"batch_{c}") for c in SCORED_COLUMNS])
+    both = live.join(batch.dropDuplicates(["text"]), "text", "left")
+    same = F.lit(True)
+    for c in SCORED_COLUMNS:
+        same = same & F.col(c).eqNullSafe(F.col(f"batch_{c}"))
+    return both.select(*digest(F.col("text")), "label", "status", same.alias("same"))
+
+
+@query("ss7_restart", f"SELECT conv_id, turn, {digest_sql('text')} FROM conversations")
+def restart(spark, sf_dir):
+    """A second run over the same log and input adds nothing to the sink."""
+    rows = table(spark, sf_dir, "conversations")
+    stream = _stream(spark, rows)
+    out, marks = shared_folder(spark, "stream-output"), shared_folder(spark, "stream-log")
+    for _ in range(2):
+        drain(write_json_stream(stream, out, marks, every=None))
+    return spark.read.schema(rows.schema).json(out).select("conv_id", "turn", *digest(F.col("text")))

@@ -28,8 +28,7 @@ FREQUENCY_SQL = f"""
     WITH tok AS (SELECT doc_id, unnest({tokens_sql('text')}) AS term FROM documents),
          tf AS (SELECT doc_id, term, count(*) AS tf FROM tok GROUP BY doc_id, term),
          v AS (SELECT term, sum(tf)::BIGINT AS count, count(*) AS df FROM tf
-               GROUP BY term HAVING count(*) >= 2
-               ORDER BY sum(tf) DESC, term LIMIT 10000),
+               GROUP BY term HAVING count(*) >= 2),
          n AS (SELECT count(*) AS m FROM documents)
 """
 
@@ -67,11 +66,17 @@ def top_words_per_class(spark, sf_dir):
     "ml2_vocabulary",
     f"""{FREQUENCY_SQL}
     SELECT row_number() OVER (ORDER BY count DESC, term)::INTEGER AS rank, term, count, df
-    FROM v
+    FROM v ORDER BY rank LIMIT 10000
     """,
 )
 def vocabulary(spark, sf_dir):
-    return V.vocabulary(table(spark, sf_dir, "documents"), _tokens())
+    """The vocabulary of vectors, whose length is a parameter."""
+    return V.vocabulary(table(spark, sf_dir, "documents"), _tokens(), vocab_size=10_000)
+
+
+@query("ml2_term_statistics", f"{FREQUENCY_SQL} SELECT term, count, df FROM v")
+def term_statistics(spark, sf_dir):
+    return V.term_statistics(table(spark, sf_dir, "documents"), _tokens())
 
 
 @query(
@@ -97,8 +102,8 @@ def tfidf_long(spark, sf_dir):
     """,
 )
 def vocabulary_sample(spark, sf_dir):
-    vocab = V.vocabulary(table(spark, sf_dir, "documents"), _tokens())
-    return V.vocabulary_sample(vocab)
+    terms = V.term_statistics(table(spark, sf_dir, "documents"), _tokens())
+    return V.vocabulary_sample(write_through(terms, "terms"))
 
 
 # The dictionary here is made from the documents: each token without its first
@@ -119,7 +124,7 @@ def _dictionary_query(limit: int):
             F.col("token").startswith("أ") & (F.length("token") > 1)
         )
         stems = known.withColumn("stem", F.expr("substring(token, 2)"))
-        done = V.stem_with_dictionary(docs, "w", stems, "stems", "doc_id", limit)
+        done = V.stem_with_dictionary(docs, "w", stems, "stems", limit)
         return done.select("doc_id", *digest(T.join_tokens("stems")))
 
     return run
@@ -134,5 +139,5 @@ def stem_by_rule_dictionary(spark, sf_dir):
     """Roots looked up in a table of all distinct tokens, not computed in place."""
     docs = arabic_documents(spark, sf_dir).withColumn("w", _tokens())
     stems = write_through(V.rule_dictionary(docs, F.col("w")), "dictionary")
-    done = V.stem_with_dictionary(docs, "w", stems, "stems", "doc_id")
+    done = V.stem_with_dictionary(docs, "w", stems, "stems")
     return done.select("doc_id", *digest(T.join_tokens("stems")))

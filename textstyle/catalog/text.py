@@ -425,7 +425,7 @@ FEATURES_SQL = f"""
     WITH d AS (SELECT doc_id, label, {with_names_sql()} AS t,
                       array_to_string({tokens_sql('text')}, ' ') AS c
                FROM (SELECT d.doc_id, d.text, l.quality AS label
-                     FROM documents d JOIN labels l ON d.doc_id = l.doc_id)),
+                     FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)),
          w AS (SELECT doc_id, label, t, {words_sql('c')} AS w FROM d),
          f AS (SELECT doc_id, label, {BRUNET_SQL} AS f_brunets_w,
                       {entities_sql('t', P.LARGE_GAZETTEER)} AS f_named_entities,
@@ -434,10 +434,10 @@ FEATURES_SQL = f"""
 """
 
 
-def _features(spark, sf_dir):
-    docs = labelled_documents(spark, sf_dir).select(
+def _features(docs, *keep: str):
+    docs = docs.select(
         "doc_id",
-        "label",
+        *keep,
         with_names().alias("text"),
         T.join_tokens(T.tokenize("text")).alias("abstract_clean"),
     )
@@ -447,18 +447,17 @@ def _features(spark, sf_dir):
 @query(
     "sf7_all_features",
     f"""{FEATURES_SQL}
-    SELECT doc_id, label, round(f_brunets_w, 6) AS f_brunets_w, f_named_entities,
+    SELECT doc_id, round(f_brunets_w, 6) AS f_brunets_w, f_named_entities,
            round(f_lexical_diversity, 6) AS f_lexical_diversity,
            round(f_avg_word_length, 6) AS f_avg_word_length FROM f
     """,
 )
 def all_features(spark, sf_dir):
     out = shared_folder(spark, "features")
-    write_table(_features(spark, sf_dir), out)
+    write_table(_features(table(spark, sf_dir, "documents")), out)
     saved = spark.read.parquet(out)
     return saved.select(
         "doc_id",
-        "label",
         "f_named_entities",
         *[
             F.round(c, 6).alias(c)
@@ -469,7 +468,7 @@ def all_features(spark, sf_dir):
 
 def _summary_sql(by: str = "") -> str:
     keys = f"{by}, " if by else ""
-    group = f"GROUP BY {by}" if by else ""
+    group = f"WHERE {by} IS NOT NULL GROUP BY {by}" if by else ""
     parts = [
         f"""SELECT {keys}'{f}' AS feature, count({f}) AS count, round(avg({f}), 6) AS mean,
         round(stddev_samp({f}), 6) AS stddev, round(min({f})::DOUBLE, 6) AS min,
@@ -492,10 +491,11 @@ def _rounded(summary):
 
 @query("sf8_feature_summary", _summary_sql())
 def summary(spark, sf_dir):
-    return _rounded(feature_summary(_features(spark, sf_dir)))
+    return _rounded(feature_summary(_features(table(spark, sf_dir, "documents"))))
 
 
 @query("stylometric_profile_by_class", _summary_sql("label"))
 def profile_by_class(spark, sf_dir):
     """The flagship: how human and machine style differ, feature by feature."""
-    return _rounded(feature_summary(_features(spark, sf_dir), by=["label"]))
+    labelled = _features(labelled_documents(spark, sf_dir), "label")
+    return _rounded(feature_summary(labelled, by=["label"]))

@@ -73,18 +73,6 @@ LARGE_GAZETTEER = {
 # --- Fixed values: exponent of Brunet's W -----------------------------------
 BRUNET_EXPONENT = -0.165
 
-# --- Default stopwords -------------------------------------------------------
-# Common Arabic function words; callers with their own list pass it in.
-ARABIC_STOPWORDS = [
-    "في", "من", "على", "إلى", "عن", "مع", "هذا", "هذه", "ذلك", "تلك",
-    "التي", "الذي", "الذين", "هو", "هي", "هم", "نحن", "أنا", "أنت", "كان",
-    "كانت", "يكون", "تكون", "قد", "لقد", "لا", "لم", "لن", "ما", "ماذا",
-    "أن", "إن", "أو", "ثم", "بل", "لكن", "حيث", "بين", "كل", "بعض",
-    "غير", "عند", "عندما", "إذا", "كما", "أي", "بعد", "قبل", "حتى", "منذ",
-    "خلال", "ضد", "دون", "حول", "فوق", "تحت", "أمام", "لدى", "ليس", "هنا",
-    "هناك", "كيف", "لماذا", "متى", "أين", "لأن", "كذلك", "أيضا", "فقط", "نفس",
-]
-
 
 @dataclass(frozen=True)
 class Profile:

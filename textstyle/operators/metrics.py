@@ -7,11 +7,12 @@ measured side by side in the same job.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textstyle.operators.ordering import range_cuts, range_slot
+from textstyle.operators.ordering import range_count, range_slot
 
 
 def confusion_counts(
@@ -35,7 +36,11 @@ def confusion_matrix(
     prediction: str = "prediction",
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per true class, one column ``predicted_<class>`` per prediction."""
+    """One row per true class, one column ``predicted_<class>`` per prediction.
+
+    Predictions outside ``classes``, missing ones included, are counted in
+    ``predicted_other``.
+    """
     cells = confusion_counts(scored, label, prediction, by)
     return cells.groupBy(*by, "label").agg(
         *[
@@ -43,7 +48,10 @@ def confusion_matrix(
                 f"predicted_{c}"
             )
             for c in classes
-        ]
+        ],
+        F.sum(
+            F.when(F.col("prediction").isin(list(classes)), 0).otherwise(F.col("count"))
+        ).alias("predicted_other"),
     )
 
 
@@ -121,7 +129,7 @@ def roc_auc(
     label: str = "label",
     score: str = "score",
     by: Sequence[str] = (),
-    ranges: int = 200,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Exact area under the ROC curve, ``(by…, roc_auc)``.
 
@@ -132,13 +140,17 @@ def roc_auc(
     work and cannot change the result.
     """
     scored = scored.withColumn("score", F.col(score).cast("double"))
-    cuts = range_cuts(scored, "score", ranges)
     is_positive = F.col(label) == 1
     points = scored.groupBy(*by, "score").agg(
         F.count_if(is_positive).cast("double").alias("pos"),
         F.count_if(~is_positive).cast("double").alias("neg"),
     )
-    points = points.withColumn("_range", range_slot(F.col("score"), cuts))
+    # Scores of different models differ in scale, so each group has its cuts.
+    slot = F.lit(0)
+    for row in score_cuts(points, by, ranges):
+        here = reduce(lambda a, c: a & F.col(c).eqNullSafe(F.lit(row[c])), by, F.lit(True))
+        slot = F.when(here, range_slot(F.col("score"), row["cuts"])).otherwise(slot)
+    points = points.withColumn("_range", slot)
     inside = Window.partitionBy(*by, "_range").orderBy("score")
     points = points.withColumn("_below", F.sum("neg").over(inside) - F.col("neg"))
     totals = points.groupBy(*by, "_range").agg(
@@ -155,6 +167,21 @@ def roc_auc(
     )
 
 
+def score_cuts(
+    points: DataFrame, by: Sequence[str], ranges: int | None, rows_each: int = 500_000
+) -> list:
+    """Approximate quantiles of each group's scores, ``(by…, cuts)``.
+
+    Their number follows the group's points unless ``ranges`` is given; the
+    driver holds at most 2,000 a group, and groups are models and splits.
+    """
+    sizes = points.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    most = ranges or range_count(sizes.agg(F.max("n")).first()[0] or 0, rows_each)
+    steps = [i / most for i in range(1, most)] or [0.5]
+    cuts = F.percentile_approx("score", steps, 4 * most)
+    return points.groupBy(*by).agg(F.array_sort(F.array_distinct(cuts)).alias("cuts")).collect()
+
+
 def calculate_metrics(
     scored: DataFrame,
     label: str = "label",

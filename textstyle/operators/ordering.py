@@ -63,14 +63,15 @@ def random_split(
 
 
 def first_rows(df: DataFrame, n: int, key: str) -> DataFrame:
-    """The ``n`` rows with the smallest keys.
+    """The ``n`` rows with the smallest keys, NULL keys first.
 
     The cut is found on the key column alone, then pushed to the scan as a
-    filter, so wide columns are read only for rows that pass it.
+    filter, so wide columns are read only for rows that pass it. Without a
+    cut only NULL keys are near enough.
     """
     nearest = df.select(key).orderBy(key).limit(n)
     cut = nearest.agg(F.max(key)).scalar()
-    return df.filter(F.col(key) <= cut).orderBy(key).limit(n)
+    return df.filter(F.col(key).isNull() | (F.col(key) <= cut)).orderBy(key).limit(n)
 
 
 def sample_per_class(
@@ -82,11 +83,13 @@ def sample_per_class(
 ) -> DataFrame:
     """``n`` pseudo-random rows of each listed class, ordered by MD5 of ``key``.
 
+    A NULL key counts as ''.
+
     A histogram over the first 16 hash bits gives, per class, the last slot
     that the sample can reach; only rows up to it are ranked. The cut table
     has one row per listed class, which is what makes it safe to broadcast.
     """
-    key = _as_column(key).cast("string")
+    key = F.coalesce(_as_column(key).cast("string"), F.lit(""))
     rows = df.filter(F.col(label_col).isin(list(classes)))
     slot = hash_slot(key, hex_digits=4)
     running = Window.partitionBy(label_col).orderBy("_slot")
@@ -106,10 +109,11 @@ def sample_per_class(
         .withColumn("_hash", F.md5(key))
         .withColumn("_key", key)
     )
-    # Slices go by row position: copies under one key must not share a task.
+    # Slices go by the whole row, so that a row is in the same slice when its
+    # partition is computed again; only exact copies share one.
     order = [F.col("_hash"), F.col("_key")]
     kept = top_per_group(
-        near, [label_col], order, n, spread=F.monotonically_increasing_id()
+        near, [label_col], order, n, spread=F.struct(*[F.col(c) for c in df.columns])
     )
     return kept.drop("_hash", "_key", "rank")
 
@@ -178,16 +182,20 @@ def number_rows(
     order: Sequence[str],
     spread: Column,
     col: str = "row_number",
-    ranges: int = 200,
+    ranges: int | None = None,
 ) -> DataFrame:
-    """Number all rows from 1 by the unique key ``order``.
+    """Number all rows from 1 by the unique key ``order``, NULLs first.
 
-    ``spread`` is a number that never falls along ``order``. Its approximate
-    quantiles cut the rows into ranges; each range is numbered on its own and
+    ``spread`` is a number that never falls along ``order``, NULL where that
+    starts with NULL. Without ``ranges`` their number follows that of the
+    rows. The approximate
+    quantiles of it cut the rows into ranges; each range is numbered on its own and
     shifted by the rows before it. The quantiles only balance the work: any
     cut points give the same numbers.
     """
-    keyed = df.withColumn("_spread", spread.cast("double"))
+    lowest = F.lit(float("-inf"))
+    keyed = df.withColumn("_spread", F.coalesce(spread.cast("double"), lowest))
+    ranges = ranges or range_count(df.count())
     cuts = range_cuts(keyed, "_spread", ranges)
     slot = range_slot(F.col("_spread"), cuts)
     sliced = keyed.withColumn("_range", slot).drop("_spread")
@@ -206,6 +214,11 @@ def number_rows(
     )
 
 
+def range_count(rows: int, rows_each: int = 500_000, most: int = 2000) -> int:
+    """How many ranges to cut so many rows into; the driver holds the cuts."""
+    return min(most, max(8, -(-rows // rows_each)))
+
+
 def range_cuts(df: DataFrame, col: str, ranges: int) -> list[float]:
     """Ascending approximate quantiles: at most ``ranges`` numbers."""
     steps = [i / ranges for i in range(1, ranges)]

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,22 +84,25 @@ def top_words_per_class(
 # --- vocabulary and TF-IDF ---------------------------------------------------------
 
 
-def vocabulary(
-    df: DataFrame, tokens: Column, vocab_size: int = 10_000, min_df: int = 2
-) -> DataFrame:
-    """``(rank, term, count, df)``: most frequent terms first, ties by term.
-
-    ``df`` counts documents. The result has at most ``vocab_size`` rows, so
-    ranking it is one small task.
-    """
-    terms = (
+def term_statistics(df: DataFrame, tokens: Column, min_df: int = 2) -> DataFrame:
+    """``(term, count, df)`` of every term in at least ``min_df`` documents."""
+    return (
         term_counts(df, tokens)
         .groupBy("term")
         .agg(F.sum("tf").alias("count"), F.count(F.lit(1)).alias("df"))
         .filter(F.col("df") >= min_df)
     )
+
+
+def vocabulary(df: DataFrame, tokens: Column, vocab_size: int, min_df: int = 2) -> DataFrame:
+    """``(rank, term, count, df)``: most frequent terms first, ties by term.
+
+    For vectors, whose length is ``vocab_size``: the result has at most so
+    many rows, and ranking it is one small task. All terms are in
+    :func:`term_statistics`.
+    """
     order = [F.desc("count"), F.asc("term")]
-    top = terms.orderBy(*order).limit(vocab_size)
+    top = term_statistics(df, tokens, min_df).orderBy(*order).limit(vocab_size)
     rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order))
     return top.select(rank.alias("rank"), "term", "count", "df")
 
@@ -114,18 +116,21 @@ def tfidf_long(
     df: DataFrame,
     id_col: str,
     tokens: Column,
-    vocab_size: int = 10_000,
+    vocab_size: int | None = None,
     min_df: int = 2,
 ) -> DataFrame:
-    """``(id, term, tf, df, idf, tfidf)`` for the terms of the vocabulary.
+    """``(id, term, tf, df, idf, tfidf)`` for all terms, or for a vocabulary.
 
-    The vocabulary is fitted first: written once, and its measured size
-    decides how it meets the documents (see :func:`join_small`).
+    Statistics come first: written once, and their measured size decides how
+    they meet the documents (see :func:`join_small`).
     """
-    vocab = vocabulary(df, tokens, vocab_size, min_df).select("term", "df")
+    if vocab_size is None:
+        vocab = term_statistics(df, tokens, min_df).select("term", "df")
+    else:
+        vocab = vocabulary(df, tokens, vocab_size, min_df).select("term", "df")
     weights = with_idf(write_through(vocab, "vocabulary"), F.lit(df.count()))
     terms = term_counts(df, tokens, id_col)
-    joined = join_small(terms, weights, "term", spread=F.col(id_col))
+    joined = join_small(terms, weights, "term")
     return joined.select(
         id_col, "term", "tf", "df", "idf", (F.col("tf") * F.col("idf")).alias("tfidf")
     )
@@ -136,23 +141,18 @@ def join_small(
     table: DataFrame,
     key: str,
     *,
-    spread: Column,
     how: str = "inner",
     limit: int = BROADCAST_BYTES,
-    ways: int = 32,
 ) -> DataFrame:
     """Join ``table``, unique by ``key``, to ``big`` whose keys may be skewed.
 
     A table measured within ``limit`` bytes is broadcast. A larger one is
-    copied ``ways`` times under a salt, so that no key meets in one task.
+    sorted and merged; adaptive execution then splits the partitions of hot
+    keys by their measured size, however many rows they have.
     """
     if fits_broadcast(table, limit):
         return big.join(F.broadcast(table), key, how)
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(ways)))
-    copies = table.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(ways - 1)).cast("array<bigint>"))
-    )
-    return salted.join(copies, [key, "_salt"], how).drop("_salt")
+    return big.join(table.hint("merge"), key, how)
 
 
 # --- stem dictionaries -----------------------------------------------------------------
@@ -163,53 +163,52 @@ def stem_with_dictionary(
     tokens_col: str,
     dictionary: DataFrame,
     out_col: str,
-    id_col: str,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Replace tokens by the stems of a ``(token, stem)`` table, unique by token.
-
-    Tokens that are not listed stay as they are; order and repeats are kept.
-    A dictionary measured within ``limit`` bytes is looked up inside each row
-    by an Arrow function, with no shuffle. A larger one is joined to the
-    exploded tokens and the documents are put together again by ``id_col``,
-    which must be unique.
+    """Replace tokens by the stems of a ``(token, stem)`` table.
+
+    Tokens that are not listed stay as they are; order and repeats are kept,
+    and NULL tokens give an empty array. A token listed with several stems
+    takes the least. A dictionary measured within ``limit`` bytes is looked up
+    inside each row by an Arrow function, with no shuffle. A larger one is
+    joined to the tokens of each row, under a row key of this function's own;
+    the result is the same. That needs a finite table, not a stream.
     """
-    dictionary = dictionary.select("token", "stem")
-    if fits_broadcast(dictionary, limit):
-        lookup = _dictionary_lookup(df, dictionary)
+    known = dictionary.filter("token IS NOT NULL").groupBy("token")
+    known = write_through(known.agg(F.min("stem").alias("stem")), "dictionary")
+    if fits_broadcast(known, limit):
+        lookup = _dictionary_lookup(df, known)
         return df.withColumn(out_col, lookup(F.col(tokens_col)))
-    tokens = df.select(id_col, F.posexplode_outer(tokens_col).alias("_pos", "token"))
+    # Written once: a row key made anew after a lost task would not fit.
+    rows = write_through(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    tokens = rows.select("_row", F.posexplode_outer(tokens_col).alias("_pos", "token"))
     tokens = tokens.filter(F.col("_pos").isNotNull())
-    stems = join_small(
-        tokens, dictionary, "token", spread=F.col(id_col), how="left", limit=limit
-    )
+    stems = tokens.join(known.hint("merge"), "token", "left")
     pair = F.struct("_pos", F.coalesce("stem", "token").alias("stem"))
-    rebuilt = stems.groupBy(id_col).agg(
+    rebuilt = stems.groupBy("_row").agg(
         F.sort_array(F.collect_list(pair))["stem"].alias(out_col)
     )
     empty = F.array().cast("array<string>")
-    return df.join(rebuilt, id_col, "left").withColumn(
-        out_col, F.coalesce(out_col, empty)
-    )
+    done = rows.drop(out_col).join(rebuilt, "_row", "left").drop("_row")
+    return done.withColumn(out_col, F.coalesce(out_col, empty))
 
 
 def _dictionary_lookup(df: DataFrame, dictionary: DataFrame):
     """An Arrow function mapping token arrays through a broadcast dictionary."""
     table = dictionary.toArrow()
-    context = df.sparkSession.sparkContext
-    shared = context.broadcast(
-        (table["token"].combine_chunks(), table["stem"].combine_chunks())
+    stems = zip(table["token"].to_pylist(), table["stem"].to_pylist())
+    # One table for a worker's life, not one for each batch.
+    shared = df.sparkSession.sparkContext.broadcast(
+        {token: stem for token, stem in stems if stem is not None}
     )
 
     @F.arrow_udf("array<string>")
     def lookup(lists: pa.Array) -> pa.Array:
-        known, stems = shared.value
-        flat = lists.flatten()
-        found = stems.take(pc.index_in(flat, value_set=known.cast(flat.type)))
-        flat = pc.coalesce(found.cast(flat.type), flat)
-        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(False)
-        offsets = pa.array([0, *sizes.cumsum().tolist()], pa.int32())
-        return pa.ListArray.from_arrays(offsets, flat)
+        known = shared.value
+        return pa.array(
+            [[known.get(t, t) for t in tokens or ()] for tokens in lists.to_pylist()],
+            pa.list_(pa.string()),
+        )
 
     return lookup
 
@@ -228,7 +227,10 @@ def rule_dictionary(df: DataFrame, tokens: Column, depth: str = "root") -> DataF
     return distinct_tokens(df, tokens).withColumn("stem", stem)
 
 
-def vocabulary_sample(vocab: DataFrame, n: int = 20) -> DataFrame:
-    """The size of the vocabulary beside its first ``n`` terms."""
-    size = vocab.agg(F.count(F.lit(1))).scalar()
-    return vocab.filter(F.col("rank") <= n).withColumn("vocab_size", size)
+def vocabulary_sample(statistics: DataFrame, n: int = 20) -> DataFrame:
+    """The number of all terms beside the ``n`` most frequent, ranked."""
+    size = statistics.agg(F.count(F.lit(1))).scalar()
+    order = [F.desc("count"), F.asc("term")]
+    rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order))
+    top = statistics.orderBy(*order).limit(n)
+    return top.select(rank.alias("rank"), "term", "count", "df").withColumn("vocab_size", size)

@@ -21,16 +21,17 @@ from pyspark.ml.feature import (
     Tokenizer,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame
+from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textstyle.functions import text as T
 from textstyle.operators.metrics import calculate_metrics
-from textstyle.operators.ordering import assign_split, best, leaderboard
+from textstyle.operators.ordering import assign_split, best, hash_slot, leaderboard
 from textstyle.operators.terms import vocabulary
 from textstyle.session import write_through
 
+# Seed, column names and model names.
 SEED = 42
 CLEAN, WORDS, TF, TFIDF = "abstract_clean", "words_tfidf", "tf_features", "tfidf_features"
 LOGISTIC, FOREST, SVM = "Logistic Regression", "Random Forest", "Linear SVM"
@@ -98,7 +99,6 @@ class Grid:
     depths: Sequence[int] = (8, 12)
     svm_regs: Sequence[float] = (0.01, 0.1)
     train_ratio: float = 0.80
-    parallelism: int = 2
     weight_col: str | None = None
     """Row weights for unbalanced classes, off by default."""
 
@@ -116,16 +116,24 @@ def train_logistic_regression(train: DataFrame, grid: Grid = Grid(), label: str
     ).fit(train)
 
 
+#: Marks the training rows that the search fits on; it judges by the others.
+INNER = "_inner"
+
+
 def _search(estimator, params, train: DataFrame, grid: Grid, label: str):
+    """The parameters with the best F1 on whole groups not fitted on; ties to the first."""
     f1 = MulticlassClassificationEvaluator(labelCol=label, metricName="f1")
-    return TrainValidationSplit(
-        estimator=estimator,
-        estimatorParamMaps=params,
-        evaluator=f1,
-        trainRatio=grid.train_ratio,
-        parallelism=grid.parallelism,
-        seed=SEED,
-    ).fit(train).bestModel
+    fitted, judged = train.filter(INNER), train.filter(~F.col(INNER))
+    if judged.isEmpty() or fitted.isEmpty():
+        return estimator.fit(train, params[0])
+    scores = [f1.evaluate(estimator.fit(fitted, p).transform(judged)) for p in params]
+    return estimator.fit(train, params[scores.index(max(scores))])
+
+
+def inner_split(group: Column, grid: Grid) -> Column:
+    """Another hash than that of the outer split, so the two are unrelated."""
+    slot = hash_slot(F.concat(F.lit("inner "), group.cast("string"))) % 100
+    return F.coalesce(slot, F.lit(0)) < round(100 * grid.train_ratio)
 
 
 def train_random_forest(train: DataFrame, grid: Grid = Grid(), label: str = "label"):
@@ -158,14 +166,19 @@ def train_models(
     names: Sequence[str] = tuple(TRAINERS),
     grid: Grid = Grid(),
     label: str = "label",
+    group_key: Column | str = CLEAN,
 ) -> dict[str, PipelineModel]:
     """Fit each classifier; every result goes from clean text to prediction.
 
     The vectors are written once and read by all iterations, so neither text
-    work nor a lost executor makes them be computed again.
+    work nor a lost executor makes them be computed again. The search of
+    parameters keeps rows that share ``group_key`` on one side, by default
+    equal texts. Rows without label are left out.
     """
+    group = F.col(group_key) if isinstance(group_key, str) else group_key
     kept = [TFIDF, label, *([grid.weight_col] if grid.weight_col else [])]
-    vectors = write_through(features.transform(train).select(*kept), "vectors")
+    rows = train.filter(F.col(label).isNotNull()).withColumn(INNER, inner_split(group, grid))
+    vectors = write_through(features.transform(rows).select(*kept, INNER), "vectors")
     return {
         name: PipelineModel([*features.stages, TRAINERS[name](vectors, grid, label)])
         for name in names
@@ -190,9 +203,10 @@ def score(df: DataFrame, model: Transformer) -> DataFrame:
     return scored.select(*kept, *made)
 
 
-def sample_predictions(scored: DataFrame, n: int = 5) -> DataFrame:
-    wanted = ["text", "label", "prediction", "probability"]
-    return scored.select(*[c for c in wanted if c in scored.columns]).limit(n)
+def sample_predictions(scored: DataFrame, key: Sequence[str], n: int = 5) -> DataFrame:
+    """The first ``n`` rows by ``key``, so that every run shows the same."""
+    wanted = [*key, "text", "label", "prediction", "probability"]
+    return scored.select(*[c for c in wanted if c in scored.columns]).orderBy(*key).limit(n)
 
 
 def _shared_stages(models: Sequence[PipelineModel]) -> int:
@@ -275,14 +289,21 @@ def train_all(
     vocab_size: int = 10_000,
     min_df: int = 2,
 ) -> TrainingRun:
-    """Split by group, learn on train, choose on validation, report on test."""
-    tagged = assign_split(df, group_key)
+    """Split by group, learn on train, choose on validation, report on test.
+
+    The split rows are written once: text work is not repeated for the
+    vocabulary, the weights, the vectors and the evaluation. Rows without label
+    are in no split.
+    """
+    group = F.col(group_key) if isinstance(group_key, str) else group_key
+    rows = df.filter(F.col("label").isNotNull()).withColumn("_group", group.cast("string"))
+    tagged = write_through(assign_split(rows, "_group"), "split-rows")
     parts = {
         name: tagged.filter(F.col("split") == name).drop("split")
         for name in ("train", "validation", "test")
     }
     features = fit_tfidf(parts["train"], clean_col, vocab_size, min_df)
-    models = train_models(parts["train"], features, names, grid)
+    models = train_models(parts["train"], features, names, grid, group_key="_group")
     held_out = tagged.filter(F.col("split") != "train")
     # A report of a few rows: written, so that reading it trains nothing again.
     metrics = write_through(evaluate_models(models, held_out), "metrics")

@@ -20,18 +20,17 @@ def preprocess(
     text_col: str = "text",
     profile: Profile = P.CORPUS,
     *,
-    stopwords: Iterable[str] = P.ARABIC_STOPWORDS,
+    stopwords: Iterable[str],
     normalize_stopwords: bool = True,
     keep_empty_tokens: bool = False,
     stem_depth: str = "root",
     dictionary: DataFrame | None = None,
-    id_col: str | None = None,
 ) -> DataFrame:
     """Add ``text_clean``, ``words``, ``words_no_stopwords``, ``words_stemmed``
     and ``abstract_clean``.
 
-    Rules stem in place. A ``dictionary`` of ``(token, stem)`` replaces them
-    and then needs ``id_col``, a unique key, in case it outgrows a broadcast.
+    ``stopwords`` is the caller's whole list. Rules stem in place; a
+    ``dictionary`` of ``(token, stem)`` replaces them.
     """
     clean = T.normalize(text_col, profile)
     if profile.strip_web:
@@ -52,11 +51,7 @@ def preprocess(
         .withColumn("words_no_stopwords", kept)
     )
     if dictionary is not None:
-        if id_col is None:
-            raise ValueError("a stem dictionary needs id_col")
-        df = stem_with_dictionary(
-            df, "words_no_stopwords", dictionary, "words_stemmed", id_col
-        )
+        df = stem_with_dictionary(df, "words_no_stopwords", dictionary, "words_stemmed")
     else:
         stems = stem_tokens(F.col("words_no_stopwords"), depth=stem_depth, has_vowels=False)
         df = df.withColumn("words_stemmed", stems)
@@ -70,7 +65,10 @@ def load_and_preprocess(
     profile: Profile = P.CORPUS,
     **options,
 ) -> DataFrame:
-    """Read Parquet, preprocess, write; the result reads the written table."""
+    """Read Parquet, preprocess, write; the result reads the written table.
+
+    ``options`` are those of :func:`preprocess`, ``stopwords`` among them.
+    """
     clean = preprocess(read_table(spark, input_path), "text", profile, **options)
     write_table(clean, output_path)
     return read_table(spark, output_path, schema=clean.schema)

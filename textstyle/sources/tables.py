@@ -89,6 +89,21 @@ def ingest_splits(splits: Mapping[str, DataFrame], root: str) -> dict[str, str]:
     return paths
 
 
+def ingest_table(df: DataFrame, root: str, source_col: str) -> None:
+    """Write every source of ``df`` to its own ``source=<name>`` folder, in one pass.
+
+    Rows without source get the folder that Spark names for NULL.
+    """
+    df.withColumnRenamed(source_col, "source").write.partitionBy("source").parquet(root)
+
+
+def verify_table(rows: DataFrame) -> DataFrame:
+    """Rows and columns of each source of an ingested table."""
+    n_cols = len(rows.columns) - 1
+    counts = rows.groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"))
+    return counts.withColumn("n_cols", F.lit(n_cols))
+
+
 def read_splits(
     spark: SparkSession, root: str, schema: StructType | str | None = None
 ) -> DataFrame:

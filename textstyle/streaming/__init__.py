@@ -2,6 +2,7 @@
 
 from textstyle.streaming.live import (
     STREAM_SCHEMA,
+    drain,
     read_json_stream,
     run_for,
     score_stream,
@@ -11,6 +12,7 @@ from textstyle.streaming.live import (
 
 __all__ = [
     "STREAM_SCHEMA",
+    "drain",
     "read_json_stream",
     "run_for",
     "score_stream",

@@ -32,21 +32,24 @@ def read_json_stream(
     spark: SparkSession,
     path: str,
     schema: StructType = STREAM_SCHEMA,
-    files_per_trigger: int = 1,
+    files_per_trigger: int | None = None,
 ) -> DataFrame:
     """JSON lines below ``path``, sub-folders included.
 
+    ``files_per_trigger`` limits a batch where its latency matters.
+
     A line that is not JSON arrives with NULL fields and its raw text in
     ``_corrupt_record``.
     """
-    return (
+    reader = (
         spark.readStream.schema(with_corrupt_record(schema))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("maxFilesPerTrigger", files_per_trigger)
         .option("recursiveFileLookup", True)
-        .json(path)
     )
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.json(path)
 
 
 def score_stream(
@@ -110,6 +113,20 @@ def run_for(query: StreamingQuery, seconds: float = 300) -> bool:
         query.stop()
 
 
+def drain(query: StreamingQuery, seconds: float | None = None) -> None:
+    """Wait for a query that ends by itself, as ``every=None`` does.
+
+    A sink is complete only after that, so a query that has not ended within
+    ``seconds`` (by default there is no limit) is stopped and raises.
+    """
+    try:
+        ended = query.awaitTermination(seconds) if seconds else query.awaitTermination() or True
+    finally:
+        query.stop()
+    if not ended:
+        raise TimeoutError(f"the stream has not ended in {seconds} seconds; its sink is not complete")
+
+
 def write_micro_batches(
     df: DataFrame,
     path: str,
