@@ -48,6 +48,8 @@ def counts_of(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
     points = np.where(is_letter, points, 32)
     keep = np.ones(len(points), bool)
     keep[1:] = is_letter[1:] | is_letter[:-1]  # one blank for a run of them
+    ends = np.flatnonzero(is_letter)[[0, -1]]
+    keep[: ends[0]] = keep[ends[1] + 1 :] = False
     points = np.concatenate([[32], points[keep], [32]]).astype(np.uint64)
     counts, key = np.zeros(1 << _BITS, np.int64), points
     for n in _ORDERS:
