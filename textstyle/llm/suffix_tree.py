@@ -46,7 +46,7 @@ MIN_GAIN = 5.0
 #: Discount of every seen pair; what it frees goes to the suffix.
 DISCOUNT = 0.75
 #: Bytes of text in a block (a longer document is one alone), tokens to a bucket.
-BLOCK_BYTES, BUCKET_TOKENS = 12 << 20, 4 << 20
+BLOCK_BYTES, BUCKET_TOKENS = 12 << 20, 2 << 20
 #: Files of the table of blocks, at most; more blocks share them.
 MAX_BUCKETS = 50_000
 CACHED_WORDS = 300_000
@@ -100,7 +100,7 @@ def _pack(*arrays: np.ndarray) -> bytes:
     for a in arrays:
         a = np.ascontiguousarray(a)
         planes.append((a.dtype.str, len(a), a.view(np.uint8).reshape(len(a), -1).T.tobytes()))
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(planes))
+    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(planes))
 
 
 def _unpack(data: bytes) -> list[np.ndarray]:
@@ -112,8 +112,26 @@ def _unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
+def _steps(values: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """Ascending 40-bit numbers as byte planes of their steps, anew at each ``first``."""
+    steps = values.copy()
+    steps[1:] -= values[:-1]
+    steps[first] = values[first]
+    return [(steps >> np.uint64(8 * k)).astype(np.uint8) for k in range(5)]
+
+
+def _from_steps(planes: list[np.ndarray], first: np.ndarray) -> np.ndarray:
+    steps = np.zeros(len(planes[0]), np.uint64)
+    for k, plane in enumerate(planes):
+        steps |= plane.astype(np.uint64) << np.uint64(8 * k)
+    total = np.cumsum(steps, dtype=np.uint64)
+    size = np.diff(np.r_[first, len(steps)])
+    return total - np.repeat(total[first] - steps[first], size)
+
+
 def _small(counts: np.ndarray) -> np.ndarray:
-    return counts.astype(np.uint32)
+    wide = len(counts) and counts.max() >= 1 << 32
+    return counts.astype(np.uint64 if wide else np.uint32)
 
 
 # --- Blocks -----------------------------------------------------------------------
@@ -193,6 +211,7 @@ class Block:
         """Level 0: corpus counts of the block's words."""
         total = np.zeros(len(self.vocabulary), np.int64)
         for bucket, where in _dealt(self.vocabulary, buckets):
+            where = where[np.argsort(self.vocabulary[where])]
             total[where] = _unpack(answers[bucket])[0]
         self.counts = total
         self.base = np.log((total + 0.1) / (n + 0.1 * (v + 1)))[self.place]
@@ -339,23 +358,27 @@ def _answer(asked: DataFrame, level: int, merge: Callable) -> DataFrame:
 
 def _merge_words(sent: list[list[np.ndarray]]) -> tuple[int, list[bytes]]:
     """Adds the counts of all blocks; ``fresh`` is the number of trained words."""
-    words, counts = (np.concatenate([s[k] for s in sent]) for k in range(2))
+    words = np.concatenate([np.cumsum(s[0], dtype=np.uint64) for s in sent])
+    counts = np.concatenate([s[1] for s in sent])
     known, place = np.unique(words, return_inverse=True)
     total = np.bincount(place, weights=counts, minlength=len(known)).astype(np.int64)
     ends = np.cumsum([len(s[0]) for s in sent])
-    return int((total > 0).sum()), [_pack(t) for t in np.split(total[place], ends[:-1])]
+    return int((total > 0).sum()), [_pack(_small(t)) for t in np.split(total[place], ends[:-1])]
 
 
-def _merge_pairs(sent: list[list[np.ndarray]]) -> tuple[int, list[bytes]]:
+def _merge_pairs(sent: list[list[np.ndarray]], last: bool) -> tuple[int, list[bytes]]:
     """Adds the counts of all blocks and tests the contexts.
 
     A block sends its contexts, the number of pairs of each, and the pairs'
     next words, counts and suffix's probability, which all blocks know alike.
+    Of a context that is not kept it is told only whether each pair is
+    frequent enough to be a context of the next level, if there is one.
     """
-    keys = [np.repeat(s[0], s[1]) for s in sent]
-    key, following, counts, share = (
-        np.concatenate(x) for x in (keys, *([_next(s) for s in sent], *([s[k] for s in sent] for k in (7, 8))))
-    )
+    firsts = [np.cumsum(s[1], dtype=np.int64) - s[1] for s in sent]
+    keys = [np.repeat(np.cumsum(s[0], dtype=np.uint64), s[1]) for s in sent]
+    nexts = [_from_steps(s[2:7], first) for s, first in zip(sent, firsts)]
+    counts, share = (np.concatenate([s[k] for s in sent]) for k in (7, 8))
+    key, following = np.concatenate(keys), np.concatenate(nexts)
     order = np.lexsort((following, key))
     new = np.ones(len(key), bool)
     new[1:] = (key[order][1:] != key[order][:-1]) | (following[order][1:] != following[order][:-1])
@@ -375,31 +398,25 @@ def _merge_pairs(sent: list[list[np.ndarray]]) -> tuple[int, list[bytes]]:
     for s, k in zip(sent, keys):
         mine = pair[at : at + len(k)]
         at += len(k)
-        contexts = own[mine[np.cumsum(s[1]) - s[1]]]
+        contexts = own[mine[np.cumsum(s[1], dtype=np.int64) - s[1]]]
+        known, rest = kept[contexts], 0 if last else MIN_COUNT_LONG
+        told = np.where(np.repeat(known, s[1]), total[mine], np.minimum(total[mine], rest))
         answers.append(
-            _pack(_small(total[mine]), kept[contexts].astype(np.uint8),
-                  _small(size[contexts]), _small(types[contexts]))
+            _pack(_small(told), known.astype(np.uint8),
+                  _small(size[contexts] * known), _small(types[contexts] * known))
         )
     return int(kept.sum()), answers
 
 
-def _next(s: list[np.ndarray]) -> np.ndarray:
-    """Next words from their five byte planes."""
-    out = np.zeros(len(s[2]), np.uint64)
-    for k in range(5):
-        out |= s[2 + k].astype(np.uint64) << np.uint64(8 * k)
-    return out
-
-
 def _sent_pairs(block: Block, level: int, buckets: int) -> Iterator[tuple[int, bytes]]:
     key, following, counts, share, _, _ = block.pairs(level)
-    planes = [(following >> np.uint64(8 * k)).astype(np.uint8) for k in range(5)]
     for bucket, where in _dealt(key, buckets):
         own = key[where]
         first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
         n = np.diff(np.r_[first, len(own)])
+        steps = np.diff(own[first], prepend=np.uint64(0))  # keys ascend in a bucket
         yield bucket, _pack(
-            own[first], _small(n), *[p[where] for p in planes], _small(counts[where]), share[where]
+            steps, _small(n), *_steps(following[where], first), _small(counts[where]), share[where]
         )
 
 
@@ -437,7 +454,10 @@ def score(
 
     def ask_words(data):
         vocabulary, counts, _ = _unpack(data)
-        return ((b, _pack(vocabulary[w], counts[w])) for b, w in _dealt(vocabulary, buckets))
+        for bucket, where in _dealt(vocabulary, buckets):
+            where = where[np.argsort(vocabulary[where])]
+            steps = np.diff(vocabulary[where], prepend=np.uint64(0))
+            yield bucket, _pack(steps, counts[where])
 
     told = write_through(_answer(_ask(blocks, None, ask_words, buckets), 0, _merge_words), "words")
     v = told.agg(F.sum("fresh").alias("v")).first()["v"] or 0
@@ -458,7 +478,11 @@ def score(
             return _sent_pairs(informed(row, answers, level), level, buckets)
 
         asked = _ask(blocks.drop("ids"), told, ask_pairs, buckets)
-        told = told.unionByName(write_through(_answer(asked, level, _merge_pairs), "pairs"))
+
+        def merge(sent, last=level == depth):
+            return _merge_pairs(sent, last)
+
+        told = told.unionByName(write_through(_answer(asked, level, merge), "pairs"))
 
     made = StructType.fromDDL(
         "held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
