@@ -15,12 +15,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textstyle.catalog import QUERIES
-from textstyle.catalog.learning import turns
+from textstyle.catalog.learning import rule_scores, turns
 from textstyle.catalog.registry import arabic_script, arabic_stopwords, table
+from textstyle.catalog.streams import stream_tokens
 from textstyle.functions import profiles as P
 from textstyle.functions import text as T
 from textstyle.operators.features import stylometric_features
-from textstyle.operators.terms import tfidf_long, top_ngrams, vocabulary
+from textstyle.operators.metrics import roc_auc
+from textstyle.operators.terms import (
+    rule_dictionary,
+    stem_with_dictionary,
+    term_statistics,
+    tfidf_long,
+    top_ngrams,
+)
 from textstyle.plans import learning as L
 from textstyle.plans.preprocess import preprocess
 from textstyle.session import get_session
@@ -49,6 +57,10 @@ def main() -> None:
     features = L.fit_tfidf(chats)
     model = L.train_models(chats, features, [L.LOGISTIC])[L.LOGISTIC]
     words = arabic_stopwords()
+    labelled = table(spark, sf_dir, "documents").join(
+        table(spark, sf_dir, "labels").select("doc_id"), "doc_id"
+    )
+    tokens = docs.withColumn("w", T.tokenize("text"))
 
     jobs: dict[str, tuple] = {
         "preprocess_web": (docs, lambda: preprocess(docs, profile=P.WEB, stopwords=words)),
@@ -60,13 +72,26 @@ def main() -> None:
             latin,
             lambda: stylometric_features(latin.withColumn("abstract_clean", F.col("text"))),
         ),
-        "vocabulary": (latin, lambda: vocabulary(latin, T.tokenize("text"))),
+        "term_statistics": (latin, lambda: term_statistics(latin, T.tokenize("text"))),
         "tfidf_long": (latin, lambda: tfidf_long(latin, "doc_id", T.tokenize("text"))),
         "top_bigrams": (latin, lambda: top_ngrams(latin, T.tokenize("text"))),
         "score_batch": (chats, lambda: L.score(chats, model)),
+        "train_logistic": (
+            chats,
+            lambda: L.train_all(chats, "conv_id", names=[L.LOGISTIC]).metrics,
+        ),
+        "stem_dictionary": (
+            docs,
+            lambda: stem_with_dictionary(
+                tokens, "w", rule_dictionary(tokens, F.col("w"), "light"), "stems"
+            ),
+        ),
+        "roc_auc": (labelled, lambda: roc_auc(rule_scores(spark, sf_dir), by=["model"])),
+        "stream_tokens": (chats, lambda: stream_tokens(spark, sf_dir)),
     }
+    # These read the documents that have a label.
     for name in ("stylometric_profile_by_class", "so1_class_sample", "ml13_all_metrics"):
-        jobs[name] = (latin, lambda name=name: QUERIES[name](spark, sf_dir))
+        jobs[name] = (labelled, lambda name=name: QUERIES[name](spark, sf_dir))
 
     seconds, rates = {}, {}
     for name, (rows, job) in jobs.items():
