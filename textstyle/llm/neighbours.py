@@ -350,9 +350,12 @@ def _compared(placed: DataFrame, held: DataFrame, window: int, nearest: int) ->
 
 def _merged(found: DataFrame, nearest: int) -> DataFrame:
     """``entry, found``: the best over all curves and blocks, one more than shown."""
-    order = F.struct((-F.col("b.score")).alias("s"), F.col("b.id").alias("id"))
-    each = found.select("entry", F.explode("best").alias("b")).select("entry", order.alias("o"))
-    lists = each.groupBy("entry").agg(F.array_sort(F.collect_set("o")).alias("all"))
+    # A query has a list for each block that its window meets.
+    every = F.transform(
+        F.flatten(F.collect_list("best")),
+        lambda b: F.struct((-b["score"]).alias("s"), b["id"].alias("id")),
+    )
+    lists = found.groupBy("entry").agg(F.array_sort(F.array_distinct(every)).alias("all"))
     best = F.slice("all", 1, nearest + 1)
     return lists.select(
         "entry",
