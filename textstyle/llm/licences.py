@@ -114,8 +114,8 @@ NO_NOTICES = [
 
 def words(text: Column | str) -> Column:
     """Lower-cased runs of letters, digits, dots, dashes and pluses inside words."""
-    plain = F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}.+-]+|[.+-]+(?![\p{L}\p{N}])", " ")
-    return F.filter(F.split(plain, " +"), lambda w: w != "")
+    parts = F.split(F.lower(text), r"[^\p{L}\p{N}.+-]++|[.+-]++(?![\p{L}\p{N}])")
+    return F.array_remove(parts, "")
 
 
 def terms(found: Column) -> Column:
@@ -157,7 +157,7 @@ def _examples(spark: SparkSession) -> DataFrame:
 
 
 def _paragraphs(docs: DataFrame, text_col: str) -> Column:
-    return F.filter(F.split(F.col(text_col), r"\R+"), lambda p: F.trim(p) != "")
+    return F.filter(F.split(F.col(text_col), r"[\n\x0B\f\r\x{85}\x{2028}\x{2029}]+"), lambda p: F.trim(p) != "")
 
 
 def train(
@@ -165,15 +165,19 @@ def train(
 ) -> Scanner:
     """Fits on the notices and on at most ``sample_rows`` corpus paragraphs.
 
-    Those are the first paragraphs by hash that have none of the words
-    licence, license, licensed, copyright or permission; without any, the
-    written sentences are the only negative examples.
+    Those are paragraphs, one to a document, of the first documents by hash,
+    without any that speaks of licences, copyright or permission; if there are
+    none, the written sentences are the only negative examples.
     """
     spark = docs.sparkSession
-    plain = docs.where(~F.lower(text_col).rlike("licen[cs]e|copyright|permission|spdx"))
+    # The cut is found on the keys, so that only texts near it are looked at.
+    slot = F.xxhash64(*key).alias("h")
+    first = docs.select(slot).orderBy("h").limit(2 * sample_rows)
+    cut = first.agg(F.max("h").alias("c")).first()["c"]
+    near = docs.select(text_col, slot).where(F.col("h") <= F.lit(cut))
+    plain = near.where(~F.lower(text_col).rlike("licen[cs]e|copyright|permission|spdx"))
     # One paragraph of a document, whichever its hash says.
-    found = plain.select(_paragraphs(plain, text_col).alias("p"), F.xxhash64(*key).alias("h"))
-    found = found.where(F.size("p") > 0)
+    found = plain.select(_paragraphs(plain, text_col).alias("p"), "h").where(F.size("p") > 0)
     one = F.element_at("p", (F.pmod("h", F.size("p")) + 1).cast("int"))
     sample = found.select("h", one.alias("text")).orderBy("h", "text").limit(sample_rows)
     rows = _examples(spark).unionByName(sample.select(F.lit(NONE).alias("family"), "text"))
