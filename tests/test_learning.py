@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import pathlib
 
 import pytest
 from pyspark.ml.functions import vector_to_array
@@ -234,8 +235,14 @@ def test_training_reads_its_source_once(spark, chats, tmp_path):
             yield batch
 
     source = chats.mapInArrow(seen, chats.schema)
-    L.train_all(source, "conv_id", names=[L.LOGISTIC], grid=L.Grid(max_iter=2))
+    shared = pathlib.Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir())
+    trained = L.train_all(source, "conv_id", names=[L.LOGISTIC], grid=L.Grid(max_iter=2))
     assert counted.value == chats.count()
+    left = {p.name.rsplit("-", 1)[0] for p in set(shared.iterdir()) - before}
+    assert left == {"split-rows", "metrics"}
+    trained.close()
+    assert set(shared.iterdir()) == before
 
 
 def test_micro_batches_are_one_full_file_each(spark, tmp_path):

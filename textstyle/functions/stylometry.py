@@ -12,15 +12,22 @@ from pyspark.sql import functions as F
 from textstyle.functions import profiles as P
 
 
-def brunets_w(words: Column) -> Column:
-    """N ** (V ** -0.165) for N tokens of V types; 0 below two tokens."""
-    n, v = F.size(words), F.size(F.array_distinct(words))
+def n_types(words: Column) -> Column:
+    return F.size(F.array_distinct(words))
+
+
+def brunets_w(words: Column, types: Column | None = None) -> Column:
+    """N ** (V ** -0.165) for N tokens of V types; 0 below two tokens.
+
+    ``types`` is V where it is a column already.
+    """
+    n, v = F.size(words), n_types(words) if types is None else types
     w = F.pow(n.cast("double"), F.pow(v.cast("double"), F.lit(P.BRUNET_EXPONENT)))
     return F.when(n > 1, w).otherwise(F.lit(0.0))
 
 
-def lexical_diversity(words: Column) -> Column:
-    n, v = F.size(words), F.size(F.array_distinct(words))
+def lexical_diversity(words: Column, types: Column | None = None) -> Column:
+    n, v = F.size(words), n_types(words) if types is None else types
     return F.when(n > 0, v / n).otherwise(F.lit(0.0))
 
 

@@ -29,14 +29,15 @@ def stylometric_features(
 
     Entities are counted on the raw text, whose spelling the gazetteer keeps.
     """
-    words = F.col("_words")
+    words, types = F.col("_words"), F.col("_types")
     return (
         df.withColumn("_words", T.words(clean_col))
-        .withColumn("f_brunets_w", S.brunets_w(words))
+        .withColumn("_types", S.n_types(words))
+        .withColumn("f_brunets_w", S.brunets_w(words, types))
         .withColumn("f_named_entities", S.entity_count(raw_col, gazetteer))
-        .withColumn("f_lexical_diversity", S.lexical_diversity(words))
+        .withColumn("f_lexical_diversity", S.lexical_diversity(words, types))
         .withColumn("f_avg_word_length", S.avg_word_length(words))
-        .drop("_words")
+        .drop("_words", "_types")
     )
 
 

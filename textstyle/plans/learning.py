@@ -29,7 +29,7 @@ from textstyle.functions import text as T
 from textstyle.operators.metrics import calculate_metrics
 from textstyle.operators.ordering import assign_split, best, hash_slot, leaderboard
 from textstyle.operators.terms import vocabulary
-from textstyle.session import write_through
+from textstyle.session import delete_folders, write_through
 
 # Seed, column names and model names.
 SEED = 42
@@ -167,6 +167,7 @@ def train_models(
     grid: Grid = Grid(),
     label: str = "label",
     group_key: Column | str = CLEAN,
+    paths: list[str] | None = None,
 ) -> dict[str, PipelineModel]:
     """Fit each classifier; every result goes from clean text to prediction.
 
@@ -178,7 +179,7 @@ def train_models(
     group = F.col(group_key) if isinstance(group_key, str) else group_key
     kept = [TFIDF, label, *([grid.weight_col] if grid.weight_col else [])]
     rows = train.filter(F.col(label).isNotNull()).withColumn(INNER, inner_split(group, grid))
-    vectors = write_through(features.transform(rows).select(*kept, INNER), "vectors")
+    vectors = write_through(features.transform(rows).select(*kept, INNER), "vectors", paths)
     return {
         name: PipelineModel([*features.stages, TRAINERS[name](vectors, grid, label)])
         for name in names
@@ -240,13 +241,16 @@ def score_models(
 
 
 def evaluate_models(
-    models: Mapping[str, PipelineModel], df: DataFrame, split_col: str = "split"
+    models: Mapping[str, PipelineModel],
+    df: DataFrame,
+    split_col: str = "split",
+    paths: list[str] | None = None,
 ) -> DataFrame:
     """The metric table, one row per model and split, from one grouped job.
 
     The scores are written first: the metrics read them more than once.
     """
-    scored = write_through(score_models(df, models, split_col, "label"), "scores")
+    scored = write_through(score_models(df, models, split_col, "label"), "scores", paths)
     return calculate_metrics(scored, by=["model", split_col])
 
 
@@ -273,11 +277,16 @@ class TrainingRun:
     metrics: DataFrame
     best_name: str
     splits: dict[str, DataFrame] = field(default_factory=dict)
+    paths: list[str] = field(default_factory=list)
 
     @property
     def best_model(self) -> PipelineModel:
         return self.models[self.best_name]
 
+    def close(self) -> None:
+        """Delete the split rows and the metrics; the models stay usable."""
+        delete_folders(self.metrics.sparkSession, self.paths)
+
 
 def train_all(
     df: DataFrame,
@@ -297,18 +306,21 @@ def train_all(
     """
     group = F.col(group_key) if isinstance(group_key, str) else group_key
     rows = df.filter(F.col("label").isNotNull()).withColumn("_group", group.cast("string"))
-    tagged = write_through(assign_split(rows, "_group"), "split-rows")
+    kept_paths, scratch = [], []
+    tagged = write_through(assign_split(rows, "_group"), "split-rows", kept_paths)
     parts = {
         name: tagged.filter(F.col("split") == name).drop("split")
         for name in ("train", "validation", "test")
     }
     features = fit_tfidf(parts["train"], clean_col, vocab_size, min_df)
-    models = train_models(parts["train"], features, names, grid, group_key="_group")
+    models = train_models(parts["train"], features, names, grid, group_key="_group", paths=scratch)
     held_out = tagged.filter(F.col("split") != "train")
     # A report of a few rows: written, so that reading it trains nothing again.
-    metrics = write_through(evaluate_models(models, held_out), "metrics")
+    measured = evaluate_models(models, held_out, paths=scratch)
+    metrics = write_through(measured, "metrics", kept_paths)
+    delete_folders(df.sparkSession, scratch)  # vectors and scores
     top = best(model_leaderboard(metrics), "validation_f1", "model").first()
-    return TrainingRun(models, metrics, top["model"], parts)
+    return TrainingRun(models, metrics, top["model"], parts, kept_paths)
 
 
 # --- throughput -----------------------------------------------------------------------------

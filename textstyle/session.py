@@ -46,12 +46,22 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base}/{purpose}-{uuid.uuid4().hex}"
 
 
-def write_through(df: DataFrame, purpose: str) -> DataFrame:
+def write_through(df: DataFrame, purpose: str, paths: list[str] | None = None) -> DataFrame:
     """Cut lineage: write ``df`` once to the shared folder and read it back.
 
     Unlike a checkpoint this computes ``df`` once, and the table read back has
-    a size that the optimiser knows.
+    a size that the optimiser knows. Its folder is added to ``paths``, for
+    callers that delete it with :func:`delete_folders`.
     """
     path = shared_folder(df.sparkSession, purpose)
+    if paths is not None:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete_folders(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that :func:`write_through` made; ``paths`` is emptied."""
+    while paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
