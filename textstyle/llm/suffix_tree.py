@@ -49,7 +49,7 @@ DISCOUNT = 0.75
 BLOCK_BYTES, BUCKET_TOKENS = 12 << 20, 2 << 20
 #: Files of the table of blocks, at most; more blocks share them.
 MAX_BUCKETS = 50_000
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 
 _END = np.uint64(0x632BE59BD9B4E019)  # stands for the end of a document
 _NEXT = np.uint64((1 << 40) - 1)
@@ -203,7 +203,8 @@ class Block:
         self.train = np.repeat(~np.asarray(held, bool), self.lengths)
         starts = np.cumsum(self.lengths) - self.lengths
         n = len(self.place)
-        self.since = np.arange(n) - np.repeat(starts, self.lengths)  # words before it
+        before = np.arange(n, dtype=np.int32) - np.repeat(starts.astype(np.int32), self.lengths)
+        self.since = before  # words of the document before a place
         self.words = self.vocabulary[self.place]
         self.p = np.empty(0)
 
@@ -214,8 +215,8 @@ class Block:
             where = where[np.argsort(self.vocabulary[where])]
             total[where] = _unpack(answers[bucket])[0]
         self.counts = total
-        self.base = np.log((total + 0.1) / (n + 0.1 * (v + 1)))[self.place]
-        self.p = np.exp(self.base)
+        self.share = (total + 0.1) / (n + 0.1 * (v + 1))
+        self.p = self.share[self.place]
         self.depth = np.zeros(len(self.p), np.int8)
         self.eligible = total[self.place] >= MIN_COUNT  # the word as a context
 
@@ -234,9 +235,11 @@ class Block:
         usable[1:] = self.eligible[:-1]
         usable &= self.since >= level
         at = np.flatnonzero(usable)
+        del usable
         key, following = self.contexts(level)[at], self.words[at] & _NEXT
         order = np.lexsort((following, key))
         key, following, at = key[order], following[order], at[order]
+        del order
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (following[1:] != following[:-1])
         starts = np.flatnonzero(new)
@@ -501,7 +504,7 @@ def score(
             pa.array(block.lengths),
             pa.array(block.sums(known.astype(np.int64))),
             pa.array(np.full(len(block.lengths), n, np.int64)),
-            pa.array(block.sums(block.base) / math.log(10)),
+            pa.array(block.sums(np.log(block.share)[block.place]) / math.log(10)),
             pa.array(block.sums(np.log(block.p)) / math.log(10)),
             pa.array(block.sums(block.depth.astype(float)) / block.lengths),
         ]
