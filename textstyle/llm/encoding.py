@@ -20,7 +20,7 @@ from tokenizers import Tokenizer
 
 ID_BYTES = 4
 #: Pieces in each of a worker's two tables; only speed depends on it.
-CACHED_PIECES = 400_000
+CACHED_PIECES = 300_000
 #: Below it, letters, lower case and composition are the same in every Unicode.
 LATIN_END = "İ"
 

@@ -41,7 +41,7 @@ PIVOTS = 8
 #: Members are sent to the scan of the documents up to this size.
 BROADCAST_BYTES = 64 << 20
 #: Words in each of a worker's two hash tables; only speed depends on it.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 
 _A, _B, _C = (np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _SHIFT = np.uint64(29)
@@ -151,9 +151,8 @@ class SkipIndex:
         """The allowed sets that link with ``query``."""
         n, percent = len(query), self.percent
         at = np.searchsorted(self.tokens, query)
-        at = at[at < len(self.tokens)]
-        known = np.isin(self.tokens[at], query, assume_unique=True)
-        at = at[known]
+        inside = at < len(self.tokens)
+        at = at[inside][self.tokens[at[inside]] == query[inside]]
         smallest = -(-percent * n // 100)
         least = int(required(n, smallest, percent))
         if len(at) < least:
@@ -271,7 +270,7 @@ def _set_hash(found: np.ndarray) -> int | None:
 def _stars(sets: DataFrame) -> DataFrame:
     """Links from the first set with a signature to each other one with it."""
     rows = sets.where("n > 0").select("h", F.explode("signatures").alias("s"))
-    # By ranges a signature stays together, and sorting may spill.
+    # A signature stays in one partition, and sorting may spill.
     dealt = rows.repartition("s").sortWithinPartitions("s", "h")
 
     def run(batches):

@@ -8,6 +8,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: Bits of a hash that tell the slots of a sample's histogram apart.
+SLOT_BITS = 20
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -50,11 +53,22 @@ def check_names(df: DataFrame, made: list[str]) -> None:
 def take_per_class(df: DataFrame, label: str, key: list[str], n: int) -> DataFrame:
     """At most ``n`` rows of each class, the first by a hash of ``key``.
 
-    Spark keeps ``n`` rows a class in each partition before it shuffles.
+    A histogram of hashes over labels and keys alone gives each class the last
+    slot that its sample can reach; only rows up to it are shuffled, however
+    many partitions there are. The cuts have one row a class.
     """
-    order = [F.xxhash64(*key), *key]
+    hashed = F.xxhash64(*key)
+    slot = F.shiftrightunsigned(hashed, 64 - SLOT_BITS).alias("_slot")
+    running = F.sum("_n").over(Window.partitionBy(label).orderBy("_slot"))
+    counts = df.groupBy(label, slot).agg(F.count("*").alias("_n"))
+    reached = counts.withColumn("_before", running - F.col("_n")).where(F.col("_before") < n)
+    cuts = reached.groupBy(F.col(label).alias("_label")).agg(F.max("_slot").alias("_last"))
+    near = df.withColumn("_hash", hashed).join(F.broadcast(cuts), F.col(label) == F.col("_label"))
+    near = near.where(F.shiftrightunsigned("_hash", 64 - SLOT_BITS) <= F.col("_last"))
+    # Negative hashes have the highest slots.
+    order = [F.shiftrightunsigned("_hash", 64 - SLOT_BITS), F.col("_hash"), *map(F.col, key)]
     rank = F.row_number().over(Window.partitionBy(label).orderBy(*order))
-    return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+    return near.withColumn("_rank", rank).where(F.col("_rank") <= n).select(df.columns)
 
 
 def fit_in_task(sample: DataFrame, fit: Callable[[list[tuple]], bytes]) -> bytes:
