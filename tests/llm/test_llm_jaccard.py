@@ -109,6 +109,19 @@ def test_linked_sets_share_a_signature():
             assert set(J.signatures(a)) & set(J.signatures(b))
 
 
+@pytest.mark.parametrize("percent, sizes", [(90, 60), (80, 30)])
+def test_all_linked_sizes_share_a_signature_in_one_part(percent, sizes):
+    """All shingles in one part: the others are empty, and that one differs."""
+    pool = np.random.default_rng(2).integers(0, 1 << 62, 5_000_000).astype(np.uint64)
+    pool = np.unique(pool[(J._mix(pool) >> np.uint64(8)) % np.uint64(27720) == 0])  # of 1 to 12 parts
+    assert len(pool) > 2 * sizes
+    for b in range(1, sizes):
+        for a in range(-(-percent * b // 100), b + 1):
+            for shared in range(J.required(a, b, percent), a + (a < b)):
+                one, other = pool[:a], pool[a - shared : a - shared + b]
+                assert set(J.signatures(one, percent)) & set(J.signatures(other, percent)), (a, b, shared)
+
+
 def test_search_equals_counting():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 1 << 62, 200).astype(np.uint64)

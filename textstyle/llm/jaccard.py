@@ -2,10 +2,11 @@
 
 1. Every document becomes a set of hashed shingles; equal sets are one class.
 2. Candidates: two sets that reach the threshold differ in at most ``d``
-   shingles. Shingles are dealt by hash to ``d + 2`` parts, so at least two
-   parts are equal; a part's content is one signature. Sets that share a
-   signature are joined to one cluster, by a star a signature. Common passages
-   do not join clusters, as a whole part has to be equal.
+   shingles. Shingles are dealt by hash to ``d + 1 + s`` parts, so at least
+   ``s + 1`` parts are equal; the content of a part is one signature, and a set
+   leaves out its ``s`` smallest parts. Sets that share a signature are joined
+   to one cluster, by a star a signature. Common lines seldom join clusters, as
+   a whole part of several shingles has to be equal; long common passages may.
 3. T-occurrence search in each cluster: an inverted index, the shortest lists
    merged, the long ones probed by binary search (DivideSkip), and the sets
    kept that reach the overlap their sizes require. Links between sets that
@@ -119,16 +120,19 @@ def signatures(found: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     number, top = _band(n, percent)
     out = []
     for band, limit in ((number, top), (number + 1, max(top + 1, 100 * (top + 1) // percent))):
-        most = 2 * limit - 2 * required(limit, limit, percent)
-        parts = np.uint64(most + 2)
-        part = (_mix(found) >> np.uint64(8)) % parts
+        # No linked pair of sizes up to ``limit`` differs by more.
+        most = 2 * limit * (100 - percent) // (100 + percent)
+        spare = most // 3 + 1
+        parts = most + 1 + spare
+        part = ((_mix(found) >> np.uint64(8)) % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
-        own, starts = np.unique(part[order], return_index=True)
-        content = np.add.reduceat(_mix(found ^ _A)[order], starts)
-        if len(own) < most + 1:  # two or more empty parts: they might be all that is equal
-            empty = np.setdiff1d(np.arange(most + 2, dtype=np.uint64), own)
-            own = np.concatenate([own, empty])
-            content = np.concatenate([content, np.zeros(len(empty), np.uint64)])
+        filled, starts = np.unique(part[order], return_index=True)
+        content = np.zeros(parts, np.uint64)
+        content[filled] = np.add.reduceat(_mix(found ^ _A)[order], starts)
+        # Linked sets have spare + 1 equal parts. Both sets order those alike,
+        # so neither drops the last of them with its ``spare`` smallest parts.
+        own = np.argsort(np.bincount(part, minlength=parts), kind="stable")[spare:]
+        content, own = content[own], own.astype(np.uint64)
         out.append(_mix(content + _mix(own + np.uint64(band << 32))))
     return np.concatenate(out)
 
