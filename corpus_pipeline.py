@@ -18,6 +18,8 @@ from textstyle.session import write_through
 MIN_LANGUAGE = 0.3
 #: Below it a text is of low quality.
 MIN_QUALITY = 0.5
+#: Near copies: Jaccard similarity in percent, of shingles of so many words.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +49,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows that repeat an id and text are one document.
     """
-    near = jaccard.near_classes(docs)
+    near = jaccard.near_classes(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
     kept = near.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = kept.select(F.col("doc_id").alias("kept_id")).distinct()
     stays = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")

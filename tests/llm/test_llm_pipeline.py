@@ -39,3 +39,13 @@ def test_each_stage_decides(spark, sf_dir):
     assert left == {1, 2, 3, None}
     for _, stage in P.STAGES:
         assert stage(spark, docs.limit(0), sf_dir).count() == 0
+
+
+def test_near_copies_of_five_word_shingles(spark, sf_dir):
+    schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
+    words = [[f"{name}{k}" for k in range(100)] for name in "abcd"]
+    edited, appended, less = list(words[0]), words[1] + [f"e{k}" for k in range(20)], words[2] + [f"f{k}" for k in range(26)]
+    edited[30], edited[70] = "x", "y"
+    texts = [words[0], edited, words[1], appended, words[2], less, words[3]]  # 86/106, 96/116, 96/122
+    docs = spark.createDataFrame([(k, " ".join(w), "en", "s", 0) for k, w in enumerate(texts)], schema)
+    assert {r["doc_id"] for r in P.one_of_each(spark, docs, sf_dir).collect()} == {0, 2, 4, 5, 6}
