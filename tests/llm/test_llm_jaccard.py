@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from textstyle.llm import jaccard as J
 from textstyle.llm.components import components
@@ -91,6 +92,34 @@ def test_one_large_cluster_in_blocks(spark):
     assert sorted(tuple(r) for r in got) == _expected(rows)
 
 
+def test_no_search_holds_more_than_two_blocks(spark, monkeypatch):
+    """One large cluster of texts of which few link."""
+    rng, rows, held = random.Random(6), [], []
+    for k in range(160):
+        rows.append((k, " ".join(f"r{rng.randrange(10**6)}" for _ in range(40))))
+    rows += [(1000 + k, rows[k][1] + " more") for k in range(0, 160, 16)]
+
+    def one_star(sets):
+        h = sets.where("n > 0").select("h")
+        return h.crossJoin(h.agg(F.min("h").alias("v"))).select(F.col("h").alias("u"), "v")
+
+    def counted(search):
+        def run(found, percent):
+            keys = [c for c in ("cluster", "block", "low", "high") if c in found.columns]
+            held.extend(r["count"] for r in found.groupBy(*keys).count().collect())
+            return search(found, percent)
+
+        return run
+
+    monkeypatch.setattr(J, "_stars", one_star)
+    for name in {"_search", "_search_pairs"} & set(dir(J)):
+        monkeypatch.setattr(J, name, counted(getattr(J, name)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = J.near_classes(docs, block_sets=16).collect()
+    assert sorted(tuple(r) for r in got) == _expected(rows)
+    assert len(held) > 11 and max(held) < 80  # of 170, blocks being dealt by hash
+
+
 def test_null_ids_and_empty_table(spark):
     docs = spark.createDataFrame([(None, "a b c d"), (2, "a b c d"), (None, "x y z")], "doc_id bigint, text string")
     got = sorted(((r[0] or 0, r[2] or 0) for r in J.near_classes(docs).collect()))

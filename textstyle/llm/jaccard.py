@@ -184,11 +184,11 @@ class SkipIndex:
         return found[counts >= need]
 
 
-def forest(sets: list[np.ndarray], queries: np.ndarray, percent: int = PERCENT) -> list[tuple]:
-    """Links ``(i, j)`` that connect what the links of ``queries`` connect."""
+def forest(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple]:
+    """Links ``(i, j)`` that connect what all links connect."""
     index, group = SkipIndex(sets, percent), np.arange(len(sets))
     links = []
-    for i in queries:
+    for i in range(len(sets)):
         # Sets already in one component with the query need no test.
         for j in index.search(sets[i], group != group[i]):
             if group[j] != group[i]:
@@ -197,6 +197,20 @@ def forest(sets: list[np.ndarray], queries: np.ndarray, percent: int = PERCENT)
     return links
 
 
+def forest_across(sets, roots, ask, others, other_roots, other_ask, percent: int = PERCENT) -> list[tuple]:
+    """Links ``(i, j)`` from ``sets`` to ``others`` that connect what the links
+    of those with ``ask`` connect, beyond what equal roots say."""
+    index = SkipIndex(others, percent)
+    group = np.unique([*roots, *other_roots], return_inverse=True)[1]
+    n, links = len(sets), []
+    for i in range(n):
+        for j in index.search(sets[i], (group[n:] != group[i]) & (ask[i] | other_ask)):
+            if group[n + j] != group[i]:
+                links.append((i, int(j)))
+                group[group == group[n + j]] = group[i]
+    return links
+
+
 # --- The join ----------------------------------------------------------------------
 
 
@@ -321,29 +335,30 @@ def _links(docs, classes, clusters, words, percent, block_sets) -> DataFrame:
     large = members.where("blocks > 1")
     pivots = large.withColumn("r", F.row_number().over(order)).where(F.col("r") <= PIVOTS)
     pivots = pivots.select("h", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("to"))
-    own = tokens.select("cluster", "block", "h", "tokens", F.lit(True).alias("ask"))
-    shared = tokens.join(pivots, "h").select(
-        "cluster", F.col("to").alias("block"), "h", "tokens", F.lit(True).alias("ask")
-    )
+    own = tokens.select("cluster", "block", "h", "tokens")
+    shared = tokens.join(pivots, "h").select("cluster", F.col("to").alias("block"), "h", "tokens")
     inside = write_through(_search(own.unionByName(shared), percent), "links")
     if large.limit(1).count() == 0:
         return inside
-    # In large clusters, all but the largest component ask every other block.
+    # In large clusters, all but the largest component ask every other block:
+    # each pair of blocks with such a set is a search of its own.
     roots = components(inside).select(F.col("node").alias("h"), "root")
     placed = large.join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
     most = placed.groupBy("cluster", "root").agg(F.count("*").alias("k"))
     core = most.groupBy("cluster").agg(F.max_by("root", F.struct("k", "root")).alias("core"))
-    rest = placed.join(core, "cluster").where("root <> core")
-    asked = rest.select(
-        "h", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("to"), "block"
-    ).where("`to` <> block").select("h", "to")
-    queries = tokens.join(asked, "h").select(
-        "cluster", F.col("to").alias("block"), "h", "tokens", F.lit(True).alias("ask")
+    placed = placed.join(core, "cluster").select(
+        "h", "cluster", "block", "blocks", "root", (F.col("root") != F.col("core")).alias("ask")
     )
-    indexed = tokens.where("blocks > 1").select(
-        "cluster", "block", "h", "tokens", F.lit(False).alias("ask")
-    )
-    across = _search(indexed.unionByName(queries), percent)
+    placed = write_through(placed, "placed")
+    asking = placed.where("ask").select("cluster", F.col("block").alias("other")).distinct()
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    sent = placed.select("*", others).where("other <> block")
+    asked = sent.where("NOT ask").join(asking, ["cluster", "other"], "left_semi")
+    sent = sent.where("ask").unionByName(asked.select(sent.columns)).select(
+        "h", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        (F.col("block") < F.col("other")).alias("first"), "root", "ask",
+    )
+    across = _search_pairs(tokens.select("h", "cluster", "tokens").join(sent, "h"), percent)
     return write_through(inside.unionByName(across), "links")
 
 
@@ -372,17 +387,43 @@ def _member_sets(rows: DataFrame, words: int) -> DataFrame:
 
 
 def _search(rows: DataFrame, percent: int) -> DataFrame:
-    """Searches each block; sets with ``ask`` are its queries."""
+    """Searches each block for links between its sets."""
 
     def run(table: pa.Table) -> pa.Table:
-        best: dict[int, list] = {}
-        for h, tokens, ask in zip(*(table.column(c).to_pylist() for c in ("h", "tokens", "ask"))):
-            known = best.setdefault(h, [np.frombuffer(tokens, np.uint64), False])
-            known[1] |= ask
+        best = {h: t for h, t in zip(*(table.column(c).to_pylist() for c in ("h", "tokens")))}
         keys = sorted(best)
-        queries = np.array([i for i, h in enumerate(keys) if best[h][1]], np.int64)
-        links = forest([best[h][0] for h in keys], queries, percent) if len(keys) > 1 else []
+        sets = [np.frombuffer(best[h], np.uint64) for h in keys]
+        links = forest(sets, percent) if len(keys) > 1 else []
         u, v = ([keys[link[k]] for link in links] for k in (0, 1))
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
     return rows.groupBy("cluster", "block").applyInArrow(run, "u bigint, v bigint")
+
+
+def _search_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Searches each pair of blocks for links from one to the other.
+
+    One side is indexed and the other probes it; a pair of sets needs no test
+    unless one of them has ``ask`` and their roots differ.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        sides: tuple[dict, dict] = {}, {}
+        for h, tokens, first, *known in zip(
+            *(table.column(c).to_pylist() for c in ("h", "tokens", "first", "root", "ask"))
+        ):
+            sides[first][h] = (np.frombuffer(tokens, np.uint64), *known)
+        links = []
+        if all(sides):
+            keys = [sorted(side) for side in sides]
+            own, other = ([side[h] for h in k] for side, k in zip(sides, keys))
+            pairs = forest_across(
+                *([x[0] for x in own], [x[1] for x in own], np.array([x[2] for x in own])),
+                *([x[0] for x in other], [x[1] for x in other], np.array([x[2] for x in other])),
+                percent,
+            )
+            links = [(keys[0][i], keys[1][j]) for i, j in pairs]
+        u, v = ([link[k] for link in links] for k in (0, 1))
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return rows.groupBy("cluster", "low", "high").applyInArrow(run, "u bigint, v bigint")
