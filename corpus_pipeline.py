@@ -47,12 +47,14 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the least id of each group of near copies.
 
-    Rows that repeat an id and text are one document.
+    Rows that repeat an id and text are one document. Those without id come
+    after all others, and texts with one id in the order of their hashes.
     """
-    near = jaccard.near_classes(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
-    kept = near.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col("doc_id").alias("kept_id")).distinct()
-    stays = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    key = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", F.xxhash64("text").alias("h"))
+    docs = docs.withColumn("key", key)
+    near = jaccard.near_classes(docs, id_col="key", words=NEAR_WORDS, percent=NEAR_PERCENT)
+    kept = near.where(F.col("key").eqNullSafe(F.col("component_id"))).select("key").distinct()
+    stays = docs.join(kept, "key", "left_semi").drop("key")
     return stays.dropDuplicates(["doc_id", "text"])
 
 

@@ -127,6 +127,15 @@ def test_null_ids_and_empty_table(spark):
     assert J.near_classes(docs.limit(0)).count() == 0
 
 
+def test_links_run_through_rows_without_id(spark):
+    """Texts 1 and 3 link with the one between them, not with each other."""
+    words = [f"w{k}" for k in range(60)]
+    rows = [(1, words[:60]), (None, words[4:60] + ["x"]), (3, words[8:60] + ["x", "y"]), (None, ["z"] * 9)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id bigint, text string")
+    got = sorted(((r[0] or 0, r[2] or 0) for r in J.near_classes(docs).collect()))
+    assert got == [(0, 0), (0, 1), (1, 1), (3, 1)]
+
+
 def test_linked_sets_share_a_signature():
     rng = np.random.default_rng(0)
     for n in [9, 10, 11, 19, 20, 40, 100, 300, 700] * 6:

@@ -49,3 +49,13 @@ def test_near_copies_of_five_word_shingles(spark, sf_dir):
     texts = [words[0], edited, words[1], appended, words[2], less, words[3]]  # 86/106, 96/116, 96/122
     docs = spark.createDataFrame([(k, " ".join(w), "en", "s", 0) for k, w in enumerate(texts)], schema)
     assert {r["doc_id"] for r in P.one_of_each(spark, docs, sf_dir).collect()} == {0, 2, 4, 5, 6}
+
+
+def test_near_copies_without_id_or_with_one_id(spark, sf_dir):
+    schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
+    words = [" ".join(f"{name}{k}" for k in range(100)) for name in "abcd"]
+    rows = [(1, words[0]), (None, words[0] + " x"), (None, words[1]), (None, words[1] + " x"), (None, words[2])]
+    rows += [(7, words[0] + " y"), (7, words[3]), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], schema)
+    got = [(r["doc_id"], (r["text"] or "-")[:1]) for r in P.one_of_each(spark, docs, sf_dir).collect()]
+    assert sorted(got, key=str) == sorted([(1, "a"), (None, "b"), (None, "c"), (7, "d"), (None, "-")], key=str)

@@ -330,7 +330,13 @@ def _links(docs, classes, clusters, words, percent, block_sets) -> DataFrame:
     members = write_through(members.select("id", "h", "cluster", "block", "blocks"), "members")
     n = members.count()
     sent = F.broadcast(members) if n * 48 <= BROADCAST_BYTES else members
-    tokens = write_through(_member_sets(docs.join(sent, "id"), words), "member-sets")
+    found = _member_sets(docs.join(sent, "id"), words)
+    # Sets that only rows without id have are found by their hash.
+    nameless = sent.where("id IS NULL").drop("id")
+    found = found.unionByName(
+        _hashed_sets(docs.where("id IS NULL"), words).join(nameless, "h").select(found.columns)
+    )
+    tokens = write_through(found, "member-sets")
     order = Window.partitionBy("cluster").orderBy("h")
     large = members.where("blocks > 1")
     pivots = large.withColumn("r", F.row_number().over(order)).where(F.col("r") <= PIVOTS)
@@ -386,6 +392,20 @@ def _member_sets(rows: DataFrame, words: int) -> DataFrame:
     return rows.select("text", "h", "cluster", "block", "blocks").mapInArrow(run, schema)
 
 
+def _hashed_sets(rows: DataFrame, words: int) -> DataFrame:
+    """``h, tokens`` of all rows with shingles; equal sets of a batch come once."""
+
+    def run(batches):
+        for batch in batches:
+            sets = (shingles(text, words) for text in raw_texts(batch.column(0)))
+            out = {_set_hash(found): found.tobytes() for found in sets if len(found)}
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out.keys(), pa.int64()), pa.array(out.values(), pa.binary())], ["h", "tokens"]
+            )
+
+    return rows.select("text").mapInArrow(run, "h bigint, tokens binary")
+
+
 def _search(rows: DataFrame, percent: int) -> DataFrame:
     """Searches each block for links between its sets."""
 
