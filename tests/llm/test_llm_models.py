@@ -98,6 +98,33 @@ def test_licences(spark):
     assert licences.by_document(docs.limit(0), scanner).count() == 0
 
 
+def test_wrapped_licences(spark):
+    import textwrap
+
+    headers = {
+        "gpl": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "lgpl": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+        "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction",
+    }
+    rows, want = [], {}
+    for width in (30, 60, 70, 80):
+        for family, header in headers.items():
+            for mark in ("", " * "):
+                key = len(rows)
+                wrapped = "\n".join(mark + line for line in textwrap.wrap(header, width))
+                rows.append((key, f"Some words stand here.\n{wrapped}\nAnd some others follow."))
+                want[key] = family
+    both = "\n".join(textwrap.wrap(headers["gpl"], 70) + ["Released under the MIT License."] + textwrap.wrap(headers["bsd"], 70))
+    rows += [(900, both), (901, "He renewed his driver license\nat the office of general\npublic services."), (902, "Released under the MIT License.\nPlain words.\nMore words.")]
+    want |= {900: "bsd,gpl,mit", 901: "", 902: "mit"}
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    scanner = licences.train(docs, key=["doc_id"])
+    got = {r["doc_id"]: r for r in licences.by_document(docs, scanner).collect()}
+    assert {k: r["licences"] for k, r in got.items()} == want
+    assert got[902]["n_found"] == 1
+
+
 # --- The suffix tree against counting in dictionaries ------------------------------
 
 

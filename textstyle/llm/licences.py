@@ -9,6 +9,10 @@ that the weights have not seen, and the least sure correct one sets how sure a
 family must be; below, the paragraph is of an unknown licence. A named family
 stays only if enough of one of its notices stands in the paragraph.
 
+A paragraph is a line. Notices wrapped over several lines are looked for in
+joins of neighbouring lines, which reach as many words beyond their first line
+as the longest notice has.
+
 A paragraph without any word that speaks for a family cannot reach one: such
 words are found from the weights, and the rest of the corpus is dropped by a
 set lookup before anything else is computed.
@@ -241,50 +245,113 @@ def _probability(scanner: Scanner) -> Column:
 
 
 def scan(docs: DataFrame, scanner: Scanner, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, paragraph, text, family, probability, similarity``: what was found.
+    """``id, paragraph, lines, text, family, probability, similarity``: what was found.
 
     A row for each paragraph (from 0; runs of line ends part them) that the
     model gives to a family. It is ``unknown`` if the model is not sure or no
-    notice of the family confirms it. Whole texts are scanned without a
-    shuffle; null and empty texts, and texts of blanks, have no paragraphs.
-    Repeated rows are scanned as often as they come; columns besides id and
-    text are not read.
+    notice of the family confirms it. A row of more ``lines`` is a notice that
+    starts in that paragraph and goes on in the next ones, joined by blanks;
+    it is there only for a family that is sure and confirmed, and holds more of
+    its notice than with a line less at either end, and no less than with one
+    more. Whole texts are scanned without a shuffle; null and empty texts, and
+    texts of blanks, have no paragraphs. Repeated rows are scanned as often as
+    they come; columns besides id and text are not read.
     """
+    hot = F.transform("p", lambda p: F.exists(words(p), lambda w: w.isin(scanner.triggers)))
     rows = docs.select(F.col(id_col).alias("id"), _paragraphs(docs, text_col).alias("p"))
-    hot = F.filter(
-        F.transform("p", lambda p, i: F.struct(i.alias("paragraph"), p.alias("text"))),
-        lambda s: F.exists(words(s["text"]), lambda w: w.isin(scanner.triggers)),
+    # One element exploded: the flags are computed once, not at each use.
+    rows = rows.select("id", F.explode_outer(F.array(F.struct("p", hot.alias("hot")))).alias("d"))
+    reach = _longest()
+    place = F.when(
+        F.array_contains("d.hot", True),
+        F.filter(
+            F.sequence(F.lit(0), F.size("d.hot") - 1),
+            lambda i: F.array_contains(F.slice("d.hot", i + 1, reach + 1), True),
+        ),
+    )
+    near = F.transform(
+        place,
+        lambda i: F.struct(
+            i.alias("paragraph"),
+            F.get("d.hot", i).alias("hot"),
+            F.when(i > 0, F.get("d.p", i - 1)).otherwise("").alias("before"),
+            F.slice("d.p", i + 1, reach + 2).alias("near"),
+        ),
     )
-    rows = rows.select("id", F.explode_outer(hot).alias("s")).where("s IS NOT NULL")
-    rows = rows.select("id", "s.paragraph", "s.text").withColumn("terms", terms(words("text")))
+    rows = rows.select("id", F.explode_outer(near).alias("s")).where("s IS NOT NULL").select("id", "s.*")
+    # The lines whose first word is at most ``reach`` words behind the first line.
+    none = F.struct(F.lit(0).alias("n"), F.lit(1).alias("lines"))
+    most = F.aggregate(
+        F.slice("near", 2, reach),
+        none,
+        lambda a, line: F.when(
+            a["n"] < reach,
+            F.struct((a["n"] + F.size(words(line))).alias("n"), (a["lines"] + 1).alias("lines")),
+        ).otherwise(a),
+        lambda a: a["lines"],
+    )
+    rows = rows.withColumn("most", most)
+    # Less text has no more of a notice, so the longest join decides for all.
+    rows = rows.withColumn("terms", terms(words(F.array_join(F.slice("near", 1, F.col("most")), " "))))
+    every = F.greatest(*[_similarity(notices) for notices in NOTICES.values()])
+    wide = (F.col("most") > 1) & F.when(F.col("most") > 1, every >= CONFIRMED)
+    counts = F.sequence(F.lit(1), F.when(wide, F.col("most")).otherwise(1))
+    counts = F.filter(counts, lambda k: (k > 1) | F.col("hot"))
+    rows = rows.select("id", "paragraph", "before", "near", F.explode_outer(counts).alias("lines"))
+    rows = rows.where("lines IS NOT NULL")
+    text = F.array_join(F.slice("near", 1, F.col("lines")), " ")
+    rows = rows.withColumn("text", text).withColumn("terms", terms(words("text")))
     named = _logits(scanner, rows).where("prediction > 0")
     family = F.element_at(
         F.array(*map(F.lit, scanner.families)), F.col("prediction").cast("int") + 1
     )
     named = named.select(
-        "id", "paragraph", "text", "terms", family.alias("family"),
+        "id", "paragraph", "lines", "text", "terms", "before", "near", family.alias("family"),
         _probability(scanner).alias("probability"),
     )
-    similarity = reduce(
-        lambda rest, f: F.when(F.col("family") == f, _similarity(NOTICES[f])).otherwise(rest),
-        NOTICES,
-        F.lit(0.0),
-    )
-    named = named.withColumn("similarity", similarity)
+    named = named.withColumn("similarity", _of_family("terms"))
     sure = (F.col("probability") >= scanner.sure) & (F.col("similarity") >= CONFIRMED)
+    named = named.where((F.col("lines") == 1) | sure)
+
+    def joined(start, n) -> Column:
+        return F.array_join(F.slice("near", start, n), " ")
+
+    lines = F.col("lines")
+    less = [joined(2, lines - 1), joined(1, lines - 1)]
+    more = [joined(1, lines + 1), F.concat_ws(" ", "before", "text")]
+    best = reduce(
+        Column.__and__,
+        [F.col("similarity") > _of_family(terms(words(t))) for t in less]
+        + [F.col("similarity") >= _of_family(terms(words(t))) for t in more],
+    )
+    named = named.where(F.when(lines == 1, True).otherwise(best))
     return named.select(
-        F.col("id").alias(id_col), "paragraph", "text",
+        F.col("id").alias(id_col), "paragraph", "lines", "text",
         F.when(sure, F.col("family")).otherwise(UNKNOWN).alias("family"),
         "probability", "similarity",
     )
 
 
-def _similarity(notices: list[str]) -> Column:
-    """The largest share of one notice's terms that the paragraph has."""
+def _longest() -> int:
+    """Words of the longest notice; each word may stand in a line of its own."""
+    return max(len(notice.split()) for notices in NOTICES.values() for notice in notices)
+
+
+def _of_family(found: Column | str) -> Column:
+    """The similarity of ``found`` terms to the notices of the row's family."""
+    return reduce(
+        lambda rest, f: F.when(F.col("family") == f, _similarity(NOTICES[f], found)).otherwise(rest),
+        NOTICES,
+        F.lit(0.0),
+    )
+
+
+def _similarity(notices: list[str], found: Column | str = "terms") -> Column:
+    """The largest share of one notice's terms that are among those found."""
     shares = []
     for notice in notices:
         own = F.array_distinct(terms(words(F.lit(notice))))
-        shares.append(F.size(F.array_intersect(own, F.col("terms"))) / F.size(own))
+        shares.append(F.size(F.array_intersect(own, found)) / F.size(own))
     return F.greatest(*shares)
 
 
@@ -294,9 +361,25 @@ def by_document(
     """``id, n_paragraphs, n_found, n_unknown, licences, probability`` of each id.
 
     ``licences`` are the families found, sorted and comma-joined; the
-    probability is the largest. Rows with one id count as one document.
+    probability is the largest. Rows with one id count as one document. A
+    paragraph in a notice of several lines does not count by itself if it is of
+    the same family or unknown.
     """
-    found = scan(docs, scanner, id_col=id_col, text_col=text_col)
+    text = F.xxhash64(text_col).alias("of")
+    found = scan(docs.select(F.struct(id_col, text).alias("key"), text_col), scanner, id_col="key", text_col=text_col)
+    # Rows of one text only, as paragraphs are numbered in it.
+    rows = F.collect_list(F.struct("paragraph", "lines", "family", "probability"))
+    found = found.groupBy("key").agg(rows.alias("r"))
+    alone = F.filter(
+        "r",
+        lambda a: (a["lines"] > 1)
+        | ~F.exists(
+            F.filter("r", lambda b: b["lines"] > 1),
+            lambda b: a["paragraph"].between(b["paragraph"], b["paragraph"] + b["lines"] - 1)
+            & a["family"].isin(b["family"], UNKNOWN),
+        ),
+    )
+    found = found.select(F.col(f"key.{id_col}").alias(id_col), F.inline(alone))
     known = F.col("family") != UNKNOWN
     found = found.groupBy(F.col(id_col).alias("id")).agg(
         F.count("*").alias("n_found"),
