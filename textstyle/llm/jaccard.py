@@ -8,8 +8,9 @@
    to one cluster, by a star a signature. Common lines seldom join clusters, as
    a whole part of several shingles has to be equal; long common passages may.
 3. T-occurrence search in each cluster: an inverted index, the shortest lists
-   merged, the long ones probed by binary search (DivideSkip), and the sets
-   kept that reach the overlap their sizes require. Links between sets that
+   counted set by set (ScanCount, in place of DivideSkip's heap merge), the
+   long ones probed by binary search as in DivideSkip, and the sets kept that
+   reach the overlap their sizes require. Links between sets that
    are connected already need no test.
 4. A cluster beyond ``BLOCK_SETS`` or ``BLOCK_SHINGLES`` is searched in blocks
    that all hold the same pivots. What joins the largest component there needs
