@@ -299,7 +299,8 @@ def scan(docs: DataFrame, scanner: Scanner, *, id_col: str = "doc_id", text_col:
     counts = F.filter(counts, lambda k: (k > 1) | F.col("hot"))
     rows = rows.select("id", "paragraph", "before", "near", F.explode_outer(counts).alias("lines"))
     rows = rows.where("lines IS NOT NULL")
-    text = F.array_join(F.slice("near", 1, F.col("lines")), " ")
+    # The optimiser may move the model before the filter: its terms are never null.
+    text = F.coalesce(F.array_join(F.slice("near", 1, F.col("lines")), " "), F.lit(""))
     rows = rows.withColumn("text", text).withColumn("terms", terms(words("text")))
     named = _logits(scanner, rows).where("prediction > 0")
     family = F.element_at(
