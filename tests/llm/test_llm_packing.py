@@ -32,6 +32,19 @@ def test_word_by_word_is_whole(name, spark, sf_dir):
         assert encoder.encode(text) == encoder.whole(text)
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_default_is_the_plain_library(name):
+    plain = Tokenizer.from_file(FILES[name])
+    literal = Encoder(FILES[name], special_as_text=True)
+    odd = [*ODD, "a <|endoftext|> b", "a<|endoftext|><|startoftext|>b c", "<|ENDOFTEXT|> <|endoftext|>"]
+    for text in odd:
+        ids = plain.encode(text, add_special_tokens=False).ids
+        assert ENCODERS[name].encode(text) == np.array(ids, "<u4").tobytes()
+    end = plain.get_vocab_size() - 1
+    assert end not in np.frombuffer(literal.encode("a <|endoftext|> b"), "<u4")
+    assert end in np.frombuffer(ENCODERS[name].encode("a <|endoftext|> b"), "<u4")
+
+
 @given(st.text(alphabet="aBé \n\t.,'1 ", max_size=30))
 @settings(max_examples=300, deadline=None)
 def test_any_text_is_whole(text):

@@ -27,7 +27,7 @@ def test_entry_has_all_queries():
 
     names = entry.queries()
     assert set(QUERIES) <= set(names) and "pipeline" in names
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(entry.oracle_sql()) <= set(names)
 
 

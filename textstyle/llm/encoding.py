@@ -42,11 +42,17 @@ def _packed(ids: list[int]) -> bytes:
 
 
 class Encoder:
-    """Encodes whole texts; strings of special tokens are ordinary text."""
+    """Encodes whole texts as the library does without added special tokens.
 
-    def __init__(self, path: str):
+    A special token's string in a text becomes its id, as the file says; with
+    ``special_as_text`` it is ordinary text.
+    """
+
+    def __init__(self, path: str, special_as_text: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [] if special_as_text else [token.content for token in added]
         self.model = self.tokenizer.model
         self.kind = _kind(json.loads(self.tokenizer.to_str()))
         self.pieces = _Pieces(self)
@@ -66,6 +72,8 @@ class Encoder:
         pieces.trim()
         if not text:
             return b""
+        if any(token in text for token in self.special):
+            return self.whole(text)
         if self.kind == "words":
             return b"".join(map(pieces.__getitem__, text.replace("\n", " ").split(" ")))
         if self.kind is None or " \n" in text:

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from textstyle.llm import (
-    chat, decontaminate, jaccard, language, licences, neighbours, packing, quality, suffix_tree,
-    token_files,
+    chat, curve_packing, decontaminate, jaccard, language, licences, neighbours, packing, quality,
+    suffix_tree, token_files,
 )
 from textstyle.llm.tables import fold_of, query, table
 
@@ -219,3 +219,12 @@ def op6_suffix_tree(spark, sf_dir):
 def op4_neighbours(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return neighbours.search(rows, F.col("vec_id") % 20 == 0)
+
+
+# --- 13: packing along a space-filling curve ---------------------------------------
+
+
+@query("op13_curve_packing")
+def op13_curve_packing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return curve_packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
