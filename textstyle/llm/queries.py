@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textstyle.llm import (
     chat, curve_packing, decontaminate, jaccard, language, licences, neighbours, packing, quality,
-    suffix_tree, token_files,
+    runs, suffix_tree, token_files,
 )
 from textstyle.llm.tables import fold_of, query, table
 
@@ -228,3 +228,51 @@ def op4_neighbours(spark, sf_dir):
 def op13_curve_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return curve_packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
+
+
+# --- 12: periodic runs -------------------------------------------------------------
+
+
+def planted_runs():
+    """The text, with a periodic end in a tenth of the documents, by their id."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    g = F.floor(h / 10).cast("bigint")
+    words = F.col("words")  # null where nothing is planted
+    n = F.size(words)
+    first = (g % n).cast("int")
+    period = (1 + F.floor((n - first) / (3 + g % 8))).cast("int")
+    part = F.slice(words, first + 1, period)
+    end = F.flatten(F.array_repeat(part, F.ceil((n - first) / period).cast("int")))
+    planted = F.concat(F.slice(words, F.lit(1), first), F.slice(end, F.lit(1), n - first))
+    text = F.when(n > 0, F.array_join(planted, " ")).otherwise(F.col("text"))
+    found = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    return F.when(h % 10 == 0, found), text
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark, sf_dir):
+    words, text = planted_runs()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", words.alias("words"))
+    found = runs.find(docs.select("doc_id", text.alias("text")))
+    best = F.aggregate(
+        "runs",
+        F.lit(None).cast(runs.RUN),
+        lambda a, x: F.when(
+            a.isNull() | (x["length"] * a["period"] > a["length"] * x["period"]), x
+        ).otherwise(a),
+    )
+    comma = F.lit(",")
+    line = F.transform(
+        "runs",
+        lambda r: F.concat(r["start"], comma, r["length"], comma, r["period"], F.lit("\n")),
+    )
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
