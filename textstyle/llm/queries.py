@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textstyle.llm import (
     chat, curve_packing, decontaminate, jaccard, language, licences, neighbours, packing, quality,
-    runs, suffix_tree, token_files,
+    repair, runs, suffix_tree, token_files,
 )
 from textstyle.llm.tables import fold_of, query, table
 
@@ -276,3 +276,47 @@ def op12_periodic_runs(spark, sf_dir):
         F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+# --- 11: conversation structure repair ---------------------------------------------
+
+
+def damaged(turns):
+    """Conversations with faults put in by a checksum of their rows' keys."""
+    blank = F.lit(" ")
+    key = F.concat(
+        F.coalesce(F.col("conv_id").cast("string"), blank),
+        F.lit(":"),
+        F.coalesce(F.col("turn").cast("string"), blank),
+    )
+    kind = F.crc32(key) % 20
+    role, text = F.coalesce("role", blank), F.coalesce("text", blank)
+    copies = F.when(kind == 3, F.array(F.lit(0), F.lit(0))).otherwise(F.array(F.lit(0)))
+    return turns.where(kind != 0).select(
+        "conv_id",
+        "turn",
+        F.when(kind == 4, "user").otherwise(role).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.explode(copies).alias("_copy"),
+    ).drop("_copy")
+
+
+@query("op11_repair")
+def op11_repair(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    done = repair.repair(damaged(turns))
+    line = F.concat("role", F.lit(":"), "text")
+    lines = F.array_sort(F.collect_list(F.struct("step", line.alias("line"))))
+    repaired = done.messages().groupBy(F.col("conv").alias("_own")).agg(
+        F.array_join(F.transform(lines, lambda x: x["line"]), "\n").alias("repaired")
+    )
+    asked = turns.select("conv_id").distinct()
+    faults = asked.join(done.summary(), F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+    rows = faults.join(repaired, F.col("conv_id").eqNullSafe(F.col("_own")), "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return rows.select(
+        "conv_id",
+        *(F.coalesce(name, F.lit(0)).cast("bigint").alias(name) for name in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.sha2(F.coalesce("repaired", F.lit("")), 256).alias("repaired_sha256"),
+    )
