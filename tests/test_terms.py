@@ -2,7 +2,11 @@ from __future__ import annotations
 
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.ml.feature import IDF, CountVectorizerModel
 from pyspark.sql import functions as F
 
@@ -104,3 +108,75 @@ def test_rule_dictionary(spark):
     docs = spark.createDataFrame([(["مكتوب", "كاتب", "مكتوب"],)], "w array<string>")
     rows = V.rule_dictionary(docs, F.col("w")).collect()
     assert {tuple(r) for r in rows} == {("مكتوب", "كتب"), ("كاتب", "كتب")}
+
+
+@given(
+    st.lists(
+        st.tuples(st.sampled_from([None, "x", "y"]), st.lists(st.sampled_from("abcdefghij"), max_size=12)),
+        max_size=12,
+    ),
+    st.integers(1, 6),
+)
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_top_items_are_exact(spark, rows, k):
+    """Few slots and one to start with, so that the second count is needed too."""
+    df = spark.createDataFrame([(g, w) for g, w in rows], "g string, w array<string>").repartition(3)
+    for by in ([], ["g"]):
+        found = V.top_items(df, F.col("w"), "item", k, by, slots=5, first_slots=1)
+        want = Counter((g if by else 0, t) for g, w in rows for t in w)
+        got = {(r["g"] if by else 0, r["item"]): r["count"] for r in found.collect()}
+        assert all(want[key] == n for key, n in got.items())
+        for group in {g for g, _ in want}:
+            own = sorted((n for (g, _), n in want.items() if g == group), reverse=True)
+            least = own[min(k, len(own)) - 1]
+            assert all(key in got for key, n in want.items() if key[0] == group and n >= least)
+
+
+def test_top_items_leave_most_of_the_tail_out(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    pairs = T.ngrams(T.tokenize("text"), 2)
+    few = V.top_items(docs, pairs, "ngram", 10, slots=1 << 14, first_slots=1 << 8)
+    distinct = docs.select(F.explode(pairs).alias("n")).distinct().count()
+    assert few.count() < 0.05 * distinct
+    plain = docs.select(F.explode(pairs).alias("ngram")).groupBy("ngram").count()
+    top = plain.orderBy(F.desc("count"), "ngram").limit(10).collect()
+    assert [tuple(r) for r in V.top_ngrams(docs, T.tokenize("text")).collect()] == [tuple(r) for r in top]
+
+
+@given(
+    st.lists(st.none() | st.lists(st.none() | st.text(max_size=3), max_size=5), max_size=8),
+    st.dictionaries(st.text(max_size=3), st.text(max_size=2), max_size=20),
+    st.integers(0, 3),
+)
+@settings(max_examples=200, deadline=None)
+def test_sorted_dictionary(lists, listed, skipped):
+    table = V.SortedDictionary(
+        pa.array(list(listed), pa.string()), pa.array(list(listed.values()), pa.string())
+    )
+    # A slice has offsets that do not start at zero.
+    column = pa.array(lists, pa.list_(pa.string())).slice(min(skipped, len(lists)))
+    want = [[listed.get(t, t) for t in row or []] for row in lists[skipped:]]
+    assert table.stemmed(column).to_pylist() == want
+
+
+def test_no_two_tokens_share_a_hash(monkeypatch):
+    """A salt under which two tokens collide is passed over."""
+    real = V.hash_array
+    clash = lambda values, hash_key: (
+        np.zeros(len(values), np.uint64) if hash_key.endswith("0") else real(values, hash_key=hash_key)
+    )
+    monkeypatch.setattr(V, "hash_array", clash)
+    table = V.SortedDictionary(pa.array(["a", "b"]), pa.array(["A", "B"]))
+    assert table.salt.endswith("1")
+    assert table.stemmed(pa.array([["b", "c", "a"]])).to_pylist() == [["B", "c", "A"]]
+    with pytest.raises(ValueError):
+        V.SortedDictionary(pa.array(["a", "a"]), pa.array(["A", "B"]))
+
+
+def test_a_large_dictionary_is_cut_to_what_occurs(spark):
+    docs = spark.createDataFrame([(["a", "b"],), (["c"],)], "w array<string>")
+    listed = spark.range(5000).select(F.concat(F.lit("t"), "id").alias("token"), F.lit("s").alias("stem"))
+    listed = listed.union(spark.createDataFrame([("a", "A")], "token string, stem string"))
+    done = V.stem_with_dictionary(docs, "w", listed, "s", 200)
+    assert "Join" not in done._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["s"] for r in done.collect()) == [["A", "b"], ["c"]]

@@ -68,7 +68,8 @@ def words_sql(text: str) -> str:
     )
 
 
-CORPUS_SQL = ("إأآىؤئة", "اااييوه".replace("ييو", "يوي"))
+# Letters and those that replace them, in the same order.
+CORPUS_SQL = ("إأآىؤئة", "ااايويه")
 WEB_SQL = ("إأآىةگ", "ااايهك")
 
 

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pandas.util import hash_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,8 +72,83 @@ def term_frequency(df: DataFrame, tokens: Column, alias: str, *by: str) -> DataF
     )
 
 
+#: Slots that items are counted in, and slots counted item by item.
+TOP_SLOTS, FIRST_SLOTS = 1 << 16, 1 << 10
+#: Share of the rows that names the slots to count item by item.
+GUESS_SHARE = 0.01
+
+
+def top_items(
+    df: DataFrame,
+    items: Column,
+    alias: str,
+    k: int,
+    by: Sequence[str] = (),
+    slots: int = TOP_SLOTS,
+    first_slots: int = FIRST_SLOTS,
+) -> DataFrame:
+    """``(by…, alias, count)``: at least each group's ``k`` most frequent items.
+
+    Exact, and without a shuffle of all distinct items. An item's hash names
+    its slot, and a slot's count bounds that of every item in it. A few rows
+    tell which slots of a group are the fullest. One pass over all rows then
+    counts the items of these slots and, for all others, the slot alone. The
+    ``k``-th count so found is one that no item of the result can miss; where
+    another slot has reached it, that slot's items are counted too. So the few
+    rows decide about the work and not about the result, which holds every
+    item that is, or ties with, one of the ``k``.
+    """
+    by = list(by)
+
+    def slotted(rows: DataFrame) -> DataFrame:
+        slot = F.pmod(F.xxhash64(alias), F.lit(slots)).cast("int")
+        return explode_tokens(rows, items, alias, *by).withColumn("_slot", slot)
+
+    def same(side: DataFrame, *columns: str) -> tuple[DataFrame, Column]:
+        """``side`` with names of its own, and the condition that joins it."""
+        other = {c: f"_other_{c}" for c in columns}
+        equal = F.lit(True)
+        for c in columns:
+            equal = equal & F.col(c).eqNullSafe(F.col(other[c]))
+        return side.withColumnsRenamed(other), equal
+
+    group = Window.partitionBy(*by, *([] if by else [F.lit(0)]))
+    few = slotted(df.sample(GUESS_SHARE, seed=0)).groupBy(*by, "_slot").count()
+    full = F.row_number().over(group.orderBy(F.desc("count"), "_slot"))  # of ``slots`` rows
+    guess = few.withColumn("_rank", full).filter(F.col("_rank") <= first_slots)
+    guess = write_through(guess.select(*by, "_slot"), "slots")
+    if not fits_broadcast(guess):  # too many groups to send their slots
+        return term_frequency(df, items, alias, *by)
+    chosen, equal = same(guess.withColumn("_listed", F.lit(True)), *by, "_slot")
+    pairs = slotted(df).join(F.broadcast(chosen), equal, "left")
+    counts = pairs.groupBy(*by, "_slot", F.when(F.col("_listed"), F.col(alias)).alias(alias))
+    counts = write_through(counts.agg(F.count(F.lit(1)).alias("count")), "top-items")
+    found = counts.filter(F.col(alias).isNotNull()).drop("_slot")
+
+    place = F.row_number().over(group.orderBy(F.desc("count")))
+    last = _sliced_top(found, by, k).withColumn("_place", place).filter(F.col("_place") == k)
+    last, equal = same(last.select(*by, F.col("count").alias("_least")), *by)
+    # A group without so many items yet has no row in ``last``, hence no bound.
+    others = counts.filter(F.col(alias).isNull()).join(F.broadcast(last), equal, "left")
+    reached = F.col("_least").isNull() | (F.col("count") >= F.col("_least"))
+    others = write_through(others.filter(reached).select(*by, "_slot"), "more-slots")
+    if others.isEmpty():
+        return found
+    more, equal = same(F.broadcast(others) if fits_broadcast(others) else others, *by, "_slot")
+    rest = slotted(df).join(more, equal, "left_semi").groupBy(*by, alias)
+    return found.unionByName(rest.agg(F.count(F.lit(1)).alias("count")))
+
+
+def _sliced_top(counts: DataFrame, by: Sequence[str], k: int) -> DataFrame:
+    """The ``k`` highest counts of each group, ties as they fall."""
+    if not by:
+        return counts.select("count").orderBy(F.desc("count")).limit(k)
+    spread = F.monotonically_increasing_id()
+    return top_per_group(counts.select(*by, "count"), list(by), [F.desc("count")], k, spread=spread).drop("rank")
+
+
 def top_ngrams(df: DataFrame, tokens: Column, n: int = 2, k: int = 10) -> DataFrame:
-    counts = term_frequency(df, T.ngrams(tokens, n), "ngram")
+    counts = top_items(df, T.ngrams(tokens, n), "ngram", k)
     return counts.orderBy(F.desc("count"), F.asc("ngram")).limit(k)
 
 
@@ -76,7 +156,7 @@ def top_words_per_class(
     df: DataFrame, tokens: Column, k: int = 100, label_col: str = "label"
 ) -> DataFrame:
     """The ``k`` most frequent words of each class, counted over all rows."""
-    counts = term_frequency(df, tokens, "word", label_col)
+    counts = top_items(df, tokens, "word", k, [label_col])
     order = [F.desc("count"), F.asc("word")]
     return top_per_group(counts, [label_col], order, k, spread=F.col("word"))
 
@@ -170,12 +250,17 @@ def stem_with_dictionary(
     Tokens that are not listed stay as they are; order and repeats are kept,
     and NULL tokens give an empty array. A token listed with several stems
     takes the least. A dictionary measured within ``limit`` bytes is looked up
-    inside each row by an Arrow function, with no shuffle. A larger one is
-    joined to the tokens of each row, under a row key of this function's own;
-    the result is the same. That needs a finite table, not a stream.
+    inside each row by an Arrow function, with no shuffle. Of a larger one the
+    entries that occur in ``df`` are taken first, which often fit; if not,
+    they are joined to the tokens of each row, under a row key of this
+    function's own. The result is the same. Beyond the limit ``df`` must be
+    finite, not a stream.
     """
-    known = dictionary.filter("token IS NOT NULL").groupBy("token")
+    known = dictionary.filter("token IS NOT NULL AND stem IS NOT NULL").groupBy("token")
     known = write_through(known.agg(F.min("stem").alias("stem")), "dictionary")
+    if not fits_broadcast(known, limit):
+        occurring = distinct_tokens(df, F.col(tokens_col))
+        known = write_through(known.join(occurring, "token", "left_semi"), "dictionary")
     if fits_broadcast(known, limit):
         lookup = _dictionary_lookup(df, known)
         return df.withColumn(out_col, lookup(F.col(tokens_col)))
@@ -193,22 +278,52 @@ def stem_with_dictionary(
     return done.withColumn(out_col, F.coalesce(out_col, empty))
 
 
+def _hashes(tokens: pa.Array, salt: str) -> np.ndarray:
+    return hash_array(tokens.to_numpy(zero_copy_only=False).astype(object), hash_key=salt)
+
+
+class SortedDictionary:
+    """Tokens sorted by hash beside their stems, as Arrow arrays.
+
+    Both travel and stay as they are, in the bytes of their text, and are
+    searched for all distinct tokens of a batch at once.
+    """
+
+    def __init__(self, tokens: pa.Array, stems: pa.Array):
+        for attempt in range(100):
+            self.salt = f"{attempt:016d}"
+            hashes = _hashes(tokens, self.salt)
+            order = np.argsort(hashes)
+            self.hashes = hashes[order]
+            if not (self.hashes[1:] == self.hashes[:-1]).any():
+                break
+        else:
+            raise ValueError("tokens repeat, or no hash tells them apart")
+        self.tokens, self.stems = tokens.take(pa.array(order)), stems.take(pa.array(order))
+
+    def stemmed(self, lists: pa.ListArray) -> pa.ListArray:
+        """The lists with listed tokens replaced; a null list becomes empty."""
+        lengths = pc.fill_null(lists.value_lengths(), 0).to_numpy()
+        offsets = np.append(0, np.cumsum(lengths)).astype(np.int32)
+        encoded = pc.cast(lists.flatten(), pa.string()).dictionary_encode()
+        words = encoded.dictionary
+        if len(self.hashes) and len(words):
+            place = np.searchsorted(self.hashes, _hashes(words, self.salt))
+            place = pa.array(np.minimum(place, len(self.hashes) - 1))
+            listed = pc.equal(self.tokens.take(place), words)
+            words = pc.if_else(listed, self.stems.take(place), words)
+        return pa.ListArray.from_arrays(pa.array(offsets), words.take(encoded.indices))
+
+
 def _dictionary_lookup(df: DataFrame, dictionary: DataFrame):
     """An Arrow function mapping token arrays through a broadcast dictionary."""
     table = dictionary.toArrow()
-    stems = zip(table["token"].to_pylist(), table["stem"].to_pylist())
-    # One table for a worker's life, not one for each batch.
-    shared = df.sparkSession.sparkContext.broadcast(
-        {token: stem for token, stem in stems if stem is not None}
-    )
+    columns = [table[c].combine_chunks().cast(pa.string()) for c in ("token", "stem")]
+    shared = df.sparkSession.sparkContext.broadcast(SortedDictionary(*columns))
 
     @F.arrow_udf("array<string>")
     def lookup(lists: pa.Array) -> pa.Array:
-        known = shared.value
-        return pa.array(
-            [[known.get(t, t) for t in tokens or ()] for tokens in lists.to_pylist()],
-            pa.list_(pa.string()),
-        )
+        return shared.value.stemmed(lists)
 
     return lookup
 
