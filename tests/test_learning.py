@@ -245,18 +245,6 @@ def test_training_reads_its_source_once(spark, chats, tmp_path):
     assert set(shared.iterdir()) == before
 
 
-def test_micro_batches_are_one_full_file_each(spark, tmp_path):
-    rows = spark.range(105).withColumnRenamed("id", "n").repartition(4)
-    X.write_micro_batches(rows, str(tmp_path / "b"), ["n"], F.col("n"), 50)
-    folders = sorted(p for p in (tmp_path / "b").iterdir() if p.is_dir())
-    sizes = []
-    for folder in folders:
-        files = list(folder.glob("*.json"))
-        assert len(files) == 1
-        sizes.append(len(files[0].read_text().splitlines()))
-    assert sizes == [50, 50, 5]
-
-
 def test_scoring_all_models_at_once_equals_one_by_one(run, chats):
     keys = ("conv_id", "turn")
     together = L.score_models(chats, run.models, *keys)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from textstyle.catalog.learning import TURNS_SQL, trained, turns
 from textstyle.catalog.registry import digest, digest_sql, query, table, tokens_sql
@@ -19,13 +20,28 @@ from textstyle.operators.features import stylometric_features
 from textstyle.plans.learning import LOGISTIC, score
 from textstyle.session import shared_folder
 from textstyle.streaming import (
+    ProgressTable,
+    batches,
     drain,
+    follow,
+    lose_commit,
+    missed_batches,
     read_json_stream,
     score_stream,
+    unfinished_batches,
     write_json_stream,
     write_micro_batches,
 )
 
+BATCH_SCHEMA = StructType(
+    [
+        StructField("conv_id", LongType()),
+        StructField("turn", LongType()),
+        StructField("role", StringType()),
+        StructField("text", StringType()),
+        StructField("batch_id", LongType()),
+    ]
+)
 SCORED_COLUMNS = ("prediction", "score", "probability")
 #: Rises along (conv_id, turn) and stays below the next conv_id.
 SPREAD_EXPRESSION = "conv_id + turn / (turn + 1)"
@@ -62,9 +78,51 @@ def _stream(spark: SparkSession, rows: DataFrame) -> DataFrame:
 )
 def micro_batches(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations")
-    schema = "conv_id bigint, turn bigint, role string, text string, batch_id bigint"
-    batches = spark.read.schema(schema).json(_feed(rows))
-    return batches.select("batch_id", "conv_id", "turn", "role", *digest(F.col("text")))
+    numbered = spark.read.schema(BATCH_SCHEMA).json(_feed(rows))
+    return numbered.select("batch_id", "conv_id", "turn", "role", *digest(F.col("text")))
+
+
+BATCH_SIZES_SQL = """
+    SELECT (n - 1) // 50 + 1 AS batch_id, count(*) AS n FROM (
+        SELECT row_number() OVER (ORDER BY conv_id, turn) AS n FROM conversations)
+    GROUP BY batch_id
+"""
+
+
+@query(
+    "ss8_batch_files",
+    f"SELECT batch_id, n AS n_rows, 1::BIGINT AS n_files FROM ({BATCH_SIZES_SQL})",
+)
+def batch_files(spark, sf_dir):
+    """Every file is one whole batch."""
+    numbered = spark.read.schema(BATCH_SCHEMA).json(_feed(table(spark, sf_dir, "conversations")))
+    files = numbered.groupBy("batch_id", F.input_file_name().alias("file")).count()
+    return files.groupBy("batch_id").agg(
+        F.sum("count").alias("n_rows"), F.count("*").alias("n_files")
+    )
+
+
+@query(
+    "ss6_trigger_progress",
+    f"""
+    SELECT n AS input_rows, count(*) AS batches, true AS timed, 0::BIGINT AS missed
+    FROM ({BATCH_SIZES_SQL}) GROUP BY n
+    """,
+)
+def trigger_progress(spark, sf_dir):
+    """One file a trigger: how many rows each took in, from the progress table."""
+    source = _feed(table(spark, sf_dir, "conversations"))
+    stream = read_json_stream(spark, source, BATCH_SCHEMA, files_per_trigger=1)
+    out, marks = shared_folder(spark, "stream-output"), shared_folder(spark, "stream-log")
+    progress = ProgressTable(spark, shared_folder(spark, "stream-progress"))
+    follow(write_json_stream(stream, out, marks, every=None), progress)
+    done = batches(progress.read()).join(missed_batches(progress.read()), "query_id")
+    timed = (F.col("trigger_ms") > 0) & (F.col("processed_rows_per_second") > 0)
+    return done.groupBy("input_rows").agg(
+        F.count("*").alias("batches"),
+        F.min(timed).alias("timed"),
+        F.max("missed").alias("missed"),
+    )
 
 
 @query(
@@ -138,12 +196,46 @@ def stream_scoring(spark, sf_dir):
     return both.select(*digest(F.col("text")), "label", "status", same.alias("same"))
 
 
+def _failing(stream: DataFrame) -> DataFrame:
+    """The stream with an expression that fails on every third conversation."""
+    fault = F.raise_error(F.lit("drill")).cast("boolean")
+    return stream.filter(F.coalesce(F.when(F.pmod("conv_id", F.lit(3)) == 1, fault), F.lit(True)))
+
+
 @query("ss7_restart", f"SELECT conv_id, turn, {digest_sql('text')} FROM conversations")
 def restart(spark, sf_dir):
-    """A second run over the same log and input adds nothing to the sink."""
+    """Every row once, whatever happens between restarts over the same log.
+
+    The first run's last commit is lost after its sink has committed. The
+    second has a batch to do again and fails in the files that came since. The
+    third finds more files yet, and finishes.
+    """
     rows = table(spark, sf_dir, "conversations")
-    stream = _stream(spark, rows)
+    part = F.coalesce(F.pmod("conv_id", F.lit(3)), F.lit(0))
+    source = shared_folder(spark, "stream-input")
     out, marks = shared_folder(spark, "stream-output"), shared_folder(spark, "stream-log")
-    for _ in range(2):
-        drain(write_json_stream(stream, out, marks, every=None))
+
+    def arrive(k: int) -> bool:
+        some = rows.filter(part == k)
+        some.write.mode("append").json(source)
+        return not some.isEmpty()
+
+    def run(change=lambda stream: stream) -> None:
+        stream = read_json_stream(spark, source, rows.schema, files_per_trigger=2)
+        drain(write_json_stream(change(stream), out, marks, every=None))
+
+    arrive(0)
+    run()
+    lost = lose_commit(spark, marks)
+    if unfinished_batches(spark, marks) != ([] if lost is None else [lost]):
+        raise RuntimeError("the drill lost no commit")
+    if arrive(1):
+        try:
+            run(_failing)
+        except StreamingQueryException:
+            pass
+        if not unfinished_batches(spark, marks):
+            raise RuntimeError("the drill failed no batch")
+    arrive(2)
+    run()
     return spark.read.schema(rows.schema).json(out).select("conv_id", "turn", *digest(F.col("text")))

@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 
 def _as_column(key: Column | str) -> Column:
@@ -214,6 +215,67 @@ def number_rows(
     )
 
 
+def aligned_ranges(
+    df: DataFrame,
+    order: Sequence[str],
+    spread: Column,
+    multiple: int,
+    ranges: int | None = None,
+) -> DataFrame:
+    """Adds ``_range`` and ``_first``: ranges along ``order`` that hold whole batches.
+
+    Rows are numbered from 1 by the unique key ``order``, NULLs first; every
+    range but the last holds a multiple of ``multiple`` rows, and ``_first`` is
+    the number of its first row. ``spread`` as in :func:`number_rows`.
+
+    Keys alone are sorted to find, in each rough range, the key at which the
+    first batch starts; rows before it belong to the range before. So a wide
+    table needs one shuffle by ``_range``. The driver holds a row a range.
+    """
+    spark, lowest = df.sparkSession, F.lit(float("-inf"))
+    keyed = df.withColumn("_spread", F.coalesce(spread.cast("double"), lowest))
+    ranges = ranges or range_count(df.count())
+    slot = range_slot(F.col("_spread"), range_cuts(keyed, "_spread", ranges))
+    keyed = keyed.withColumn("_slot", slot).drop("_spread")
+    keys = keyed.select("_slot", F.struct(*order).alias("_key"))
+    sizes = {r["_slot"]: r["n"] for r in keys.groupBy("_slot").agg(F.count("*").alias("n")).collect()}
+    skipped, before, wanted = {}, 0, []
+    for k in sorted(sizes):
+        skipped[k] = -before % multiple
+        if skipped[k] < sizes[k]:
+            wanted.append((k, skipped[k] + 1))
+        before += sizes[k]
+    heads_at = spark.createDataFrame(wanted, "_slot int, _at int")
+    within = Window.partitionBy("_slot").orderBy("_key")
+    heads = keys.withColumn("_row", F.row_number().over(within))
+    heads = heads.join(F.broadcast(heads_at), "_slot").filter(F.col("_row") == F.col("_at"))
+    found = {r["_slot"]: r["_key"] for r in heads.select("_slot", "_key").collect()}
+    rows, own, first, number = [], None, None, 1
+    for k in sorted(sizes):
+        last, last_first = own, first
+        if k in found:
+            own, first = k, number + skipped[k]
+        rows.append((k, found.get(k), own, first, last, last_first))
+        number += sizes[k]
+    schema = StructType(
+        [
+            StructField("_slot", IntegerType()),
+            StructField("_head", keys.schema["_key"].dataType),
+            *StructType.fromDDL("_own int, _own_first bigint, _last int, _last_first bigint").fields,
+        ]
+    )
+    table = spark.createDataFrame(rows, schema)
+    starts_here = F.col("_head").isNotNull() & (F.struct(*order) >= F.col("_head"))
+    joined = keyed.join(F.broadcast(table), "_slot")  # at most ``ranges`` rows
+    # Without a head of its own a slot lies in the range before, which is ``_own`` too.
+    here = starts_here | F.col("_head").isNull()
+    return (
+        joined.withColumn("_range", F.when(here, F.col("_own")).otherwise(F.col("_last")))
+        .withColumn("_first", F.when(here, F.col("_own_first")).otherwise(F.col("_last_first")))
+        .drop("_slot", "_head", "_own", "_own_first", "_last", "_last_first")
+    )
+
+
 def range_count(rows: int, rows_each: int = 500_000, most: int = 2000) -> int:
     """How many ranges to cut so many rows into; the driver holds the cuts."""
     return min(most, max(8, -(-rows // rows_each)))

@@ -9,13 +9,28 @@ from textstyle.streaming.live import (
     write_json_stream,
     write_micro_batches,
 )
+from textstyle.streaming.progress import (
+    ProgressTable,
+    batches,
+    follow,
+    missed_batches,
+    progress_summary,
+)
+from textstyle.streaming.recovery import lose_commit, unfinished_batches
 
 __all__ = [
     "STREAM_SCHEMA",
+    "ProgressTable",
+    "batches",
     "drain",
+    "follow",
+    "lose_commit",
+    "missed_batches",
+    "progress_summary",
     "read_json_stream",
     "run_for",
     "score_stream",
+    "unfinished_batches",
     "write_json_stream",
     "write_micro_batches",
 ]

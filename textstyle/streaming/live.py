@@ -9,12 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import Transformer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from textstyle.operators.ordering import number_rows
+from textstyle.operators.ordering import aligned_ranges
 from textstyle.plans.learning import CLEAN, score
 from textstyle.sources.tables import CORRUPT, with_corrupt_record
 
@@ -133,18 +133,21 @@ def write_micro_batches(
     order: Sequence[str],
     spread: Column,
     batch_size: int = 50,
+    ranges: int | None = None,
 ) -> None:
-    """Rows in ``order`` as JSON files of ``batch_size``, one per ``batch_id``.
+    """Rows in ``order`` as JSON files of ``batch_size``, numbered by ``batch_id``.
 
-    Spark's committer publishes finished files only, so a watching stream
-    never sees half a batch. ``spread`` as in :func:`number_rows`.
+    Every file is one batch and all lie in one folder; only the last may be
+    smaller. Ranges of whole batches are shuffled once and written in order, so
+    that a file is full exactly where a batch ends. Spark's committer publishes
+    finished files only, so a watching stream never sees half a batch.
+    ``spread`` as in :func:`textstyle.operators.ordering.number_rows`.
     """
-    numbered = number_rows(df, order, spread)
-    batch = ((F.col("row_number") - 1) / batch_size).cast("bigint") + 1
-    (
-        numbered.withColumn("batch_id", batch)
-        .drop("row_number")
-        .repartition("batch_id")
-        .write.partitionBy("batch_id")
-        .json(path)
-    )
+    ranged = aligned_ranges(df, order, spread, batch_size, ranges)
+    along = Window.partitionBy("_range").orderBy(*order)
+    number = F.col("_first") + F.row_number().over(along) - 1
+    batch = F.floor((number - 1) / batch_size).cast("bigint") + 1
+    # The window leaves each task's rows sorted by range and order, the last
+    # range at the end.
+    numbered = ranged.withColumn("batch_id", batch).drop("_range", "_first")
+    numbered.write.option("maxRecordsPerFile", batch_size).json(path)
