@@ -16,10 +16,12 @@ from textstyle.functions import text as T
 from textstyle.operators import metrics as M
 from textstyle.operators.ordering import assign_split, best, leaderboard, ranked
 from textstyle.operators.terms import term_counts
+from textstyle.plans import inspection as I
 from textstyle.plans import learning as L
 from textstyle.plans.learning import TrainingRun
 from textstyle.session import shared_folder, write_through
 from textstyle.sources.models import load_model, save_models
+from textstyle.sources.tables import read_table
 
 # --- metrics: two rules scored on every labelled document, checked by SQL ----------
 
@@ -223,17 +225,65 @@ def trained(spark: SparkSession, sf_dir: str, *names: str) -> TrainingRun:
     return L.train_all(turns(spark, sf_dir), "conv_id", names=names or tuple(L.TRAINERS))
 
 
+# The constants of 32-bit MurmurHash3.
+_MASK = 2**32 - 1
+
+
+def _times(x: str, factor: int) -> str:
+    return f"(({x}) * {factor}::UBIGINT & {_MASK})"
+
+
+def _turned(x: str, bits: int) -> str:
+    return f"((({x}) << {bits} & {_MASK}) | (({x}) >> {32 - bits}))"
+
+
+def murmur3_buckets_sql(terms: str, buckets: int) -> str:
+    """``(term, bucket)`` for the ``term`` column of a query, hashed step by step.
+
+    Blocks of four bytes, low byte first, are mixed one after another, then the
+    rest, then the length; the result is taken as a signed number.
+    """
+    byte = "x[2 * {0} + 1:2 * {0} + 2]"
+    word = " || ".join(byte.format(f"(4 * j + {k})") for k in (3, 2, 1, 0))
+    rest = " || ".join(byte.format(f"(n - n % 4 + {k})") for k in (2, 1, 0))
+    return f"""
+        SELECT term, (((g - CASE WHEN g >= {2**31} THEN {2**32} ELSE 0 END) % {buckets})
+                      + {buckets}) % {buckets} AS bucket
+        FROM (SELECT term, xor(h, h >> 16)::BIGINT AS g FROM (
+        SELECT term, {_times('xor(h, h >> 13)', 0xC2B2AE35)} AS h FROM (
+        SELECT term, {_times('xor(h, h >> 16)', 0x85EBCA6B)} AS h FROM (
+        SELECT term, xor(xor(h, {_times('r', 0x1B873593)}), n::UBIGINT) AS h FROM (
+        SELECT term, n, {_turned('r', 15)} AS r, list_reduce(list_prepend(42::UBIGINT, w),
+               lambda h, k: ({_turned('xor(h, k)', 13)} * 5::UBIGINT + {0xE6546B64}::UBIGINT)
+                            & {_MASK}) AS h FROM (
+        SELECT term, n, {_times('r', 0xCC9E2D51)} AS r,
+               list_transform(w, lambda k: {_times('k', 0x1B873593)}) AS w FROM (
+        SELECT term, n, r, list_transform(w, lambda k: {_turned('k', 15)}) AS w FROM (
+        SELECT term, n, ('0x0' || {rest})::UBIGINT AS r,
+               list_transform(range(n // 4),
+                   lambda j: {_times(f"('0x' || {word})::UBIGINT", 0xCC9E2D51)}) AS w
+        FROM (SELECT term, hex(encode(term)) AS x, strlen(term) AS n FROM ({terms}))))))))))
+    """
+
+
 @query(
     "ml1_hashing_tf",
-    f"SELECT conv_id, turn, len(w)::DOUBLE AS n_tokens FROM ({TURNS_SQL})",
+    f"""
+    WITH e AS (SELECT conv_id, turn, unnest(w) AS term FROM ({TURNS_SQL})),
+         b AS ({murmur3_buckets_sql('SELECT DISTINCT term FROM e', 10_000)})
+    SELECT conv_id, turn, bucket::INTEGER AS bucket, count(*)::DOUBLE AS tf
+    FROM e JOIN b USING (term) GROUP BY ALL
+    """,
 )
 def hashing_tf(spark, sf_dir):
-    """Hashing may merge terms but never loses a token."""
+    """The count in each bucket; SQL finds a term's bucket by its own hash."""
     rows = turns(spark, sf_dir)
     hashed = L.fit_hashing_tfidf(rows).transform(rows)
-    counts = vector_to_array("raw_features")
-    total = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
-    return hashed.select("conv_id", "turn", total.alias("n_tokens"))
+    counts = F.transform(vector_to_array("raw_features"), lambda x, i: F.struct(i.alias("i"), x.alias("x")))
+    filled = F.explode(F.filter(counts, lambda c: c["x"] != 0)).alias("c")
+    return hashed.select("conv_id", "turn", filled).select(
+        "conv_id", "turn", F.col("c.i").alias("bucket"), F.col("c.x").alias("tf")
+    )
 
 
 @query(
@@ -260,28 +310,77 @@ def tfidf_vectors(spark, sf_dir):
     return weighted.select("conv_id", "turn", F.round(total, 4).alias("total"))
 
 
-# Fitted weights have no SQL twin. What these queries state of every turn has:
-# which rows are scored, and that the results agree with each other.
+# Fitted weights have no SQL twin. These queries compare what MLlib says of
+# every turn with the same from tables of terms, weights and nodes, and measure
+# how near the fitted weights are to the best; SQL counts what they cover.
+
+KEYS = ["conv_id", "turn"]
+_SAME_SQL = f"SELECT conv_id, turn, label, true AS same FROM ({TURNS_SQL})"
 
 
-def _model_query(name: str, model: str):
-    @query(name, f"SELECT conv_id, turn, label, true AS consistent FROM ({TURNS_SQL})")
+def _linear_query(name: str, model: str):
+    @query(name, _SAME_SQL)
     def run(spark, sf_dir):
-        fitted = trained(spark, sf_dir, model).models[model]
-        scored = L.score(turns(spark, sf_dir), fitted)
-        margin = F.col("score")
-        if "probability" in scored.columns:
-            margin = F.get("probability", F.lit(1)) - 0.5
-        agrees = F.when(F.col("prediction") == 1, margin >= 0).when(
-            F.col("prediction") == 0, margin <= 0
+        """A score is a sum over terms, a prediction its sign."""
+        fitted, rows = trained(spark, sf_dir, model).models[model], turns(spark, sf_dir)
+        ours = I.linear_scores(rows, KEYS, fitted)
+        both = L.score(rows, fitted).join(ours, KEYS)
+        margin = F.col("margin")
+        same = (F.abs(F.col("score") - margin) < 1e-9) & (
+            (F.col("prediction") == (margin > 0).cast("double")) | (F.abs(margin) < 1e-9)
         )
-        consistent = F.coalesce(agrees, F.lit(False)).alias("consistent")
-        return scored.select("conv_id", "turn", "label", consistent)
+        return both.select(*KEYS, "label", same.alias("same"))
+
+
+_linear_query("ml5_logistic_regression", L.LOGISTIC)
+_linear_query("ml7_linear_svm", L.SVM)
+
 
+@query("ml6_random_forest", _SAME_SQL)
+def random_forest(spark, sf_dir):
+    """The probability of every turn, by walking the table of nodes."""
+    fitted, rows = trained(spark, sf_dir, L.FOREST).models[L.FOREST], turns(spark, sf_dir)
+    nodes = write_through(I.forest_nodes(spark, fitted.stages[-1]), "nodes")
+    ours = I.forest_probabilities(rows, KEYS, fitted, nodes)
+    theirs = L.score(rows, fitted).select(*KEYS, "label", F.col("probability").alias("theirs"))
+    both = theirs.join(ours, KEYS)
+    far = F.exists(F.zip_with("probability", "theirs", lambda a, b: F.abs(a - b)), lambda d: d > 1e-9)
+    return both.select(*KEYS, "label", (~far).alias("same"))
 
-_model_query("ml5_logistic_regression", L.LOGISTIC)
-_model_query("ml6_random_forest", L.FOREST)
-_model_query("ml7_linear_svm", L.SVM)
+
+#: The norm of the objective's gradient, as a share of that at weights of zero.
+#: The hinge loss has a kink: rows near it keep the subgradient from vanishing.
+NEAR_OPTIMUM = {L.LOGISTIC: ("logistic", 1e-5), L.SVM: ("hinge", 0.1)}
+
+TRAINED_TERMS_SQL = f"""
+    WITH t AS (SELECT * FROM ({TURNS_SQL}) WHERE split = 'train' AND label IS NOT NULL),
+         e AS (SELECT conv_id, turn, unnest(w) AS term FROM t),
+         tf AS (SELECT conv_id, turn, term, count(*) AS tf FROM e GROUP BY ALL),
+         n AS (SELECT count(*) AS m FROM t),
+         v AS (SELECT term, count(*) AS df, sum(tf) AS count FROM tf GROUP BY term
+               HAVING count(*) >= 2 ORDER BY count DESC, term LIMIT 10000)
+"""
+
+
+def _optimality_query(name: str, model: str):
+    @query(
+        name,
+        f"""{TRAINED_TERMS_SQL}
+        SELECT m AS n_rows, count(*) FILTER (WHERE df < m) AS n_features, true AS near_optimum
+        FROM n LEFT JOIN v ON true GROUP BY m
+        """,
+    )
+    def run(spark, sf_dir):
+        """How far the fit is from the minimum; terms of all rows weigh nothing."""
+        fitted = trained(spark, sf_dir, model)
+        loss, share = NEAR_OPTIMUM[model]
+        found = I.optimality(fitted.splits["train"], KEYS, fitted.models[model], loss)
+        near = F.col("gradient") <= share * F.col("start")
+        return found.select("n_rows", "n_features", near.alias("near_optimum"))
+
+
+_optimality_query("ml5_optimality", L.LOGISTIC)
+_optimality_query("ml7_optimality", L.SVM)
 
 _MODELS_SQL = "(VALUES ('Logistic Regression'), ('Random Forest'), ('Linear SVM')) m(model)"
 
@@ -356,12 +455,31 @@ def sample_predictions(spark, sf_dir):
     return sample.select("conv_id", "turn", "label", *digest(F.col("text")), predicted.alias("predicted"))
 
 
-@query("ml18_train_all", f"SELECT model, true AS recall_is_accuracy FROM {_MODELS_SQL}")
+@query(
+    "ml18_train_all",
+    f"""
+    SELECT model, split, count(*) AS n, points, true AS best_chosen
+    FROM ({TURNS_SQL}) t, (VALUES ('{L.LOGISTIC}', 0::BIGINT), ('{L.FOREST}', 4), ('{L.SVM}', 2))
+         m(model, points)
+    WHERE split <> 'train' AND label IS NOT NULL GROUP BY ALL
+    """,
+)
 def train_all(spark, sf_dir):
-    """Recall weighted by support is accuracy, whatever a model predicts."""
-    board = L.model_leaderboard(trained(spark, sf_dir).metrics)
-    same = F.abs(F.col("test_recall") - F.col("test_accuracy")) < 1e-9
-    return board.select("model", same.alias("recall_is_accuracy"))
+    """The report as written, and how many grid points led to each model."""
+    path = shared_folder(spark, "report")
+    run = L.train_all(turns(spark, sf_dir), "conv_id", report=path)
+    report = read_table(spark, path, "csv", "model string, split string, n bigint, accuracy double, "
+                        "f1 double, precision double, recall double, roc_auc double")
+    top = F.max_by("chosen", F.struct("f1", "chosen")).alias("best_chosen")
+    tried = run.searches().groupBy("model").agg(F.count("*").alias("points"), top)
+    both = report.join(tried, "model", "left")
+    return both.select(
+        "model",
+        "split",
+        "n",
+        F.coalesce("points", F.lit(0)).alias("points"),
+        F.coalesce("best_chosen", F.lit(True)).alias("best_chosen"),
+    )
 
 
 def _throughput(spark, sf_dir) -> DataFrame:
@@ -397,3 +515,21 @@ def saved_model_scoring(spark, sf_dir):
     both = L.score(rows, run.best_model).join(loaded, ["conv_id", "turn"])
     same = (F.struct("prediction", "score") == F.col("loaded")).alias("same")
     return both.select("conv_id", "turn", same)
+
+
+@query(
+    "io10_saved_vocabulary",
+    f"""{TRAINED_TERMS_SQL}
+    SELECT term, (row_number() OVER (ORDER BY count DESC, term) - 1)::INTEGER AS feature,
+           round(ln((m + 1) / (df + 1)), 6) AS idf
+    FROM v, n
+    """,
+)
+def saved_vocabulary(spark, sf_dir):
+    """Terms and weights from the files of the current version of a model."""
+    run = trained(spark, sf_dir, L.LOGISTIC)
+    root = shared_folder(spark, "models")
+    for _ in range(2):  # the second version replaces the first
+        save_models(run.models, root)
+    table_ = I.vocabulary_table(spark, load_model(root, run.best_name))
+    return table_.withColumn("idf", F.round("idf", 6))

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import astuple, dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import (
     LinearSVC,
@@ -30,6 +32,7 @@ from textstyle.operators.metrics import calculate_metrics
 from textstyle.operators.ordering import assign_split, best, hash_slot, leaderboard
 from textstyle.operators.terms import vocabulary
 from textstyle.session import delete_folders, write_through
+from textstyle.sources.tables import write_table
 
 # Seed, column names and model names.
 SEED = 42
@@ -99,6 +102,8 @@ class Grid:
     depths: Sequence[int] = (8, 12)
     svm_regs: Sequence[float] = (0.01, 0.1)
     train_ratio: float = 0.80
+    parallelism: int = 4
+    """Grid points fitted at a time; the winner does not depend on it."""
     weight_col: str | None = None
     """Row weights for unbalanced classes, off by default."""
 
@@ -107,7 +112,10 @@ class Grid:
         return {"featuresCol": TFIDF, "labelCol": label, **weights}
 
 
-def train_logistic_regression(train: DataFrame, grid: Grid = Grid(), label: str = "label"):
+def train_logistic_regression(
+    train: DataFrame, grid: Grid = Grid(), label: str = "label", tried: list[Tried] | None = None
+):
+    """One fit; there is nothing to search for."""
     return LogisticRegression(
         maxIter=grid.max_iter,
         regParam=grid.logistic_reg,
@@ -120,14 +128,51 @@ def train_logistic_regression(train: DataFrame, grid: Grid = Grid(), label: str
 INNER = "_inner"
 
 
-def _search(estimator, params, train: DataFrame, grid: Grid, label: str):
-    """The parameters with the best F1 on whole groups not fitted on; ties to the first."""
-    f1 = MulticlassClassificationEvaluator(labelCol=label, metricName="f1")
+@dataclass(frozen=True)
+class Tried:
+    """One grid point: its parameters, F1 on the rows not fitted on, and time."""
+
+    params: str
+    f1: float
+    seconds: float
+    chosen: bool
+
+
+def _search(
+    estimator, params, train: DataFrame, grid: Grid, label: str, tried: list[Tried] | None = None
+):
+    """The parameters with the best F1 on whole groups not fitted on; ties to the first.
+
+    Grid points are fitted next to each other, each in a scheduler pool of its
+    own, so that small stages of one fill what another leaves idle. What was
+    tried is added to ``tried``.
+    """
     fitted, judged = train.filter(INNER), train.filter(~F.col(INNER))
     if judged.isEmpty() or fitted.isEmpty():
         return estimator.fit(train, params[0])
-    scores = [f1.evaluate(estimator.fit(fitted, p).transform(judged)) for p in params]
-    return estimator.fit(train, params[scores.index(max(scores))])
+    context = train.sparkSession.sparkContext
+
+    def point(k: int) -> tuple[float, float]:
+        context.setLocalProperty("spark.scheduler.pool", f"grid-{k}")
+        f1 = MulticlassClassificationEvaluator(labelCol=label, metricName="f1")
+        start = time.perf_counter()
+        score = f1.evaluate(estimator.copy().fit(fitted, params[k]).transform(judged))
+        return score, time.perf_counter() - start
+
+    session = train.sparkSession
+    with ThreadPoolExecutor(max(1, grid.parallelism)) as pool:
+        # Each call copies this thread's properties; points must not share a copy.
+        points = [
+            pool.submit(inheritable_thread_target(session)(point), k) for k in range(len(params))
+        ]
+        results = [p.result() for p in points]
+    scores = [score for score, _ in results]
+    best_ = scores.index(max(scores))
+    if tried is not None:
+        for k, (score, seconds) in enumerate(results):
+            shown = ", ".join(f"{p.name}={v}" for p, v in params[k].items())
+            tried.append(Tried(shown, score, seconds, k == best_))
+    return estimator.fit(train, params[best_])
 
 
 def inner_split(group: Column, grid: Grid) -> Column:
@@ -136,7 +181,9 @@ def inner_split(group: Column, grid: Grid) -> Column:
     return F.coalesce(slot, F.lit(0)) < round(100 * grid.train_ratio)
 
 
-def train_random_forest(train: DataFrame, grid: Grid = Grid(), label: str = "label"):
+def train_random_forest(
+    train: DataFrame, grid: Grid = Grid(), label: str = "label", tried: list[Tried] | None = None
+):
     forest = RandomForestClassifier(seed=SEED, **grid.columns(label))
     params = (
         ParamGridBuilder()
@@ -144,13 +191,15 @@ def train_random_forest(train: DataFrame, grid: Grid = Grid(), label: str = "lab
         .addGrid(forest.maxDepth, list(grid.depths))
         .build()
     )
-    return _search(forest, params, train, grid, label)
+    return _search(forest, params, train, grid, label, tried)
 
 
-def train_linear_svm(train: DataFrame, grid: Grid = Grid(), label: str = "label"):
+def train_linear_svm(
+    train: DataFrame, grid: Grid = Grid(), label: str = "label", tried: list[Tried] | None = None
+):
     svm = LinearSVC(maxIter=grid.max_iter, **grid.columns(label))
     params = ParamGridBuilder().addGrid(svm.regParam, list(grid.svm_regs)).build()
-    return _search(svm, params, train, grid, label)
+    return _search(svm, params, train, grid, label, tried)
 
 
 TRAINERS = {
@@ -168,9 +217,12 @@ def train_models(
     label: str = "label",
     group_key: Column | str = CLEAN,
     paths: list[str] | None = None,
+    tried: dict[str, list[Tried]] | None = None,
 ) -> dict[str, PipelineModel]:
     """Fit each classifier; every result goes from clean text to prediction.
 
+    The grid points of each model are added to ``tried``.
+
     The vectors are written once and read by all iterations, so neither text
     work nor a lost executor makes them be computed again. The search of
     parameters keeps rows that share ``group_key`` on one side, by default
@@ -180,8 +232,11 @@ def train_models(
     kept = [TFIDF, label, *([grid.weight_col] if grid.weight_col else [])]
     rows = train.filter(F.col(label).isNotNull()).withColumn(INNER, inner_split(group, grid))
     vectors = write_through(features.transform(rows).select(*kept, INNER), "vectors", paths)
+    tried = {} if tried is None else tried
     return {
-        name: PipelineModel([*features.stages, TRAINERS[name](vectors, grid, label)])
+        name: PipelineModel(
+            [*features.stages, TRAINERS[name](vectors, grid, label, tried.setdefault(name, []))]
+        )
         for name in names
     }
 
@@ -278,6 +333,13 @@ class TrainingRun:
     best_name: str
     splits: dict[str, DataFrame] = field(default_factory=dict)
     paths: list[str] = field(default_factory=list)
+    tried: dict[str, list[Tried]] = field(default_factory=dict)
+
+    def searches(self) -> DataFrame:
+        """``(model, params, f1, seconds, chosen)``, a row for each grid point."""
+        rows = [(name, *astuple(t)) for name, found in self.tried.items() for t in found]
+        schema = "model string, params string, f1 double, seconds double, chosen boolean"
+        return self.metrics.sparkSession.createDataFrame(rows, schema)
 
     @property
     def best_model(self) -> PipelineModel:
@@ -297,9 +359,13 @@ def train_all(
     grid: Grid = Grid(),
     vocab_size: int = 10_000,
     min_df: int = 2,
+    report: str | None = None,
 ) -> TrainingRun:
     """Split by group, learn on train, choose on validation, report on test.
 
+    ``report`` names a folder for the metrics of validation and test as one
+    CSV file.
+
     The split rows are written once: text work is not repeated for the
     vocabulary, the weights, the vectors and the evaluation. Rows without label
     are in no split.
@@ -313,14 +379,19 @@ def train_all(
         for name in ("train", "validation", "test")
     }
     features = fit_tfidf(parts["train"], clean_col, vocab_size, min_df)
-    models = train_models(parts["train"], features, names, grid, group_key="_group", paths=scratch)
+    tried: dict[str, list[Tried]] = {}
+    models = train_models(
+        parts["train"], features, names, grid, group_key="_group", paths=scratch, tried=tried
+    )
     held_out = tagged.filter(F.col("split") != "train")
     # A report of a few rows: written, so that reading it trains nothing again.
     measured = evaluate_models(models, held_out, paths=scratch)
     metrics = write_through(measured, "metrics", kept_paths)
     delete_folders(df.sparkSession, scratch)  # vectors and scores
     top = best(model_leaderboard(metrics), "validation_f1", "model").first()
-    return TrainingRun(models, metrics, top["model"], parts, kept_paths)
+    if report:
+        write_table(metrics.orderBy("split", "model"), report, "csv", single_file=True)
+    return TrainingRun(models, metrics, top["model"], parts, kept_paths, tried)
 
 
 # --- throughput -----------------------------------------------------------------------------

@@ -14,12 +14,16 @@ def get_session(
     master: str | None = None,
     **conf: str,
 ) -> SparkSession:
-    """A session with adaptive execution on; shuffle width is left to Spark."""
+    """A session with adaptive execution on; shuffle width is left to Spark.
+
+    Pools share the cores fairly, for jobs that run next to each other.
+    """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.scheduler.mode", "FAIR")
     )
     if master:
         builder = builder.master(master)
