@@ -105,19 +105,55 @@ def test_no_search_holds_more_than_two_blocks(spark, monkeypatch):
 
     def counted(search):
         def run(found, percent):
-            keys = [c for c in ("cluster", "block", "low", "high") if c in found.columns]
+            keys = [c for c in ("cluster", "block") if c in found.columns]
             held.extend(r["count"] for r in found.groupBy(*keys).count().collect())
             return search(found, percent)
 
         return run
 
+    def across(held_sets, asked, block_sets, percent):
+        asks.append(asked.count())
+        return real(held_sets, asked, block_sets, percent)
+
     monkeypatch.setattr(J, "_stars", one_star)
-    for name in {"_search", "_search_pairs"} & set(dir(J)):
-        monkeypatch.setattr(J, name, counted(getattr(J, name)))
+    real, asks = J._search_across, []
+    monkeypatch.setattr(J, "_search", counted(J._search))
+    monkeypatch.setattr(J, "_search_across", across)
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = J.near_classes(docs, block_sets=16).collect()
     assert sorted(tuple(r) for r in got) == _expected(rows)
-    assert len(held) > 11 and max(held) < 80  # of 170, blocks being dealt by hash
+    assert len(held) > 10 and max(held) < 80  # of 170, blocks being dealt by hash
+    assert asks[0] < 60  # of 170 sets that could each ask ten blocks
+
+
+def test_prefixes_of_linked_sets_meet():
+    """For all sizes, overlaps and orders that link, the first shingles share one."""
+    rng = np.random.default_rng(2)
+    for percent in (80, 90):
+        for _ in range(1500):
+            n = int(rng.integers(1, 40))
+            m = int(rng.integers(max(1, percent * n // 100), 100 * n // percent + 2))
+            shared = int(J.required(n, m, percent))
+            if shared > min(n, m):
+                continue
+            pool = rng.integers(0, 1 << 63, n + m - shared, dtype=np.uint64)
+            a, b = pool[:n], pool[n - shared :]
+            counts = rng.integers(0, 3, J.SLOTS)
+            assert len(a) == n and len(b) == m
+            assert np.intersect1d(J.prefix(a, counts, percent), J.prefix(b, counts, percent)).size
+
+
+def test_scratch_tables_are_deleted(spark):
+    import pathlib
+
+    shared = pathlib.Path(spark.conf.get("spark.checkpoint.dir"))
+    before = {p.name for p in shared.iterdir()}
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(_texts(3, 60))], "doc_id bigint, text string")
+    paths: list[str] = []
+    near = J.near_classes(docs, block_sets=4, paths=paths).collect()
+    assert sorted(tuple(r) for r in near) == _expected([(k, t) for k, t in enumerate(_texts(3, 60))])
+    left = {p.name for p in shared.iterdir()} - before
+    assert left == {p.rsplit("/", 1)[1] for p in paths} and len(left) == 3
 
 
 def test_null_ids_and_empty_table(spark):

@@ -20,6 +20,16 @@ def test_stages_keep_clean_documents(spark, sf_dir):
     assert kept.count() > 0.5 * docs.count() and good > 0
 
 
+def test_near_copies_keep_clashing_columns(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(40)
+    for name in ("key", "_near_key", "h", "component_id", "n_shingles"):
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+    kept = P.one_of_each(spark, docs, sf_dir)
+    assert kept.columns == docs.columns and kept.count() > 20
+    assert kept.where("key <> concat('key', doc_id) OR h <> concat('h', doc_id)").isEmpty()
+    assert kept.where("_near_key <> concat('_near_key', doc_id)").isEmpty()
+
+
 def test_each_stage_decides(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     first = docs.where(F.col("doc_id") < 100)

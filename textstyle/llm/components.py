@@ -16,26 +16,34 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textstyle.session import write_through
+from textstyle.session import delete_folders, write_through
 
 #: Links (16 bytes each) that one task finishes by itself.
 TASK_LINKS = 1 << 21
 
 
-def components(edges: DataFrame, task_links: int = TASK_LINKS) -> DataFrame:
+def components(
+    edges: DataFrame, task_links: int = TASK_LINKS, paths: list[str] | None = None
+) -> DataFrame:
     """``(node, root)`` of every node of ``edges`` (``u, v``, any orientation).
 
     ``root`` is the least node of the component. Loops, repeated links and
-    rows with a null end add nothing; no edges give no rows.
+    rows with a null end add nothing; no edges give no rows. Only the last
+    round's table is left; its folder is added to ``paths``.
     """
     links = _oriented(edges.select("u", "v"))
-    links, state = _written(links)
+    folders: list[str] = []
+    links, state = _written(links, folders)
     while state[0] > task_links:
-        links, now = _written(_small_star(_large_star(links)))
+        before, folders = folders, []
+        links, now = _written(_small_star(_large_star(links)), folders)
+        delete_folders(links.sparkSession, before)
         if now == state:
             break
         state = now
-    else:
+    if paths is not None:
+        paths.extend(folders)
+    if state[0] <= task_links:
         return links.coalesce(1).mapInArrow(_finish, "node bigint, root bigint")
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
@@ -47,8 +55,8 @@ def _oriented(links: DataFrame) -> DataFrame:
     return links.where("u <> v").select(high.alias("u"), low.alias("v")).distinct()
 
 
-def _written(links: DataFrame) -> tuple[DataFrame, tuple]:
-    links = write_through(links, "components")
+def _written(links: DataFrame, paths: list[str]) -> tuple[DataFrame, tuple]:
+    links = write_through(links, "components", paths)
     sums = F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("s")
     return links, tuple(links.agg(F.count("*").alias("n"), sums).first())
 

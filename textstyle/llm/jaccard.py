@@ -14,7 +14,11 @@
    are connected already need no test.
 4. A cluster beyond ``BLOCK_SETS`` or ``BLOCK_SHINGLES`` is searched in blocks
    that all hold the same pivots. What joins the largest component there needs
-   no further search; every other set is then sent to all other blocks.
+   no further search; every other set asks the other blocks. Sets that link
+   share one of the rarest shingles of both (the prefix filter) and have
+   similar sizes. Blocks hold sets of a band of sizes, and a set asks only
+   those of its own and the next bands that hold a set with one of its
+   rarest shingles.
 
 No step drops or caps anything: blocks bound memory, not results. Shingles and
 sets are told apart by 64-bit hashes.
@@ -22,6 +26,8 @@ sets are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -32,7 +38,7 @@ from pyspark.sql.types import StructField, StructType
 
 from textstyle.llm.components import components
 from textstyle.llm.tables import raw_texts
-from textstyle.session import write_through
+from textstyle.session import delete_folders, write_through
 
 SHINGLE_WORDS = 3
 #: Links need ``100 * shared >= PERCENT * union``.
@@ -40,10 +46,17 @@ PERCENT = 90
 #: Sets and shingles in one block of the search.
 BLOCK_SETS, BLOCK_SHINGLES = 1024, 1 << 21
 PIVOTS = 8
+#: Blocks of one band of sizes are numbered from a multiple of this.
+BAND_BLOCKS = 1 << 32
+#: Shingles are counted by slots of a hash, to tell rare ones from common ones.
+SLOT_BITS = 20
+SLOTS = 1 << SLOT_BITS
+#: Bytes of sets, and sets, that a task passes on at a time.
+SENT_BYTES, SENT_SETS = 4 << 20, 512
 #: Members are sent to the scan of the documents up to this size.
 BROADCAST_BYTES = 64 << 20
 #: Words in each of a worker's two hash tables; only speed depends on it.
-CACHED_WORDS = 200_000
+CACHED_WORDS = 100_000
 
 _A, _B, _C = (np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _SHIFT = np.uint64(29)
@@ -198,14 +211,14 @@ def forest(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple]:
     return links
 
 
-def forest_across(sets, roots, ask, others, other_roots, other_ask, percent: int = PERCENT) -> list[tuple]:
-    """Links ``(i, j)`` from ``sets`` to ``others`` that connect what the links
-    of those with ``ask`` connect, beyond what equal roots say."""
+def forest_across(sets, roots, others, other_roots, percent: int = PERCENT) -> list[tuple]:
+    """Links ``(i, j)`` from ``sets`` to ``others`` that connect what all such
+    links connect, beyond what equal roots say."""
     index = SkipIndex(others, percent)
     group = np.unique([*roots, *other_roots], return_inverse=True)[1]
     n, links = len(sets), []
     for i in range(n):
-        for j in index.search(sets[i], (group[n:] != group[i]) & (ask[i] | other_ask)):
+        for j in index.search(sets[i], group[n:] != group[i]):
             if group[n + j] != group[i]:
                 links.append((i, int(j)))
                 group[group == group[n + j]] = group[i]
@@ -223,6 +236,7 @@ def near_classes(
     words: int = SHINGLE_WORDS,
     percent: int = PERCENT,
     block_sets: int = BLOCK_SETS,
+    paths: list[str] | None = None,
 ) -> DataFrame:
     """``id, n_shingles, component_id`` of every row of ``docs``.
 
@@ -231,14 +245,22 @@ def near_classes(
     links. Rows with one id and different texts are each judged by their own
     text; a row without id takes part and may have the id of others. Columns
     besides id and text are not read. An empty table gives no rows.
+
+    The folders of the tables that the result reads are added to ``paths``,
+    for callers that delete them; all others are deleted here.
     """
+    spark, paths, scratch = docs.sparkSession, [] if paths is None else paths, []
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sets = write_through(_sets(docs, words, percent), "shingle-sets")
+    signed = write_through(_sets(docs, words, percent), "signatures", scratch)
+    sets = write_through(signed.select("id", "n", "h"), "shingle-sets", paths)
     classes = sets.where("n > 0").groupBy("h").agg(F.min("id").alias("id"), F.first("n").alias("n"))
-    classes = write_through(classes, "shingle-classes")
-    clusters = components(_stars(sets))
-    links = _links(docs, classes, clusters, words, percent, block_sets)
-    roots = components(links)
+    classes = write_through(classes, "shingle-classes", paths)
+    clusters: list[str] = []
+    clustered = components(_stars(signed), paths=clusters)
+    delete_folders(spark, scratch)
+    links = _links(docs, classes, clustered, words, percent, block_sets, scratch)
+    roots = components(links, paths=paths)
+    delete_folders(spark, clusters + scratch)
     named = roots.join(classes.select(F.col("h").alias("node"), "id"), "node")
     least = named.groupBy("root").agg(F.min("id").alias("least"))
     of_root = roots.join(least, "root").select(F.col("node").alias("h"), "least")
@@ -318,17 +340,26 @@ def _stars(sets: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "u bigint, v bigint")
 
 
-def _links(docs, classes, clusters, words, percent, block_sets) -> DataFrame:
+def _links(docs, classes, clusters, words, percent, block_sets, paths) -> DataFrame:
     """Tested links, as many as connect what is connected: ``u, v``."""
     members = clusters.select(F.col("node").alias("h"), F.col("root").alias("cluster"))
     members = members.join(classes, "h")
-    sizes = members.groupBy("cluster").agg(F.count("*").alias("k"), F.sum("n").alias("w"))
-    blocks = F.greatest(F.ceil(F.col("k") / block_sets), F.ceil(F.col("w") / BLOCK_SHINGLES))
-    sizes = sizes.select("cluster", blocks.cast("int").alias("blocks"))
-    members = members.join(sizes, "cluster").withColumn(
-        "block", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int")
+
+    def parts(*of: str) -> DataFrame:
+        counted = members.groupBy(*of).agg(F.count("*").alias("k"), F.sum("n").alias("w"))
+        need = F.greatest(F.ceil(F.col("k") / block_sets), F.ceil(F.col("w") / BLOCK_SHINGLES))
+        return counted.select(*of, need.cast("int").alias("blocks"))
+
+    # Sets that may link lie in one band of sizes or in neighbouring ones.
+    width = 1.001 * math.log(100 / percent) if percent < 100 else 1.0
+    members = members.withColumn("band", F.floor(F.log("n") / width).cast("int"))
+    in_band = parts("cluster", "band").withColumnRenamed("blocks", "parts")
+    members = members.join(parts("cluster"), "cluster").join(in_band, ["cluster", "band"])
+    block = F.col("band") * BAND_BLOCKS + F.pmod(F.xxhash64("h"), F.col("parts"))
+    block = F.when(F.col("blocks") > 1, block).otherwise(F.lit(0)).cast("bigint").alias("block")
+    members = write_through(
+        members.select("id", "h", "cluster", block, "blocks"), "members", paths
     )
-    members = write_through(members.select("id", "h", "cluster", "block", "blocks"), "members")
     n = members.count()
     sent = F.broadcast(members) if n * 48 <= BROADCAST_BYTES else members
     found = _member_sets(docs.join(sent, "id"), words)
@@ -337,58 +368,159 @@ def _links(docs, classes, clusters, words, percent, block_sets) -> DataFrame:
     found = found.unionByName(
         _hashed_sets(docs.where("id IS NULL"), words).join(nameless, "h").select(found.columns)
     )
-    tokens = write_through(found, "member-sets")
+    tokens = write_through(found, "member-sets", paths)
     order = Window.partitionBy("cluster").orderBy("h")
     large = members.where("blocks > 1")
     pivots = large.withColumn("r", F.row_number().over(order)).where(F.col("r") <= PIVOTS)
-    pivots = pivots.select("h", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("to"))
+    every = large.select("cluster", F.col("block").alias("to")).distinct()
+    pivots = pivots.select("h", "cluster").join(every, "cluster").select("h", "to")
     own = tokens.select("cluster", "block", "h", "tokens")
     shared = tokens.join(pivots, "h").select("cluster", F.col("to").alias("block"), "h", "tokens")
-    inside = write_through(_search(own.unionByName(shared), percent), "links")
+    inside = write_through(_search(own.unionByName(shared), percent), "links", paths)
     if large.limit(1).count() == 0:
         return inside
-    # In large clusters, all but the largest component ask every other block:
-    # each pair of blocks with such a set is a search of its own.
-    roots = components(inside).select(F.col("node").alias("h"), "root")
+    # In large clusters, all but the largest component ask other blocks.
+    roots = components(inside, paths=paths).select(F.col("node").alias("h"), "root")
     placed = large.join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
     most = placed.groupBy("cluster", "root").agg(F.count("*").alias("k"))
     core = most.groupBy("cluster").agg(F.max_by("root", F.struct("k", "root")).alias("core"))
     placed = placed.join(core, "cluster").select(
-        "h", "cluster", "block", "blocks", "root", (F.col("root") != F.col("core")).alias("ask")
+        "h", "cluster", "block", "root", (F.col("root") != F.col("core")).alias("ask")
+    )
+    placed = write_through(placed, "placed", paths)
+    held = tokens.where("blocks > 1").select("h", "tokens").join(placed, "h")
+    held = write_through(held, "held-sets", paths)
+    across = _search_across(held, _asked_blocks(held, percent, paths), block_sets, percent)
+    return write_through(inside.unionByName(across), "links", paths)
+
+
+def _asked_blocks(held: DataFrame, percent: int, paths: list[str]) -> DataFrame:
+    """``cluster, h, to``: the blocks that may hold a link of an asking set.
+
+    Shingles are ordered by how many sets of large clusters hold their slot,
+    then by value. Of two sets that link, each has a shingle of the other among
+    its first ones, as many as may be missing and one more: were there none,
+    the set whose last such shingle comes first would miss all of its own.
+    Any one order serves; rare first keeps common passages out.
+    """
+    slots = held.select("tokens").mapInArrow(_slot_counts, "slot int, k bigint")
+    counts = slots.groupBy("slot").agg(F.sum("k").alias("k")).toArrow()  # at most SLOTS rows
+    table = np.zeros(SLOTS, np.int64)
+    table[counts["slot"].to_numpy()] = counts["k"].to_numpy()
+    sent = held.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches):
+        for batch in batches:
+            for k in range(0, batch.num_rows, SENT_SETS):
+                part = batch.slice(k, SENT_SETS)
+                keys = [
+                    prefix(np.frombuffer(row, np.uint64), sent.value, percent).view(np.int64)
+                    for row in part.column(0).to_pylist()
+                ]
+                at = pa.array(np.repeat(np.arange(len(keys)), [len(x) for x in keys]))
+                columns = [c.take(at) for c in part.columns[1:]] + [pa.array(np.concatenate(keys))]
+                yield pa.RecordBatch.from_arrays(columns, ["h", "cluster", "block", "ask", "token"])
+
+    rows = held.select("tokens", "h", "cluster", "block", "ask").mapInArrow(
+        run, "h bigint, cluster bigint, block bigint, ask boolean, token bigint"
+    )
+    rows = write_through(rows, "prefixes", paths)
+    there = rows.select("cluster", "token", F.col("block").alias("to")).distinct()
+    asking = rows.where("ask").select("cluster", "token", "h", "block")
+    apart = F.floor(F.col("to") / BAND_BLOCKS) - F.floor(F.col("block") / BAND_BLOCKS)
+    near = (F.abs(apart) <= 1) & (F.col("to") != F.col("block"))
+    return asking.join(there, ["cluster", "token"]).where(near).select(
+        "cluster", "h", "to"
+    ).distinct()
+
+
+def _slot_counts(batches):
+    """How many sets of a partition hold each slot of shingles."""
+    total = np.zeros(SLOTS, np.int64)
+    for batch in batches:
+        for row in batch.column(0).to_pylist():
+            np.add.at(total, _slots(np.frombuffer(row, np.uint64)), 1)
+    slot = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(slot, pa.int32()), pa.array(total[slot])], ["slot", "k"]
     )
-    placed = write_through(placed, "placed")
-    asking = placed.where("ask").select("cluster", F.col("block").alias("other")).distinct()
-    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    sent = placed.select("*", others).where("other <> block")
-    asked = sent.where("NOT ask").join(asking, ["cluster", "other"], "left_semi")
-    sent = sent.where("ask").unionByName(asked.select(sent.columns)).select(
-        "h", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-        (F.col("block") < F.col("other")).alias("first"), "root", "ask",
-    )
-    across = _search_pairs(tokens.select("h", "cluster", "tokens").join(sent, "h"), percent)
-    return write_through(inside.unionByName(across), "links")
+
+
+def _slots(tokens: np.ndarray) -> np.ndarray:
+    return (_mix(tokens ^ _B) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def prefix(tokens: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """The first shingles of a set, of which a link must share one."""
+    n = len(tokens)
+    most_missing = n - -(-percent * n // 100)
+    order = np.lexsort((tokens, counts[_slots(tokens)]))
+    return tokens[order[: most_missing + 1]]
+
+
+def _search_across(held: DataFrame, asked: DataFrame, block_sets: int, percent: int) -> DataFrame:
+    """Links of asking sets to the sets of the blocks they ask.
+
+    The sets of a block are sent once for every ``block_sets`` that ask it, so
+    a task holds two blocks at most.
+    """
+    n = asked.groupBy("cluster", "to").agg(F.count("*").alias("n"))
+    n = n.select("cluster", "to", F.ceil(F.col("n") / block_sets).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("h", F.lit(1)), F.col("parts")).cast("int").alias("part")
+    asking = asked.join(n, ["cluster", "to"]).select("h", "to", part)
+    asking = held.join(asking, "h").select(
+        "cluster", "to", "part", "h", "tokens", "root", F.lit(True).alias("first")
+    )
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    there = held.withColumnRenamed("block", "to").join(n, ["cluster", "to"])
+    there = there.select("cluster", "to", "h", "tokens", "root", every, F.lit(False).alias("first"))
+    rows = asking.unionByName(there)
+
+    def run(table: pa.Table) -> pa.Table:
+        sides: tuple[dict, dict] = {}, {}
+        for h, tokens, root, first in zip(
+            *(table.column(c).to_pylist() for c in ("h", "tokens", "root", "first"))
+        ):
+            sides[first][h] = (np.frombuffer(tokens, np.uint64), root)
+        links = []
+        if all(sides):
+            keys = [sorted(side) for side in sides]
+            there, own = ([side[h] for h in k] for side, k in zip(sides, keys))
+            pairs = forest_across(*zip(*own), *zip(*there), percent)
+            links = [(keys[1][i], keys[0][j]) for i, j in pairs]
+        u, v = ([link[k] for link in links] for k in (0, 1))
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return rows.groupBy("cluster", "to", "part").applyInArrow(run, "u bigint, v bigint")
 
 
 def _member_sets(rows: DataFrame, words: int) -> DataFrame:
     """``h, cluster, block, blocks, tokens`` of rows whose set is a member's."""
     schema = StructType.fromDDL(
-        "h bigint, cluster bigint, block int, blocks int, tokens binary"
+        "h bigint, cluster bigint, block bigint, blocks int, tokens binary"
     )
     arrow = to_arrow_schema(schema)
 
     def run(batches):
         for batch in batches:
-            out, seen = [], set()
+            out, seen, held = [], set(), 0
             keys = [batch.column(k).to_pylist() for k in range(1, 5)]
             for text, h, *place in zip(raw_texts(batch.column(0)), *keys):
                 found = shingles(text, words)
                 if h not in seen and _set_hash(found) == h:
                     seen.add(h)
                     out.append((h, *place, found.tobytes()))
-            columns = list(zip(*out)) or [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow
-            )
+                    held += found.nbytes
+                if held > SENT_BYTES:
+                    yield record(out)
+                    out, held = [], 0
+            yield record(out)
+
+    def record(rows):
+        columns = list(zip(*rows)) or [()] * 5
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow
+        )
 
     return rows.select("text", "h", "cluster", "block", "blocks").mapInArrow(run, schema)
 
@@ -419,32 +551,3 @@ def _search(rows: DataFrame, percent: int) -> DataFrame:
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
     return rows.groupBy("cluster", "block").applyInArrow(run, "u bigint, v bigint")
-
-
-def _search_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Searches each pair of blocks for links from one to the other.
-
-    One side is indexed and the other probes it; a pair of sets needs no test
-    unless one of them has ``ask`` and their roots differ.
-    """
-
-    def run(table: pa.Table) -> pa.Table:
-        sides: tuple[dict, dict] = {}, {}
-        for h, tokens, first, *known in zip(
-            *(table.column(c).to_pylist() for c in ("h", "tokens", "first", "root", "ask"))
-        ):
-            sides[first][h] = (np.frombuffer(tokens, np.uint64), *known)
-        links = []
-        if all(sides):
-            keys = [sorted(side) for side in sides]
-            own, other = ([side[h] for h in k] for side, k in zip(sides, keys))
-            pairs = forest_across(
-                *([x[0] for x in own], [x[1] for x in own], np.array([x[2] for x in own])),
-                *([x[0] for x in other], [x[1] for x in other], np.array([x[2] for x in other])),
-                percent,
-            )
-            links = [(keys[0][i], keys[1][j]) for i, j in pairs]
-        u, v = ([link[k] for link in links] for k in (0, 1))
-        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
-
-    return rows.groupBy("cluster", "low", "high").applyInArrow(run, "u bigint, v bigint")
