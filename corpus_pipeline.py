@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from textstyle.llm import decontaminate, jaccard, language, packing, quality
 from textstyle.llm.tables import fold_of, table
-from textstyle.session import write_through
+from textstyle.session import delete_folders, write_through
 
 #: Below it the language model knows no language for a text.
 MIN_LANGUAGE = 0.3
@@ -51,11 +51,17 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     after all others, and texts with one id in the order of their hashes.
     """
     key = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", F.xxhash64("text").alias("h"))
-    docs = docs.withColumn("key", key)
-    near = jaccard.near_classes(docs, id_col="key", words=NEAR_WORDS, percent=NEAR_PERCENT)
-    kept = near.where(F.col("key").eqNullSafe(F.col("component_id"))).select("key").distinct()
-    stays = docs.join(kept, "key", "left_semi").drop("key")
-    return stays.dropDuplicates(["doc_id", "text"])
+    name = "_near_key"
+    while name in docs.columns:
+        name += "_"
+    keyed, paths = docs.withColumn(name, key), []
+    near = jaccard.near_classes(
+        keyed, id_col=name, words=NEAR_WORDS, percent=NEAR_PERCENT, paths=paths
+    )
+    kept = near.where(F.col(name).eqNullSafe(F.col("component_id"))).select(name).distinct()
+    kept = write_through(kept, "kept-of-near")
+    delete_folders(spark, paths)
+    return keyed.join(kept, name, "left_semi").drop(name).dropDuplicates(["doc_id", "text"])
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
