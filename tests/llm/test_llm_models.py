@@ -98,6 +98,37 @@ def test_licences(spark):
     assert licences.by_document(docs.limit(0), scanner).count() == 0
 
 
+def test_licences_outside_the_list_are_unknown(spark, sf_dir):
+    """None of these is among the written notices, listed or not."""
+    outside = [
+        "Licensed under the Eclipse Public License 2.0.", "ISC License", "Released under the ISC License.",
+        "Artistic License 2.0", "Boost Software License", "zlib License", "Apache License, Version 1.1",
+        "European Union Public Licence", "Licensed under the Acme Licence.",
+    ]
+    inside = {"Licensed under the Apache Licence, Version 2.0": "apache", "This is the MIT licence": "mit",
+              "You may use it under the GNU Lesser General Public License, version 3": "lgpl"}
+    plain = "the and of under any you may with by 2.0"
+    texts = [*outside, *inside, plain]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    corpus = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    scanner = licences.train(corpus, key=["doc_id"])
+    got = {texts[r["doc_id"]]: r["family"] for r in licences.scan(docs, scanner).collect()}
+    assert got == {t: "unknown" for t in outside} | inside
+    assert {"the", "and", "of"}.isdisjoint(scanner.triggers) and 0.5 <= scanner.sure < 1
+
+
+def test_lookup_drops_no_paragraph_that_the_model_would_name(spark, sf_dir):
+    """Without any trigger the model finds no licence, whatever other terms there are."""
+    corpus = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    scanner = licences.train(corpus, key=["doc_id"])
+    known = {w for t in scanner.vectorizer.vocabulary for w in t.split(" ")}
+    rest = sorted(known - set(scanner.triggers))
+    text = " ".join(rest * 2 + rest[::-1]) + " " + " ".join(f"{a} {b}" for a in rest for b in rest)
+    rows = spark.createDataFrame([(text,)], "text string")
+    rows = rows.withColumn("terms", licences.terms(licences.words("text")))
+    assert licences._logits(scanner, rows).where(licences._some_licence()).isEmpty()
+
+
 def test_wrapped_licences(spark):
     import textwrap
 
