@@ -7,10 +7,9 @@
    leaves out its ``s`` smallest parts. Sets that share a signature are joined
    to one cluster, by a star a signature. Common lines seldom join clusters, as
    a whole part of several shingles has to be equal; long common passages may.
-3. T-occurrence search in each cluster: an inverted index, the shortest lists
-   counted set by set (ScanCount, in place of DivideSkip's heap merge), the
-   long ones probed by binary search as in DivideSkip, and the sets kept that
-   reach the overlap their sizes require. Links between sets that
+3. T-occurrence search in each cluster by DivideSkip: an inverted index, the
+   shortest lists merged with a heap, the long ones probed by binary search, and
+   the sets kept that reach the overlap their sizes require. Links between sets that
    are connected already need no test.
 4. A cluster beyond ``BLOCK_SETS`` or ``BLOCK_SHINGLES`` is searched in blocks
    that all hold the same pivots. What joins the largest component there needs
@@ -26,7 +25,9 @@ sets are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
+import heapq
 import math
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -181,11 +182,9 @@ class SkipIndex:
         n_long = int(least / (0.0085 * np.log2(max(2, lengths.max())) + 1))
         n_long = max(0, min(n_long, least - 1))
         short, long = at[: len(at) - n_long], at[len(at) - n_long :]
-        merged = np.concatenate([self.lists[self.starts[k] : self.ends[k]] for k in short])
-        counts = np.bincount(merged, minlength=len(self.sizes))
-        found = np.flatnonzero((counts >= least - n_long) & allowed)
+        lists = [self.lists[self.starts[k] : self.ends[k]] for k in short]
+        found, counts = _merged([x[allowed[x]].tolist() for x in lists], least - n_long)
         need = required(n, self.sizes[found], percent)
-        counts = counts[found]
         for left, k in zip(range(len(long), 0, -1), long):
             alive = counts + left >= need
             if not alive.all():
@@ -198,6 +197,16 @@ class SkipIndex:
         return found[counts >= need]
 
 
+def _merged(lists: list[list[int]], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sets on at least ``least`` of some ascending lists, and on how many.
+
+    A heap holds the head of each list, so equal numbers come out together.
+    """
+    runs = ((x, sum(1 for _ in same)) for x, same in groupby(heapq.merge(*lists)))
+    kept = [(x, n) for x, n in runs if n >= least]
+    return np.array([x for x, _ in kept], np.int64), np.array([n for _, n in kept], np.int64)
+
+
 def forest(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple]:
     """Links ``(i, j)`` that connect what all links connect."""
     index, group = SkipIndex(sets, percent), np.arange(len(sets))
