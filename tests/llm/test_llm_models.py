@@ -225,6 +225,40 @@ def test_suffix_tree_equals_counting(spark):
         assert math.isclose(a[1], b[1], rel_tol=1e-9) and math.isclose(a[2], b[2], rel_tol=1e-9)
 
 
+def test_suffix_tree_in_many_blocks(spark):
+    """Pairs that one block has alone, and words whose pairs go to several buckets."""
+    rng = np.random.default_rng(5)
+    common = ["the", "of", "a", "cat", "dog", "house"]
+    rows = []
+    for k in range(80):
+        names = [f"n{k}x{j}" for j in range(3)]  # words of this document only, some often
+        words = rng.choice(common + names, 60, p=[0.3, 0.14, 0.14, 0.1, 0.1, 0.07, 0.05, 0.05, 0.05])
+        own = f" n{k}x0 n{k}x1 n{k}x2 {'cat' if k % 2 else 'dog'} sat on" * 6
+        rows.append((k, " ".join(words) + own, k % 5 == 0))
+    rows += [(200, " ".join(f"n{k}x0 n{k}x1 the" for k in range(40)), True), (201, rows[1][1], False)]
+    want, first, second = _tree_scores(rows)
+    assert first and second
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, out boolean").repartition(2)
+    for hot, bucket in ((1 << 18, 1 << 21), (64, 128), (20, 1 << 21)):
+        scored = suffix_tree.score(
+            docs, held_out=F.col("out"), block_bytes=900, bucket_tokens=bucket, hot=hot
+        )
+        got = {r["doc_id"]: r for r in scored.collect()}
+        assert len(got) == len(rows)
+        worst = max(abs(got[r[0]]["score"] / w[4] - 1) for r, w in zip(rows, want))
+        assert worst < 1e-9, (hot, worst)
+    # One block that holds everything has nothing to exchange beyond single words.
+    got = {r["doc_id"]: r for r in suffix_tree.score(docs.coalesce(1), held_out=F.col("out")).collect()}
+    assert all(math.isclose(got[r[0]]["score"], w[4], rel_tol=1e-9) for r, w in zip(rows, want))
+
+
+def test_suffix_tree_leaves_no_table(spark):
+    before = spark.sql("SHOW TABLES").count()
+    docs = spark.createDataFrame([(1, "a b a b"), (2, "a b")], "doc_id bigint, text string")
+    assert suffix_tree.score(docs, held_out=F.lit(False)).count() == 2
+    assert spark.sql("SHOW TABLES").count() == before
+
+
 def test_suffix_tree_edges(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id bigint, text string")
     assert suffix_tree.score(docs.limit(0), held_out=F.lit(True)).count() == 0

@@ -15,8 +15,17 @@ bounded size that hold word hashes; each level of the tree is one exchange:
 * a block, joined with its answers, then knows all counts that its documents
   need, and no others. Level 0 does the same for single words.
 
-Words and contexts are told apart by 64-bit hashes, words that follow one
-context by 40 bits of theirs.
+Answers say which pairs no other block has. A longer context that starts with
+such a pair is counted and tested in its block, and a pair that ends with one
+needs no name in a message: its own count is the corpus's. A context with more
+than ``hot`` occurrences, which every block knows from the level before, is
+dealt to several buckets by its next words. They report how many next words
+have each count and each suffix's share, which is all that the test needs, and
+Spark adds that up: no task ever holds all pairs of a frequent word.
+
+Words are told apart by 64-bit hashes, contexts by 56 bits, and words that
+follow one context by 24 to 40 bits, at least 16 more than twice the bits of
+the context's count: less than one context in 100,000 confuses two of them.
 """
 
 from __future__ import annotations
@@ -36,7 +45,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, StructField, StructType
 
 from textstyle.llm.tables import raw_texts
-from textstyle.session import shared_folder, write_through
+from textstyle.session import delete_folders, shared_folder, write_through
 
 DEPTH = 2
 #: Training occurrences that a context of one word, and a longer one, needs.
@@ -47,12 +56,15 @@ MIN_GAIN = 5.0
 DISCOUNT = 0.75
 #: Bytes of text in a block (a longer document is one alone), tokens to a bucket.
 BLOCK_BYTES, BUCKET_TOKENS = 12 << 20, 2 << 20
+#: Occurrences of a context that one bucket takes; one with more has several.
+HOT = 1 << 18
 #: Files of the table of blocks, at most; more blocks share them.
 MAX_BUCKETS = 50_000
 CACHED_WORDS = 200_000
 
 _END = np.uint64(0x632BE59BD9B4E019)  # stands for the end of a document
-_NEXT = np.uint64((1 << 40) - 1)
+_ALONE = np.uint64(1 << 40)  # above the bits of a next word: no other block has the pair
+_KEY_BITS = 56
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 _STEP = 8  # parts of one bit in which a suffix's probability is sent
 
@@ -99,7 +111,7 @@ def _pack(*arrays: np.ndarray) -> bytes:
     planes = []
     for a in arrays:
         a = np.ascontiguousarray(a)
-        planes.append((a.dtype.str, len(a), a.view(np.uint8).reshape(len(a), -1).T.tobytes()))
+        planes.append((a.dtype.str, len(a), a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()))
     return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(planes))
 
 
@@ -137,7 +149,7 @@ def _small(counts: np.ndarray) -> np.ndarray:
 # --- Blocks -----------------------------------------------------------------------
 
 
-def _blocks(docs: DataFrame) -> DataFrame:
+def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
     """Documents ``id, text, held_out`` packed: a row to a block.
 
     A block has its documents' ids and lengths, its vocabulary with the counts
@@ -173,7 +185,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
         for batch in batches:
             columns = batch.column(0).to_pylist(), raw_texts(batch.column(1)), batch.column(2).to_pylist()
             for key, text, out in zip(*columns):
-                if waiting and size + len(text) > BLOCK_BYTES:
+                if waiting and size + len(text) > block_bytes:
                     yield pack((task << 24) + made, waiting)
                     waiting, size, made = [], 0, made + 1
                 waiting.append((key, tokens(text), bool(out)))
@@ -184,20 +196,20 @@ def _blocks(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def _kept_in_place(blocks: DataFrame, n: int) -> DataFrame:
+def _kept_in_place(blocks: DataFrame, n: int, path: str) -> tuple[DataFrame, str]:
     """Written once, bucketed by block: joining answers to it moves the answers only."""
-    path = shared_folder(blocks.sparkSession, "text-blocks")
     name = "suffix_tree_" + path.rsplit("-", 1)[-1]
     # Buckets are files of their own, so there are not more than Spark allows.
     n = min(max(1, n), MAX_BUCKETS)
     blocks.write.bucketBy(n, "block").option("path", path).saveAsTable(name)
-    return blocks.sparkSession.table(name)
+    return blocks.sparkSession.table(name), name
 
 
 class Block:
     """One block of documents, and what it has been told so far."""
 
-    def __init__(self, lengths, held, data: bytes):
+    def __init__(self, lengths, held, data: bytes, hot: int = HOT):
+        self.hot = hot
         self.vocabulary, self.own, self.place = _unpack(data)
         self.lengths = np.asarray(lengths, np.int64)
         self.train = np.repeat(~np.asarray(held, bool), self.lengths)
@@ -205,66 +217,104 @@ class Block:
         n = len(self.place)
         before = np.arange(n, dtype=np.int32) - np.repeat(starts.astype(np.int32), self.lengths)
         self.since = before  # words of the document before a place
-        self.words = self.vocabulary[self.place]
         self.p = np.empty(0)
 
     def learn_words(self, answers: dict[int, bytes], buckets: int, n: int, v: int) -> None:
         """Level 0: corpus counts of the block's words."""
         total = np.zeros(len(self.vocabulary), np.int64)
-        for bucket, where in _dealt(self.vocabulary, buckets):
-            where = where[np.argsort(self.vocabulary[where])]
-            total[where] = _unpack(answers[bucket])[0]
+        alone = np.zeros(len(total), bool)
+        order = np.argsort(self.vocabulary)
+        for bucket, own in _ranges(self.vocabulary[order], 64, buckets):
+            total[order[own]], only = _unpack(answers[bucket])
+            alone[order[own]] = _flags(only, own)
         self.counts = total
         self.share = (total + 0.1) / (n + 0.1 * (v + 1))
         self.p = self.share[self.place]
         self.depth = np.zeros(len(self.p), np.int8)
-        self.eligible = total[self.place] >= MIN_COUNT  # the word as a context
+        self._extend(self.place.astype(np.int64), _mix(self.vocabulary + np.uint64(1)), total, alone, MIN_COUNT)
 
-    def contexts(self, level: int) -> np.ndarray:
-        """Hash of the ``level`` words before each place."""
-        key = np.full(len(self.words), np.uint64(level))
-        for back in range(1, level + 1):
-            shifted = np.empty_like(self.words)
-            shifted[back:], shifted[:back] = self.words[:-back], 0
-            key = _mix(key + shifted)
-        return key
+    def _extend(self, at: np.ndarray, key, total, alone, least: int) -> None:
+        """The contexts that the next level may use: ``at`` is the one that ends at a place."""
+        self.context, self.key, self.total, self.alone = at, key, total, alone
+        self.eligible = total >= least
 
     def pairs(self, level: int) -> tuple:
-        """The distinct pairs of a level: keys, next words, counts, suffix's share."""
-        usable = np.zeros(len(self.words), bool)
-        usable[1:] = self.eligible[:-1]
-        usable &= self.since >= level
-        at = np.flatnonzero(usable)
-        del usable
-        key, following = self.contexts(level)[at], self.words[at] & _NEXT
-        order = np.lexsort((following, key))
-        key, following, at = key[order], following[order], at[order]
+        """The distinct pairs of a level, by context.
+
+        Their contexts, next words, own counts and suffix's share; whether no
+        other block has them; the places of all, and the pair of each place.
+        """
+        before = self.context[:-1]
+        usable = (before >= 0) & (self.since[1:] >= level)
+        usable[usable] = self.eligible[before[usable]]
+        at = np.flatnonzero(usable) + 1
+        code = (before[at - 1].astype(np.uint64) << np.uint64(32)) | self.place[at].astype(np.uint64)
+        order = np.argsort(code)
+        code, at = code[order], at[order]
         del order
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (following[1:] != following[:-1])
+        new = np.ones(len(code), bool)
+        new[1:] = code[1:] != code[:-1]
         starts = np.flatnonzero(new)
         counts = np.add.reduceat(self.train[at].astype(np.int64), starts) if len(starts) else starts
         share = np.clip(np.round(-np.log2(self.p[at[starts]]) * _STEP), 0, 255).astype(np.uint8)
-        pair_of = np.cumsum(new) - 1
-        return key[starts], following[starts], counts, share, at, pair_of
+        context = (code[starts] >> np.uint64(32)).astype(np.int64)
+        word = (code[starts] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        # Where no other block has the suffix's pair, none has the longer one.
+        alone = self.alone[context] | self.alone[self.context[at[starts]]]
+        return context, word, counts, share, alone, at, np.cumsum(new) - 1
+
+    def routed(self, pairs: tuple) -> tuple:
+        """Pairs whose contexts other blocks have too, in the order they are sent.
+
+        Their places among the pairs, the keys they go by, the next words' bits
+        with the mark of a pair that is alone, and the parts of their contexts.
+        """
+        context, word, _, _, alone, _, _ = pairs
+        where = np.flatnonzero(~self.alone[context])
+        own, following = context[where], self.vocabulary[word[where]]
+        size, key = self.total[own], self.key[own]
+        hot = np.flatnonzero(size > self.hot)
+        parts = np.zeros(len(own), np.int64)
+        parts[hot] = -(-size[hot] // self.hot)
+        key[hot] = _mix(key[hot] + np.uint64(1) + _mix(following[hot]) % parts[hot].astype(np.uint64))
+        key >>= np.uint64(64 - _KEY_BITS)
+        bits = np.select([size < 16, size < 256], [24, 32], 40).astype(np.uint64)
+        low = following & ((np.uint64(1) << bits) - np.uint64(1))
+        low[alone[where]] |= _ALONE
+        order = _order(np.unique(key, return_inverse=True)[1], low)
+        return where[order], key[order], low[order], parts[order]
 
     def learn_pairs(self, level: int, answers: dict[int, bytes], buckets: int) -> None:
         """Scores from the kept contexts of a level; what the next may extend."""
-        key, _, counts, _, at, pair_of = self.pairs(level)
-        total, size, types = (np.zeros(len(key), np.int64) for _ in range(3))
-        kept = np.zeros(len(key), bool)
-        for bucket, where in _dealt(key, buckets):
-            run = np.cumsum(np.r_[True, key[where][1:] != key[where][:-1]]) - 1
-            own_total, own_kept, own_size, own_types = _unpack(answers[bucket])
-            total[where] = own_total
-            kept[where] = own_kept.astype(bool)[run]
-            size[where], types[where] = own_size[run], own_types[run]
-        self.eligible = np.zeros(len(self.words), bool)
-        self.eligible[at] = total[pair_of] >= MIN_COUNT_LONG
-        state = kept[pair_of]
-        at, pair_of = at[state], pair_of[state]
-        self.p[at] = smoothed(total[pair_of], size[pair_of], types[pair_of], self.p[at])
-        self.depth[at] = level
+        pairs = self.pairs(level)
+        context, word, counts, share, alone, at, pair_of = pairs
+        total, only = counts.astype(np.int64), alone.copy()
+        where, key, low, parts = self.routed(pairs)
+        # Contexts of this block alone; all others are told.
+        mine = np.flatnonzero(self.alone[context])
+        types, kept = tested(context[mine], counts[mine], share[mine], self.total)
+        for bucket, own in _ranges(key, _KEY_BITS, buckets):
+            named = own[low[own] < _ALONE]
+            first = own[_firsts(key[own])]
+            told, single, known, kinds = _unpack(answers[bucket])
+            total[where[named]] = told
+            if len(single):
+                only[where[named]] = _flags(single, named)
+            kept[context[where[first]]] = known
+            types[context[where[first]]] = kinds
+        if -1 in answers:
+            whole, kinds, known = _unpack(answers[-1])
+            hot = np.unique(context[where[parts > 0]])
+            place = np.searchsorted(whole, self.key[hot])
+            kept[hot], types[hot] = known[place], kinds[place]
+        state = kept[context[pair_of]]
+        scored, pair = at[state], pair_of[state]
+        size = self.total[context[pair]]
+        self.p[scored] = smoothed(total[pair], size, types[context[pair]], self.p[scored])
+        self.depth[scored] = level
+        ends = np.full(len(self.place), -1)
+        ends[at] = pair_of
+        self._extend(ends, _mix(self.key[context] + self.vocabulary[word]), total, only, MIN_COUNT_LONG)
 
     def sums(self, values: np.ndarray) -> np.ndarray:
         """Totals by document; every document has its end at least."""
@@ -289,13 +339,37 @@ def gain(count: np.ndarray, size: np.ndarray, types: np.ndarray, suffix: np.ndar
     return np.where(never, np.log(DISCOUNT / 2), np.log(np.maximum(p, 1e-300) / suffix)) * count
 
 
-def _dealt(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Places of the keys of each bucket, in their order."""
-    bucket = ((keys >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    own, starts = np.unique(bucket[order], return_index=True)
-    for b, where in zip(own, np.split(order, starts[1:])):
-        yield int(b), where
+def tested(context, count, share, size) -> tuple[np.ndarray, np.ndarray]:
+    """``types, kept`` of contexts 0, 1, … with occurrences ``size``, from all their pairs."""
+    seen = count > 0
+    context, count, share = context[seen], count[seen], share[seen]
+    types = np.bincount(context, minlength=len(size))
+    worth = gain(count, size[context], types[context], np.exp2(-share.astype(float) / _STEP))
+    worth = np.bincount(context, weights=worth, minlength=len(size))
+    return types, (worth > MIN_GAIN) & (size >= MIN_COUNT)
+
+
+def _order(rank: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """By ``rank``, then by ``low``, which has 41 bits."""
+    if len(rank) and int(rank.max()) >= 1 << 23:
+        return np.lexsort((low, rank))
+    return np.argsort((rank.astype(np.uint64) << np.uint64(41)) | low)
+
+
+def _firsts(keys: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+
+
+def _flags(packed: np.ndarray, like: np.ndarray) -> np.ndarray:
+    return np.unpackbits(packed, count=len(like)).astype(bool)
+
+
+def _ranges(keys: np.ndarray, bits: int, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each bucket's places among ascending keys: a range of the keys' first 30 bits."""
+    bucket = ((keys >> np.uint64(bits - 30)) * np.uint64(buckets)) >> np.uint64(30)
+    starts = _firsts(bucket) if len(keys) else np.empty(0, np.int64)
+    for start, end in zip(starts, np.r_[starts[1:], len(keys)]):
+        yield int(bucket[start]), np.arange(start, end)
 
 
 # --- Exchanges --------------------------------------------------------------------
@@ -346,81 +420,168 @@ def _answer(asked: DataFrame, level: int, merge: Callable) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("block")
-        blocks = table.column("block").to_pylist()
-        fresh, answers = merge([_unpack(d) for d in table.column("data").to_pylist()])
-        n = len(blocks)
-        return pa.table(
-            [pa.array([level] * n, pa.int32()), table.column("bucket").cast(pa.int32()),
-             pa.array(blocks, pa.int64()), pa.array([fresh] + [0] * (n - 1), pa.int64()),
-             pa.array(answers, pa.binary())],
-            names=["level", "bucket", "block", "fresh", "data"],
-        )
+        bucket, blocks = table.column("bucket")[0].as_py(), table.column("block").to_pylist()
+        fresh, answers, hot, asking = merge([_unpack(d) for d in table.column("data").to_pylist()])
+        rows = [(level, bucket, block, 0, data) for block, data in zip(blocks, answers)]
+        rows[0] = (level, bucket, blocks[0], fresh, answers[0])
+        if hot is not None:
+            rows.append((level, _PARTS, None, 0, hot))
+            rows += [(level, _ASKING, b, 0, _pack(a)) for b, a in zip(blocks, asking) if len(a)]
+        return pa.Table.from_pylist(
+            [dict(zip(_ANSWER.names, row)) for row in rows], schema=_ANSWER
+        )
 
     return asked.groupBy("bucket").applyInArrow(run, schema)
 
 
-def _merge_words(sent: list[list[np.ndarray]]) -> tuple[int, list[bytes]]:
+_WHOLE, _PARTS, _ASKING = -1, -2, -3  # in place of a bucket
+_ANSWER = pa.schema(
+    [("level", pa.int32()), ("bucket", pa.int32()), ("block", pa.int64()),
+     ("fresh", pa.int64()), ("data", pa.binary())]
+)
+
+
+def _with_wholes(told: DataFrame, level: int, paths: list[str]) -> DataFrame:
+    """Answers of a level, with the sums of contexts that have parts in several buckets."""
+    if told.where(f"bucket = {_PARTS}").isEmpty():
+        return told
+
+    def parts(batches):
+        for batch in batches:
+            for data in batch.column(0).to_pylist():
+                key, count, share, n = _unpack(data)
+                columns = key.view(np.int64), count.astype(np.int64), share.astype(np.int64), n.astype(np.int64)
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["key", "count", "share", "n"])
+
+    def worth(batches):
+        for batch in batches:
+            key, count, share, n, types, size = (c.to_numpy() for c in batch.columns)
+            gained = n * gain(count, size, types, np.exp2(-share / _STEP))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(gained)], ["key", "worth"])
+
+    def asking(batches):
+        for batch in batches:
+            for block, data in zip(*(c.to_pylist() for c in batch.columns)):
+                key = _unpack(data)[0].view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(key), block)), pa.array(key)], ["block", "key"]
+                )
+
+    pairs = told.where(f"bucket = {_PARTS}").select("data")
+    pairs = pairs.mapInArrow(parts, "key bigint, count bigint, share bigint, n bigint")
+    pairs = pairs.groupBy("key", "count", "share").agg(F.sum("n").alias("n"))
+    pairs = write_through(pairs, "pair-counts", paths)
+    wholes = pairs.groupBy("key").agg(
+        F.sum("n").alias("types"), F.sum(F.col("count") * F.col("n")).alias("size")
+    )
+    gains = pairs.join(wholes, "key").mapInArrow(worth, "key bigint, worth double")
+    kept = gains.groupBy("key").agg((F.sum("worth") > MIN_GAIN).alias("kept"))
+    sums = wholes.drop("size").join(kept, "key")
+    ask = told.where(f"bucket = {_ASKING}").select("block", "data")
+    rows = ask.mapInArrow(asking, "block bigint, key bigint").distinct().join(sums, "key")
+
+    def pack(table: pa.Table) -> pa.Table:
+        key = table.column("key").to_numpy().view(np.uint64)
+        order = np.argsort(key)
+        types = table.column("types").to_numpy()[order]
+        kept = table.column("kept").to_numpy().astype(np.uint8)[order]
+        row = (level, _WHOLE, table.column("block")[0].as_py(), 0, _pack(key[order], types, kept))
+        return pa.Table.from_pylist([dict(zip(_ANSWER.names, row))], schema=_ANSWER)
+
+    whole = rows.groupBy("block").applyInArrow(pack, told.schema)
+    return told.where("bucket >= 0").unionByName(write_through(whole, "wholes", paths))
+
+
+def _merge_words(sent: list[list[np.ndarray]]) -> tuple:
     """Adds the counts of all blocks; ``fresh`` is the number of trained words."""
     words = np.concatenate([np.cumsum(s[0], dtype=np.uint64) for s in sent])
     counts = np.concatenate([s[1] for s in sent])
-    known, place = np.unique(words, return_inverse=True)
+    known, place, blocks = np.unique(words, return_inverse=True, return_counts=True)
     total = np.bincount(place, weights=counts, minlength=len(known)).astype(np.int64)
-    ends = np.cumsum([len(s[0]) for s in sent])
-    return int((total > 0).sum()), [_pack(_small(t)) for t in np.split(total[place], ends[:-1])]
+    ends = np.cumsum([len(s[0]) for s in sent])[:-1]
+    answers = [_pack(_small(total[mine]), np.packbits(blocks[mine] == 1)) for mine in np.split(place, ends)]
+    return int((total > 0).sum()), answers, None, []
 
 
-def _merge_pairs(sent: list[list[np.ndarray]], last: bool) -> tuple[int, list[bytes]]:
+def _merge_pairs(sent: list[list[np.ndarray]], last: bool) -> tuple:
     """Adds the counts of all blocks and tests the contexts.
 
-    A block sends its contexts, the number of pairs of each, and the pairs'
-    next words, counts and suffix's probability, which all blocks know alike.
-    Of a context that is not kept it is told only whether each pair is
-    frequent enough to be a context of the next level, if there is one.
+    A block sends its contexts' keys; of each the number of pairs with a name
+    and of those that no other block has; the names; counts and suffix's
+    probability, which all blocks know alike, of both kinds; and the number of
+    parts of a context that has several, and its own key.
+    Of a context that is not kept it is told only the pairs that are frequent
+    enough to be contexts of the next level, if there is one.
     """
-    firsts = [np.cumsum(s[1], dtype=np.int64) - s[1] for s in sent]
-    keys = [np.repeat(np.cumsum(s[0], dtype=np.uint64), s[1]) for s in sent]
-    nexts = [_from_steps(s[2:7], first) for s, first in zip(sent, firsts)]
-    counts, share = (np.concatenate([s[k] for s in sent]) for k in (7, 8))
-    key, following = np.concatenate(keys), np.concatenate(nexts)
-    order = np.lexsort((following, key))
-    new = np.ones(len(key), bool)
-    new[1:] = (key[order][1:] != key[order][:-1]) | (following[order][1:] != following[order][:-1])
+    keys = [np.cumsum(s[0], dtype=np.uint64) for s in sent]
+    ends = np.cumsum([len(k) for k in keys])[:-1]
+    known, place = np.unique(np.concatenate(keys), return_inverse=True)
+    places = np.split(place, ends)
+    whole, hot = np.zeros(len(known), np.uint64), np.zeros(len(known), bool)
+    for s, mine in zip(sent, places):
+        divided = mine[s[10] > 0]
+        hot[divided], whole[divided] = True, s[11]
+    named, single, names, rows = [], [], [], []
+    for s, mine in zip(sent, places):
+        n = s[1].astype(np.int64)
+        names.append(_from_steps(s[3:8], (np.cumsum(n) - n)[n > 0]))
+        named.append(np.repeat(mine, n))
+        single.append(np.repeat(mine, s[2]))
+        kinds = np.stack([s[1], s[2]], 1).ravel()
+        rows.append(np.repeat(np.arange(len(kinds)) % 2 == 0, kinds))
+    with_name = np.concatenate(rows)
+    counts, share = (np.concatenate([s[k] for s in sent]) for k in (8, 9))
+    counts = counts.astype(np.int64)
+    context, following = np.concatenate(named), np.concatenate(names)
+    order = _order(context, following)
+    own = context[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (own[1:] != own[:-1]) | (following[order][1:] != following[order][:-1])
     starts = np.flatnonzero(new)
-    total = np.add.reduceat(counts[order].astype(np.int64), starts)
-    context = key[order][starts]
-    first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])
-    own = np.cumsum(np.r_[True, context[1:] != context[:-1]]) - 1
-    size = np.add.reduceat(total, first)
-    types = np.add.reduceat((total > 0).astype(np.int64), first)
-    suffix = np.exp2(-share[order][starts].astype(float) / _STEP)
-    worth = np.where(total > 0, gain(np.maximum(total, 1), size[own], types[own], suffix), 0)
-    kept = (np.add.reduceat(worth, first) > MIN_GAIN) & (size >= MIN_COUNT)
-    pair = np.empty(len(key), np.int64)
+    total = np.add.reduceat(counts[with_name][order], starts) if len(starts) else starts
+    blocks = np.diff(np.r_[starts, len(order)])
+    every = np.concatenate([own[starts], *single])
+    count = np.concatenate([total, counts[~with_name]])
+    shares = np.concatenate([share[with_name][order][starts], share[~with_name]])
+    size = np.bincount(every, weights=count, minlength=len(known)).astype(np.int64)
+    types, kept = tested(every, count, shares, size)
+    kept |= hot  # a whole is tested later
+    pair = np.empty(len(order), np.int64)
     pair[order] = np.cumsum(new) - 1
-    answers, at = [], 0
-    for s, k in zip(sent, keys):
-        mine = pair[at : at + len(k)]
-        at += len(k)
-        contexts = own[mine[np.cumsum(s[1], dtype=np.int64) - s[1]]]
-        known, rest = kept[contexts], 0 if last else MIN_COUNT_LONG
-        told = np.where(np.repeat(known, s[1]), total[mine], np.minimum(total[mine], rest))
+    answers = []
+    for mine, own, p in zip(places, named, np.split(pair, np.cumsum([len(x) for x in named])[:-1])):
+        useful = kept[own] | (total[p] >= MIN_COUNT_LONG) if not last else kept[own]
+        only = np.packbits(blocks[p] == 1) if not last else np.empty(0, np.uint8)
         answers.append(
-            _pack(_small(told), known.astype(np.uint8),
-                  _small(size[contexts] * known), _small(types[contexts] * known))
-        )
-    return int(kept.sum()), answers
+            _pack(_small(total[p] * useful), only, kept[mine].astype(np.uint8), _small(types[mine] * kept[mine]))
+        )
+    if not hot.any():
+        return int(kept.sum()), answers, None, []
+    # What follows once gains alike whatever the suffix says.
+    seen = np.flatnonzero(hot[every] & (count > 0))
+    alike = np.stack([every[seen], count[seen], np.where(count[seen] > 1, shares[seen], 0)], 1)
+    alike, n = np.unique(alike, axis=0, return_counts=True)
+    reported = _pack(whole[alike[:, 0]], alike[:, 1], alike[:, 2].astype(np.uint8), n)
+    return int(kept.sum()), answers, reported, [np.unique(s[11]) for s in sent]
 
 
 def _sent_pairs(block: Block, level: int, buckets: int) -> Iterator[tuple[int, bytes]]:
-    key, following, counts, share, _, _ = block.pairs(level)
-    for bucket, where in _dealt(key, buckets):
-        own = key[where]
-        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-        n = np.diff(np.r_[first, len(own)])
-        steps = np.diff(own[first], prepend=np.uint64(0))  # keys ascend in a bucket
+    pairs = block.pairs(level)
+    where, key, low, parts = block.routed(pairs)
+    context, counts, share = pairs[0][where], pairs[2][where], pairs[3][where]
+    for bucket, own in _ranges(key, _KEY_BITS, buckets):
+        first = _firsts(key[own])
+        steps = np.diff(key[own][first], prepend=np.uint64(0))
+        single = low[own] >= _ALONE
+        n_single = np.add.reduceat(single.astype(np.int64), first)
+        n = np.diff(np.r_[first, len(own)]) - n_single
+        names = _steps(low[own][~single], (np.cumsum(n) - n)[n > 0])
+        divided = parts[own][first]
+        whole = context[own][first][divided > 0]
         yield bucket, _pack(
-            steps, _small(n), *_steps(following[where], first), _small(counts[where]), share[where]
-        )
+            steps, _small(n), _small(n_single), *names, _small(counts[own]), share[own],
+            _small(divided), block.key[whole],
+        )
 
 
 # --- The operator -----------------------------------------------------------------
@@ -433,6 +594,9 @@ def score(
     id_col: str = "doc_id",
     text_col: str = "text",
     depth: int = DEPTH,
+    block_bytes: int = BLOCK_BYTES,
+    bucket_tokens: int = BUCKET_TOKENS,
+    hot: int = HOT,
 ) -> DataFrame:
     """Scores every row; the tree is learned from the rows that are not held out.
 
@@ -443,30 +607,34 @@ def score(
     is the root state alone. A null or empty text has its end only; repeated
     rows count and are scored as often as they come. Without training rows
     every word is equally unlikely. An empty table gives no rows. Columns
-    besides id and text are read only by ``held_out``.
+    besides id and text are read only by ``held_out``. The sizes of blocks and
+    buckets, and the count from which a context is divided, bound what a task
+    holds. The scores are written, and all other tables deleted.
     """
     held = F.coalesce(held_out, F.lit(False)).alias("held_out")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), held)
     size = rows.agg(F.sum(F.octet_length("text")).alias("s")).first()["s"] or 0
-    blocks = _kept_in_place(_blocks(rows), 2 * size // BLOCK_BYTES)
+    paths = [shared_folder(docs.sparkSession, "text-blocks")]
+    blocks, name = _kept_in_place(_blocks(rows, block_bytes), 2 * size // block_bytes, paths[0])
     totals = blocks.agg(
         F.sum("n_train").alias("n"),
         F.sum(F.aggregate("lengths", F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("all"),
     ).first()
-    n, buckets = totals["n"] or 0, max(8, -(-(totals["all"] or 0) // BUCKET_TOKENS))
+    n, buckets = totals["n"] or 0, max(8, -(-(totals["all"] or 0) // bucket_tokens))
 
     def ask_words(data):
         vocabulary, counts, _ = _unpack(data)
-        for bucket, where in _dealt(vocabulary, buckets):
-            where = where[np.argsort(vocabulary[where])]
-            steps = np.diff(vocabulary[where], prepend=np.uint64(0))
-            yield bucket, _pack(steps, counts[where])
+        order = np.argsort(vocabulary)
+        for bucket, own in _ranges(vocabulary[order], 64, buckets):
+            steps = np.diff(vocabulary[order[own]], prepend=np.uint64(0))
+            yield bucket, _pack(steps, counts[order[own]])
 
-    told = write_through(_answer(_ask(blocks, None, ask_words, buckets), 0, _merge_words), "words")
+    asked = _ask(blocks, None, ask_words, buckets)
+    told = write_through(_answer(asked, 0, _merge_words), "words", paths)
     v = told.agg(F.sum("fresh").alias("v")).first()["v"] or 0
 
     def informed(row: dict, answers: dict, levels: int) -> Block:
-        block = Block(row["lengths"], row["held"], row["data"])
+        block = Block(row["lengths"], row["held"], row["data"], hot)
         for level in range(levels):
             own = {bucket: data for (k, bucket), data in answers.items() if k == level}
             if level == 0:
@@ -485,7 +653,8 @@ def score(
         def merge(sent, last=level == depth):
             return _merge_pairs(sent, last)
 
-        told = told.unionByName(write_through(_answer(asked, level, merge), "pairs"))
+        answers = write_through(_answer(asked, level, merge), "pairs", paths)
+        told = told.unionByName(_with_wholes(answers, level, paths))
 
     made = StructType.fromDDL(
         "held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
@@ -510,4 +679,7 @@ def score(
         ]
         return pa.table(columns, names=schema.names)
 
-    return _with_answers(blocks, told).applyInArrow(run, schema)
+    scores = write_through(_with_answers(blocks, told).applyInArrow(run, schema), "suffix-scores")
+    docs.sparkSession.sql(f"DROP TABLE {name}")
+    delete_folders(docs.sparkSession, paths)
+    return scores
