@@ -23,9 +23,9 @@ dealt to several buckets by its next words. They report how many next words
 have each count and each suffix's share, which is all that the test needs, and
 Spark adds that up: no task ever holds all pairs of a frequent word.
 
-Words are told apart by 64-bit hashes, contexts by 56 bits, and words that
-follow one context by 24 to 40 bits, at least 16 more than twice the bits of
-the context's count: less than one context in 100,000 confuses two of them.
+Words are told apart by 64-bit hashes, contexts by 56 bits. A next word goes
+by its number, which level 0 gives out by frequency within a bucket, so that
+frequent words have small numbers.
 """
 
 from __future__ import annotations
@@ -63,7 +63,7 @@ MAX_BUCKETS = 50_000
 CACHED_WORDS = 200_000
 
 _END = np.uint64(0x632BE59BD9B4E019)  # stands for the end of a document
-_ALONE = np.uint64(1 << 40)  # above the bits of a next word: no other block has the pair
+_ALONE = np.uint64(1 << 40)  # above a next word's number: no other block has the pair
 _KEY_BITS = 56
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 _STEP = 8  # parts of one bit in which a suffix's probability is sent
@@ -125,7 +125,7 @@ def _unpack(data: bytes) -> list[np.ndarray]:
 
 
 def _steps(values: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
-    """Ascending 40-bit numbers as byte planes of their steps, anew at each ``first``."""
+    """Ascending numbers of 40 bits as byte planes of their steps, anew at each ``first``."""
     steps = values.copy()
     steps[1:] -= values[:-1]
     steps[first] = values[first]
@@ -223,15 +223,17 @@ class Block:
         """Level 0: corpus counts of the block's words."""
         total = np.zeros(len(self.vocabulary), np.int64)
         alone = np.zeros(len(total), bool)
+        self.number = np.zeros(len(total), np.uint64)
         order = np.argsort(self.vocabulary)
         for bucket, own in _ranges(self.vocabulary[order], 64, buckets):
-            total[order[own]], only = _unpack(answers[bucket])
+            total[order[own]], only, rank = _unpack(answers[bucket])
             alone[order[own]] = _flags(only, own)
+            self.number[order[own]] = rank.astype(np.uint64) * np.uint64(buckets) + np.uint64(bucket)
         self.counts = total
         self.share = (total + 0.1) / (n + 0.1 * (v + 1))
         self.p = self.share[self.place]
         self.depth = np.zeros(len(self.p), np.int8)
-        self._extend(self.place.astype(np.int64), _mix(self.vocabulary + np.uint64(1)), total, alone, MIN_COUNT)
+        self._extend(self.place.astype(np.int32), _mix(self.vocabulary + np.uint64(1)), total, alone, MIN_COUNT)
 
     def _extend(self, at: np.ndarray, key, total, alone, least: int) -> None:
         """The contexts that the next level may use: ``at`` is the one that ends at a place."""
@@ -247,11 +249,12 @@ class Block:
         before = self.context[:-1]
         usable = (before >= 0) & (self.since[1:] >= level)
         usable[usable] = self.eligible[before[usable]]
-        at = np.flatnonzero(usable) + 1
+        at = np.flatnonzero(usable).astype(np.int32) + np.int32(1)
+        del usable
         code = (before[at - 1].astype(np.uint64) << np.uint64(32)) | self.place[at].astype(np.uint64)
         order = np.argsort(code)
         code, at = code[order], at[order]
-        del order
+        del order, before
         new = np.ones(len(code), bool)
         new[1:] = code[1:] != code[:-1]
         starts = np.flatnonzero(new)
@@ -261,25 +264,26 @@ class Block:
         word = (code[starts] & np.uint64(0xFFFFFFFF)).astype(np.int64)
         # Where no other block has the suffix's pair, none has the longer one.
         alone = self.alone[context] | self.alone[self.context[at[starts]]]
-        return context, word, counts, share, alone, at, np.cumsum(new) - 1
+        return context, word, counts, share, alone, at, np.cumsum(new, dtype=np.int32) - np.int32(1)
 
     def routed(self, pairs: tuple) -> tuple:
         """Pairs whose contexts other blocks have too, in the order they are sent.
 
-        Their places among the pairs, the keys they go by, the next words' bits
-        with the mark of a pair that is alone, and the parts of their contexts.
+        Their places among the pairs, the keys they go by, the next words'
+        numbers with the mark of a pair that is alone, and the parts of their contexts.
         """
         context, word, _, _, alone, _, _ = pairs
         where = np.flatnonzero(~self.alone[context])
-        own, following = context[where], self.vocabulary[word[where]]
+        own, following = context[where], word[where]
         size, key = self.total[own], self.key[own]
         hot = np.flatnonzero(size > self.hot)
         parts = np.zeros(len(own), np.int64)
         parts[hot] = -(-size[hot] // self.hot)
-        key[hot] = _mix(key[hot] + np.uint64(1) + _mix(following[hot]) % parts[hot].astype(np.uint64))
+        key[hot] = _mix(
+            key[hot] + np.uint64(1) + _mix(self.vocabulary[following[hot]]) % parts[hot].astype(np.uint64)
+        )
         key >>= np.uint64(64 - _KEY_BITS)
-        bits = np.select([size < 16, size < 256], [24, 32], 40).astype(np.uint64)
-        low = following & ((np.uint64(1) << bits) - np.uint64(1))
+        low = self.number[following]
         low[alone[where]] |= _ALONE
         order = _order(np.unique(key, return_inverse=True)[1], low)
         return where[order], key[order], low[order], parts[order]
@@ -312,7 +316,7 @@ class Block:
         size = self.total[context[pair]]
         self.p[scored] = smoothed(total[pair], size, types[context[pair]], self.p[scored])
         self.depth[scored] = level
-        ends = np.full(len(self.place), -1)
+        ends = np.full(len(self.place), -1, np.int32)
         ends[at] = pair_of
         self._extend(ends, _mix(self.key[context] + self.vocabulary[word]), total, only, MIN_COUNT_LONG)
 
@@ -499,7 +503,12 @@ def _merge_words(sent: list[list[np.ndarray]]) -> tuple:
     known, place, blocks = np.unique(words, return_inverse=True, return_counts=True)
     total = np.bincount(place, weights=counts, minlength=len(known)).astype(np.int64)
     ends = np.cumsum([len(s[0]) for s in sent])[:-1]
-    answers = [_pack(_small(total[mine]), np.packbits(blocks[mine] == 1)) for mine in np.split(place, ends)]
+    rank = np.empty(len(known), np.int64)
+    rank[np.argsort(-total, kind="stable")] = np.arange(len(known))
+    answers = [
+        _pack(_small(total[mine]), np.packbits(blocks[mine] == 1), _small(rank[mine]))
+        for mine in np.split(place, ends)
+    ]
     return int((total > 0).sum()), answers, None, []
 
 
@@ -516,7 +525,7 @@ def _merge_pairs(sent: list[list[np.ndarray]], last: bool) -> tuple:
     keys = [np.cumsum(s[0], dtype=np.uint64) for s in sent]
     ends = np.cumsum([len(k) for k in keys])[:-1]
     known, place = np.unique(np.concatenate(keys), return_inverse=True)
-    places = np.split(place, ends)
+    places = np.split(place.astype(np.int32), ends)
     whole, hot = np.zeros(len(known), np.uint64), np.zeros(len(known), bool)
     for s, mine in zip(sent, places):
         divided = mine[s[10] > 0]
@@ -542,7 +551,9 @@ def _merge_pairs(sent: list[list[np.ndarray]], last: bool) -> tuple:
     blocks = np.diff(np.r_[starts, len(order)])
     every = np.concatenate([own[starts], *single])
     count = np.concatenate([total, counts[~with_name]])
-    shares = np.concatenate([share[with_name][order][starts], share[~with_name]])
+    # A block that has a pair in no training document does not say its share.
+    shares = np.maximum.reduceat(share[with_name][order], starts) if len(starts) else share[:0]
+    shares = np.concatenate([shares, share[~with_name]])
     size = np.bincount(every, weights=count, minlength=len(known)).astype(np.int64)
     types, kept = tested(every, count, shares, size)
     kept |= hot  # a whole is tested later
@@ -569,6 +580,8 @@ def _sent_pairs(block: Block, level: int, buckets: int) -> Iterator[tuple[int, b
     pairs = block.pairs(level)
     where, key, low, parts = block.routed(pairs)
     context, counts, share = pairs[0][where], pairs[2][where], pairs[3][where]
+    # What comes once in all gains alike whatever its share, what never comes nothing.
+    share[(counts == 0) | ((counts == 1) & (low >= _ALONE))] = 0
     for bucket, own in _ranges(key, _KEY_BITS, buckets):
         first = _firsts(key[own])
         steps = np.diff(key[own][first], prepend=np.uint64(0))
