@@ -19,6 +19,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from textstyle.llm.tables import check_names, raw_texts
+from textstyle.session import delete_folders, write_through
 
 #: Words in one pattern.
 WINDOW = 10
@@ -105,7 +106,8 @@ def scan(
     ids (as text, sorted) of the items with occurring windows; and ``spans``,
     the hit runs of words as ``(start, end)``. No shuffle of documents: the
     windows are sent along, at most ``pass_bytes`` of them to a pass, and a
-    larger benchmark takes as many passes, each adding to the hits of the last.
+    larger benchmark takes as many passes, each adding to the hits of the last,
+    which are written in between.
 
     A null or empty text has no words. An item without words has no windows;
     one without an id marks words but is not listed; repeated items count
@@ -119,6 +121,7 @@ def scan(
     passes = max(1, -(-size // pass_bytes))
     out = docs.withColumn("_spans", F.lit(None).cast("array<bigint>"))
     out = out.withColumn("_items", F.lit(None).cast("array<string>"))
+    written: list[str] = []
     for k in range(passes):
         part = windows.where(F.pmod(F.xxhash64("window"), F.lit(passes)) == k)
         patterns = [
@@ -127,6 +130,12 @@ def scan(
         ]
         sent = spark.sparkContext.broadcast(WuManber(patterns))
         out = _pass(out, sent, text_col, last=k == passes - 1, keep_text=keep_text)
+        if k < passes - 1:
+            # Written, so that a worker holds the windows of one pass only.
+            before, written = written, []
+            out = write_through(out, "hits", written)
+            delete_folders(spark, before)
+            sent.destroy()
     return out
 
 
