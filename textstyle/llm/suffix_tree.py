@@ -226,9 +226,12 @@ class Block:
         self.number = np.zeros(len(total), np.uint64)
         order = np.argsort(self.vocabulary)
         for bucket, own in _ranges(self.vocabulary[order], 64, buckets):
-            total[order[own]], only, rank = _unpack(answers[bucket])
-            alone[order[own]] = _flags(only, own)
-            self.number[order[own]] = rank.astype(np.uint64) * np.uint64(buckets) + np.uint64(bucket)
+            only, rank, steps = _unpack(answers[bucket])
+            alone[order[own]] = only = _flags(only, own)
+            shared = order[own][~only]
+            self.number[shared] = rank.astype(np.uint64) * np.uint64(buckets) + np.uint64(bucket)
+            total[shared[np.argsort(rank)]] = np.cumsum(steps, dtype=np.int64)[::-1]
+        total[alone] = self.own[alone]
         self.counts = total
         self.share = (total + 0.1) / (n + 0.1 * (v + 1))
         self.p = self.share[self.place]
@@ -303,7 +306,8 @@ class Block:
             told, single, known, kinds = _unpack(answers[bucket])
             total[where[named]] = told
             if len(single):
-                only[where[named]] = _flags(single, named)
+                single = where[named[_flags(single, named)]]
+                only[single], total[single] = True, counts[single]
             kept[context[where[first]]] = known
             types[context[where[first]]] = kinds
         if -1 in answers:
@@ -497,18 +501,24 @@ def _with_wholes(told: DataFrame, level: int, paths: list[str]) -> DataFrame:
 
 
 def _merge_words(sent: list[list[np.ndarray]]) -> tuple:
-    """Adds the counts of all blocks; ``fresh`` is the number of trained words."""
+    """Adds the counts of all blocks; ``fresh`` is the number of trained words.
+
+    A block is told which of its words no other block has, and of the others
+    the rank by count and the counts, as steps in the order of ranks.
+    """
     words = np.concatenate([np.cumsum(s[0], dtype=np.uint64) for s in sent])
     counts = np.concatenate([s[1] for s in sent])
     known, place, blocks = np.unique(words, return_inverse=True, return_counts=True)
     total = np.bincount(place, weights=counts, minlength=len(known)).astype(np.int64)
     ends = np.cumsum([len(s[0]) for s in sent])[:-1]
-    rank = np.empty(len(known), np.int64)
-    rank[np.argsort(-total, kind="stable")] = np.arange(len(known))
-    answers = [
-        _pack(_small(total[mine]), np.packbits(blocks[mine] == 1), _small(rank[mine]))
-        for mine in np.split(place, ends)
-    ]
+    shared, answers = np.flatnonzero(blocks > 1), []
+    rank = np.full(len(known), -1)
+    rank[shared[np.argsort(-total[shared], kind="stable")]] = np.arange(len(shared))
+    for mine in np.split(place, ends):
+        own = mine[rank[mine] >= 0]
+        ascending = total[own[np.argsort(-rank[own])]]
+        steps = np.diff(ascending, prepend=0)
+        answers.append(_pack(np.packbits(rank[mine] < 0), _small(rank[own]), _small(steps)))
     return int((total > 0).sum()), answers, None, []
 
 
@@ -561,8 +571,10 @@ def _merge_pairs(sent: list[list[np.ndarray]], last: bool) -> tuple:
     pair[order] = np.cumsum(new) - 1
     answers = []
     for mine, own, p in zip(places, named, np.split(pair, np.cumsum([len(x) for x in named])[:-1])):
-        useful = kept[own] | (total[p] >= MIN_COUNT_LONG) if not last else kept[own]
-        only = np.packbits(blocks[p] == 1) if not last else np.empty(0, np.uint8)
+        useful, only = kept[own], np.empty(0, np.uint8)
+        if not last:  # the own count of a pair that no other block has is known
+            useful = (useful | (total[p] >= MIN_COUNT_LONG)) & (blocks[p] > 1)
+            only = np.packbits(blocks[p] == 1)
         answers.append(
             _pack(_small(total[p] * useful), only, kept[mine].astype(np.uint8), _small(types[mine] * kept[mine]))
         )
