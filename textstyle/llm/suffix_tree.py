@@ -196,13 +196,33 @@ def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def _kept_in_place(blocks: DataFrame, n: int, path: str) -> tuple[DataFrame, str]:
-    """Written once, bucketed by block: joining answers to it moves the answers only."""
-    name = "suffix_tree_" + path.rsplit("-", 1)[-1]
-    # Buckets are files of their own, so there are not more than Spark allows.
-    n = min(max(1, n), MAX_BUCKETS)
-    blocks.write.bucketBy(n, "block").option("path", path).saveAsTable(name)
-    return blocks.sparkSession.table(name), name
+class _Tables:
+    """Tables bucketed by block: joining them moves no rows. They are dropped at the end."""
+
+    def __init__(self, spark, buckets: int):
+        # Buckets are files of their own, so there are not more than Spark allows.
+        self.spark, self.buckets = spark, min(max(1, buckets), MAX_BUCKETS)
+        self.names: list[str] = []
+        self.paths: list[str] = []
+
+    def keep(self, rows: DataFrame) -> DataFrame:
+        path = shared_folder(self.spark, "suffix-tree")
+        name = "suffix_tree_" + path.rsplit("-", 1)[-1]
+        self.paths.append(path)
+        self.names.append(name)
+        rows.write.bucketBy(self.buckets, "block").option("path", path).saveAsTable(name)
+        return self.spark.table(name)
+
+    def keep_answers(self, answers: DataFrame, level: int) -> DataFrame:
+        """``block, told_…, fresh``: a row to a block, moved there once."""
+        rows = answers.repartition(self.buckets, "block").groupBy("block")
+        told = F.collect_list(F.struct("bucket", "data")).alias(f"told_{level}")
+        return self.keep(rows.agg(told, F.sum("fresh").alias("fresh")))
+
+    def drop(self) -> None:
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE {name}")
+        delete_folders(self.spark, self.paths)
 
 
 class Block:
@@ -310,8 +330,8 @@ class Block:
                 only[single], total[single] = True, counts[single]
             kept[context[where[first]]] = known
             types[context[where[first]]] = kinds
-        if -1 in answers:
-            whole, kinds, known = _unpack(answers[-1])
+        if _WHOLE in answers:
+            whole, kinds, known = _unpack(answers[_WHOLE])
             hot = np.unique(context[where[parts > 0]])
             place = np.searchsorted(whole, self.key[hot])
             kept[hot], types[hot] = known[place], kinds[place]
@@ -383,7 +403,7 @@ def _ranges(keys: np.ndarray, bits: int, buckets: int) -> Iterator[tuple[int, np
 # --- Exchanges --------------------------------------------------------------------
 
 
-def _ask(blocks: DataFrame, told: DataFrame | None, ask: Callable, buckets: int) -> DataFrame:
+def _ask(blocks: DataFrame, ask: Callable, informed: bool) -> DataFrame:
     """``bucket, block, data``: what each block sends to each bucket."""
     schema = "bucket int, block bigint, data binary"
 
@@ -395,7 +415,7 @@ def _ask(blocks: DataFrame, told: DataFrame | None, ask: Callable, buckets: int)
             names=["bucket", "block", "data"],
         )
 
-    if told is None:
+    if not informed:
 
         def run(batches):
             for batch in batches:
@@ -404,22 +424,11 @@ def _ask(blocks: DataFrame, told: DataFrame | None, ask: Callable, buckets: int)
 
         return blocks.select("block", "data").mapInArrow(run, schema)
 
-    def run_told(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
-            return rows(0, iter(()))
-        row = left.to_pylist()[0]
-        return rows(row["block"], ask(row, _told(right)))
+    def run_told(table: pa.Table) -> pa.Table:
+        row = table.to_pylist()[0]
+        return rows(row["block"], ask(row))
 
-    return _with_answers(blocks, told).applyInArrow(run_told, schema)
-
-
-def _with_answers(blocks: DataFrame, told: DataFrame):
-    return blocks.groupBy("block").cogroup(told.groupBy("block"))
-
-
-def _told(answers: pa.Table) -> dict[tuple[int, int], bytes]:
-    columns = (answers.column(c).to_pylist() for c in ("level", "bucket", "data"))
-    return {(level, bucket): data for level, bucket, data in zip(*columns)}
+    return blocks.groupBy("block").applyInArrow(run_told, schema)
 
 
 def _answer(asked: DataFrame, level: int, merge: Callable) -> DataFrame:
@@ -433,7 +442,7 @@ def _answer(asked: DataFrame, level: int, merge: Callable) -> DataFrame:
         rows = [(level, bucket, block, 0, data) for block, data in zip(blocks, answers)]
         rows[0] = (level, bucket, blocks[0], fresh, answers[0])
         if hot is not None:
-            rows.append((level, _PARTS, None, 0, hot))
+            rows.append((level, _PARTS, blocks[bucket % len(blocks)], 0, hot))
             rows += [(level, _ASKING, b, 0, _pack(a)) for b, a in zip(blocks, asking) if len(a)]
         return pa.Table.from_pylist(
             [dict(zip(_ANSWER.names, row)) for row in rows], schema=_ANSWER
@@ -449,10 +458,11 @@ _ANSWER = pa.schema(
 )
 
 
-def _with_wholes(told: DataFrame, level: int, paths: list[str]) -> DataFrame:
-    """Answers of a level, with the sums of contexts that have parts in several buckets."""
+def _wholes(answers: DataFrame, level: int, tables: _Tables) -> DataFrame | None:
+    """``block, whole_…``: sums of contexts that have parts in several buckets."""
+    told = answers.select("block", F.explode(f"told_{level}").alias("a")).select("block", "a.*")
     if told.where(f"bucket = {_PARTS}").isEmpty():
-        return told
+        return None
 
     def parts(batches):
         for batch in batches:
@@ -478,7 +488,7 @@ def _with_wholes(told: DataFrame, level: int, paths: list[str]) -> DataFrame:
     pairs = told.where(f"bucket = {_PARTS}").select("data")
     pairs = pairs.mapInArrow(parts, "key bigint, count bigint, share bigint, n bigint")
     pairs = pairs.groupBy("key", "count", "share").agg(F.sum("n").alias("n"))
-    pairs = write_through(pairs, "pair-counts", paths)
+    pairs = write_through(pairs, "pair-counts", tables.paths)
     wholes = pairs.groupBy("key").agg(
         F.sum("n").alias("types"), F.sum(F.col("count") * F.col("n")).alias("size")
     )
@@ -493,11 +503,13 @@ def _with_wholes(told: DataFrame, level: int, paths: list[str]) -> DataFrame:
         order = np.argsort(key)
         types = table.column("types").to_numpy()[order]
         kept = table.column("kept").to_numpy().astype(np.uint8)[order]
-        row = (level, _WHOLE, table.column("block")[0].as_py(), 0, _pack(key[order], types, kept))
-        return pa.Table.from_pylist([dict(zip(_ANSWER.names, row))], schema=_ANSWER)
+        return pa.table(
+            [table.column("block")[:1], pa.array([_pack(key[order], types, kept)], pa.binary())],
+            names=["block", f"whole_{level}"],
+        )
 
-    whole = rows.groupBy("block").applyInArrow(pack, told.schema)
-    return told.where("bucket >= 0").unionByName(write_through(whole, "wholes", paths))
+    rows = rows.repartition(tables.buckets, "block").groupBy("block")
+    return tables.keep(rows.applyInArrow(pack, f"block bigint, whole_{level} binary"))
 
 
 def _merge_words(sent: list[list[np.ndarray]]) -> tuple:
@@ -639,8 +651,8 @@ def score(
     held = F.coalesce(held_out, F.lit(False)).alias("held_out")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), held)
     size = rows.agg(F.sum(F.octet_length("text")).alias("s")).first()["s"] or 0
-    paths = [shared_folder(docs.sparkSession, "text-blocks")]
-    blocks, name = _kept_in_place(_blocks(rows, block_bytes), 2 * size // block_bytes, paths[0])
+    tables = _Tables(docs.sparkSession, 2 * size // block_bytes)
+    blocks = tables.keep(_blocks(rows, block_bytes))
     totals = blocks.agg(
         F.sum("n_train").alias("n"),
         F.sum(F.aggregate("lengths", F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("all"),
@@ -654,14 +666,17 @@ def score(
             steps = np.diff(vocabulary[order[own]], prepend=np.uint64(0))
             yield bucket, _pack(steps, counts[order[own]])
 
-    asked = _ask(blocks, None, ask_words, buckets)
-    told = write_through(_answer(asked, 0, _merge_words), "words", paths)
+    answers = _answer(_ask(blocks, ask_words, False), 0, _merge_words)
+    told = tables.keep_answers(answers, 0)
     v = told.agg(F.sum("fresh").alias("v")).first()["v"] or 0
+    blocks = blocks.join(told.drop("fresh"), "block", "left")
 
-    def informed(row: dict, answers: dict, levels: int) -> Block:
+    def informed(row: dict, levels: int) -> Block:
         block = Block(row["lengths"], row["held"], row["data"], hot)
         for level in range(levels):
-            own = {bucket: data for (k, bucket), data in answers.items() if k == level}
+            own = {a["bucket"]: a["data"] for a in row[f"told_{level}"] or ()}
+            if row.get(f"whole_{level}"):
+                own[_WHOLE] = row[f"whole_{level}"]
             if level == 0:
                 block.learn_words(own, buckets, n, v)
             else:
@@ -670,16 +685,19 @@ def score(
 
     for level in range(1, depth + 1):
 
-        def ask_pairs(row, answers, level=level):
-            return _sent_pairs(informed(row, answers, level), level, buckets)
+        def ask_pairs(row, level=level):
+            return _sent_pairs(informed(row, level), level, buckets)
 
-        asked = _ask(blocks.drop("ids"), told, ask_pairs, buckets)
+        asked = _ask(blocks.drop("ids"), ask_pairs, True)
 
         def merge(sent, last=level == depth):
             return _merge_pairs(sent, last)
 
-        answers = write_through(_answer(asked, level, merge), "pairs", paths)
-        told = told.unionByName(_with_wholes(answers, level, paths))
+        told = tables.keep_answers(_answer(asked, level, merge), level)
+        whole = _wholes(told, level, tables)
+        blocks = blocks.join(told.drop("fresh"), "block", "left")
+        if whole is not None:
+            blocks = blocks.join(whole, "block", "left")
 
     made = StructType.fromDDL(
         "held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
@@ -688,9 +706,9 @@ def score(
     schema = StructType([StructField(id_col, docs.schema[id_col].dataType)] + made.fields)
     id_type = to_arrow_type(docs.schema[id_col].dataType)
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        row = left.to_pylist()[0]
-        block = informed(row, _told(right), depth + 1)
+    def run(table: pa.Table) -> pa.Table:
+        row = table.to_pylist()[0]
+        block = informed(row, depth + 1)
         known = block.counts[block.place] > 0
         columns = [
             pa.array(row["ids"], id_type),
@@ -704,7 +722,6 @@ def score(
         ]
         return pa.table(columns, names=schema.names)
 
-    scores = write_through(_with_answers(blocks, told).applyInArrow(run, schema), "suffix-scores")
-    docs.sparkSession.sql(f"DROP TABLE {name}")
-    delete_folders(docs.sparkSession, paths)
+    scores = write_through(blocks.groupBy("block").applyInArrow(run, schema), "suffix-scores")
+    tables.drop()
     return scores
