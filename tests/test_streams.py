@@ -79,6 +79,63 @@ def test_progress_of_every_trigger(spark, tmp_path):
     assert [r["missed"] for r in X.missed_batches(gap).collect()] == [1]
 
 
+@pytest.mark.parametrize("n,size,files", [(103, 7, 4), (20, 5, 2), (0, 5, 2)])
+def test_folders_hold_whole_batches_in_order(spark, tmp_path, n, size, files):
+    rows = spark.range(n).select(F.floor(F.col("id") / 11).alias("a"), F.col("id").alias("b"))
+    X.write_micro_batches(
+        rows.repartition(5), str(tmp_path / "b"), ["a", "b"], F.col("a"), size, 4, files_per_folder=files
+    )
+    folders = X.sub_folders(spark, str(tmp_path / "b"))
+    parts = {int(f.rsplit("=", 1)[1]): files_of(tmp_path / "b" / f.rsplit("/", 1)[1]) for f in folders}
+    batches = -(-n // size)
+    assert {k: len(p) for k, p in parts.items()} == {
+        k: min(files, batches - k * files) for k in range(-(-batches // files))
+    }
+    flat = [rows for k in sorted(parts) for rows in parts[k]]
+    assert [r["b"] for rows in flat for r in rows] == list(range(n))
+    assert all(len(rows) == size for rows in flat[: n // size])
+
+
+def test_queries_next_to_each_other(spark, tmp_path):
+    """Two run at a time, a third follows; every trigger of each is recorded once."""
+    running, most = [], []
+
+    def starter(name):
+        def run():
+            stream = X.read_json_stream(spark, str(tmp_path / name), files_per_trigger=1)
+            query = X.write_json_stream(stream, str(tmp_path / f"o{name}"), str(tmp_path / f"m{name}"), every=None)
+            running.append(query)
+            most.append(sum(q.isActive for q in running))
+            return query
+
+        return run
+
+    for name, files in (("a", 4), ("b", 3), ("c", 2)):
+        for k in range(files):
+            feed(tmp_path / name, k, k + 1)
+    table = X.ProgressTable(spark, str(tmp_path / "progress"))
+    X.follow_all([starter(n) for n in "abc"], table, at_a_time=2, every=0.5)
+    done = X.batches(table.read()).groupBy("query_id").agg(F.sort_array(F.collect_list("input_rows")).alias("n"))
+    assert sorted(r["n"] for r in done.collect()) == [[1, 2], [1, 2, 3], [1, 2, 3, 4]]
+    assert {r["missed"] for r in X.missed_batches(table.read()).collect()} == {0}
+    assert most[:2] == [1, 2] and max(most) == 2
+
+
+def test_a_failure_among_others_is_raised(spark, tmp_path):
+    for name in "ab":
+        feed(tmp_path / name, 0)
+    bad = lambda s: s.withColumn("x", F.raise_error(F.lit("drill")).cast("int"))
+
+    def run(name, change):
+        stream = change(X.read_json_stream(spark, str(tmp_path / name), files_per_trigger=1))
+        return X.write_json_stream(stream, str(tmp_path / f"o{name}"), str(tmp_path / f"m{name}"), every=None)
+
+    table = X.ProgressTable(spark, str(tmp_path / "progress"))
+    with pytest.raises(StreamingQueryException):
+        X.follow_all([lambda: run("a", lambda s: s), lambda: run("b", bad)], table)
+    assert X.batches(table.read()).count() <= 1 and not spark.streams.active
+
+
 def test_timed_triggers_wait_and_a_stop_is_told_from_an_end(spark, tmp_path):
     for k in range(3):
         feed(tmp_path / "in", k)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,11 +25,12 @@ from textstyle.streaming import (
     ProgressTable,
     batches,
     drain,
-    follow,
+    follow_all,
     lose_commit,
     missed_batches,
     read_json_stream,
     score_stream,
+    sub_folders,
     unfinished_batches,
     write_json_stream,
     write_micro_batches,
@@ -45,12 +48,15 @@ BATCH_SCHEMA = StructType(
 SCORED_COLUMNS = ("prediction", "score", "probability")
 #: Rises along (conv_id, turn) and stays below the next conv_id.
 SPREAD_EXPRESSION = "conv_id + turn / (turn + 1)"
+#: Less than the triggers that a query remembers, so none can be missed.
+FILES_PER_STREAM = 50
 
 
-def _feed(df: DataFrame) -> str:
+def _feed(df: DataFrame, files_per_folder: int | None = None) -> str:
     """Write ``df`` as numbered 50-row JSON batches; the folder they are in."""
     path = shared_folder(df.sparkSession, "stream-input")
-    write_micro_batches(df, path, ["conv_id", "turn"], F.expr(SPREAD_EXPRESSION))
+    spread = F.expr(SPREAD_EXPRESSION)
+    write_micro_batches(df, path, ["conv_id", "turn"], spread, files_per_folder=files_per_folder)
     return path
 
 
@@ -110,12 +116,20 @@ def batch_files(spark, sf_dir):
     """,
 )
 def trigger_progress(spark, sf_dir):
-    """One file a trigger: how many rows each took in, from the progress table."""
-    source = _feed(table(spark, sf_dir, "conversations"))
-    stream = read_json_stream(spark, source, BATCH_SCHEMA, files_per_trigger=1)
-    out, marks = shared_folder(spark, "stream-output"), shared_folder(spark, "stream-log")
+    """One file a trigger: how many rows each took in, from the progress table.
+
+    Streams of a folder each run next to each other, so that neither their
+    number of triggers nor the logs of their sinks grow with the input.
+    """
+    source = _feed(table(spark, sf_dir, "conversations"), FILES_PER_STREAM)
     progress = ProgressTable(spark, shared_folder(spark, "stream-progress"))
-    follow(write_json_stream(stream, out, marks, every=None), progress)
+
+    def start(folder: str):
+        stream = read_json_stream(spark, folder, BATCH_SCHEMA, files_per_trigger=1)
+        out, marks = shared_folder(spark, "stream-output"), shared_folder(spark, "stream-log")
+        return write_json_stream(stream, out, marks, every=None)
+
+    follow_all([partial(start, folder) for folder in sub_folders(spark, source)], progress)
     done = batches(progress.read()).join(missed_batches(progress.read()), "query_id")
     timed = (F.col("trigger_ms") > 0) & (F.col("processed_rows_per_second") > 0)
     return done.groupBy("input_rows").agg(

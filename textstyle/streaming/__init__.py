@@ -6,6 +6,7 @@ from textstyle.streaming.live import (
     read_json_stream,
     run_for,
     score_stream,
+    sub_folders,
     write_json_stream,
     write_micro_batches,
 )
@@ -13,6 +14,7 @@ from textstyle.streaming.progress import (
     ProgressTable,
     batches,
     follow,
+    follow_all,
     missed_batches,
     progress_summary,
 )
@@ -24,12 +26,14 @@ __all__ = [
     "batches",
     "drain",
     "follow",
+    "follow_all",
     "lose_commit",
     "missed_batches",
     "progress_summary",
     "read_json_stream",
     "run_for",
     "score_stream",
+    "sub_folders",
     "unfinished_batches",
     "write_json_stream",
     "write_micro_batches",

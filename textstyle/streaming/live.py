@@ -52,6 +52,13 @@ def read_json_stream(
     return reader.json(path)
 
 
+def sub_folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders ``part=…`` that :func:`write_micro_batches` made below ``path``."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return sorted(s.getPath().toString() for s in found if s.isDirectory())
+
+
 def score_stream(
     stream: DataFrame,
     model: Transformer,
@@ -134,11 +141,12 @@ def write_micro_batches(
     spread: Column,
     batch_size: int = 50,
     ranges: int | None = None,
+    files_per_folder: int | None = None,
 ) -> None:
     """Rows in ``order`` as JSON files of ``batch_size``, numbered by ``batch_id``.
 
-    Every file is one batch and all lie in one folder; only the last may be
-    smaller. Ranges of whole batches are shuffled once and written in order, so
+    Every file is one batch; only the last may be smaller. All lie in one
+    folder, or in folders ``part=…`` of ``files_per_folder`` batches each. Ranges of whole batches are shuffled once and written in order, so
     that a file is full exactly where a batch ends. Spark's committer publishes
     finished files only, so a watching stream never sees half a batch.
     ``spread`` as in :func:`textstyle.operators.ordering.number_rows`.
@@ -150,4 +158,10 @@ def write_micro_batches(
     # The window leaves each task's rows sorted by range and order, the last
     # range at the end.
     numbered = ranged.withColumn("batch_id", batch).drop("_range", "_first")
-    numbered.write.option("maxRecordsPerFile", batch_size).json(path)
+    if files_per_folder is None:
+        numbered.write.option("maxRecordsPerFile", batch_size).json(path)
+        return
+    part = F.floor((F.col("batch_id") - 1) / files_per_folder)
+    # Sorted by folder as well, or the writer would sort by it alone.
+    parted = numbered.withColumn("part", part).sortWithinPartitions("part", *order)
+    parted.write.option("maxRecordsPerFile", batch_size).partitionBy("part").json(path)

@@ -9,7 +9,8 @@ whether the intervals were short enough.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,17 +32,21 @@ class ProgressTable:
         folder = spark._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
 
-    def record(self, query: StreamingQuery) -> int:
+    def record(self, *queries: StreamingQuery) -> int:
         """Append the triggers that are new since the last call; their number."""
-        run = str(query.runId)
-        since = self._last.get(run, "")
-        new = [p for p in query.recentProgress if p.timestamp > since]
-        if new:
-            rows = [_row(p) for p in new]
+        rows, last = [], {}
+        for query in queries:
+            run = str(query.runId)
+            since = self._last.get(run, "")
+            new = [p for p in query.recentProgress if p.timestamp > since]
+            if new:
+                rows += [_row(p) for p in new]
+                last[run] = max(p.timestamp for p in new)
+        if rows:
             frame = self.spark.createDataFrame(rows, SCHEMA)
             frame.coalesce(1).write.mode("append").json(self.path)
-            self._last[run] = max(p.timestamp for p in new)
-        return len(new)
+            self._last.update(last)
+        return len(rows)
 
     def read(self) -> DataFrame:
         return self.spark.read.schema(SCHEMA).json(self.path)
@@ -86,6 +91,37 @@ def follow(
     return ended
 
 
+def follow_all(
+    starts: Iterable[Callable[[], StreamingQuery]],
+    table: ProgressTable,
+    at_a_time: int = 16,
+    every: float = 5.0,
+) -> None:
+    """Run queries that end by themselves next to each other and record their triggers.
+
+    Each of ``starts`` starts one, as soon as fewer than ``at_a_time`` run. A
+    trigger mostly waits for its logs, so queries next to each other fill the
+    cores. A query that failed raises, after all triggers have been recorded;
+    the others are then stopped.
+    """
+    waiting = iter(starts)
+    running = [start() for start in islice(waiting, at_a_time)]
+    try:
+        while running:
+            end = time.monotonic() + every
+            while all(q.isActive for q in running) and time.monotonic() < end:
+                time.sleep(0.05)
+            ended = [q for q in running if not q.isActive]
+            table.record(*running)
+            for query in ended:
+                query.awaitTermination()  # raises what made it fail
+            running = [q for q in running if q not in ended]
+            running += [start() for start in islice(waiting, len(ended))]
+    finally:
+        for query in running:
+            query.stop()
+
+
 def batches(progress: DataFrame) -> DataFrame:
     """The triggers that had input: one row for each query and batch.
 
