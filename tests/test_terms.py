@@ -180,3 +180,36 @@ def test_a_large_dictionary_is_cut_to_what_occurs(spark):
     done = V.stem_with_dictionary(docs, "w", listed, "s", 200)
     assert "Join" not in done._jdf.queryExecution().executedPlan().toString()
     assert sorted(r["s"] for r in done.collect()) == [["A", "b"], ["c"]]
+
+
+@pytest.mark.parametrize("limit", [0, 150, 1 << 20])
+def test_stems_by_lookup_and_join_together(spark, limit):
+    """Frequent entries are looked up, others joined; a stem is not stemmed again."""
+    listed = {"a": "b", "b": "c", "c": "c", "\x00": "zero", "": "none", "x\x01": "one", "rare": "a"}
+    rows = [["a", "b", None, "a"], None, [], ["", "\x00", "x\x01", "x\x00"], [None], ["rare", "new", "c"]]
+    rows += [["a", "b"]] * 20
+    docs = spark.createDataFrame(list(enumerate(rows)), "id int, w array<string>").repartition(3)
+    stems = spark.createDataFrame(list(listed.items()), "token string, stem string")
+    done = V.stem_with_dictionary(docs, "w", stems, "s", limit)
+    assert done.columns == ["id", "w", "s"]
+    got = {r["id"]: (r["w"], r["s"]) for r in done.collect()}
+    assert got == {k: (w, [listed.get(t, t) for t in w or []]) for k, w in enumerate(rows)}
+
+
+def test_the_frequent_part_fits(spark):
+    known = spark.createDataFrame([(f"t{k}", "s", k) for k in range(1, 65)], "token string, stem string, count bigint")
+    for limit in (0, 100, 1200, 1 << 20):
+        head, tail = V._split_by_count(known, limit)
+        assert V.fits_broadcast(head, limit) and head.count() + tail.count() == 64
+        least = min([int(r["token"][1:]) for r in head.collect()], default=65)
+        assert all(int(r["token"][1:]) < least for r in tail.collect())
+    assert V._split_by_count(known, 1200)[0].count() == 33  # 32 to 64
+
+
+def test_only_tokens_that_may_be_listed_are_joined(spark):
+    entries = spark.range(5000).select(F.concat(F.lit("t"), "id").alias("token"))
+    places = V._may_be_listed(entries)
+    docs = spark.range(20000).select(F.array(F.lit("no"), F.concat(F.lit("t"), "id")).alias("w"))
+    found = docs.select("w", places("w").alias("p")).collect()
+    assert all(1 in r["p"] for r in found if int(r["w"][1][1:]) < 5000)
+    assert sum(len(r["p"]) for r in found) < 5000 + 0.1 * 35000

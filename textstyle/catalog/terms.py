@@ -119,7 +119,7 @@ DICTIONARY_SQL = f"""
 
 def _dictionary_query(limit: int):
     def run(spark, sf_dir):
-        docs = arabic_documents(spark, sf_dir).withColumn("w", _tokens())
+        docs = arabic_documents(spark, sf_dir).select("doc_id", _tokens().alias("w"))
         known = V.distinct_tokens(docs, F.col("w")).filter(
             F.col("token").startswith("أ") & (F.length("token") > 1)
         )
@@ -137,7 +137,7 @@ query("tx13_stem_large_dictionary", DICTIONARY_SQL)(_dictionary_query(0))
 @query("tx13_stem_rule_dictionary", ORACLES["tx13_stem_root"])
 def stem_by_rule_dictionary(spark, sf_dir):
     """Roots looked up in a table of all distinct tokens, not computed in place."""
-    docs = arabic_documents(spark, sf_dir).withColumn("w", _tokens())
+    docs = arabic_documents(spark, sf_dir).select("doc_id", _tokens().alias("w"))
     stems = write_through(V.rule_dictionary(docs, F.col("w")), "dictionary")
     done = V.stem_with_dictionary(docs, "w", stems, "stems")
     return done.select("doc_id", *digest(T.join_tokens("stems")))

@@ -251,34 +251,113 @@ def stem_with_dictionary(
     and NULL tokens give an empty array. A token listed with several stems
     takes the least. A dictionary measured within ``limit`` bytes is looked up
     inside each row by an Arrow function, with no shuffle. Of a larger one the
-    entries that occur in ``df`` are taken first, which often fit; if not,
-    they are joined to the tokens of each row, under a row key of this
-    function's own. The result is the same. Beyond the limit ``df`` must be
-    finite, not a stream.
+    entries that occur in ``df`` are taken first, which often fit; if not, the
+    most frequent of them that do are looked up so. Tokens that a bitmap says
+    may be among the others are joined, under a row key of this function's
+    own. The result is the same. Beyond the limit ``df`` must be finite, not a
+    stream.
     """
     known = dictionary.filter("token IS NOT NULL AND stem IS NOT NULL").groupBy("token")
-    known = write_through(known.agg(F.min("stem").alias("stem")), "dictionary")
-    if not fits_broadcast(known, limit):
-        occurring = distinct_tokens(df, F.col(tokens_col))
-        known = write_through(known.join(occurring, "token", "left_semi"), "dictionary")
+    known = known.agg(F.min("stem").alias("stem")).filter("stem <> token")  # others change nothing
+    known = write_through(known, "dictionary")
     if fits_broadcast(known, limit):
-        lookup = _dictionary_lookup(df, known)
-        return df.withColumn(out_col, lookup(F.col(tokens_col)))
+        return df.withColumn(out_col, _dictionary_lookup(df, known)(F.col(tokens_col)))
+    head, tail = known.limit(0), known
+    if limit > 0:
+        counts = explode_tokens(df, F.array_distinct(tokens_col), "token").groupBy("token").count()
+        known = write_through(known.join(counts, "token"), "dictionary")
+        if fits_broadcast(known.drop("count"), limit):
+            return df.withColumn(out_col, _dictionary_lookup(df, known)(F.col(tokens_col)))
+        head, tail = _split_by_count(known, limit)
     # Written once: a row key made anew after a lost task would not fit.
     rows = write_through(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    tokens = rows.select("_row", F.posexplode_outer(tokens_col).alias("_pos", "token"))
-    tokens = tokens.filter(F.col("_pos").isNotNull())
-    stems = tokens.join(known.hint("merge"), "token", "left")
-    pair = F.struct("_pos", F.coalesce("stem", "token").alias("stem"))
-    rebuilt = stems.groupBy("_row").agg(
-        F.sort_array(F.collect_list(pair))["stem"].alias(out_col)
+    at = _may_be_listed(tail)(F.col(tokens_col))
+    pairs = F.transform(at, lambda i: F.struct(i.alias("pos"), F.get(tokens_col, i).alias("token")))
+    found = explode_tokens(rows, pairs, "_pair", "_row").select("_row", "_pair.*")
+    found = found.join(tail.hint("merge"), "token").groupBy("_row").agg(
+        F.collect_list(F.struct("pos", "stem")).alias("_found")
     )
-    empty = F.array().cast("array<string>")
-    done = rows.drop(out_col).join(rebuilt, "_row", "left").drop("_row")
-    return done.withColumn(out_col, F.coalesce(out_col, empty))
+    replaced = _dictionary_lookup(df, head)
+    stems = replaced(F.col(tokens_col), F.col("_found.pos"), F.col("_found.stem"))
+    return rows.join(found, "_row", "left").withColumn(out_col, stems).drop("_row", "_found")
+
+
+def _split_by_count(known: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """The most frequent entries of ``(token, stem, count)`` that fit, and the others.
+
+    Cut at a power of two, by the bytes of the entries below each.
+    """
+    power = F.floor(F.log2("count")).cast("int")
+    size = F.octet_length("token") + F.octet_length("stem") + F.lit(32)
+    sizes = known.groupBy(power.alias("power")).agg(F.sum(size).alias("bytes")).collect()
+    least, total = 64, 0
+    for row in sorted(sizes, reverse=True):  # a row a power
+        total += row["bytes"]
+        if total > limit:
+            break
+        least = row["power"]
+    entries = known.select("token", "stem")
+    return entries.filter(power >= least), entries.filter(power < least)
+
+
+#: Bits for each entry, slots of a block, and most slots of a bitmap (32 MB).
+BITS_EACH, BLOCK_SLOTS, MOST_SLOTS = 16, 1 << 16, 1 << 28
+
+
+def _may_be_listed(entries: DataFrame, most: int = MOST_SLOTS):
+    """An Arrow function giving the places of tokens that may be in ``entries``.
+
+    Each token's hash sets one bit. Blocks of the bitmap are made by tasks of
+    their own; a token that is listed is never missed.
+    """
+    blocks = max(1, min(most, BITS_EACH * entries.count()) // BLOCK_SLOTS)
+    slots = blocks * BLOCK_SLOTS
+
+    @F.arrow_udf("bigint")
+    def slot(tokens: pa.Array) -> pa.Array:
+        return pa.array((_hashes(tokens, BITMAP_SALT) % slots).astype(np.int64))
+
+    def packed(key: tuple, rows: pa.Table) -> pa.Table:
+        bits = np.zeros(BLOCK_SLOTS, dtype=bool)
+        bits[rows["slot"].to_numpy() % BLOCK_SLOTS] = True
+        return pa.table({"block": [key[0].as_py()], "bits": [np.packbits(bits).tobytes()]})
+
+    placed = entries.select(slot("token").alias("slot"))
+    placed = placed.withColumn("block", F.floor(F.col("slot") / BLOCK_SLOTS))
+    made = placed.groupBy("block").applyInArrow(packed, "block bigint, bits binary").collect()
+    bitmap = np.zeros((blocks, BLOCK_SLOTS // 8), dtype=np.uint8)
+    for row in made:  # at most 4,096 blocks of 8 KB
+        bitmap[row["block"]] = np.frombuffer(row["bits"], dtype=np.uint8)
+    shared = entries.sparkSession.sparkContext.broadcast(bitmap.ravel())
+
+    @F.arrow_udf("array<int>")
+    def places(lists: pa.Array) -> pa.Array:
+        offsets, encoded = _encoded(lists)
+        at = _hashes(encoded.dictionary, BITMAP_SALT) % slots
+        hit = (shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
+        hits = pc.fill_null(pa.array(hit.astype(bool)).take(encoded.indices), False)
+        flat = np.flatnonzero(hits.to_numpy(zero_copy_only=False))
+        ends = np.searchsorted(flat, offsets)
+        own = flat - np.repeat(offsets[:-1], np.diff(ends))
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(own.astype(np.int32)))
+
+    return places
+
+
+BITMAP_SALT = "bitmap".rjust(16, "0")
+
+
+def _encoded(lists: pa.ListArray) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """Where each list starts and ends, a null one being empty, and all tokens."""
+    lengths = pc.fill_null(lists.value_lengths(), 0).to_numpy()
+    offsets = np.append(0, np.cumsum(lengths)).astype(np.int32)
+    return offsets, pc.cast(lists.flatten(), pa.string()).dictionary_encode()
 
 
 def _hashes(tokens: pa.Array, salt: str) -> np.ndarray:
+    # The hash ends at a zero character, so that is written in another way.
+    tokens = pc.replace_substring(tokens, "\x01", "\x01\x01")
+    tokens = pc.replace_substring(tokens, "\x00", "\x01\x02")
     return hash_array(tokens.to_numpy(zero_copy_only=False).astype(object), hash_key=salt)
 
 
@@ -301,18 +380,33 @@ class SortedDictionary:
             raise ValueError("tokens repeat, or no hash tells them apart")
         self.tokens, self.stems = tokens.take(pa.array(order)), stems.take(pa.array(order))
 
-    def stemmed(self, lists: pa.ListArray) -> pa.ListArray:
-        """The lists with listed tokens replaced; a null list becomes empty."""
-        lengths = pc.fill_null(lists.value_lengths(), 0).to_numpy()
-        offsets = np.append(0, np.cumsum(lengths)).astype(np.int32)
-        encoded = pc.cast(lists.flatten(), pa.string()).dictionary_encode()
+    def stemmed(
+        self,
+        lists: pa.ListArray,
+        places: pa.ListArray | None = None,
+        stems: pa.ListArray | None = None,
+    ) -> pa.ListArray:
+        """The lists with listed tokens replaced; a null list becomes empty.
+
+        Where ``places`` of a list are given, ``stems`` are put there.
+        """
+        offsets, encoded = _encoded(lists)
         words = encoded.dictionary
         if len(self.hashes) and len(words):
             place = np.searchsorted(self.hashes, _hashes(words, self.salt))
             place = pa.array(np.minimum(place, len(self.hashes) - 1))
             listed = pc.equal(self.tokens.take(place), words)
             words = pc.if_else(listed, self.stems.take(place), words)
-        return pa.ListArray.from_arrays(pa.array(offsets), words.take(encoded.indices))
+        taken = encoded.indices
+        if places is not None:
+            flat = places.flatten().to_numpy()
+            starts = np.repeat(offsets[:-1], pc.fill_null(places.value_lengths(), 0).to_numpy())
+            missing = taken.is_null().to_numpy(zero_copy_only=False)
+            index = pc.fill_null(taken, 0).to_numpy().astype(np.int64)
+            index[starts + flat] = len(words) + np.arange(len(flat))
+            taken = pa.array(index, mask=missing)
+            words = pa.concat_arrays([words, pc.cast(stems.flatten(), pa.string())])
+        return pa.ListArray.from_arrays(pa.array(offsets), words.take(taken))
 
 
 def _dictionary_lookup(df: DataFrame, dictionary: DataFrame):
@@ -322,8 +416,8 @@ def _dictionary_lookup(df: DataFrame, dictionary: DataFrame):
     shared = df.sparkSession.sparkContext.broadcast(SortedDictionary(*columns))
 
     @F.arrow_udf("array<string>")
-    def lookup(lists: pa.Array) -> pa.Array:
-        return shared.value.stemmed(lists)
+    def lookup(lists: pa.Array, *found: pa.Array) -> pa.Array:
+        return shared.value.stemmed(lists, *found)
 
     return lookup
 
