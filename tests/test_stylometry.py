@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -8,8 +9,10 @@ from pyspark.sql import functions as F
 from textstyle.functions import profiles as P
 from textstyle.functions import stylometry as S
 from textstyle.functions import text as T
-from textstyle.functions.stemming import stem_tokens
+from textstyle.functions import stemming
+from textstyle.functions.stemming import stem_repeated, stem_tokens
 from textstyle.operators.features import feature_summary, stylometric_features
+from textstyle.plans.preprocess import preprocess
 
 WORDS = "text"
 
@@ -96,6 +99,37 @@ def test_light_stems_keep_patterns(one):
         stem_tokens(T.tokenize("text"), depth="deep")
 
 
+@pytest.mark.parametrize("depth", ["root", "light"])
+@pytest.mark.parametrize("has_vowels", [True, False])
+def test_repeated_words_have_the_same_stems(spark, depth, has_vowels):
+    draw = random.Random(0)
+    affixes = stemming.LONG_PREFIXES + stemming.LONG_SUFFIXES + stemming.WHOLE_WORDS + [""]
+    patterns = [w for _, found in stemming._ROOT_STEPS for p in found for w in re.split(r"[^ء-ي]+", p)]
+    letters = "فعلدرسكتبأإآوايةتنمستُِّ x\n\U0001f600\x00"
+    words = [
+        draw.choice(affixes) + draw.choice(patterns) + "".join(draw.choices(letters, k=draw.randrange(7)))
+        + draw.choice(affixes)
+        for _ in range(6000)
+    ]
+    lists = [(words[k : k + 40] + [None, ""],) for k in range(0, len(words), 40)]
+    lists += [(list(ROOTS),), ([],), (None,), ([None],)]
+    rows = spark.createDataFrame(lists, "w array<string>")
+    options = {"depth": depth, "has_vowels": has_vowels}
+    both = rows.select(stem_tokens(F.col("w"), **options), stem_repeated(F.col("w"), **options)).collect()
+    assert [r[0] for r in both] == [r[1] for r in both]
+    with pytest.raises(ValueError):
+        stem_repeated(F.col("w"), depth="deep")
+
+
+def test_preprocessing_stems_each_distinct_word_once(spark, monkeypatch):
+    rows = spark.createDataFrame([("كاتب مكتوب كاتب",)] * 3, "text string")
+    plan = preprocess(rows, stopwords=[])._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan  # and no pattern is tried on every token
+    stems, met = stemming._Stems("root", [], False), []
+    monkeypatch.setattr(stems, "_stem", lambda w: met.append(w) or w, raising=False)
+    assert [stems[w] for w in "abab"] == list("abab") and met == ["a", "b"]
+
+
 def test_feature_table_and_summary(spark):
     rows = spark.createDataFrame(
         [("محمد", "a b a", 0), ("x", "aa bbbb", 1), (None, None, 1)],

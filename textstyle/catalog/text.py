@@ -278,11 +278,11 @@ _ARABIC_TOKENS_SQL = f"""
 
 
 def _stem_query(depth: str):
-    from textstyle.functions.stemming import stem_tokens
+    from textstyle.functions.stemming import stem_repeated
 
     def run(spark, sf_dir):
         docs = arabic_documents(spark, sf_dir).withColumn("w", T.tokenize("text"))
-        stems = stem_tokens(F.col("w"), depth=depth)
+        stems = stem_repeated(F.col("w"), depth=depth)
         return docs.select("doc_id", *digest(T.join_tokens(stems)))
 
     return run

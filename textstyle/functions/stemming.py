@@ -8,14 +8,20 @@ Patterns are written in the usual grammarian's notation, where the letters
 fa, ain and lam stand for root letters. Each word length becomes one regular
 expression whose alternatives are tried in the written order. The steps run
 inside the row as a chain of array transforms; a step looks at the length
-first, so a word meets only the few expressions made for it.
+first, so a word meets only the few expressions made for it. Where words come
+again and again, :func:`stem_repeated` applies the same steps once to each
+distinct word of a batch.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable, Sequence
+from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -93,6 +99,18 @@ def _fits(length: int, alternatives: Sequence[str]) -> Step:
     ).otherwise(word)
 
 
+#: Word length and alternatives of each step to the root, in order.
+_ROOT_STEPS = [
+    (7, _short_affixes(7)),
+    (6, _pattern_regexes(PATTERNS_6) + _short_affixes(6)),
+    (5, _pattern_regexes(PATTERNS_5) + _short_affixes(5)),
+    (4, _pattern_regexes(PATTERNS_4) + _short_affixes(4)),
+    # What still has five or six letters fitted nothing above.
+    (6, _pattern_regexes([p for p in FOUR_LETTER_ROOTS if len(p) == 6])),
+    (5, _pattern_regexes([p for p in FOUR_LETTER_ROOTS if len(p) == 5])),
+]
+
+
 def _sized(affixes: Sequence[str], size: int) -> list[str]:
     return [affix for affix in affixes if len(affix) == size]
 
@@ -137,6 +155,11 @@ def _plain_start(word: Column) -> Column:
     )
 
 
+def _check_depth(depth: str) -> None:
+    if depth not in ("root", "light"):
+        raise ValueError(f"unknown stemming depth: {depth}")
+
+
 def stem_tokens(
     tokens: Column,
     *,
@@ -149,21 +172,12 @@ def stem_tokens(
     ``depth`` is ``root`` or ``light`` (long affixes only). Text that went
     through ``normalize`` has no vowel marks left: say so to save a step.
     """
-    if depth not in ("root", "light"):
-        raise ValueError(f"unknown stemming depth: {depth}")
+    _check_depth(depth)
     if has_vowels:
         tokens = F.transform(tokens, lambda w: F.translate(w, _SHORT_VOWELS, ""))
     steps: list[Step] = [_strip_long_prefix, _strip_long_suffix, _plain_start]
     if depth == "root":
-        steps += [
-            _fits(7, _short_affixes(7)),
-            _fits(6, _pattern_regexes(PATTERNS_6) + _short_affixes(6)),
-            _fits(5, _pattern_regexes(PATTERNS_5) + _short_affixes(5)),
-            _fits(4, _pattern_regexes(PATTERNS_4) + _short_affixes(4)),
-            # What still has five or six letters fitted nothing above.
-            _fits(6, _pattern_regexes([p for p in FOUR_LETTER_ROOTS if len(p) == 6])),
-            _fits(5, _pattern_regexes([p for p in FOUR_LETTER_ROOTS if len(p) == 5])),
-        ]
+        steps += [_fits(length, alternatives) for length, alternatives in _ROOT_STEPS]
     stems = tokens
     for step in steps:
         stems = F.transform(stems, step)
@@ -173,3 +187,78 @@ def stem_tokens(
     return F.zip_with(
         tokens, stems, lambda token, stem: F.when(token.isin(listed), token).otherwise(stem)
     )
+
+
+# --- the same for words that come again -------------------------------------------
+
+#: Stems that a worker keeps; only speed depends on it.
+KEPT_STEMS = 200_000
+
+
+class _Stems(dict):
+    """Word -> stem, by the steps of :func:`stem_tokens`; a full table is emptied."""
+
+    def __init__(self, depth: str, whole_words: Sequence[str], has_vowels: bool):
+        self.whole = frozenset(whole_words)
+        self.dropped = dict.fromkeys(map(ord, _SHORT_VOWELS)) if has_vowels else None
+        self.steps = [
+            (length, re.compile("|".join(alternatives).replace("?<", "?P<").replace(r"\k<ain>", "(?P=ain)"), re.S))
+            for length, alternatives in (_ROOT_STEPS if depth == "root" else [])
+        ]
+
+    def __missing__(self, word: str) -> str:
+        if len(self) >= KEPT_STEMS:
+            self.clear()
+        bare = word.translate(self.dropped) if self.dropped else word
+        stem = self[word] = bare if bare in self.whole else self._stem(bare)
+        return stem
+
+    def _stem(self, word: str) -> str:
+        if len(word) >= 6 and word[:3] in LONG_PREFIXES:
+            word = word[3:]
+        elif len(word) >= 5 and word[:2] in LONG_PREFIXES:
+            word = word[2:]
+        if len(word) >= 6 and word[-3:] in LONG_SUFFIXES:
+            word = word[:-3]
+        elif len(word) >= 5 and word[-2:] in LONG_SUFFIXES:
+            word = word[:-2]
+        if word.startswith("وو") and len(word) >= 4:
+            word = word[1:]
+        elif word.startswith(("آ", "أ", "إ")):
+            word = "ا" + word[1:]
+        for length, pattern in self.steps:
+            if len(word) == length and (found := pattern.fullmatch(word)):
+                word = "".join(g for g in found.groups() if g is not None)
+        return word
+
+
+@lru_cache
+def _stems(depth: str, whole_words: tuple[str, ...], has_vowels: bool) -> _Stems:
+    """A worker's table, kept from task to task."""
+    return _Stems(depth, whole_words, has_vowels)
+
+
+def stem_repeated(
+    tokens: Column,
+    *,
+    depth: str = "root",
+    whole_words: Sequence[str] = WHOLE_WORDS,
+    has_vowels: bool = True,
+) -> Column:
+    """As :func:`stem_tokens`, but each distinct token of a batch is stemmed once.
+
+    An Arrow function: running text repeats most of its words.
+    """
+    _check_depth(depth)
+    options = depth, tuple(whole_words), has_vowels
+
+    @F.arrow_udf("array<string>")
+    def stemmed(lists: pa.Array) -> pa.Array:
+        stems = _stems(*options)
+        encoded = pc.cast(lists.flatten(), pa.string()).dictionary_encode()
+        words = pa.array([stems[word] for word in encoded.dictionary.to_pylist()], pa.string())
+        lengths = pc.fill_null(lists.value_lengths(), 0).to_numpy()
+        offsets = pa.array(np.append(0, np.cumsum(lengths)).astype(np.int32))
+        return pa.ListArray.from_arrays(offsets, words.take(encoded.indices), mask=lists.is_null())
+
+    return stemmed(tokens)

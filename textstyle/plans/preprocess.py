@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from textstyle.functions import profiles as P
 from textstyle.functions import text as T
 from textstyle.functions.profiles import Profile
-from textstyle.functions.stemming import stem_tokens
+from textstyle.functions.stemming import stem_repeated
 from textstyle.operators.terms import stem_with_dictionary
 from textstyle.sources.tables import read_table, write_table
 
@@ -53,7 +53,7 @@ def preprocess(
     if dictionary is not None:
         df = stem_with_dictionary(df, "words_no_stopwords", dictionary, "words_stemmed")
     else:
-        stems = stem_tokens(F.col("words_no_stopwords"), depth=stem_depth, has_vowels=False)
+        stems = stem_repeated(F.col("words_no_stopwords"), depth=stem_depth, has_vowels=False)
         df = df.withColumn("words_stemmed", stems)
     return df.withColumn("abstract_clean", T.join_tokens("words_stemmed"))
 
