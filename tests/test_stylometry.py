@@ -123,7 +123,7 @@ def test_repeated_words_have_the_same_stems(spark, depth, has_vowels):
 
 def test_preprocessing_stems_each_distinct_word_once(spark, monkeypatch):
     rows = spark.createDataFrame([("كاتب مكتوب كاتب",)] * 3, "text string")
-    plan = preprocess(rows, stopwords=[])._jdf.queryExecution().executedPlan().toString()
+    plan = preprocess(rows, stopwords=[], stem_once=True)._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" in plan  # and no pattern is tried on every token
     stems, met = stemming._Stems("root", [], False), []
     monkeypatch.setattr(stems, "_stem", lambda w: met.append(w) or w, raising=False)

@@ -319,14 +319,14 @@ _ALL_STEPS = f"{_STEM_STEPS}, {_ROOT_STEPS}"
 @query("tx14_preprocess_web", stemmed_sql(_WEB_TOKENS_SQL, "s9", _ALL_STEPS))
 def preprocess_web(spark, sf_dir):
     docs = arabic_documents(spark, sf_dir)
-    clean = preprocess(docs, profile=P.WEB, stopwords=arabic_stopwords())
+    clean = preprocess(docs, profile=P.WEB, stopwords=arabic_stopwords(), stem_once=True)
     return clean.select("doc_id", *digest(F.col("abstract_clean")))
 
 
 @query("tx14_preprocess_corpus", stemmed_sql(_CORPUS_TOKENS_SQL, "s9", _ALL_STEPS))
 def preprocess_corpus(spark, sf_dir):
     docs = arabic_documents(spark, sf_dir)
-    clean = preprocess(docs, profile=P.CORPUS, stopwords=arabic_stopwords())
+    clean = preprocess(docs, profile=P.CORPUS, stopwords=arabic_stopwords(), stem_once=True)
     return clean.select("doc_id", *digest(F.col("abstract_clean")))
 
 
