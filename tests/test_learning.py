@@ -7,6 +7,7 @@ import pathlib
 
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -254,3 +255,24 @@ def test_scoring_all_models_at_once_equals_one_by_one(run, chats):
         assert mine.exceptAll(alone).count() == 0 and mine.count() == alone.count()
     plan = together._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1
+
+
+@pytest.mark.parametrize("storage, side_by_side", [(1 << 40, 3), (10, 1)])
+def test_forests_side_by_side_fit_in_memory(spark, monkeypatch, storage, side_by_side):
+    """Each fit keeps a bin of every feature of every row: 4 * 3 * 4 bytes here."""
+    monkeypatch.setattr(L, "storage_bytes", lambda context: storage)
+    pools, pool = [], L.ThreadPoolExecutor
+    monkeypatch.setattr(L, "ThreadPoolExecutor", lambda n: pools.append(n) or pool(n))
+    rows = [(Vectors.dense(i, 1.0, 0.0), i % 2, i < 2) for i in range(4)]
+    train = spark.createDataFrame(rows, [L.TFIDF, "label", L.INNER])
+    grid = L.Grid(trees=(2, 3), depths=(1,), parallelism=3)
+    tried = []
+    L.train_random_forest(train, grid, tried=tried)
+    assert pools == [side_by_side] and len(tried) == 2
+
+
+def test_storage_of_executors(spark):
+    heap = spark._jvm.java.lang.Runtime.getRuntime().maxMemory()
+    assert 0 < L.storage_bytes(spark.sparkContext) < heap
+    assert L.fits_at_a_time(4, 0, 0) == 4  # nothing is kept
+    assert L.fits_at_a_time(4, 40, 100) == 2 and L.fits_at_a_time(4, 200, 100) == 1
