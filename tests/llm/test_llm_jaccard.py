@@ -208,3 +208,12 @@ def test_search_equals_counting():
     for i, s in enumerate(sets):
         want = [j for j, t in enumerate(sets) if 100 * (c := len(np.intersect1d(s, t))) >= 90 * (len(s) + len(t) - c)]
         assert index.search(s, np.ones(60, bool)).tolist() == want, i
+
+
+def test_few_texts_are_held_at_a_time():
+    import pyarrow as pa
+
+    from textstyle.llm.tables import in_slices
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["x"] * 1200)], ["text"])
+    assert [b.num_rows for b in in_slices([batch, batch.slice(0, 0)])] == [512, 512, 176]

@@ -38,7 +38,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
 from textstyle.llm.components import components
-from textstyle.llm.tables import raw_texts
+from textstyle.llm.tables import in_slices, raw_texts
 from textstyle.session import delete_folders, write_through
 
 SHINGLE_WORDS = 3
@@ -56,6 +56,8 @@ SLOTS = 1 << SLOT_BITS
 SENT_BYTES, SENT_SETS = 4 << 20, 512
 #: Members are sent to the scan of the documents up to this size.
 BROADCAST_BYTES = 64 << 20
+#: Hashes of sets that a task remembers; only speed depends on it.
+MET_SETS = 100_000
 #: Words in each of a worker's two hash tables; only speed depends on it.
 CACHED_WORDS = 100_000
 
@@ -292,13 +294,16 @@ def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
     arrow = to_arrow_schema(schema)
 
     def run(batches):
-        for batch in batches:
-            n, h, parts, seen = [], [], [], set()
+        seen = set()
+        for batch in in_slices(batches):
+            n, h, parts = [], [], []
+            if len(seen) > MET_SETS:
+                seen.clear()
             for text in raw_texts(batch.column(1)):
                 found = shingles(text, words)
                 n.append(len(found))
                 h.append(_set_hash(found))
-                # Equal sets of a batch send their signatures once.
+                # Equal sets of a task send their signatures once, if the first is still known.
                 parts.append(None if h[-1] in seen else signatures(found, percent).view(np.int64))
                 seen.add(h[-1])
             columns = [batch.column(0).cast(arrow.field(0).type), n, h, parts]
@@ -511,8 +516,11 @@ def _member_sets(rows: DataFrame, words: int) -> DataFrame:
     arrow = to_arrow_schema(schema)
 
     def run(batches):
-        for batch in batches:
-            out, seen, held = [], set(), 0
+        seen = set()
+        for batch in in_slices(batches):
+            out, held = [], 0
+            if len(seen) > MET_SETS:
+                seen.clear()
             keys = [batch.column(k).to_pylist() for k in range(1, 5)]
             for text, h, *place in zip(raw_texts(batch.column(0)), *keys):
                 found = shingles(text, words)
@@ -535,10 +543,10 @@ def _member_sets(rows: DataFrame, words: int) -> DataFrame:
 
 
 def _hashed_sets(rows: DataFrame, words: int) -> DataFrame:
-    """``h, tokens`` of all rows with shingles; equal sets of a batch come once."""
+    """``h, tokens`` of all rows with shingles; equal sets of a slice come once."""
 
     def run(batches):
-        for batch in batches:
+        for batch in in_slices(batches):
             sets = (shingles(text, words) for text in raw_texts(batch.column(0)))
             out = {_set_hash(found): found.tobytes() for found in sets if len(found)}
             yield pa.RecordBatch.from_arrays(

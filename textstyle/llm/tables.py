@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Bits of a hash that tell the slots of a sample's histogram apart.
 SLOT_BITS = 20
+#: Rows whose texts a task holds as Python objects.
+HELD_ROWS = 512
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -43,6 +45,13 @@ def raw_texts(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [x or b"" for x in column.cast(kind).to_pylist()]
 
 
+def in_slices(batches: Iterable[pa.RecordBatch], rows: int = HELD_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces, so that few of their texts are Python objects at a time."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def check_names(df: DataFrame, made: list[str]) -> None:
     """Columns passed through may not carry the name of one that is made."""
     clash = sorted(set(df.columns) & set(made))
