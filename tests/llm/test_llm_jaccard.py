@@ -217,3 +217,34 @@ def test_few_texts_are_held_at_a_time():
 
     batch = pa.RecordBatch.from_arrays([pa.array(["x"] * 1200)], ["text"])
     assert [b.num_rows for b in in_slices([batch, batch.slice(0, 0)])] == [512, 512, 176]
+
+
+def test_a_common_line_does_not_join_unlike_texts(spark, monkeypatch):
+    """Texts that share nothing but a line stay in clusters of their own."""
+    rng, line, rows = random.Random(8), " ".join(f"c{k}" for k in range(14)), []
+    for k in range(300):
+        own = " ".join(f"r{rng.randrange(10**9)}" for _ in range(rng.randrange(20, 60)))
+        rows.append((k, f"{own} {line}"))
+    rows += [(1000 + k, rows[k][1] + " more") for k in range(0, 300, 30)]
+    sizes, real = [], J._links
+
+    def links(docs, classes, clusters, *rest):
+        sizes.extend(r["count"] for r in clusters.groupBy("root").count().collect())
+        return real(docs, classes, clusters, *rest)
+
+    monkeypatch.setattr(J, "_links", links)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = J.near_classes(docs, words=5, percent=80).collect()
+    assert sorted((r[0], r[2]) for r in got) == sorted((k, k % 1000) for k, _ in rows)
+    assert len(sizes) >= 8 and max(sizes) < 20
+
+
+def test_linked_sets_share_a_signature_whatever_is_common():
+    rng = np.random.default_rng(3)
+    for n in [9, 10, 19, 20, 40, 100, 300] * 8:
+        common = rng.random(J.SLOTS) < rng.choice([0.1, 0.5, 0.9, 1])
+        a = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+        b = np.unique(np.append(a[n // 12 :], rng.integers(0, 1 << 62, n // 12).astype(np.uint64)))
+        shared = len(np.intersect1d(a, b))
+        if 100 * shared >= 80 * (len(a) + len(b) - shared):
+            assert set(J.signatures(a, 80, common)) & set(J.signatures(b, 80, common))

@@ -4,9 +4,10 @@
 2. Candidates: two sets that reach the threshold differ in at most ``d``
    shingles. Shingles are dealt by hash to ``d + 1 + s`` parts, so at least
    ``s + 1`` parts are equal; the content of a part is one signature, and a set
-   leaves out its ``s`` smallest parts. Sets that share a signature are joined
-   to one cluster, by a star a signature. Common lines seldom join clusters, as
-   a whole part of several shingles has to be equal; long common passages may.
+   leaves out the ``s`` parts with the fewest rare shingles, of these the
+   smallest. Sets that share a signature are joined to one cluster, by a star a
+   signature. Common lines seldom join clusters, as a part of their shingles
+   alone is left out; sets that consist mostly of common passages may.
 3. T-occurrence search in each cluster by DivideSkip: an inverted index, the
    shortest lists merged with a heap, the long ones probed by binary search, and
    the sets kept that reach the overlap their sizes require. Links between sets that
@@ -52,6 +53,10 @@ BAND_BLOCKS = 1 << 32
 #: Shingles are counted by slots of a hash, to tell rare ones from common ones.
 SLOT_BITS = 20
 SLOTS = 1 << SLOT_BITS
+#: Slots whose counts travel together.
+SLOT_BLOCK = 1 << 12
+#: Deviations of an even spread over the slots from which a slot is common.
+COMMON_SIGMAS = 5
 #: Bytes of sets, and sets, that a task passes on at a time.
 SENT_BYTES, SENT_SETS = 4 << 20, 512
 #: Members are sent to the scan of the documents up to this size.
@@ -129,26 +134,36 @@ def _band(n: int, percent: int) -> tuple[int, int]:
     return number, top
 
 
-def signatures(found: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Signatures of a set: of the parts of its own band and of the next."""
+def signatures(
+    found: np.ndarray, percent: int = PERCENT, common: np.ndarray | None = None
+) -> np.ndarray:
+    """Signatures of a set: of the parts of its own band and of the next.
+
+    ``common`` tells for every slot whether its shingles count as common. Any
+    table serves, if all sets have the same.
+    """
     n = len(found)
     if n == 0 or required(n, n + 1, percent) > n and required(n - 1, n, percent) > n - 1:
         return np.empty(0, np.uint64)  # only an equal set can link
     number, top = _band(n, percent)
-    out = []
+    rare = np.ones(n, bool) if common is None else ~common[_slots(found)]
+    dealt, mixed, out = _mix(found) >> np.uint64(8), _mix(found ^ _A), []
     for band, limit in ((number, top), (number + 1, max(top + 1, 100 * (top + 1) // percent))):
         # No linked pair of sizes up to ``limit`` differs by more.
         most = 2 * limit * (100 - percent) // (100 + percent)
         spare = most // 3 + 1
         parts = most + 1 + spare
-        part = ((_mix(found) >> np.uint64(8)) % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        filled, starts = np.unique(part[order], return_index=True)
+        part = (dealt % np.uint64(parts)).astype(np.int64)
+        # Numbers of 16 bits are sorted faster.
+        order = np.argsort(part.astype(np.uint16) if parts < 1 << 16 else part, kind="stable")
+        size, kept = (np.bincount(x, minlength=parts) for x in (part, part[rare]))
+        filled = np.flatnonzero(size)
+        starts = (np.cumsum(size) - size)[filled]
         content = np.zeros(parts, np.uint64)
-        content[filled] = np.add.reduceat(_mix(found ^ _A)[order], starts)
+        content[filled] = np.add.reduceat(mixed[order], starts)
         # Linked sets have spare + 1 equal parts. Both sets order those alike,
-        # so neither drops the last of them with its ``spare`` smallest parts.
-        own = np.argsort(np.bincount(part, minlength=parts), kind="stable")[spare:]
+        # so neither drops the last of them with its ``spare`` first parts.
+        own = np.lexsort((size, kept))[spare:]
         content, own = content[own], own.astype(np.uint64)
         out.append(_mix(content + _mix(own + np.uint64(band << 32))))
     return np.concatenate(out)
@@ -262,7 +277,8 @@ def near_classes(
     """
     spark, paths, scratch = docs.sparkSession, [] if paths is None else paths, []
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    signed = write_through(_sets(docs, words, percent), "signatures", scratch)
+    common = _common_slots(docs, words)
+    signed = write_through(_sets(docs, words, percent, common), "signatures", scratch)
     sets = write_through(signed.select("id", "n", "h"), "shingle-sets", paths)
     classes = sets.where("n > 0").groupBy("h").agg(F.min("id").alias("id"), F.first("n").alias("n"))
     classes = write_through(classes, "shingle-classes", paths)
@@ -286,8 +302,49 @@ def near_classes(
     )
 
 
-def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
+def _common_slots(docs: DataFrame, words: int) -> np.ndarray:
+    """Which slots hold shingles of many more rows than an even spread gives.
+
+    Each task counts its rows in blocks of slots, which are then added up. The
+    table only says which parts tell sets apart best; links do not hang on it.
+    """
+
+    def count(batches):
+        total = np.zeros(SLOTS, np.uint32)
+        for batch in in_slices(batches):
+            sets = [shingles(text, words) for text in raw_texts(batch.column(0))]
+            if sets:
+                slots = _slots(np.concatenate(sets))
+                total += np.bincount(slots, minlength=SLOTS).astype(np.uint32)
+        blocks = total.reshape(-1, SLOT_BLOCK)
+        held = np.flatnonzero(blocks.any(axis=1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(held, pa.int32()), pa.array([blocks[k].tobytes() for k in held], pa.binary())],
+            ["block", "counts"],
+        )
+
+    def add(key: tuple, rows: pa.Table) -> pa.Table:
+        total = np.zeros(SLOT_BLOCK, np.int64)
+        for chunk in rows["counts"].chunks:
+            for counts in chunk:
+                total += np.frombuffer(counts.as_buffer(), np.uint32)
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "counts": [total.tobytes()]})
+
+    made = "block int, counts binary"
+    counted = docs.select("text").mapInArrow(count, made)
+    added = counted.groupBy("block").applyInArrow(add, made).toArrow()  # SLOTS numbers at most
+    total = np.zeros((SLOTS // SLOT_BLOCK, SLOT_BLOCK), np.int64)
+    for block, counts in zip(added["block"].to_pylist(), added["counts"].to_pylist()):
+        total[block] = np.frombuffer(counts, np.int64)
+    usual = np.median(total)
+    return (total > usual + COMMON_SIGMAS * math.sqrt(usual) + 2).ravel()
+
+
+def _sets(
+    docs: DataFrame, words: int, percent: int, common: np.ndarray | None = None
+) -> DataFrame:
     """``id, n, h, signatures``: size and hash of each row's set."""
+    sent = docs.sparkSession.sparkContext.broadcast(common)
     made = "n bigint, h bigint, signatures array<bigint>"
     schema = StructType([StructField("id", docs.schema["id"].dataType)])
     schema = StructType(schema.fields + StructType.fromDDL(made).fields)
@@ -304,7 +361,7 @@ def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 n.append(len(found))
                 h.append(_set_hash(found))
                 # Equal sets of a task send their signatures once, if the first is still known.
-                parts.append(None if h[-1] in seen else signatures(found, percent).view(np.int64))
+                parts.append(None if h[-1] in seen else signatures(found, percent, sent.value).view(np.int64))
                 seen.add(h[-1])
             columns = [batch.column(0).cast(arrow.field(0).type), n, h, parts]
             yield pa.RecordBatch.from_arrays(
