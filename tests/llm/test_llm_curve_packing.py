@@ -99,3 +99,21 @@ def test_curve_visits_every_cell_once():
     lengths = np.array([3, 0, 2])
     keys = C.curve_keys(np.array([7, 8, 9, 7, 8]), lengths)
     assert (keys >= 0).all() and keys.max() < 1 << (C.DIMENSIONS * C.BITS)
+
+
+def test_directions_are_made_once(monkeypatch):
+    """Not for every group of documents; and ids beyond two bytes count too."""
+    calls, real = [], np.linalg.qr
+    monkeypatch.setattr(C, "COUNTED_TOKENS", 2)
+    monkeypatch.setattr(np.linalg, "qr", lambda x: calls.append(1) or real(x))
+    for first, last in C._groups(np.array([2, 1, 2, 3])):
+        C.curve_keys(np.arange(2 * (last - first)), np.full(last - first, 2))
+    assert len(calls) <= 1
+    ids, lengths = np.array([5, 5, 70_000, 9, 5], np.uint32), np.array([3, 0, 2])
+    cells = C._hashed(ids)
+    want = np.zeros((3, C.BUCKETS))
+    for row, cell in zip([0, 0, 0, 2, 2], cells):
+        want[row, cell // 2] += 1 if cell % 2 else -1
+    want = np.sign(want) * np.log1p(np.abs(want))
+    want[[0, 2]] /= np.linalg.norm(want[[0, 2]], axis=1, keepdims=True)
+    assert np.allclose(C.vectors(ids, lengths), want)

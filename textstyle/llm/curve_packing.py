@@ -16,6 +16,7 @@ import math
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,12 +45,24 @@ SHORT_IDS = 1 << 16
 # --- The curve --------------------------------------------------------------------
 
 
-def _hashed(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each id's bucket and sign, by multiplication."""
+def _hashed(ids: np.ndarray) -> np.ndarray:
+    """Each id's bucket and sign in one number, by multiplication."""
     mixed = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     buckets = (mixed >> np.uint64(40)) % np.uint64(BUCKETS)
-    signs = np.where((mixed >> np.uint64(63)) > 0, 1.0, -1.0)
-    return buckets.astype(np.int64), signs
+    return (2 * buckets + (mixed >> np.uint64(63))).astype(np.int64)
+
+
+@cache
+def _short_cells() -> np.ndarray:
+    """:func:`_hashed` of all short ids, made once a worker."""
+    return _hashed(np.arange(SHORT_IDS))
+
+
+@cache
+def _basis() -> np.ndarray:
+    """The directions that vectors are projected to."""
+    rng = np.random.default_rng(BUCKETS)
+    return np.linalg.qr(rng.normal(size=(BUCKETS, BUCKETS)))[0][:, :DIMENSIONS]
 
 
 def vectors(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -58,9 +71,13 @@ def vectors(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     Signed counts of hashed ids, damped by a logarithm; a document whose
     counts cancel out, or without ids, has the zero vector.
     """
-    buckets, signs = _hashed(ids)
-    cell = np.repeat(np.arange(len(lengths)) * BUCKETS, lengths) + buckets
-    counts = np.bincount(cell, signs, len(lengths) * BUCKETS).reshape(-1, BUCKETS)
+    short = not len(ids) or ids.max() < SHORT_IDS
+    cells = _short_cells()[ids] if short else _hashed(ids)
+    counts, first = np.empty((len(lengths), BUCKETS)), 0
+    for row, n in zip(counts, lengths.tolist()):
+        found = np.bincount(cells[first : first + n], minlength=2 * BUCKETS)
+        np.subtract(found[1::2], found[::2], out=row)
+        first += n
     damped = np.sign(counts) * np.log1p(np.abs(counts))
     norms = np.linalg.norm(damped, axis=1, keepdims=True)
     return damped / np.where(norms > 0, norms, 1.0)
@@ -68,10 +85,8 @@ def vectors(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 def curve_keys(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Places of documents along the curve, ``DIMENSIONS * BITS`` bits each."""
-    rng = np.random.default_rng(BUCKETS)
-    basis = np.linalg.qr(rng.normal(size=(BUCKETS, BUCKETS)))[0][:, :DIMENSIONS]
     cells, reach = 1 << BITS, 4 / math.sqrt(BUCKETS)
-    at = (vectors(ids, lengths) @ basis / (2 * reach) + 0.5) * cells
+    at = (vectors(ids, lengths) @ _basis() / (2 * reach) + 0.5) * cells
     return hilbert(np.clip(at, 0, cells - 1).astype(np.int64), BITS)
 
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 import struct
 from collections.abc import Iterable
+from functools import lru_cache
 
 from tokenizers import Tokenizer
 
@@ -36,9 +37,14 @@ _LETTERS = _byte_letters()
 _BLANK = _LETTERS[32]
 
 
+@lru_cache(64)
+def _packer(n: int):
+    return struct.Struct(f"<{n}I").pack
+
+
 def _packed(ids: list[int]) -> bytes:
     """As little-endian unsigned 32-bit integers."""
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return _packer(len(ids))(*ids)
 
 
 class Encoder:
@@ -146,7 +152,7 @@ class _Pieces(dict):
 
 
 def _simple(piece: str) -> bool:
-    return piece.isalpha() and max(piece) < LATIN_END
+    return piece.isalpha() and (piece.isascii() or max(piece) < LATIN_END)
 
 
 _ENCODERS: dict[str, Encoder] = {}
