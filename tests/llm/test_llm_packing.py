@@ -3,15 +3,18 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter
+from itertools import product
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from textstyle.llm import packing, token_files
+from textstyle.llm import encoding, packing, token_files
 from textstyle.llm.encoding import Encoder
 
 FILES = {k: public_tokenizers.path(k) for k in ("byte_bpe_50k.json", "word_bpe_49k.json")}
@@ -52,6 +55,46 @@ def test_any_text_is_whole(text):
         assert encoder.encode(text) == encoder.whole(text)
 
 
+@given(
+    st.lists(st.none() | st.text(alphabet="aÝÀ®ª°­…’s\n .,'\"|<", max_size=12), max_size=12),
+    st.integers(0, 40),
+)
+@settings(max_examples=200, deadline=None)
+def test_column_is_whole(texts, held):
+    """However texts fall into slices and pieces into tables and calls."""
+    small = {"HELD_BYTES": held, "CACHED_PIECES": 5, "JOINED_PIECES": 3}
+    column = pa.array(["dropped", *texts], pa.string())[1:]
+    with pytest.MonkeyPatch.context() as patch:
+        for name, value in small.items():
+            patch.setattr(encoding, name, value)
+        for encoder in ENCODERS.values():
+            got = list(encoder.encode_all(column))
+            assert got == [encoder.whole(text or "") for text in texts]
+            assert list(encoder.encode_all(column.cast(pa.large_string()))) == got
+
+
+def test_new_words_share_calls_of_the_model():
+    encoder, calls = Encoder(FILES["byte_bpe_50k.json"]), []
+    model = encoder.model
+    encoder.model = SimpleNamespace(tokenize=lambda x: calls.append(x) or model.tokenize(x))
+    parts = product("QXJz", "kvwÿ", "é", "ghjq", ["", ",", "!?", "%%%"])
+    words = ["".join(x) for x in parts]
+    texts = [" ".join(words[k : k + 8]) + f"\n{words[k]}" for k in range(0, len(words), 8)]
+    got = list(encoder.encode_all(pa.array(texts)))
+    assert got == [encoder.whole(text) for text in texts]
+    assert 0 < len(calls) <= 2 + len(words) // encoding.JOINED_PIECES
+
+
+@pytest.mark.parametrize(
+    "changed", [{"vocab": {"e.": 1}}, {"vocab": {"aĠ": 1}}, {"vocab": {"Ċa": 1}},
+                {"ignore_merges": True}, {"end_of_word_suffix": "</w>"}]
+)
+def test_pieces_are_not_joined_where_tokens_reach_over(changed):
+    model = {"vocab": {"Ġ": 0, "Ċ": 1, "a": 2, "âĢ¦.": 3, "Ġa": 4}}
+    assert encoding._starts({"model": model}).tolist() == [True, True, False, False, True]
+    assert encoding._starts({"model": model | changed}) is None
+
+
 @given(st.lists(st.integers(1, 32), max_size=60))
 @settings(max_examples=300, deadline=None)
 def test_plan_is_best_fit_decreasing(lengths):

@@ -159,8 +159,7 @@ def encoded(
     def run(batches):
         for batch in batches:
             row, key, text = batch.columns
-            texts = text.to_pylist()
-            ids = [np.frombuffer(x + end, "<u4") for x in encode_all(tokenizer, texts)]
+            ids = [np.frombuffer(x + end, "<u4") for x in encode_all(tokenizer, text)]
             lengths = np.array([len(x) for x in ids], np.int64)
             keys = np.zeros(len(ids), np.int64)
             for first, last in _groups(lengths):

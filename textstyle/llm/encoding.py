@@ -2,26 +2,40 @@
 
 Two kinds of file are known: byte-level ones that keep white space, and ones
 that lower-case words and drop it. Both split a text before merging, and a
-blank between two words is always such a split. So a text is cut at blanks
-(and, where the file allows it, at line ends) and every distinct piece is
-encoded once by the tokenizers library; two bounded tables keep the ids of
-recent pieces as little-endian 32-bit bytes. Texts with a run of white space
-that a blank may not cut, and all texts under a file of another kind, are
-encoded whole.
+blank between two words is always such a split. So texts are cut at blanks
+(and, where the file allows it, at line ends) by Arrow, some of them at a time,
+and every distinct piece is encoded once by the tokenizers library; two bounded
+tables keep the ids of recent pieces as little-endian 32-bit bytes. Arrow looks
+the pieces up and joins their ids. Texts with a run of white space that a blank
+may not cut, and all texts under a file of another kind, are encoded whole.
+
+Pieces not met before are given to the library's model many at a time, if they
+are Latin letters with marks behind them and no token of the file reaches over
+a border between letters, marks and pieces.
 """
 
 from __future__ import annotations
 
+import codecs
 import json
+import re
+import string
 import struct
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 ID_BYTES = 4
 #: Pieces in each of a worker's two tables; only speed depends on it.
 CACHED_PIECES = 300_000
+#: Bytes of text that are split at a time; a longer text is split alone.
+HELD_BYTES = 8 << 20
+#: New pieces that the model gets in one call.
+JOINED_PIECES = 128
 #: Below it, letters, lower case and composition are the same in every Unicode.
 LATIN_END = "İ"
 
@@ -34,7 +48,22 @@ def _byte_letters() -> list[str]:
 
 
 _LETTERS = _byte_letters()
-_BLANK = _LETTERS[32]
+_BYTE_TABLE = "".join(_LETTERS)
+_BLANK, _LINE_END = _LETTERS[32], _LETTERS[10]
+
+#: Pieces that may be joined: letters whose bytes are no others' than letters'.
+_WIDE = "".join(c for c in map(chr, range(0xC0, ord(LATIN_END))) if c.isalpha())
+_MARKS = re.escape(string.punctuation)
+_plain = re.compile(f"\n?[A-Za-z{_WIDE}]+[{_MARKS}]*").fullmatch
+
+
+def _over_borders() -> re.Pattern:
+    """Tokens that plain pieces next to each other may hold over a border."""
+    bytes_ = sorted({b for c in _WIDE for b in c.encode()})
+    letters = "A-Za-z" + "".join([_LETTERS[b] for b in bytes_])
+    starts, any_ = _BLANK + _LINE_END, f"[{_BLANK}{_LINE_END}{letters}{_MARKS}]*"
+    borders = f"[{letters}{_MARKS}][{starts}]|{_LINE_END}[{letters}]|[{letters}][{_MARKS}]"
+    return re.compile(f"{any_}(?:{borders}){any_}")
 
 
 @lru_cache(64)
@@ -60,7 +89,9 @@ class Encoder:
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = [] if special_as_text else [token.content for token in added]
         self.model = self.tokenizer.model
-        self.kind = _kind(json.loads(self.tokenizer.to_str()))
+        file = json.loads(self.tokenizer.to_str())
+        self.kind = _kind(file)
+        self.starts = _starts(file) if self.kind == "blanks" else None
         self.pieces = _Pieces(self)
 
     def whole(self, text: str) -> bytes:
@@ -72,21 +103,79 @@ class Encoder:
         letters = word if word.isascii() else "".join([_LETTERS[b] for b in word.encode()])
         return _packed([t.id for t in self.model.tokenize(before + letters)])
 
+    def plain(self, pieces: list[str]) -> list[bytes]:
+        """The ids of plain pieces, from one call of the model."""
+        text = "".join([p if p[0] == "\n" else " " + p for p in pieces])
+        letters = codecs.charmap_decode(text.encode(), "strict", _BYTE_TABLE)[0]
+        ids = np.array([t.id for t in self.model.tokenize(letters)], "<u4")
+        cuts = [*(np.flatnonzero(self.starts[ids]) * ID_BYTES).tolist(), ids.nbytes]
+        data = ids.tobytes()
+        return [data[i:j] for i, j in zip(cuts, cuts[1:])]
+
     def encode(self, text: str) -> bytes:
         """The ids of ``text`` as little-endian unsigned 32-bit integers."""
-        pieces = self.pieces
-        pieces.trim()
-        if not text:
-            return b""
-        if any(token in text for token in self.special):
-            return self.whole(text)
-        if self.kind == "words":
-            return b"".join(map(pieces.__getitem__, text.replace("\n", " ").split(" ")))
-        if self.kind is None or " \n" in text:
-            return self.whole(text)
-        first, *rest = text.replace("\n", " \n").split(" ")
-        found = list(map(pieces.__getitem__, rest))
-        return self.whole(text) if None in found else self.whole(first) + b"".join(found)
+        return next(self.encode_all(pa.array([text], pa.string())))
+
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """:meth:`encode` of each text; null as empty."""
+        for some in _slices(texts):
+            alone = self._alone(some)
+            rest = iter(self._from_pieces(some.filter(pa.array(~alone))))
+            for k, whole in enumerate(alone.tolist()):
+                ids = None if whole else next(rest)
+                yield self.whole(some[k].as_py()) if ids is None else ids
+
+    def _alone(self, texts: pa.Array) -> np.ndarray:
+        """Whether a text need not be split, as it has to be encoded whole anyway."""
+        alone = np.full(len(texts), self.kind is None)
+        for part in self.special + [" \n"] * (self.kind == "blanks"):
+            alone |= pc.match_substring(texts, part).to_numpy(zero_copy_only=False)
+        return alone
+
+    def _from_pieces(self, texts: pa.Array) -> list[bytes | None]:
+        """Each text's ids, None where it has to be encoded whole."""
+        if not len(texts):
+            return []
+        blanks = self.kind == "blanks"
+        cut = pc.replace_substring(texts, "\n", " \n" if blanks else " ")
+        cut = pc.split_pattern(cut, " ")
+        coded = cut.values.dictionary_encode()
+        found = self.pieces.of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        places, offsets = coded.indices.to_numpy(), cut.offsets.to_numpy()
+        if blanks:  # a text's first piece has no blank before it
+            first = offsets[:-1]
+            places = places.copy()
+            places[first] = np.arange(len(found), len(found) + len(texts))
+            found += map(self.whole, cut.values.take(pa.array(first)).to_pylist())
+        ids = pa.array(found, pa.large_binary()).take(pa.array(places))
+        whole = np.logical_or.reduceat(ids.is_null().to_numpy(zero_copy_only=False), offsets[:-1])
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[offsets].tolist()
+        data = memoryview(ids.buffers()[2] or b"")
+        spans = zip(ends, ends[1:], whole.tolist())
+        return [None if alone else bytes(data[i:j]) for i, j, alone in spans]
+
+
+def _slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """Consecutive texts of some ``HELD_BYTES`` together, null as empty."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(), dtype=np.int64)
+    first = 0
+    while first < len(texts):
+        reach = HELD_BYTES + (ends[first - 1] if first else 0)
+        last = max(first + 1, int(np.searchsorted(ends, reach, "right")))
+        yield pc.fill_null(texts.slice(first, last - first), "")
+        first = last
+
+
+def _starts(file: dict) -> np.ndarray | None:
+    """Whether a token, by its id, starts a piece; None if pieces may not be joined."""
+    model = file["model"]
+    changed = ("ignore_merges", "continuing_subword_prefix", "end_of_word_suffix")
+    crosses = _over_borders().fullmatch
+    if any(model.get(k) for k in changed) or any(map(crosses, model["vocab"])):
+        return None
+    starts = np.zeros(max(model["vocab"].values()) + 1, bool)
+    starts[[k for t, k in model["vocab"].items() if t[:1] in (_BLANK, _LINE_END)]] = True
+    return starts
 
 
 def _kind(file: dict) -> str | None:
@@ -116,11 +205,30 @@ class _Pieces(dict):
         super().__init__()
         self.encoder, self.old, self.marks = encoder, {}, {}
 
-    def trim(self) -> None:
-        if len(self) > CACHED_PIECES:
+    def trim(self, more: int) -> None:
+        """Makes room for ``more`` pieces."""
+        if len(self) + more > CACHED_PIECES:
             self.old = dict(self)
             self.clear()
 
+    def of(self, pieces: list[str]) -> list[bytes | None]:
+        """The ids of distinct pieces."""
+        found = list(map(self.get, pieces))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        self.trim(len(missing))
+        if self.encoder.starts is not None:
+            self._join([pieces[i] for i in missing])
+        for i in missing:
+            found[i] = self[pieces[i]]
+        return found
+
+    def _join(self, pieces: list[str]) -> None:
+        """Adds those of the pieces that are new and plain."""
+        new = [piece for piece in pieces if piece not in self.old and _plain(piece)]
+        for k in range(0, len(new), JOINED_PIECES):
+            some = new[k : k + JOINED_PIECES]
+            self.update(zip(some, self.encoder.plain(some), strict=True))
+
     def __missing__(self, piece: str) -> bytes | None:
         ids = self.old.get(piece)
         if ids is None:
@@ -165,6 +273,7 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def encode_all(path: str, texts: Iterable[str | None]) -> Iterable[bytes]:
-    encode = encoder(path).encode
-    return (encode(text or "") for text in texts)
+def encode_all(path: str, texts: pa.Array | Iterable[str | None]) -> Iterator[bytes]:
+    if not isinstance(texts, pa.Array):
+        texts = pa.array(texts, pa.string())
+    return encoder(path).encode_all(texts)

@@ -159,8 +159,8 @@ def token_pieces(
     def run(batches):
         for batch in batches:
             out = [[] for _ in schema]
-            texts = batch.column(1).to_pylist()
-            for key, ids in zip(batch.column(0).to_pylist(), encode_all(tokenizer, texts)):
+            keys, texts = batch.column(0).to_pylist(), batch.column(1)
+            for key, ids in zip(keys, encode_all(tokenizer, texts)):
                 ids += end
                 for k, (start, n) in enumerate(cut(len(ids) // ID_BYTES, capacity)):
                     own = ids[start * ID_BYTES : (start + n) * ID_BYTES]

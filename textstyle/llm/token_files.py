@@ -161,7 +161,7 @@ def write(
             if batch.num_rows and writer is None:
                 writer = ShardWriter(uri, id_type, length, wide)
             keys = batch.column(0).to_pylist()
-            for key, ids in zip(keys, encode_all(tokenizer, batch.column(1).to_pylist())):
+            for key, ids in zip(keys, encode_all(tokenizer, batch.column(1))):
                 writer.add(key, ids + end)
         if writer:
             writer.close()
