@@ -62,3 +62,52 @@ def test_measured_recall(spark):
         scores[ids == q] = -9
         hits.append(len(found[q] & set(ids[np.lexsort((ids, -scores))[:20]].tolist())) / 20)
     assert len(found) == (ids % 20 == 0).sum() and np.mean(hits) >= 0.9
+
+
+def test_wide_window_sends_a_query_to_few_blocks(spark, monkeypatch):
+    """A window over many least blocks makes the blocks larger, and copies no query to each."""
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.normal(size=6).astype(np.float32).tolist()) for i in range(1500)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    monkeypatch.setattr(N, "BLOCK", 32)
+    lists, compared = [], N._compared
+
+    def counted(*a):
+        found = compared(*a)
+        lists.append(found.groupBy("entry").count().agg(F.max("count")).first()[0])
+        return found
+
+    monkeypatch.setattr(N, "_compared", counted)
+    got = {}
+    for r in N.search(table, F.col("vec_id") % 50 == 0, nearest=5, window=1500).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert got == {q: [i for i, _ in near] for q, near in _exact(rows, lambda q: q % 50 == 0, 5).items()}
+    assert lists[0] <= 3 * N.CURVES
+
+
+@pytest.mark.parametrize("spread", [1e-9, 0.0, 1.0])
+@pytest.mark.parametrize("lengths", [1, 1e5])
+def test_rounding_loses_no_pair(spread, lengths):
+    """Items closer than single precision tells apart, equal ones, and short ones beside long ones."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=16) + spread * rng.normal(size=(3000, 16))
+    x[::7] *= -lengths
+    near, q = np.sort(rng.integers(0, 4000, 3000)), rng.normal(size=(300, 16))
+    at = np.sort(rng.integers(0, 4000, 300))
+    for window in (3, 700, 5000):
+        got = {}
+        for row, item, scores in N._near(near, x, at, q, window, 10):
+            assert len(set(zip(row.tolist(), item.tolist()))) == len(row)
+            for r, t, s in zip(row.tolist(), item.tolist(), scores.tolist()):
+                got.setdefault(r, []).append((-s, t))
+        for r in range(300):
+            inside = np.flatnonzero(np.abs(near - at[r]) <= window)
+            want = sorted((-s, t) for s, t in zip((x[inside] * q[r]).sum(axis=1).tolist(), inside.tolist()))
+            assert sorted(got.get(r, []))[:10] == want[:10]
+
+
+def test_best_rows_of_each_group():
+    group, scores, ids = np.array([2, 1, 2, 2, 1, 2]), np.array([1.0, 5, 3, 3, 5, 3]), np.array([9, 4, 8, 7, 4, 8])
+    got = [a.tolist() for a in N._best(group, scores, ids, 2)]
+    assert got == [[1, 2, 2], [5, 3, 3], [4, 7, 8]]
+    assert [len(a) for a in N._best(*(a[:0] for a in (group, scores, ids)), 2)] == [0, 0, 0]

@@ -33,8 +33,13 @@ NEAREST = 20
 CURVES, DIMENSIONS, BITS = 8, 6, 8
 #: Recall that the measured window is to reach, and queries it is measured on.
 RECALL, MEASURED = 0.95, 128
-#: Entries in one block of a curve, and the least window.
-BLOCK, LEAST_WINDOW = 2048, 256
+#: Least and most entries in one block of a curve, and the least window.
+BLOCK, MOST_BLOCK, LEAST_WINDOW = 2048, 32_768, 256
+#: Queries of a block that are multiplied at once, and pairs ranked at once.
+CHUNK, PAIRS = 128, 65_536
+#: Lists of found rows that are merged in one group, and their schema.
+MERGED_LISTS = 32_768
+FOUND = "entry bigint, score array<double>, id array<bigint>"
 #: Entries of one range partition of a curve.
 RANGE_ROWS = 100_000
 
@@ -170,12 +175,16 @@ def search(
     norms = held.agg(
         F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)).alias("m"),
         F.count("*").alias("n"),
+        F.count_if("asked").alias("asked"),
     ).first()
     norm, n = math.sqrt(norms["m"] or 0.0), norms["n"]
     placed = _placed(held, norm, n)
     if window is None:
         window = measured_window(held, placed, nearest, recall)
-    found = _merged(_compared(placed, held, window, nearest), nearest)
+    size = min(max(window, BLOCK), MOST_BLOCK)
+    lists = norms["asked"] * CURVES * min(2 * window // size + 2, -(-n // size))
+    found = _compared(placed, held, window, nearest, size)
+    found = _merged(found, nearest, max(1, -(-lists // MERGED_LISTS)))
     asking = rows.where("asked").select(F.col("id").alias("query_id"), F.xxhash64("vector").alias("entry"))
     results = asking.join(found, "entry")
     others = F.filter("found", lambda x: x["id"] != F.col("query_id"))
@@ -276,7 +285,8 @@ def measured_window(held: DataFrame, placed: DataFrame, nearest: int, recall: fl
                     continue
                 entry = batch.column("entry").take(pa.array(at)).to_numpy()
                 scores = np.array([v for _, v in own], np.float64) @ x.T
-                top = np.argsort(-scores, axis=1, kind="stable")[:, : nearest + 1]
+                keep = min(len(x), nearest + 1)
+                top = np.argpartition(-scores, keep - 1, axis=1)[:, :keep]
                 for (query, _), t, s in zip(own, top, scores):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(t), query)), pa.array(entry[t]), pa.array(s[t])],
@@ -299,14 +309,16 @@ def measured_window(held: DataFrame, placed: DataFrame, nearest: int, recall: fl
     return max(LEAST_WINDOW, math.ceil(gap or 0) + 1)
 
 
-def _compared(placed: DataFrame, held: DataFrame, window: int, nearest: int) -> DataFrame:
-    """``entry, best``: what each query finds in each block that its window meets.
+def _compared(
+    placed: DataFrame, held: DataFrame, window: int, nearest: int, size: int
+) -> DataFrame:
+    """``entry, score, id``: what each query finds in each block that its window meets.
 
-    A block holds at most ``BLOCK`` entries of a curve and the queries near it.
+    A block holds at most ``size`` entries of a curve and the queries near it.
     """
-    block = F.floor(F.col("place") / BLOCK)
-    first = F.floor(F.greatest(F.col("place") - window, F.lit(0)) / BLOCK)
-    last = F.floor((F.col("place") + window) / BLOCK)
+    block = F.floor(F.col("place") / size)
+    first = F.floor(F.greatest(F.col("place") - window, F.lit(0)) / size)
+    last = F.floor((F.col("place") + window) / size)
     item = placed.where("NOT asked").select(
         "curve", block.alias("block"), "place", "asked", "entry"
     )
@@ -320,44 +332,116 @@ def _compared(placed: DataFrame, held: DataFrame, window: int, nearest: int) ->
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         asked = table.column("asked").to_numpy()
-        kinds = [table.filter(pa.array(mask)) for mask in (~asked, asked)]
-        out_entry, out_best = [], []
-        if all(k.num_rows for k in kinds):
-            (items, x), (queries, q) = (
-                (k, _vectors(k.column("vector").combine_chunks())) for k in kinds
-            )
-            ids = items.column("ids").to_pylist()
-            near = items.column("place").to_numpy()
-            for e, place, v in zip(queries.column("entry").to_pylist(), queries.column("place").to_pylist(), q):
-                inside = np.flatnonzero(np.abs(near - place) <= window)
-                scores = x[inside] @ v
-                keep = min(len(inside), nearest + 1)
-                if not keep:
-                    continue
-                floor = np.partition(scores, len(scores) - keep)[len(scores) - keep]
-                top = inside[scores >= floor]
-                # Row sums go in one order, so equal vectors score alike in all blocks.
-                exact = zip((-(x[top] * v).sum(axis=1)).tolist(), top.tolist())
-                best = sorted((s, i) for s, t in exact for i in ids[t])[: nearest + 1]
-                out_entry.append(e)
-                out_best.append([{"score": -s, "id": i} for s, i in best])
-        kind = pa.list_(pa.struct([("score", pa.float64()), ("id", pa.int64())]))
-        return pa.table({"entry": pa.array(out_entry, pa.int64()), "best": pa.array(out_best, kind)})
-
-    schema = "entry bigint, best array<struct<score: double, id: bigint>>"
-    return rows.groupBy("curve", "block").applyInArrow(run, schema)
-
-
-def _merged(found: DataFrame, nearest: int) -> DataFrame:
-    """``entry, found``: the best over all curves and blocks, one more than shown."""
-    # A query has a list for each block that its window meets.
-    every = F.transform(
-        F.flatten(F.collect_list("best")),
-        lambda b: F.struct((-b["score"]).alias("s"), b["id"].alias("id")),
-    )
-    lists = found.groupBy("entry").agg(F.array_sort(F.array_distinct(every)).alias("all"))
-    best = F.slice("all", 1, nearest + 1)
-    return lists.select(
-        "entry",
-        F.transform(best, lambda o: F.struct(o["id"].alias("id"), (-o["s"]).alias("score"))).alias("found"),
-    )
+        items, queries = (table.filter(pa.array(mask)).sort_by("place") for mask in (~asked, asked))
+        out = [pa.table({"entry": pa.array([], pa.int64()), **_lists(*[np.empty(0, int)] * 3)})]
+        if items.num_rows and queries.num_rows:
+            x, q = (_matrix(k.column("vector").combine_chunks()) for k in (items, queries))
+            held_ids = items.column("ids").combine_chunks()
+            starts, counts = held_ids.offsets.to_numpy(), held_ids.value_lengths().to_numpy()
+            values = held_ids.values.to_numpy()
+            near, at = items.column("place").to_numpy(), queries.column("place").to_numpy()
+            entry = queries.column("entry").to_numpy()
+            for row, t, scores in _near(near, x, at, q, window, nearest + 1):
+                # An item stands for each of its ids.
+                each = np.repeat(np.arange(len(t)), counts[t])
+                nth = np.arange(len(each)) - np.repeat(np.cumsum(counts[t]) - counts[t], counts[t])
+                row, scores, own = row[each], scores[each], values[starts[t[each]] + nth]
+                row, scores, own = _best(row, scores, own, nearest + 1)
+                out.append(pa.table({"entry": entry[np.unique(row)], **_lists(row, scores, own)}))
+        return pa.concat_tables(out)
+
+    return rows.groupBy("curve", "block").applyInArrow(run, FOUND)
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    """Rows of one width as a matrix in their own precision."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _near(near: np.ndarray, x: np.ndarray, at: np.ndarray, q: np.ndarray, window: int, keep: int):
+    """Yields ``(query, item, score)``: pairs with each query's ``keep`` best items in its window.
+
+    Places ``near`` of items and ``at`` of queries rise. Neighbouring queries
+    meet nearly the same items, so they are multiplied together, scaled and in
+    single precision; only pairs that may be among the best by the bound of the
+    rounding errors are compared in double precision. A query's pairs come
+    together, at times with more than ``keep`` items.
+    """
+    scaled = x / np.abs(x).max()
+    norms = np.sqrt(np.einsum("ij,ij->i", scaled, scaled, dtype=np.float64))
+    # Short items beside long ones would all lie within the error of these.
+    kind = np.float32 if norms.max() <= 1000 * norms.min() else np.float64
+    scaled = (scaled / norms.max()).astype(kind)
+    error = 2 * (x.shape[1] + 8) * np.finfo(kind).eps
+    lows, highs = np.searchsorted(near, at - window, "left"), np.searchsorted(near, at + window, "right")
+    for c in range(0, len(q), CHUNK):
+        low, high = lows[c : c + CHUNK], highs[c : c + CHUNK]
+        start, end = low[0], high[-1]
+        if end <= start:
+            continue
+        v = q[c : c + CHUNK].astype(np.float64)
+        unit = v / np.abs(v).max(axis=1, keepdims=True)
+        unit = (unit / np.sqrt((unit * unit).sum(axis=1, keepdims=True))).astype(kind)
+        scores = unit @ scaled[start:end].T
+        for s, a, b in zip(scores, low - start, high - start):
+            s[:a] = s[b:] = -np.inf
+        # The best of ``keep`` groups of columns are as many scores that count.
+        width = scores.shape[1] // 32
+        if width >= keep:
+            tops = scores[:, : 32 * width].reshape(len(scores), 32, width).max(axis=1)
+        else:
+            tops = scores
+        k = max(0, tops.shape[1] - keep)
+        floor = np.partition(tops, k, axis=1)[:, k] - kind(error)
+        floor = np.maximum(floor, np.finfo(kind).min)  # nothing from outside the window
+        row, item = np.divmod(np.flatnonzero(scores >= floor[:, None]), scores.shape[1])
+        exact = np.empty(len(row))
+        for p in range(0, len(row), PAIRS):
+            r, t = row[p : p + PAIRS], start + item[p : p + PAIRS]
+            # Row sums go in one order, so equal vectors score alike in all blocks.
+            exact[p : p + PAIRS] = (x[t].astype(np.float64) * v[r]).sum(axis=1)
+        if len(row):
+            yield c + row, start + item, exact
+
+
+def _best(group: np.ndarray, scores: np.ndarray, ids: np.ndarray, keep: int):
+    """The ``keep`` best distinct rows of every group, by group, falling score and rising id."""
+    order = np.lexsort((ids, -scores, group))
+    group, scores, ids = group[order], scores[order], ids[order]
+    same = (group[1:] == group[:-1]) & (scores[1:] == scores[:-1]) & (ids[1:] == ids[:-1])
+    if same.any():
+        group, scores, ids = (a[np.r_[True, ~same]] for a in (group, scores, ids))
+    first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    rank = np.arange(len(group)) - np.repeat(first, np.diff(np.r_[first, len(group)]))
+    kept = rank < keep
+    return group[kept], scores[kept], ids[kept]
+
+
+def _lists(group: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> dict[str, pa.Array]:
+    """Columns ``score`` and ``id`` with one list for each run of a group."""
+    ends = np.flatnonzero(np.r_[group[1:] != group[:-1], True]) + 1 if len(group) else []
+    offsets = pa.array(np.r_[0, ends].astype(np.int32))
+    return {
+        "score": pa.ListArray.from_arrays(offsets, pa.array(scores, pa.float64())),
+        "id": pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int64())),
+    }
+
+
+def _merged(found: DataFrame, nearest: int, groups: int) -> DataFrame:
+    """``entry, found``: the best over all curves and blocks, one more than shown.
+
+    A query has a list for each block that its window meets; those of one
+    query are merged in the same of ``groups`` groups.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        scores, ids = (table.column(c).combine_chunks() for c in ("score", "id"))
+        entry = np.repeat(table.column("entry").to_numpy(), scores.value_lengths().to_numpy())
+        entry, scores, ids = _best(
+            entry, scores.flatten().to_numpy(), ids.flatten().to_numpy(), nearest + 1
+        )
+        return pa.table({"entry": pa.array(np.unique(entry)), **_lists(entry, scores, ids)})
+
+    grouped = found.groupBy(F.pmod("entry", F.lit(groups)).alias("_group"))
+    return grouped.applyInArrow(run, FOUND).select("entry", F.arrays_zip("id", "score").alias("found"))
