@@ -121,6 +121,68 @@ def test_queries_next_to_each_other(spark, tmp_path):
     assert most[:2] == [1, 2] and max(most) == 2
 
 
+def test_the_next_query_starts_before_the_last_is_recorded(spark, tmp_path):
+    """Recording takes a job, and its cores should not wait for it."""
+    happened = []
+
+    class Noted(X.ProgressTable):
+        def record(self, *queries):
+            happened.append(("recorded", len(queries)))
+            return super().record(*queries)
+
+    def starter(name):
+        def run():
+            happened.append(("started", name))
+            stream = X.read_json_stream(spark, str(tmp_path / name), files_per_trigger=1)
+            return X.write_json_stream(stream, str(tmp_path / f"o{name}"), str(tmp_path / f"m{name}"), every=None)
+
+        return run
+
+    for name, files in (("a", 2), ("b", 3)):
+        for k in range(files):
+            feed(tmp_path / name, k, k + 1)
+    table = Noted(spark, str(tmp_path / "progress"))
+    X.follow_all([starter(n) for n in "ab"], table, at_a_time=1, every=600)
+    assert happened == [("started", "a"), ("started", "b"), ("recorded", 1), ("recorded", 1)]
+    done = X.batches(table.read()).groupBy("query_id").agg(F.sort_array(F.collect_list("input_rows")).alias("n"))
+    assert sorted(r["n"] for r in done.collect()) == [[1, 2], [1, 2, 3]]
+
+
+def test_quick_local_logs(spark, tmp_path):
+    """Logs go through FileSystem meanwhile, rows come once, and the setting is put back."""
+    package = spark._jvm.org.apache.spark.sql.execution.streaming.checkpointing
+    at = spark._jvm.org.apache.hadoop.fs.Path(str(tmp_path))
+
+    def manager():
+        conf = spark._jsparkSession.sessionState().newHadoopConf()
+        return package.CheckpointFileManager.create(at, conf).getClass().getName().rsplit(".", 1)[1]
+
+    before = manager()
+    assert before != "FileSystemBasedCheckpointFileManager"
+    for k in range(3):
+        feed(tmp_path / "in", k)
+    with X.quick_local_logs(spark, str(tmp_path)):
+        assert manager() == "FileSystemBasedCheckpointFileManager"
+        X.drain(start(spark, tmp_path))
+    assert manager() == before
+    # A restart, with Spark's own choice, goes on with the same logs.
+    assert X.lose_commit(spark, str(tmp_path / "m")) == 2
+    feed(tmp_path / "in", 3)
+    X.drain(start(spark, tmp_path))
+    assert texts(spark, tmp_path) == sorted(f"{k}-{i}" for k in range(4) for i in range(3))
+    key = "spark.sql.streaming.checkpointFileManagerClass"
+    spark.conf.set(key, "chosen")
+    try:
+        with X.quick_local_logs(spark, str(tmp_path)):
+            assert spark.conf.get(key) == "chosen"
+        assert spark.conf.get(key) == "chosen"
+    finally:
+        spark.conf.unset(key)
+    with pytest.raises(ZeroDivisionError), X.quick_local_logs(spark, str(tmp_path)):
+        1 / 0
+    assert manager() == before
+
+
 def test_a_failure_among_others_is_raised(spark, tmp_path):
     for name in "ab":
         feed(tmp_path / name, 0)

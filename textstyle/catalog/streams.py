@@ -28,6 +28,7 @@ from textstyle.streaming import (
     follow_all,
     lose_commit,
     missed_batches,
+    quick_local_logs,
     read_json_stream,
     score_stream,
     sub_folders,
@@ -129,7 +130,8 @@ def trigger_progress(spark, sf_dir):
         out, marks = shared_folder(spark, "stream-output"), shared_folder(spark, "stream-log")
         return write_json_stream(stream, out, marks, every=None)
 
-    follow_all([partial(start, folder) for folder in sub_folders(spark, source)], progress)
+    with quick_local_logs(spark, source):
+        follow_all([partial(start, folder) for folder in sub_folders(spark, source)], progress)
     done = batches(progress.read()).join(missed_batches(progress.read()), "query_id")
     timed = (F.col("trigger_ms") > 0) & (F.col("processed_rows_per_second") > 0)
     return done.groupBy("input_rows").agg(

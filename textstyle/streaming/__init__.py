@@ -3,6 +3,7 @@
 from textstyle.streaming.live import (
     STREAM_SCHEMA,
     drain,
+    quick_local_logs,
     read_json_stream,
     run_for,
     score_stream,
@@ -30,6 +31,7 @@ __all__ = [
     "lose_commit",
     "missed_batches",
     "progress_summary",
+    "quick_local_logs",
     "read_json_stream",
     "run_for",
     "score_stream",

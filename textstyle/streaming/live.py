@@ -6,7 +6,8 @@ a batch and needs no state store.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.ml import Transformer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -26,6 +27,10 @@ STREAM_SCHEMA = StructType(
     ]
 )
 SCORED, QUARANTINED = "scored", "quarantined"
+LOG_FILES = "spark.sql.streaming.checkpointFileManagerClass"
+LOCAL_LOG_FILES = (
+    "org.apache.spark.sql.execution.streaming.checkpointing.FileSystemBasedCheckpointFileManager"
+)
 
 
 def read_json_stream(
@@ -112,6 +117,30 @@ def write_json_stream(
     )
 
 
+@contextmanager
+def quick_local_logs(spark: SparkSession, path: str) -> Iterator[None]:
+    """Streams that start and end meanwhile write their logs with fewer processes.
+
+    Spark names and renames log files through ``FileContext``, which runs
+    several commands of the system for a file on a local disk, most of the time
+    of a small trigger. ``FileSystem`` renames a file itself and runs one for its
+    permissions. A stream names its source's log in its own thread, a while after
+    it has been started, so the setting holds until the end. Elsewhere than on
+    a local disk, judged by ``path``, and where a manager of log files has been
+    chosen, nothing changes.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    scheme = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme()
+    if scheme != "file" or spark.conf.get(LOG_FILES, None):
+        yield
+        return
+    spark.conf.set(LOG_FILES, LOCAL_LOG_FILES)
+    try:
+        yield
+    finally:
+        spark.conf.unset(LOG_FILES)
+
+
 def run_for(query: StreamingQuery, seconds: float = 300) -> bool:
     """Wait up to ``seconds``, then stop; whether the query ended by itself."""
     try:

@@ -12,6 +12,7 @@ import time
 from collections.abc import Callable, Iterable
 from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -43,7 +44,10 @@ class ProgressTable:
                 rows += [_row(p) for p in new]
                 last[run] = max(p.timestamp for p in new)
         if rows:
-            frame = self.spark.createDataFrame(rows, SCHEMA)
+            # From Arrow, as rows would go through a Python worker.
+            names = [c.split()[0] for c in SCHEMA.split(", ")]
+            columns = pa.table([list(c) for c in zip(*rows)], names)
+            frame = self.spark.createDataFrame(columns, SCHEMA)
             frame.coalesce(1).write.mode("append").json(self.path)
             self._last.update(last)
         return len(rows)
@@ -101,22 +105,29 @@ def follow_all(
 
     Each of ``starts`` starts one, as soon as fewer than ``at_a_time`` run. A
     trigger mostly waits for its logs, so queries next to each other fill the
-    cores. A query that failed raises, after all triggers have been recorded;
-    the others are then stopped.
+    cores. Those that run are recorded every so many seconds, one that has ended
+    once more, after the next has been started. A query that failed raises,
+    after all triggers have been recorded; the others are then stopped.
     """
     waiting = iter(starts)
     running = [start() for start in islice(waiting, at_a_time)]
+    end = time.monotonic() + every
     try:
         while running:
-            end = time.monotonic() + every
             while all(q.isActive for q in running) and time.monotonic() < end:
                 time.sleep(0.05)
             ended = [q for q in running if not q.isActive]
-            table.record(*running)
-            for query in ended:
-                query.awaitTermination()  # raises what made it fail
+            if any(q.exception() for q in ended):
+                table.record(*running)
+                for query in ended:
+                    query.awaitTermination()  # raises what made it fail
             running = [q for q in running if q not in ended]
             running += [start() for start in islice(waiting, len(ended))]
+            if time.monotonic() >= end:
+                table.record(*ended, *running)
+                end = time.monotonic() + every
+            else:
+                table.record(*ended)
     finally:
         for query in running:
             query.stop()
