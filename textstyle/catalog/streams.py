@@ -51,6 +51,8 @@ SCORED_COLUMNS = ("prediction", "score", "probability")
 SPREAD_EXPRESSION = "conv_id + turn / (turn + 1)"
 #: Less than the triggers that a query remembers, so none can be missed.
 FILES_PER_STREAM = 50
+#: More only wait for the one thread of Spark's scheduler, and take the driver's memory.
+STREAMS_AT_A_TIME = 8
 
 
 def _feed(df: DataFrame, files_per_folder: int | None = None) -> str:
@@ -131,7 +133,8 @@ def trigger_progress(spark, sf_dir):
         return write_json_stream(stream, out, marks, every=None)
 
     with quick_local_logs(spark, source):
-        follow_all([partial(start, folder) for folder in sub_folders(spark, source)], progress)
+        starts = [partial(start, folder) for folder in sub_folders(spark, source)]
+        follow_all(starts, progress, STREAMS_AT_A_TIME)
     done = batches(progress.read()).join(missed_batches(progress.read()), "query_id")
     timed = (F.col("trigger_ms") > 0) & (F.col("processed_rows_per_second") > 0)
     return done.groupBy("input_rows").agg(
